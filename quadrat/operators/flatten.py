@@ -18,6 +18,7 @@ from ..model import OBSERVATION_ITEM
 BAG_DEPTH = 5
 # More attribute columns than this are refused (keep the map column instead).
 MAX_WIDE_KEYS = 5000
+NO_ATTRS = "CAST(map() AS MAP<STRING, STRING>)"
 
 
 def _get(struct: Column, name: str) -> Column:
@@ -25,19 +26,28 @@ def _get(struct: Column, name: str) -> Column:
 
 
 def base_context(df: DataFrame) -> DataFrame:
-    """Dataset and site fields of each feature, the point, and the visits still nested."""
+    """Dataset and site fields of each feature, the point, and the visits still nested.
+
+    Here and below, an attribute bag is flattened on the level it belongs to, once, and
+    not again for every row that level is exploded into.
+    """
     props = _get(F.col("feature"), "properties")
     dataset, site = _get(props, "dataset"), _get(props, "site")
     geometry = _get(F.col("feature"), "geometry")
     at = _get(geometry, "coordinates")
     is_point = _get(geometry, "type") == "Point"
+    in_dataset = flatten_bag_sql(
+        "feature.properties.dataset.`dataset.attributes`", "dataset.attributes"
+    )
+    in_site = flatten_bag_sql("feature.properties.site.`site.attributes`", "site.attributes")
     return df.select(
         _get(dataset, "dataset.title").alias("dataset_title"),
         _get(dataset, "dataset.link").alias("dataset_link"),
         _get(site, "site.name").alias("site_name"),
         _get(site, "site.link").alias("site_link"),
-        _get(dataset, "dataset.attributes").alias("dataset_bag"),
-        _get(site, "site.attributes").alias("site_bag"),
+        F.expr(
+            f"map_concat(coalesce({in_dataset}, {NO_ATTRS}), coalesce({in_site}, {NO_ATTRS}))"
+        ).alias("attrs"),
         F.when(is_point, F.try_variant_get(at, "$[0]", "double")).alias("lon"),
         F.when(is_point, F.try_variant_get(at, "$[1]", "double")).alias("lat"),
         _get(props, "siteVisit").alias("visits"),
@@ -48,12 +58,12 @@ def explode_visits(base: DataFrame) -> DataFrame:
     """One row per visit; a feature without visits keeps one row."""
     visit = F.col("visit")
     return base.withColumn("visit", F.explode_outer("visits")).select(
-        *[c for c in base.columns if c != "visits"],
+        *[c for c in base.columns if c not in ("visits", "attrs")],
         _get(visit, "siteVisit.id").alias("visit_id"),
         _get(visit, "siteVisit.name").alias("visit_name"),
         _get(visit, "siteVisit.date").alias("visit_date"),
         _get(visit, "siteVisit.link").alias("visit_link"),
-        _get(visit, "siteVisit.attributes").alias("visit_bag"),
+        _merged("attrs", "visit.`siteVisit.attributes`", "siteVisit.attributes").alias("attrs"),
         _get(visit, "featureOfInterest").alias("fois"),
     )
 
@@ -62,12 +72,12 @@ def explode_fois(visits: DataFrame) -> DataFrame:
     """One row per feature of interest; a visit without any keeps one row."""
     foi = F.col("foi")
     return visits.withColumn("foi", F.explode_outer("fois")).select(
-        *[c for c in visits.columns if c != "fois"],
+        *[c for c in visits.columns if c not in ("fois", "attrs")],
         _get(foi, "foi.id").alias("foi_id"),
         _get(foi, "foi.type").alias("foi_type"),
         _get(foi, "foi.link").alias("foi_link"),
         _get(foi, "foi.scientificName").alias("scientific_name"),
-        _get(foi, "foi.attributes").alias("foi_bag"),
+        _merged("attrs", "foi.`foi.attributes`", "foi.attributes").alias("attrs"),
         _get(foi, "foi.observations").alias("groups"),
     )
 
@@ -96,98 +106,107 @@ def explode_observations(fois: DataFrame) -> DataFrame:
     rows = F.when(F.coalesce(F.size("groups"), F.lit(0)) <= 0, context).otherwise(flat)
     obs = F.col("item.obs")
     return fois.withColumn("item", F.explode(rows)).select(
-        *[c for c in fois.columns if c != "groups"],
+        *[c for c in fois.columns if c not in ("groups", "attrs")],
         F.col("item.group").alias("obs_group"),
         _get(obs, "observableProperty").alias("obs_property"),
         _get(obs, "value").alias("obs_value"),
         _get(obs, "unit").alias("obs_unit"),
         _get(obs, "resultTime").alias("obs_result_time"),
         _get(obs, "usedProcedure").alias("obs_procedure"),
-        _get(obs, "system").alias("system_bag"),
+        _merged("attrs", "item.obs.system", "obs.system").alias("attrs"),
     )
 
 
-BAGS = {
-    "dataset_bag": "dataset.attributes",
-    "site_bag": "site.attributes",
-    "visit_bag": "siteVisit.attributes",
-    "foi_bag": "foi.attributes",
-    "system_bag": "obs.system",
-}
-
-
 def flatten_features(df: DataFrame) -> DataFrame:
     """The whole flatten; all attribute bags end up in one map ``attrs``."""
-    rows = explode_observations(explode_fois(explode_visits(base_context(df))))
-    empty = F.create_map().cast("map<string,string>")
-    bags = [F.coalesce(flatten_bag(F.col(b), p), empty) for b, p in BAGS.items()]
-    return rows.withColumn("attrs", F.map_concat(*bags)).drop(*BAGS)
+    return explode_observations(explode_fois(explode_visits(base_context(df))))
 
 
 # --- attribute bags ---------------------------------------------------------------
 
 
-def _text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+# The bag expressions are written as SQL text: they nest a lambda per level, and text is
+# parsed at once where a tree of Column calls takes seconds to build.
+
+
+def _text(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'string')"
+
+
+def _bound(value: str, name: str, use: str) -> str:
+    """``use`` with ``name`` standing for ``value``, which is evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {use}), 1)"
+
+
+def _entry(key: str, value: str) -> str:
+    """A bag entry; ``members`` is NULL unless the value is a map."""
+    members = f"try_variant_get({value}, '$', 'map<string,variant>')"
+    return f"named_struct('key', {key}, 'value', {value}, 'members', {members})"
+
+
+def _is_open(e: str) -> str:
+    return f"({e}.members IS NOT NULL AND NOT map_contains_key({e}.members, 'value'))"
+
+
+def _opened(entries: str, depth: int) -> str:
+    """Replace each map that is not a measure by its members, ``depth`` times at most.
 
+    ``entries`` is a bound name; a level is only entered when it has such a map.
+    """
+    if depth == 0:
+        return entries
+    e, m, below = f"e{depth}", f"m{depth}", f"x{depth}"
+    member = _entry(f"concat({e}.key, '.', {m}.key)", f"{m}.value")
+    one_level = (
+        f"flatten(transform({entries}, {e} -> IF({_is_open(e)}, "
+        f"transform(map_entries({e}.members), {m} -> {member}), array({e}))))"
+    )
+    deeper = _bound(one_level, below, _opened(below, depth - 1))
+    return f"IF(exists({entries}, {e} -> {_is_open(e)}), {deeper}, {entries})"
+
+
+def _pairs(e: str) -> str:
+    """(key, text) pairs of one finished entry: one, or those of a measure."""
 
-def _members(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>")
+    def pair(key: str, value: str) -> str:
+        return f"named_struct('key', {key}, 'value', {_text(value)})"
 
+    parts = [pair(f"{e}.key", f"{e}.members['value']")]
+    for name in ("unit", "attribute"):
+        made = pair(f"concat({e}.key, '.{name}')", f"{e}.members['{name}']")
+        parts.append(f"IF(map_contains_key({e}.members, '{name}'), {made}, NULL)")
+    measure = f"array_compact(array({', '.join(parts)}))"
+    single = f"array({pair(f'{e}.key', f'{e}.value')})"
+    return f"IF({e}.members IS NOT NULL AND NOT {_is_open(e)}, {measure}, {single})"
 
-def flatten_bag(bag: Column, prefix: str = "", depth: int = BAG_DEPTH) -> Column:
-    """VARIANT attribute bag -> ``map<string,string>`` with dotted keys.
+
+def flatten_bag_sql(bag: str, prefix: str = "", depth: int = BAG_DEPTH) -> str:
+    head = f"{prefix}." if prefix else ""
+    top = f"map_entries(try_variant_get({bag}, '$', 'map<string,variant>'))"
+    entry = _entry(f"concat('{head}', t.key)", "t.value")
+    entries = f"transform({top}, t -> {entry})"
+    opened = _bound(entries, "x", _opened("x", depth))
+    pairs = f"flatten(transform({opened}, d -> {_pairs('d')}))"
+    keys = "transform(p, k -> k.key)"
+    first = f"filter(p, (q, i) -> array_position(ks, q.key) = i + 1)"
+    unique = f"IF(size(array_distinct(ks)) = size(ks), p, {first})"
+    return _bound(pairs, "p", f"map_from_entries({_bound(keys, 'ks', unique)})")
+
+
+def flatten_bag(bag: str, prefix: str = "", depth: int = BAG_DEPTH) -> Column:
+    """VARIANT attribute bag (SQL text of it) -> ``map<string,string>`` with dotted keys.
 
     A member ``{value, unit, attribute}`` gives ``key``, ``key.unit``, ``key.attribute``
     (those present); another map is opened; anything else is a value. Two members that
     come to the same dotted key: the first in key order is kept.
     """
+    return F.expr(flatten_bag_sql(bag, prefix, depth))
 
-    def pair(key: Column, value: Column) -> Column:
-        return F.struct(key.alias("key"), value.alias("value"))
-
-    def named(key: Column) -> Column:
-        return F.concat(F.lit(prefix + "."), key) if prefix else key
-
-    def is_measure(members: Column) -> Column:
-        return F.coalesce(F.map_contains_key(members, "value"), F.lit(False))
-
-    entries = F.transform(F.map_entries(_members(bag)), lambda e: pair(named(e["key"]), e["value"]))
-    for _ in range(depth):
-        entries = F.flatten(
-            F.transform(
-                entries,
-                lambda e: F.when(
-                    _members(e["value"]).isNotNull() & ~is_measure(_members(e["value"])),
-                    F.transform(
-                        F.map_entries(_members(e["value"])),
-                        lambda m: pair(F.concat(e["key"], F.lit("."), m["key"]), m["value"]),
-                    ),
-                ).otherwise(F.array(pair(e["key"], e["value"]))),
-            )
-        )
 
-    def finish(e: Column) -> Column:
-        members = _members(e["value"])
-        parts = F.transform(
-            F.filter(
-                F.array(F.lit("value"), F.lit("unit"), F.lit("attribute")),
-                lambda p: F.map_contains_key(members, p),
-            ),
-            lambda p: pair(
-                F.when(p == "value", e["key"]).otherwise(F.concat(e["key"], F.lit("."), p)),
-                _text(F.element_at(members, p)),
-            ),
-        )
-        return F.when(is_measure(members), parts).otherwise(
-            F.array(pair(e["key"], _text(e["value"])))
-        )
-
-    done = F.flatten(F.transform(entries, finish))
-    keys = F.transform(done, lambda e: e["key"])
-    return F.map_from_entries(
-        F.filter(done, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    )
+def _merged(attrs: str, bag: str, prefix: str) -> Column:
+    """``attrs`` with the flattened bag added (an absent bag adds nothing)."""
+    added = f"map_concat({attrs}, coalesce({flatten_bag_sql(bag, prefix)}, {NO_ATTRS}))"
+    return F.expr(f"IF({bag} IS NULL, {attrs}, {added})")
 
 
 def attribute_keys(df: DataFrame, attrs: str = "attrs") -> DataFrame:

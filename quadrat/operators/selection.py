@@ -190,10 +190,7 @@ def _literal(spark, name: str, value):
         return flag[0]
     if name == "soil_depth_range":
         return _depth_range(value)
-    found = spark.createDataFrame([(str(value),)], "raw string").select(
-        parse_date(F.col("raw")).alias("day")
-    )
-    day = found.first()["day"]
+    day = spark.range(1).select(parse_date(F.lit(str(value))).alias("day")).first()["day"]
     if day is None:
         raise PlotDataError(
             f"Cannot parse date {value!r}. Use e.g. 'DD/MM/YYYY', '21 May 2020' or 'YYYY-MM-DD'."

@@ -44,7 +44,7 @@ for _facet, _column in (
     def _discover(spark, folder, facet=_facet, column=_column):
         rows = _recent(spark, folder, column)
         return discovery.discover_values(
-            rows, column, views.facet_vocabulary(spark, folder, facet), facet
+            rows, column, views.vocab(spark, folder, facet), facet
         )
 
 
@@ -64,7 +64,7 @@ def _region_rows(spark, folder):
     "observation site_region vocab",
 )
 def discover_region_type(spark, folder):
-    vocab = views.facet_vocabulary(spark, folder, "region_type")
+    vocab = views.vocab(spark, folder, "region_type")
     return discovery.discover_values(_region_rows(spark, folder), "region_type", vocab, "region_type")
 
 
@@ -81,7 +81,7 @@ def discover_region_type(spark, folder):
 )
 def discover_region(spark, folder):
     rows = _region_rows(spark, folder).where(F.col("region_type") == "nations")
-    vocab = views.facet_vocabulary(spark, folder, "region")
+    vocab = views.vocab(spark, folder, "region")
     return discovery.discover_values(rows, "region", vocab, "region")
 
 
@@ -92,7 +92,7 @@ def discover_region(spark, folder):
 )
 def discover_material_sample_type(spark, folder):
     rows = views.sample(spark, folder).where(F.col("soil_subsite_id") > 25)
-    vocab = views.facet_vocabulary(spark, folder, "material_sample_type")
+    vocab = views.vocab(spark, folder, "material_sample_type")
     return discovery.discover_values(rows, "material_sample_type", vocab, "material_sample_type")
 
 
@@ -150,12 +150,17 @@ ATTRIBUTE_BASE = "http://v.test/attributes/"
 
 def attribute_maps(spark, folder):
     """Attribute maps of parts; which keys a part has depends on its columns."""
-    key = lambda name: F.lit(ATTRIBUTE_BASE + name)
+    found = {
+        "brand": F.col("p_brand"),
+        "size": F.when(F.col("p_size") > 10, F.col("p_size").cast("string")),
+        "price": F.when(F.col("p_type") == "PROMO", F.col("p_retailprice").cast("string")),
+        "unknown": F.when(F.col("p_partkey") % 9 == 0, F.col("p_name")),
+    }
     pairs = F.array(
-        F.struct(key("brand").alias("key"), F.col("p_brand").alias("value")),
-        F.struct(key("size"), F.when(F.col("p_size") > 10, F.col("p_size").cast("string"))),
-        F.struct(key("price"), F.when(F.col("p_type") == "PROMO", F.col("p_retailprice").cast("string"))),
-        F.struct(key("unknown"), F.when(F.col("p_partkey") % 9 == 0, F.col("p_name"))),
+        *[
+            F.struct(F.lit(ATTRIBUTE_BASE + name).alias("key"), value.alias("value"))
+            for name, value in found.items()
+        ]
     )
     attrs = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
     return views.table(spark, folder, "part").select(F.col("p_partkey").alias("sample_id"), attrs.alias("attrs"))
@@ -357,7 +362,7 @@ def _coded_lines(spark, folder):
     "vocab",
 )
 def label_lookup_na(spark, folder):
-    vocab = views.facet_vocabulary(spark, folder, "used_procedure")
+    vocab = views.vocab(spark, folder, "used_procedure")
     rows = lookup.add_label(_coded_lines(spark, folder), vocab, "used_procedure", "code", "label", "na")
     return rows.select("visit_id", "line_no", "part_id", "label")
 
@@ -383,7 +388,7 @@ def label_lookup_keep(spark, folder):
     ).otherwise(views.VOCAB_BASE + "x")
     codes = F.when(n == 7, F.array().cast("array<string>")).otherwise(F.array("code", second))
     rows = _coded_lines(spark, folder).withColumn("codes", codes)
-    vocab = views.facet_vocabulary(spark, folder, "used_procedure")
+    vocab = views.vocab(spark, folder, "used_procedure")
     named = lookup.add_label_list(rows, vocab, "used_procedure", "codes", "names")
     return named.select("visit_id", "line_no", "part_id", lookup.unwrap(F.col("names")).alias("labels"))
 

@@ -12,7 +12,7 @@ from ..functions import text
 from ..operators import flatten, images, samples
 from ..sinks import writers
 from ..sources import readers
-from ..session import shared_dir
+from ..session import shared_dir, spread
 from . import views
 from .registry import query
 
@@ -50,7 +50,10 @@ OBS_SQL = ", ".join(
 
 def feature_lines(spark, folder):
     """One GeoJSON feature text per line item."""
-    return views.table(spark, folder, "lineitem").select(
+    lines = views.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
+    )
+    return spread(lines).select(
         F.expr(FEATURE_SQL.format(obs=OBS_SQL)).alias("value")
     )
 
@@ -66,7 +69,7 @@ DOC_SQL = """doc AS (
     CASE WHEN l_suppkey % 10 <> 0 THEN -40 + l_linenumber / CAST(4 AS DOUBLE) END AS lat
   FROM lineitem),
 two AS (SELECT unnest([1, 2]) AS i),
-visits AS (SELECT doc.*, v.i AS v, concat(id, '-', v.i) AS visit_id
+visits AS (SELECT doc.*, v.i AS v, id || '-' || v.i AS visit_id
   FROM doc LEFT JOIN two v ON v.i <= l_linenumber % 3),
 fois AS (SELECT visits.*, f.i AS f, CASE WHEN f.i IS NOT NULL THEN concat('f', f.i) END AS foi_id,
     CASE f.i WHEN 1 THEN 'plot' WHEN 2 THEN 'plant' END AS foi_type,
@@ -190,9 +193,10 @@ def attrs_flatten(spark, folder):
         'nested', named_struct('deep', named_struct('er', p_type), 'two', parse_json('[1,"x"]')),
         'gone', named_struct('value', CAST(NULL AS STRING))), map('ignoreNullFields', 'false'))"""
     )
-    rows = views.table(spark, folder, "part").select(
-        F.col("p_partkey").alias("sample_id"),
-        flatten.flatten_bag(F.parse_json(bag)).alias("attrs"),
+    rows = (
+        views.table(spark, folder, "part")
+        .select(F.col("p_partkey").alias("sample_id"), F.parse_json(bag).alias("bag"))
+        .select("sample_id", flatten.flatten_bag("bag").alias("attrs"))
     )
     return rows.select("sample_id", F.explode("attrs").alias("attribute", "value"))
 
@@ -203,7 +207,7 @@ def attrs_flatten(spark, folder):
 )
 def attrs_wide(spark, folder):
     bag = F.map_concat(
-        flatten.flatten_bag(F.parse_json("props")),
+        flatten.flatten_bag("parse_json(props)"),
         F.create_map(F.lit("kind"), F.col("event_type")),
     )
     rows = views.table(spark, folder, "events").select("event_id", bag.alias("attrs"))
@@ -305,7 +309,10 @@ def raw_samples(spark, folder):
     "sample",
 )
 def sample_clean(spark, folder):
-    rows = samples.clean_samples(raw_samples(spark, folder), views.vocab(spark, folder))
+    rows = samples.clean_samples(
+        raw_samples(spark, folder),
+        views.vocab(spark, folder, "material_sample_type", "used_procedure"),
+    )
     return samples.drop_empty_columns(rows)
 
 

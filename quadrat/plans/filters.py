@@ -324,12 +324,18 @@ def supplier_selections(spark, folder):
     )
     day = F.date_add(F.lit("1995-01-01").cast("date"), (k % 1000).cast("int")).cast("string")
     end = F.date_add(F.lit("1999-01-01").cast("date"), (k % 500).cast("int")).cast("string")
+    stated = [
+        ("dataset", "in", pick(SEGMENTS, k)),
+        ("dataset", "in", pick(SEGMENTS, k + 2)),
+        ("used_procedure", "in", pick(PRIORITIES, k)),
+        ("date_from", "date_from", day),
+        ("date_to", "date_to", end),
+    ]
     rows = F.array(
-        F.struct(F.lit("dataset").alias("facet"), F.lit("in").alias("op"), pick(SEGMENTS, k).alias("value")),
-        F.struct(F.lit("dataset"), F.lit("in"), pick(SEGMENTS, k + 2)),
-        F.struct(F.lit("used_procedure"), F.lit("in"), pick(PRIORITIES, k)),
-        F.struct(F.lit("date_from"), F.lit("date_from"), day),
-        F.struct(F.lit("date_to"), F.lit("date_to"), end),
+        *[
+            F.struct(F.lit(f).alias("facet"), F.lit(o).alias("op"), v.alias("value"))
+            for f, o, v in stated
+        ]
     )
     # every third selection has no upper end, every seventh no procedure
     kept = F.filter(

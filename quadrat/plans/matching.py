@@ -87,7 +87,10 @@ def resolve_exact(spark, folder):
         uri = F.concat(F.lit(views.VOCAB_BASE), facet, F.lit("/"), v)
         return F.when(k % 2 == 0, uri).otherwise(F.concat(F.lit("  "), v, F.lit(" ")))
 
-    found = resolve.resolve(_candidates(spark, folder, change), views.vocab(spark, folder))
+    found = resolve.resolve(
+        _candidates(spark, folder, change),
+        views.vocab(spark, folder, "speciesname", "feature_type", "region"),
+    )
     return found.select("facet", "value", "uri", "label", "outcome")
 
 
@@ -111,7 +114,10 @@ def resolve_fuzzy(spark, folder):
     def change(facet, v, k):
         return F.concat(F.substring(v, 1, 1), F.substring(v, 3, 1000))
 
-    found = resolve.resolve(_candidates(spark, folder, change), views.vocab(spark, folder))
+    found = resolve.resolve(
+        _candidates(spark, folder, change),
+        views.vocab(spark, folder, "speciesname", "feature_type", "region"),
+    )
     return found.withColumn("score", F.round("score", 6))
 
 

@@ -75,7 +75,7 @@ def stream_resolve(spark, folder):
     vocab = cut_lineage(vocab)
     stream = stream_table(spark, folder, "events").where(F.col("value") > 10)
     bagged = stream.select(
-        "event_id", uri.alias("code"), flatten.flatten_bag(F.parse_json("props")).alias("attrs")
+        "event_id", uri.alias("code"), flatten.flatten_bag("parse_json(props)").alias("attrs")
     )
     named = lookup.add_label(bagged, vocab, "observed_property", "code", "label", "na")
     return jobs.run_to_table(

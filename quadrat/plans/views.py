@@ -6,8 +6,11 @@ only the dimensions that a query asks columns of are joined at all.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..model import SurveyTables
 from ..session import configure
@@ -20,15 +23,26 @@ FROM_PART = {"feature_type"}
 FROM_CUSTOMER = {"dataset"}
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder; its schema is read from the files once per process."""
+    path, reader = f"{folder}/{name}.parquet", configure(spark).read
+    if (folder, name) not in _schemas:
+        _schemas[folder, name] = reader.parquet(path).schema
+    return reader.schema(_schemas[folder, name]).parquet(path)
+
+
+LON_SQL = "CAST(112.9 AS DOUBLE) + CAST(({key} * 37) % 4070 AS DOUBLE) / 100"
+LAT_SQL = "CAST(-43.8 AS DOUBLE) + CAST(({key} * 53) % 3320 AS DOUBLE) / 100"
 
 
 def _position(key: str):
-    k = F.col(key)
-    lon = F.lit(112.9) + ((k * 37) % 4070).cast("double") / 100
-    lat = F.lit(-43.8) + ((k * 53) % 3320).cast("double") / 100
-    return lon.alias("lon"), lat.alias("lat")
+    return (
+        F.expr(LON_SQL.format(key=key)).alias("lon"),
+        F.expr(LAT_SQL.format(key=key)).alias("lat"),
+    )
 
 
 def site(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,22 +96,22 @@ def visit(spark: SparkSession, folder: str) -> DataFrame:
 def observation(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
     """Flat observations; with ``columns`` only those, and only the joins they need."""
     every = {
-        "visit_id": F.col("l_orderkey").alias("visit_id"),
-        "line_no": F.col("l_linenumber").alias("line_no"),
-        "part_id": F.col("l_partkey").alias("part_id"),
-        "supplier_id": F.col("l_suppkey").alias("supplier_id"),
-        "site_id": F.col("o_custkey").alias("site_id"),
-        "dataset": F.col("c_mktsegment").alias("dataset"),
-        "feature_type": F.col("p_type").alias("feature_type"),
-        "observed_property": F.concat("l_returnflag", "l_linestatus").alias("observed_property"),
-        "used_procedure": F.col("o_orderpriority").alias("used_procedure"),
-        "visit_date": F.col("o_orderdate").cast("date").alias("visit_date"),
+        "visit_id": "l_orderkey",
+        "line_no": "l_linenumber",
+        "part_id": "l_partkey",
+        "supplier_id": "l_suppkey",
+        "site_id": "o_custkey",
+        "dataset": "c_mktsegment",
+        "feature_type": "p_type",
+        "observed_property": "concat(l_returnflag, l_linestatus)",
+        "used_procedure": "o_orderpriority",
+        "visit_date": "CAST(o_orderdate AS DATE)",
         # the raw column, for date filters that reach the scan
-        "visit_time": F.col("o_orderdate").alias("visit_time"),
-        "obs_value": F.col("l_quantity").alias("obs_value"),
-        "obs_result_time": F.col("l_shipdate").alias("obs_result_time"),
-        "lon": _position("o_custkey")[0],
-        "lat": _position("o_custkey")[1],
+        "visit_time": "o_orderdate",
+        "obs_value": "l_quantity",
+        "obs_result_time": "l_shipdate",
+        "lon": LON_SQL.format(key="o_custkey"),
+        "lat": LAT_SQL.format(key="o_custkey"),
     }
     wanted = columns or list(every)
     need = set(wanted)
@@ -111,7 +125,7 @@ def observation(spark: SparkSession, folder: str, columns: list[str] | None = No
     if "dataset" in need:
         customer = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
         rows = rows.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return rows.select(*[every[c] for c in wanted])
+    return rows.selectExpr(*[f"{every[c]} AS {c}" for c in wanted])
 
 
 def sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,46 +149,34 @@ def sample(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def vocab(spark: SparkSession, folder: str) -> DataFrame:
-    """(facet, uri, label), derived from the dimension tables.
-
-    Each part is distinct before the union, so the large facets stay distributed and
-    the small ones stay small.
-    """
+# Facet -> the (table, label expression) pairs its labels come from.
+VOCAB_SOURCES = {
+    "dataset": [("customer", "c_mktsegment")],
+    "site_id": [("customer", "c_custkey")],
+    "feature_type": [("part", "p_type")],
+    "material_sample_type": [("part", "p_type")],
+    "speciesname": [("part", "p_name")],
+    "used_procedure": [("orders", "o_orderpriority")],
+    "region": [("nation", "n_name"), ("region", "r_name")],
+    "region_type": [("nation", "'nations'"), ("region", "'regions'")],
+    "observed_property": [("lineitem", "concat(l_returnflag, l_linestatus)")],
+}
 
-    def part(name: str, column: str, facet: str) -> DataFrame:
-        return table(spark, folder, name).select(
-            F.lit(facet).alias("facet"), F.col(column).cast("string").alias("label")
-        )
 
-    rows = (
-        part("customer", "c_mktsegment", "dataset")
-        .union(part("customer", "c_custkey", "site_id"))
-        .union(part("part", "p_type", "feature_type"))
-        .union(part("part", "p_type", "material_sample_type"))
-        .union(part("part", "p_name", "speciesname"))
-        .union(part("orders", "o_orderpriority", "used_procedure"))
-        .union(part("nation", "n_name", "region"))
-        .union(part("region", "r_name", "region"))
-        .union(table(spark, folder, "nation").select(F.lit("region_type"), F.lit("nations")))
-        .union(table(spark, folder, "region").select(F.lit("region_type"), F.lit("regions")))
-        .union(
-            table(spark, folder, "lineitem").select(
-                F.lit("observed_property").alias("facet"),
-                F.concat("l_returnflag", "l_linestatus").alias("label"),
-            )
+def vocab(spark: SparkSession, folder: str, *facets: str) -> DataFrame:
+    """(facet, uri, label) of the named facets (of all without names)."""
+    parts = [
+        table(spark, folder, name).selectExpr(
+            f"'{facet}' AS facet", f"CAST({label} AS STRING) AS label"
         )
-        .distinct()
-    )
-    uri = F.concat(F.lit(VOCAB_BASE), F.col("facet"), F.lit("/"), F.col("label"))
+        for facet in facets or VOCAB_SOURCES
+        for name, label in VOCAB_SOURCES[facet]
+    ]
+    uri = F.expr(f"concat('{VOCAB_BASE}', facet, '/', label)")
+    rows = reduce(DataFrame.union, parts).distinct()
     return rows.select("facet", uri.alias("uri"), "label")
 
 
-def facet_vocabulary(spark: SparkSession, folder: str, facet: str) -> DataFrame:
-    """One facet of ``vocab``; the other facets' tables are pruned by the optimiser."""
-    return vocab(spark, folder).where(F.col("facet") == facet)
-
-
 def survey(spark: SparkSession, folder: str) -> SurveyTables:
     points = site(spark, folder)
     return SurveyTables(

@@ -62,3 +62,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = shared_dir(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for costly row work on a table that has fewer splits than cores.
+
+    Meant for a plain scan, e.g. of a few files that cannot be split. A table with
+    enough splits is left as it is: no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

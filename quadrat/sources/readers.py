@@ -27,19 +27,22 @@ def read_feature_collections(spark: SparkSession, path: str) -> DataFrame:
 
 def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
     """``feature`` rows of files with one GeoJSON feature per line (splittable)."""
-    return parse_features(spark.read.text(path), "value")
+    return parse_features(clean_lines(spark.read.text(path)), "line")
 
 
 def parse_features(df: DataFrame, column: str) -> DataFrame:
-    """Parse a text column of GeoJSON features; works on a stream as well."""
-    return df.select(F.from_json(column, FEATURE).alias("feature")).where(
-        F.col("feature").isNotNull()
-    )
+    """Parse a text column of GeoJSON features; works on a stream as well.
+
+    Text that is not JSON is an error. Blank lines must be gone before (``clean_lines``):
+    a filter here would be evaluated below the parser together with whatever the text is
+    made from.
+    """
+    return df.select(F.from_json(column, FEATURE, {"mode": "FAILFAST"}).alias("feature"))
 
 
 def parse_collections(df: DataFrame, column: str) -> DataFrame:
     """Parse a text column of whole FeatureCollections into ``feature`` rows."""
-    docs = df.select(F.from_json(column, FEATURE_COLLECTION).alias("doc"))
+    docs = df.select(F.from_json(column, FEATURE_COLLECTION, {"mode": "FAILFAST"}).alias("doc"))
     return docs.select(F.explode("doc.features").alias("feature"))
 
 

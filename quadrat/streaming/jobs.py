@@ -37,14 +37,16 @@ def run_to_table(
     schema = schema or stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
+        save(transform(batch) if transform else batch, batch_id)
+
+    def save(rows: DataFrame, batch_id: int) -> None:
         writer = rows.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{out}/batch_id={batch_id}")
 
     # the folder exists even when nothing arrives
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{out}/batch_id=-1")
+    save(spark.createDataFrame([], schema), -1)
     query = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
