@@ -135,6 +135,8 @@ def best_matches(
         return best_per_value(similar_pairs(values, labels, threshold))
     near = cut_lineage(best_per_value(similar_pairs(values, labels, first_round)))
     rest = values.join(near, ["facet", "value"], "left_anti")
+    if rest.isEmpty():
+        return near
     return near.union(best_per_value(similar_pairs(rest, labels, threshold)))
 
 
@@ -168,6 +170,8 @@ def resolve(
         F.when(is_uri, "uri").otherwise("label").alias("outcome"),
     )
     misses = exact.where(~is_uri & ~is_label).select("facet", "value")
+    if misses.isEmpty():
+        return settled
     labels = by_label.select(
         "facet", F.col("value").alias("label"), F.col("u2").alias("uri")
     ).join(misses.select("facet").distinct(), "facet", "left_semi")

@@ -12,13 +12,14 @@ from functools import reduce
 from operator import and_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import PlotDataError
 from ..functions import geometry
 from ..functions.dates import parse_date
 from ..model import QUERY_FACETS, SAMPLES, SurveyTables
+from ..session import cut_lineage
 
 # Facets whose value is one literal rather than a list of vocabulary entries.
 SCALAR_FACETS = ("spatial", "date_from", "date_to", "soil_depth_range", "has_image")
@@ -276,63 +277,108 @@ def count_selections(
 ) -> DataFrame:
     """Rows of ``facts`` under every selection of a ``spec`` table -> (spec_id, rows).
 
-    The facts are first counted per combination of the facets and the day, so what is
-    joined is the number of combinations, not of rows. A date range becomes membership
-    in its days (clipped to the days that occur), which leaves equi-joins only.
-    A selection matches a combination when every facet it names has a hit.
+    The facts are read once, into counts per combination of the facets and the day. For
+    each set of facets that some selection names, the counts are added up over the other
+    facets and run along the days; a date range is then the difference of two running
+    counts. So a selection costs two look-ups per combination of the values it names,
+    however many rows or days it covers, and a run holds one row per day.
     """
-    cube = facts.groupBy(*facets, F.col(date_column).alias("visit_day")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    cube = cube.withColumn("cell", F.struct(*facets, "visit_day"))
     stated = spec.where(F.col("op") == "in").select("spec_id", "facet", "value").distinct()
+    if not stated.where(~F.col("facet").isin(facets)).isEmpty():
+        raise PlotDataError(f"Saved selections may only name {facets} and dates here.")
+    base = cut_lineage(
+        facts.groupBy(
+            *[F.col(f).cast("string").alias(f) for f in facets],
+            F.coalesce(date_column, F.lit(NO_DAY).cast("date")).alias("day"),
+        ).agg(F.count(F.lit(1)).alias("n"))
+    )
+    asked = cut_lineage(_named_values(spec, stated, facets))
+    # one row per set of named facets: at most 2 ** len(facets)
+    named = [tuple(r[0]) for r in asked.select(_named(facets)).distinct().collect()]
+    cells = _added_up(base, facets, named)
+    run = _running(cells, asked, facets)
+    key = ["named", *facets, "day"]
+    counted = asked.join(run, key).groupBy("spec_id").agg(F.sum(F.col("sign") * F.col("upto")).alias("n"))
+    return (
+        spec.select("spec_id")
+        .distinct()
+        .join(counted, "spec_id", "left")
+        .select("spec_id", F.coalesce("n", F.lit(0)).cast("long").alias("rows"))
+    )
+
+
+ANY = ""  # stands for a facet that a selection does not name
+# Rows without a day are kept on a day of their own that no date range reaches.
+NO_DAY, LAST_DAY = "9999-12-31", "9999-12-30"
+
+
+def _named(facets: list[str]) -> Column:
+    return F.array(*[F.col(f"has_{f}") for f in facets]).alias("named")
+
+
+def _named_values(spec: DataFrame, stated: DataFrame, facets: list[str]) -> DataFrame:
+    """The running counts each selection needs: (spec_id, has_*, facets, named, day, sign)."""
 
-    ends = spec.where(F.col("op").isin("date_from", "date_to")).groupBy("spec_id").agg(
-        F.max(F.when(F.col("op") == "date_from", F.col("value").cast("date"))).alias("low"),
-        F.min(F.when(F.col("op") == "date_to", F.col("value").cast("date"))).alias("high"),
+    def end(name: str, pick) -> Column:
+        return pick(F.when(F.col("op") == name, F.col("value").cast("date")))
+
+    out = spec.groupBy("spec_id").agg(
+        end("date_from", F.max).alias("low"), end("date_to", F.min).alias("high")
     )
-    span = facts.agg(F.min(date_column).alias("first"), F.max(date_column).alias("last"))
-    low = F.greatest(F.coalesce(F.col("low"), F.col("first")), F.col("first"))
-    high = F.least(F.coalesce(F.col("high"), F.col("last")), F.col("last"))
-    days = (
-        ends.withColumn("first", span.select("first").scalar())
-        .withColumn("last", span.select("last").scalar())
-        .select("spec_id", low.alias("low"), high.alias("high"))
-        .where(F.col("low") <= F.col("high"))
-        .select("spec_id", F.explode(F.sequence("low", "high")).alias("day"))
-        .select("spec_id", F.lit("visit_day").alias("facet"), F.col("day").cast("string").alias("value"))
+    for f in facets:
+        values = stated.where(F.col("facet") == f).select("spec_id", F.col("value").alias(f))
+        out = out.join(values, "spec_id", "left")
+    out = out.where(F.col("low").isNull() | F.col("high").isNull() | (F.col("low") <= F.col("high")))
+    no_end = F.when(F.col("low").isNull(), NO_DAY).otherwise(LAST_DAY).cast("date")
+    until = F.struct(F.coalesce("high", no_end).alias("day"), F.lit(1).alias("sign"))
+    before = F.struct(F.date_sub("low", 1).alias("day"), F.lit(-1).alias("sign"))
+    looked_up = F.when(F.col("low").isNull(), F.array(until)).otherwise(F.array(until, before))
+    return (
+        out.select(
+            "spec_id",
+            *[F.col(f).isNotNull().alias(f"has_{f}") for f in facets],
+            *[F.coalesce(f, F.lit(ANY)).alias(f) for f in facets],
+            F.explode(looked_up).alias("at"),
+        )
+        .select("*", "at.*", _named(facets))
+        .drop("at")
     )
-    needed = (
-        stated.select("spec_id", "facet")
-        .union(ends.select("spec_id", F.lit("visit_day")))
-        .groupBy("spec_id")
-        .agg(F.count_distinct("facet").alias("needed"))
+
+
+def _added_up(base: DataFrame, facets: list[str], named: list[tuple[bool, ...]]) -> DataFrame:
+    """Counts per day for each set of named facets, the others added up."""
+    if not named:
+        return base.limit(0).select(
+            F.array(*[F.lit(False) for _ in facets]).alias("named"), *facets, "day", "n"
+        )
+    sets = [[F.col(f) for f, has in zip(facets, flags) if has] + [F.col("day")] for flags in named]
+    cells = base.groupingSets(sets, *facets, "day").agg(
+        F.sum("n").alias("n"), *[F.grouping(f).alias(f"off_{f}") for f in facets]
     )
-    pairs = cube.select(
-        "cell",
+    # a missing value is counted where its facet is not named, and nowhere else
+    for f in facets:
+        cells = cells.where((F.col(f"off_{f}") == 1) | F.col(f).isNotNull())
+    return cells.select(
+        F.array(*[F.col(f"off_{f}") == 0 for f in facets]).alias("named"),
+        *[F.when(F.col(f"off_{f}") == 0, F.col(f)).otherwise(ANY).alias(f) for f in facets],
+        "day",
         "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(f).alias("facet"), F.col(f).cast("string").alias("value"))
-                    for f in (*facets, "visit_day")
-                ]
-            )
-        ).alias("p"),
-    ).select("cell", "n", "p.facet", "p.value")
-    hits = (
-        pairs.join(stated.union(days), ["facet", "value"])
-        .groupBy("spec_id", "cell")
-        .agg(F.count(F.lit(1)).alias("got"), F.first("n").alias("n"))
     )
-    matched = (
-        hits.join(needed, "spec_id")
-        .where(F.col("got") == F.col("needed"))
-        .groupBy("spec_id")
-        .agg(F.sum("n").alias("n"))
+
+
+def _running(cells: DataFrame, asked: DataFrame, facets: list[str]) -> DataFrame:
+    """Count up to and including each day that is asked for."""
+    points = asked.select("named", *facets, "day").distinct()
+    timeline = cells.select("named", *facets, "day", "n", F.lit(False).alias("asked")).union(
+        points.select("*", F.lit(0).cast("long"), F.lit(True))
+    )
+    up_to = (
+        Window.partitionBy("named", *facets)
+        .orderBy("day")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        needed.select("spec_id")
-        .join(matched, "spec_id", "left")
-        .select("spec_id", F.coalesce("n", F.lit(0)).cast("long").alias("rows"))
+        timeline.withColumn("upto", F.sum("n").over(up_to))
+        .where("asked")
+        .select("named", *facets, "day", "upto")
     )

@@ -177,10 +177,8 @@ def attribute_maps(spark, folder):
 )
 def attribute_discovery(spark, folder):
     # the vocabulary knows three of the four keys
-    names = spark.createDataFrame(
-        [("attributes", ATTRIBUTE_BASE + n.lower(), n) for n in ("Brand", "Size", "Price")],
-        "facet string, uri string, label string",
-    )
+    rows = ", ".join(f"('{ATTRIBUTE_BASE}{n.lower()}', '{n}')" for n in ("Brand", "Size", "Price"))
+    names = spark.sql(f"SELECT 'attributes' AS facet, * FROM VALUES {rows} AS t(uri, label)")
     return discovery.discover_attributes(attribute_maps(spark, folder), names)
 
 
