@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: accepted layouts, ISO first, then day first
-DATE_LAYOUTS = (
-    "yyyy-M-d",
-    "yyyy/M/d",
-    "d/M/yyyy",
-    "d-M-yyyy",
-    "d.M.yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "d-MMM-yyyy",
-    "MMM d yyyy",
-    "MMMM d yyyy",
+# fixed values: the shape of a text and the layout it is read with; days come first
+LAYOUT_OF_SHAPE = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2} \d{4}$", "MMMM d yyyy"),
+    (r"^\d{4} [A-Za-z]{3} \d{1,2}$", "yyyy MMM d"),
 )
 ORDINAL = r"(?i)(\d+)\s*(?:st|nd|rd|th)\b"
 CLOCK = r"[T ]\d{1,2}:\d{2}.*$"
@@ -27,6 +29,11 @@ def parse_date(text: Column) -> Column:
     plain = F.regexp_replace(text, ORDINAL, "$1")
     plain = F.regexp_replace(plain, CLOCK, "")
     plain = F.trim(F.regexp_replace(F.regexp_replace(plain, ",", " "), r"\s+", " "))
-    # month names are matched as "May", whatever the case of the input
-    plain = F.initcap(plain)
-    return F.coalesce(*[F.try_to_date(plain, layout) for layout in DATE_LAYOUTS])
+    # month names are written as "May", whatever the case of the input
+    plain = F.regexp_replace(F.initcap(F.replace(plain, F.lit("-"), F.lit("- "))), "- ", "-")
+    # one layout per shape: a failed attempt costs an exception inside the parser
+    parsed = None
+    for shape, layout in LAYOUT_OF_SHAPE:
+        case = plain.rlike(shape), F.try_to_date(plain, layout)
+        parsed = F.when(*case) if parsed is None else parsed.when(*case)
+    return parsed

@@ -6,6 +6,7 @@ failed edit therefore leaves the old one as it was.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -148,16 +149,37 @@ class Selection:
             )
         return out
 
+    # --- saving -------------------------------------------------------------------
+
     def rows(self, spec_id: str) -> list[tuple[str, str, str, str]]:
-        """The list facets and dates of this selection as rows of a ``spec`` table."""
+        """This selection as rows of a ``spec`` table; literals go under their own name."""
         out = []
         for name, value in self.values.items():
             if name in ("date_from", "date_to"):
-                out.append((spec_id, name, name, str(value)))
-            elif name not in SCALAR_FACETS:
+                out.append((spec_id, name, name, value))
+            elif name in SCALAR_FACETS:
+                out.append((spec_id, name, name, json.dumps(value)))
+            else:
                 out += [(spec_id, name, "in", str(v)) for v in value]
         return out
 
+    @classmethod
+    def from_rows(cls, mode: str, rows: Iterable[tuple[str, str, str]]) -> "Selection":
+        """Selection of (facet, op, value) rows."""
+        values: dict[str, Any] = {}
+        for name, op, value in rows:
+            if op in ("date_from", "date_to"):
+                values[name] = value
+            elif op != "in":
+                loaded = json.loads(value)
+                values[name] = tuple(loaded) if name == "soil_depth_range" else loaded
+            else:
+                item = int(value) if name == "soil_subsite_id" else value
+                values[name] = (*values.get(name, ()), item)
+        out = cls(mode, values)
+        out.check_keys(values)
+        return out
+
 
 def facet_column(name: str, have: set[str]) -> str:
     """Column of a facet: its own name unless the table stores it under another."""
@@ -284,7 +306,8 @@ def count_selections(
     however many rows or days it covers, and a run holds one row per day.
     """
     stated = spec.where(F.col("op") == "in").select("spec_id", "facet", "value").distinct()
-    if not stated.where(~F.col("facet").isin(facets)).isEmpty():
+    known = F.col("facet").isin(facets) & (F.col("op") == "in")
+    if not spec.where(~known & ~F.col("op").isin("date_from", "date_to")).isEmpty():
         raise PlotDataError(f"Saved selections may only name {facets} and dates here.")
     base = cut_lineage(
         facts.groupBy(
