@@ -170,11 +170,13 @@ def resolve(
         F.when(is_uri, "uri").otherwise("label").alias("outcome"),
     )
     misses = exact.where(~is_uri & ~is_label).select("facet", "value")
-    if misses.isEmpty():
+    # the few facet names that still have misses
+    facets = [r["facet"] for r in misses.select("facet").distinct().collect()]
+    if not facets:
         return settled
-    labels = by_label.select(
+    labels = by_label.where(F.col("facet").isin(facets)).select(
         "facet", F.col("value").alias("label"), F.col("u2").alias("uri")
-    ).join(misses.select("facet").distinct(), "facet", "left_semi")
+    )
     best = best_matches(misses, labels.select("facet", "label"), threshold, first_round)
     fuzzy = misses.join(best, ["facet", "value"], "left").join(labels, ["facet", "label"], "left")
     return settled.union(
