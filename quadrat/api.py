@@ -56,11 +56,18 @@ class PlotData:
     that fails, or that matches nothing, leaves the object as it was.
     """
 
-    def __init__(self, tables: SurveyTables, mode: str = OBSERVATIONS, order: list[str] | None = None):
+    def __init__(
+        self,
+        tables: SurveyTables,
+        mode: str = OBSERVATIONS,
+        order: list[str] | None = None,
+        depth_mode: str = "overlap",
+    ):
         if mode not in MODE_NAMES:
             raise PlotDataError(f"Mode is one of: {', '.join(MODE_NAMES)}.")
         self.tables = tables
         self.mode = MODE_NAMES[mode]
+        self.depth_mode = depth_mode
         facts = tables.observation if self.mode == OBSERVATIONS else tables.sample
         if facts is None:
             raise PlotDataError(f"There is no table for '{self.mode}' mode.")
@@ -170,7 +177,7 @@ class PlotData:
         values = dict(chosen.values if self.tables.codes == "label" else codes)
         if self.mode == SAMPLES and "dataset" not in self.facts.columns:
             values.pop("dataset", None)
-        return Selection(self.mode, values).apply(self.facts, self.tables)
+        return Selection(self.mode, values).apply(self.facts, self.tables, self.depth_mode)
 
     def selected(self) -> DataFrame:
         """The rows of the fact table under the selection."""

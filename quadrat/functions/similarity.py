@@ -13,6 +13,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 # fixed values: weights of the weighted ratio
 TOKEN_WEIGHT = 0.95
 WINDOW_WEIGHT = 0.9

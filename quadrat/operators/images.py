@@ -9,6 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..model import DEFAULT_IMAGE, IMAGE_KEYS, IMAGE_ORDER, IMAGE_ORDER_OTHER
+from ..session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 OPTIONS_TYPE = "array<struct<label:string,url:string>>"
 

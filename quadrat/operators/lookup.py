@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import MISSING_TEXT
+from ..session import cut_lineage
 
 # What may be broadcast. Beyond either bound the join is an ordinary shuffled one,
 # which AQE splits when a key is hot.
@@ -56,7 +57,8 @@ def add_label_list(
     """Labels of an array of codes, in order, unknown codes kept, NULLs dropped.
 
     The codes are labelled once per *distinct* list, not per row: a list that a third
-    of the rows share is looked up once.
+    of the rows share is looked up once. The labelled lists are written first, so the
+    last join knows their true size and leaves the rows where they are if it is small.
     """
     lists = df.select(codes).where(F.size(codes) > 0).distinct()
     items = lists.select(codes, F.posexplode(codes).alias("_pos", "_code"))
@@ -67,7 +69,7 @@ def add_label_list(
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "_name"))).alias("_pairs"))
         .select(codes, F.transform("_pairs", lambda p: p["_name"]).alias(out))
     )
-    return df.join(named, codes, "left")
+    return df.join(cut_lineage(named), codes, "left")
 
 
 def unwrap(labels: Column) -> Column:

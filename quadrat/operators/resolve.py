@@ -18,13 +18,16 @@ Both filters are exact: no pair that reaches the threshold is lost.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity
 from ..functions.text import facet_key, region_type_key, strip
 from ..model import REGION_TYPES
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_with_tasks
+
+ship_with_tasks(__name__)
 
 # fixed values: thresholds
 FACET_NAME_THRESHOLD = 70
@@ -148,11 +151,14 @@ def resolve(
     vocab: DataFrame,
     threshold: float = VALUE_THRESHOLD,
     first_round: float | None = FIRST_ROUND,
+    correct_uris: bool = False,
 ) -> DataFrame:
     """Resolve all (facet, value) rows of all facets in one job.
 
     -> (facet, value, uri, label, score, outcome), one row per distinct value;
-    outcome is ``uri``, ``label``, ``fuzzy`` or ``unmatched``.
+    outcome is ``uri``, ``label``, ``fuzzy`` or ``unmatched``. With ``correct_uris`` a
+    value that looks like a web address is compared with the identifiers instead of
+    the labels.
     """
     wanted = candidates.select("facet", strip(F.col("value")).alias("value")).distinct()
     by_uri = vocab.groupBy("facet", F.col("uri").alias("value")).agg(F.min("label").alias("l1"))
@@ -174,11 +180,18 @@ def resolve(
     facets = [r["facet"] for r in misses.select("facet").distinct().collect()]
     if not facets:
         return settled
-    labels = by_label.where(F.col("facet").isin(facets)).select(
-        "facet", F.col("value").alias("label"), F.col("u2").alias("uri")
-    )
-    best = best_matches(misses, labels.select("facet", "label"), threshold, first_round)
-    fuzzy = misses.join(best, ["facet", "value"], "left").join(labels, ["facet", "label"], "left")
+    names = by_label.select("facet", F.col("value").alias("label"), F.col("u2").alias("uri"))
+    names = names.where(F.col("facet").isin(facets)).withColumn("shown", F.col("label"))
+    if correct_uris:
+        is_address = F.col("value").rlike("^https?://")
+        addresses = by_uri.where(F.col("facet").isin(facets)).select(
+            "facet", F.col("value").alias("label"), F.col("value").alias("uri"), F.col("l1").alias("shown")
+        )
+        fuzzy = _near(misses.where(is_address), addresses, threshold, first_round).union(
+            _near(misses.where(~is_address), names, threshold, first_round)
+        )
+    else:
+        fuzzy = _near(misses, names, threshold, first_round)
     return settled.union(
         fuzzy.select(
             "facet",
@@ -191,6 +204,23 @@ def resolve(
     )
 
 
+def _near(
+    misses: DataFrame, targets: DataFrame, threshold: float, first_round: float | None
+) -> DataFrame:
+    """The best target of each miss, or NULL: (facet, value, uri, label, score)."""
+    best = best_matches(misses, targets.select("facet", "label"), threshold, first_round)
+    return (
+        misses.join(best, ["facet", "value"], "left")
+        .join(targets, ["facet", "label"], "left")
+        .select("facet", "value", "uri", F.col("shown").alias("label"), "score")
+    )
+
+
+def resolve_single(candidates: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The stricter form for single values: names and addresses, each at 80 or above."""
+    return resolve(candidates, vocab, SINGLE_VALUE_THRESHOLD, correct_uris=True)
+
+
 def resolve_region_types(texts: DataFrame, column: str) -> DataFrame:
     """(column, region_type, score) of each distinct text; NULL type when none fits.
 
@@ -234,9 +264,8 @@ def match_species(
     passes on one best row per typed value, so what is shuffled is tiny. An exact match
     that only differs in case beats any similarity.
     """
-    import pandas as pd
-
     spark = species.sparkSession
+    scorer = similarity.weighted_ratio
     typed = [(i, v.strip()) for i, v in enumerate(wanted)]
     names = (
         species.select(F.trim(column).alias("speciesname"))
@@ -251,7 +280,7 @@ def match_species(
                 folded = name.casefold()
                 for i, value in typed:
                     same = bool(value) and folded == value.casefold()
-                    score = 101.0 if same else similarity.weighted_ratio(value, name)
+                    score = 101.0 if same else scorer(value, name)
                     old = best.get(i)
                     if old is None or (-score, name) < (-old[0], old[1]):
                         best[i] = (score, name)

@@ -121,6 +121,36 @@ def resolve_fuzzy(spark, folder):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query(
+    "resolve_single",
+    f"""WITH {RAW_SQL}, asked AS (SELECT DISTINCT facet, CASE WHEN k % 2 = 0
+        THEN concat('http://v.tst/', facet, '/', v) ELSE concat(v[1], substr(v, 3)) END AS value FROM raw),
+    targets AS (SELECT facet, label AS t, label, min(uri) AS uri, FALSE AS address FROM vocab GROUP BY ALL
+      UNION ALL SELECT facet, uri, label, uri, TRUE FROM vocab),
+    scored AS (SELECT a.facet, a.value, t.t, t.label, t.uri, {ratio_sql("a.value", "t.t")} AS score
+      FROM asked a JOIN targets t ON a.facet = t.facet AND t.address = starts_with(a.value, 'http')),
+    best AS (SELECT *, row_number() OVER (PARTITION BY facet, value ORDER BY score DESC, t) AS n
+      FROM scored WHERE score >= 80)
+    SELECT a.facet, a.value, b.uri, b.label, round(b.score, 6) AS score,
+      CASE WHEN b.uri IS NULL THEN 'unmatched' ELSE 'fuzzy' END AS outcome
+    FROM asked a LEFT JOIN best b ON a.facet = b.facet AND a.value = b.value AND b.n = 1""",
+    "vocab",
+)
+def resolve_single(spark, folder):
+    """Even rows give an address with a letter missing, odd rows a name with one missing."""
+
+    def change(facet, v, k):
+        address = F.concat(F.lit("http://v.tst/"), facet, F.lit("/"), v)
+        name = F.concat(F.substring(v, 1, 1), F.substring(v, 3, 1000))
+        return F.when(k % 2 == 0, address).otherwise(name)
+
+    found = resolve.resolve_single(
+        _candidates(spark, folder, change),
+        views.vocab(spark, folder, "speciesname", "feature_type", "region"),
+    )
+    return found.withColumn("score", F.round("score", 6))
+
+
 REGION_TEXTS = (
     "Bioregions",
     "IBRA7 bioregions",

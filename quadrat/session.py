@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from .errors import PlotDataError
@@ -23,6 +25,14 @@ SQL_SETTINGS = {
 _local_root: str | None = None
 
 
+def ship_with_tasks(module: str) -> None:
+    """Send the functions of a module along with the tasks that call them.
+
+    Executors then need not have this package installed.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to ``spark`` and return it."""
     for key, value in SQL_SETTINGS.items():
