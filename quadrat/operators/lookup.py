@@ -2,28 +2,44 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import MISSING_TEXT
 from ..session import cut_lineage
 
-# What may be broadcast. Beyond either bound the join is an ordinary shuffled one,
-# which AQE splits when a key is hot.
+# What may be broadcast. Beyond either bound the join is a sort-merge join, which AQE
+# splits where a key is hot.
 BROADCAST_ROWS = 200_000
-BROADCAST_CHARS = 32 << 20
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only after measuring that ``df`` is small."""
-    texts = [F.length(c) for c, t in df.dtypes if t == "string"]
-    chars = sum(texts[1:], texts[0]) if texts else F.lit(0)
+def _width(name: str, kind: str):
+    """Rough bytes of one value."""
+    if kind == "string":
+        return F.length(F.col(f"`{name}`"))
+    if kind.startswith("array"):
+        return F.size(F.col(f"`{name}`")) * 40
+    return F.lit(8)
+
+
+def is_small(df: DataFrame) -> bool:
+    """Measure whether ``df`` may be broadcast; reads no more than the row bound."""
+    width = reduce(add, [F.coalesce(_width(*c), F.lit(0)) for c in df.dtypes])
     rows, size = (
         df.limit(BROADCAST_ROWS + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce(chars, F.lit(0))), F.lit(0)))
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0)))
         .first()
     )
-    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_CHARS else df
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Broadcast what was measured to be small; anything else is merge-joined."""
+    return F.broadcast(df) if is_small(df) else df.hint("merge")
 
 
 def facet_vocab(vocab: DataFrame, facet: str) -> DataFrame:

@@ -38,6 +38,8 @@ REGION_TYPE_THRESHOLD = 90
 REGION_TYPE_L_THRESHOLD = 20
 
 FIRST_ROUND = 92
+# Fewer misses than this are not worth a round of their own.
+FIRST_ROUND_FROM = 10_000
 # Guards the bounds against rounding.
 EPS = 1e-9
 
@@ -134,7 +136,8 @@ def best_matches(
     values: DataFrame, labels: DataFrame, threshold: float, first_round: float | None = FIRST_ROUND
 ) -> DataFrame:
     """Best label of each value that has one at or above the threshold."""
-    if first_round is None or first_round <= threshold:
+    few = values.limit(FIRST_ROUND_FROM).count() < FIRST_ROUND_FROM
+    if first_round is None or first_round <= threshold or few:
         return best_per_value(similar_pairs(values, labels, threshold))
     near = cut_lineage(best_per_value(similar_pairs(values, labels, first_round)))
     rest = values.join(near, ["facet", "value"], "left_anti")

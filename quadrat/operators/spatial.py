@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry
 from ..model import CLUSTER_PRECISION, MAP_SITE_LIMIT, MAP_WINDOW
+from .lookup import is_small
 
 # Cells of level n are 360 / 2**n degrees wide.
 MAX_LEVEL = 20
@@ -47,7 +48,8 @@ def points_in_polygons(
     (array of ``struct<x,y>``). Each polygon is put on the grid whose cells are about
     as wide as it is, so it covers at most nine cells however large it is; a point asks
     one cell on each grid in use. The join is an equi-join on the cell, followed by the
-    exact test. A cell that holds a large part of all points is spread over ``salts``.
+    exact test. Few polygons are broadcast, after measuring them; for many, a cell that
+    holds a large part of all points is spread over ``salts``.
     """
     b = geometry.ring_bounds(F.col("ring"))
     shapes = (
@@ -63,6 +65,8 @@ def points_in_polygons(
         .withColumn("level", F.greatest("level", F.lit(0)))
         .drop("span")
     )
+    few = is_small(shapes)
+    salts = 1 if few else salts
     # at most MAX_LEVEL + 1 rows
     levels = [r["level"] for r in shapes.select("level").distinct().collect()]
     size = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
@@ -92,7 +96,7 @@ def points_in_polygons(
         & geometry.in_edges(lon, lat, F.col("edges"))
     )
     return (
-        keyed.join(covered, ["level", "cx", "cy", "salt"])
+        keyed.join(F.broadcast(covered) if few else covered.hint("merge"), ["level", "cx", "cy", "salt"])
         .where(inside)
         .select(*points.columns, "shape_id")
     )

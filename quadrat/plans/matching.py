@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, geometry, similarity, text
 from ..model import REGION_TYPES
 from ..operators import resolve
+from ..session import spread
 from . import views
 from .registry import query
 
@@ -236,7 +237,8 @@ def parse_dates(spark, folder):
         F.lit("not a date"),
     ]
     raw = F.get(F.array(*forms), (key % 10).cast("int"))
-    rows = views.table(spark, folder, "orders").select(key.alias("visit_id"), raw.alias("raw"))
+    orders = spread(views.table(spark, folder, "orders").select("o_orderkey", "o_orderdate"))
+    rows = orders.select(key.alias("visit_id"), raw.alias("raw"))
     return rows.withColumn("day", dates.parse_date(F.col("raw")))
 
 

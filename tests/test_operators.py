@@ -142,7 +142,10 @@ def test_count_selections_against_each_selection(spark):
 # --- spatial ----------------------------------------------------------------------
 
 
-def test_points_in_polygons_of_all_sizes(spark):
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_points_in_polygons_of_all_sizes(spark, limit, monkeypatch):
+    """The same pairs with a broadcast and with a salted merge join."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
     rnd = random.Random(11)
     points = [(i, rnd.uniform(-179, 179), rnd.uniform(-89, 89)) for i in range(300)]
     points += [(1000 + i, 10.0, 10.0) for i in range(200)]  # one hot place
@@ -253,13 +256,17 @@ def test_labels(spark):
 
 def test_broadcast_only_when_small(spark, monkeypatch):
     df = spark.range(10).select(F.col("id").cast("string").alias("s"))
-    hint = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
-    assert hint(lookup.broadcast_if_small(df))
+
+    def strategy():
+        joined = spark.range(3).join(lookup.broadcast_if_small(df), F.col("s") == F.lit("1"))
+        return joined._jdf.queryExecution().analyzed().toString().split("strategy=")[1].split(")")[0]
+
+    assert strategy() == "broadcast"
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", 5)
-    assert not hint(lookup.broadcast_if_small(df))
+    assert strategy() == "merge"
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", 50)
-    monkeypatch.setattr(lookup, "BROADCAST_CHARS", 5)
-    assert not hint(lookup.broadcast_if_small(df))
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 5)
+    assert strategy() == "merge"
 
 
 def test_regions(spark):

@@ -58,8 +58,9 @@ def test_resolve_is_idempotent(spark):
 
 
 @pytest.mark.parametrize("threshold", [60, 75, 90])
-def test_similar_pairs_loses_nothing(spark, threshold):
+def test_similar_pairs_loses_nothing(spark, threshold, monkeypatch):
     """The filtered join finds exactly the pairs that scoring every pair finds."""
+    monkeypatch.setattr(resolve, "FIRST_ROUND_FROM", 0)
     rnd = random.Random(threshold)
 
     def word():
