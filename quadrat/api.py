@@ -73,6 +73,7 @@ class PlotData:
             raise PlotDataError(f"There is no table for '{self.mode}' mode.")
         self.facts: DataFrame = facts
         self.spark = configure(facts.sparkSession)
+        self._seen: dict[tuple[str, str], Any] = {}
         self.order = order or (
             ["sample_id"] if self.mode == SAMPLES else [c for c in facts.columns if c != "geometry"]
         )
@@ -86,8 +87,7 @@ class PlotData:
 
     def clear(self) -> "PlotData":
         """Drop all filters but the required dataset of 'samples' mode."""
-        self._chosen = Selection(self.mode, self._required())
-        self._codes = self._resolve(self._chosen)[1]
+        self._chosen, self._codes = self._resolve(Selection(self.mode, self._required()))
         return self
 
     def select(self, filters: Mapping[str, Any] | None = None, **more: Any) -> "PlotData":
@@ -95,7 +95,7 @@ class PlotData:
         wanted = self._chosen.add(self.spark, {**(filters or {}), **more})
         chosen, codes = self._resolve(wanted)
         if self._rows(chosen, codes).isEmpty():
-            warnings.warn("The filters match no record; keeping the former selection.", stacklevel=2)
+            warnings.warn("Nothing matches; the former selection stays.", stacklevel=2)
             return self
         self._chosen, self._codes = chosen, codes
         return self
@@ -136,20 +136,12 @@ class PlotData:
         labels, codes, asked = dict(wanted.values), dict(wanted.values), []
         for name, values in wanted.values.items():
             if name == "speciesname":
-                labels[name] = codes[name] = self._species(values)
+                labels[name] = codes[name] = self._species(values, wanted)
             elif name not in LITERAL_FACETS:
                 asked += [(name, "dataset" if name == "project" else name, v) for v in values]
         if asked and self.tables.vocab is not None:
-            values = self.spark.createDataFrame(
-                sorted({(facet, str(v)) for _, facet, v in asked}), "facet string, value string"
-            )
-            # one row per value the user typed
-            found = {
-                (r["facet"], r["value"]): r for r in resolve.resolve(values, self.tables.vocab).collect()
-            }
-            rows = {
-                (name, v): found.get((facet, str(v).strip())) for name, facet, v in asked
-            }
+            self._look_up({(facet, str(v).strip()) for _, facet, v in asked})
+            rows = {(name, v): self._seen[facet, str(v).strip()] for name, facet, v in asked}
             self._report(rows)
             for name in dict.fromkeys(n for n, _, _ in asked):
                 got = [rows[name, v] for v in wanted.values[name]]
@@ -157,27 +149,48 @@ class PlotData:
                 codes[name] = tuple(dict.fromkeys(r["uri"] for r in got))
         return Selection(self.mode, labels), codes
 
+    def _look_up(self, values: set[tuple[str, str]]) -> None:
+        """Resolve what the user typed (and this object has not resolved before)."""
+        new = sorted(values - self._seen.keys())
+        if new:
+            asked = self.spark.createDataFrame(new, "facet string, value string")
+            for r in resolve.resolve(asked, self.tables.vocab).collect():
+                self._seen[r["facet"], r["value"]] = r
+                if r["label"] is not None:  # a resolved label stands for itself
+                    self._seen.setdefault((r["facet"], r["label"]), r)
+
     def _report(self, rows) -> None:
-        bad = [f"{name}: {v!r}" for (name, v), r in rows.items() if r is None or r["uri"] is None]
+        bad = [f"{name} {v!r}" for (name, v), r in rows.items() if r["uri"] is None]
         if bad:
-            raise PlotDataError(f"These filter values could not be matched: {'; '.join(bad)}")
+            raise PlotDataError(f"Nothing in the vocabulary is like: {'; '.join(bad)}")
         for (name, v), r in rows.items():
-            if r["outcome"] == "fuzzy":
-                warnings.warn(f"Value {v!r} for {name!r} corrected to {r['label']!r}.", stacklevel=4)
-
-    def _species(self, typed) -> tuple[str, ...]:
-        matched = resolve.match_species(self.facts, "scientific_name", list(typed)).orderBy("position")
-        rows = matched.collect()  # one row per name the user typed
-        bad = [r["value"] for r in rows if r["speciesname"] is None]
-        if bad:
-            raise PlotDataError(f"These filter values could not be matched: speciesname: {bad}")
-        return tuple(dict.fromkeys(r["speciesname"] for r in rows))
-
-    def _rows(self, chosen: Selection, codes: Mapping[str, Any]) -> DataFrame:
-        values = dict(chosen.values if self.tables.codes == "label" else codes)
+            if r["outcome"] == "fuzzy" and v != r["label"]:
+                warnings.warn(f"Took {name} {v!r} as {r['label']!r}.", stacklevel=4)
+
+    def _species(self, typed, wanted: Selection) -> tuple[str, ...]:
+        """Names as they are spelt among the rows selected so far."""
+        new = [v for v in typed if ("speciesname", v) not in self._seen]
+        if new:
+            so_far = {k: v for k, v in self._chosen.values.items() if k in wanted.values}
+            so_far.pop("speciesname", None)
+            rows = self._rows(Selection(self.mode, so_far), self._codes)
+            matched = resolve.match_species(rows, "scientific_name", new).orderBy("position")
+            found = matched.collect()  # one row per name the user typed
+            bad = [r["value"] for r in found if r["speciesname"] is None]
+            if bad:
+                raise PlotDataError(f"No species here is like: {bad}")
+            for v, r in zip(new, found):
+                self._seen["speciesname", v] = self._seen["speciesname", r["speciesname"]] = r
+        return tuple(dict.fromkeys(self._seen["speciesname", v]["speciesname"] for v in typed))
+
+    def _rows(
+        self, chosen: Selection, codes: Mapping[str, Any], facts: DataFrame | None = None
+    ) -> DataFrame:
+        by_label = self.tables.codes == "label"
+        values = {k: v if by_label else codes.get(k, v) for k, v in chosen.values.items()}
         if self.mode == SAMPLES and "dataset" not in self.facts.columns:
             values.pop("dataset", None)
-        return Selection(self.mode, values).apply(self.facts, self.tables, self.depth_mode)
+        return Selection(self.mode, values).apply(facts or self.facts, self.tables, self.depth_mode)
 
     def selected(self) -> DataFrame:
         """The rows of the fact table under the selection."""
@@ -200,12 +213,12 @@ class PlotData:
         """Values of a facet, or one of the aggregates, by any of its names."""
         what = DISCOVER_ALIASES.get(facet.strip().lower().replace("-", "_").replace(" ", "_"))
         if what is None:
-            raise PlotDataError(f"Invalid discovery facet: {facet}")
+            raise PlotDataError(f"There is nothing to discover under {facet!r}.")
         if what == "site_id":
             return self.get_sites(include_region)
         if what == "region":
             if not region_type:
-                raise PlotDataError("region_type is required when discovering regions")
+                raise PlotDataError("Which regions? Give a region_type.")
             return self.get_regions(region_type)
         return {
             "dataset": self.get_datasources,
@@ -234,7 +247,7 @@ class PlotData:
 
     def _only(self, mode: str, what: str) -> None:
         if self.mode != mode:
-            raise PlotDataError(f"{what} is only available in '{mode}' mode.")
+            raise PlotDataError(f"{what}: only for {mode}.")
 
     def get_datasources(self) -> DataFrame:
         name = self.tables.required_sample_dataset
@@ -275,7 +288,7 @@ class PlotData:
         name = resolve.resolve_region_types(texts, "raw").first()["region_type"]
         if name is None:
             raise PlotDataError(
-                f"Invalid region type: {typed!r}. Allowed types: {', '.join(REGION_TYPES)}."
+                f"No region type is like {typed!r}. Public ones: {', '.join(REGION_TYPES)}."
             )
         return name if self.tables.codes == "label" else REGION_TYPES[name]
 
@@ -296,7 +309,7 @@ class PlotData:
         """Attribute keys of an entity; its map column is ``<entity>_attrs`` or ``attrs``."""
         name = resolve.resolve_name(entity, ATTRIBUTE_ENTITIES)
         if name is None:
-            raise PlotDataError(f"Invalid attribute entity: {entity}")
+            raise PlotDataError(f"{entity!r} has no attributes.")
         column = next((c for c in (f"{name}_attrs", "attrs") if c in self.facts.columns), None)
         if column is None:
             raise PlotDataError(f"The table has no attribute map for {name!r}.")
@@ -375,21 +388,44 @@ class PlotData:
 
     # --- retrieval ----------------------------------------------------------------
 
-    def preview(self) -> DataFrame:
+    def _shaped(self, rows: DataFrame, dformat: str) -> DataFrame:
+        """Plain rows, rows with a ``geometry`` (WKT) column, or GeoJSON lines."""
+        chosen = writers.FORMAT_NAMES.get(dformat.lower())
+        if chosen is None or (self.mode == SAMPLES and dformat.lower() in ("geojson", "json")):
+            raise PlotDataError(f"Format {dformat!r} is not for {self.mode}.")
+        if dformat.lower() in ("geojson", "json"):
+            return writers.geojson_lines(rows)
+        if chosen == "geojson":
+            lon, lat = ("lon", "lat") if "lon" in rows.columns else (align.LON, align.LAT)
+            return align.add_point(rows, lon, lat)
+        return rows
+
+    def preview(self, dformat: str = "pandas") -> DataFrame:
+        """Ten rows: of samples the first, of observations the first of two types."""
         if self.mode == SAMPLES:
-            return paging.preview(self.selected(), self.order)
-        return paging.preview_by_type(self.selected(), "feature_type", self.order)
+            return self._shaped(paging.preview(self.selected(), self.order), dformat)
+        if dformat.lower() in ("geojson", "json"):
+            return self._shaped(self.page(1, paging.PREVIEW_LIMIT), dformat)
+        rows = paging.preview_by_type(self.selected(), "feature_type", self.order)
+        return self._shaped(rows, dformat)
 
     def page(self, page_number: int, page_size: int) -> DataFrame:
         return paging.page(self.selected(), self.order, page_number, page_size)
 
-    def get_data(self, allow_full_download: bool = False, fill: bool = False) -> DataFrame:
-        """All selected rows; ``fill`` shows missing cells as "N/A" (all columns text)."""
+    def get_data(
+        self, allow_full_download: bool = False, dformat: str = "pandas", fill: bool = False
+    ) -> DataFrame:
+        """All selected rows, always as a DataFrame.
+
+        ``dformat``: plain columns ("pandas", "parquet"), with a WKT ``geometry`` column
+        ("geopandas"), or one GeoJSON text per row ("geojson"). ``fill`` shows missing
+        cells as "N/A", which makes all columns text.
+        """
         if self.mode == SAMPLES:
             kinds = self._chosen.values.get("material_sample_type", ())
             if len(kinds) != 1:
                 raise PlotDataError(
-                    f"Exactly one material_sample_type must be selected, got {len(kinds)}"
+                    f"Select one material_sample_type to read samples ({len(kinds)} selected)."
                 )
             rows = samples.drop_internal(self.selected())
             if self.tables.vocab is not None:
@@ -398,12 +434,12 @@ class PlotData:
         else:
             self._guard(allow_full_download)
             rows = self.selected()
-        return align.fill_missing(rows) if fill else rows
+        return self._shaped(align.fill_missing(rows) if fill else rows, dformat)
 
     def _guard(self, allow_full_download: bool) -> None:
         if not self._chosen.values and not allow_full_download:
             raise UnfilteredReadError(
-                "No filters specified. To read everything, pass allow_full_download=True."
+                "Nothing is selected. Pass allow_full_download=True to read everything."
             )
 
     def export_data(
@@ -416,14 +452,20 @@ class PlotData:
         return writers.write_table(rows, path, dformat, self.mode, partition_by)
 
     def get_data_stream(
-        self, stream: DataFrame, allow_full_download: bool = False, **where: str
+        self,
+        stream: DataFrame,
+        allow_full_download: bool = False,
+        dformat: str = "parquet",
+        **where: str,
     ) -> DataFrame:
-        """Apply the selection to a stream of fact rows and land one chunk per type."""
+        """Apply the selection to a stream of fact rows and land what passes.
+
+        Observations land as one chunk per feature type, or as GeoJSON lines.
+        """
         self._guard(allow_full_download)
-        values = self._chosen.values if self.tables.codes == "label" else self._codes
-        kept = Selection(self.mode, dict(values)).apply(stream, self.tables)
-        if self.mode == SAMPLES:
-            return jobs.run_to_table(kept, "samples", **where)
+        kept = self._rows(self._chosen, self._codes, stream)
+        if self.mode == SAMPLES or dformat.lower() in ("geojson", "json"):
+            return jobs.run_to_table(self._shaped(kept, dformat), "rows", **where)
         return jobs.chunks_by_type(kept, "feature_type", **where)
 
 

@@ -14,7 +14,7 @@ from ..model import MISSING_TEXT
 LON, LAT = "longitude_Degree", "latitude_Degree"
 
 
-def align_and_concat(frames: list[DataFrame], fill: bool = False) -> DataFrame:
+def stack_tables(frames: list[DataFrame], fill: bool = False) -> DataFrame:
     """Rows of all frames under the union of their columns, in first-seen order.
 
     Missing cells are NULL and types stay. ``fill`` shows every missing cell as "N/A",

@@ -26,8 +26,8 @@ def require_sample_type(selected_labels, aggregate: str) -> None:
     required = REQUIRED_SAMPLE_TYPES[aggregate]
     if not set(required) & set(selected_labels):
         raise PlotDataError(
-            f"{aggregate} requires material_sample_type to include at least one of: "
-            f"{', '.join(required)}. Currently selected: {', '.join(selected_labels) or 'none'}."
+            f"{aggregate} is known for material_sample_type {' or '.join(required)}; "
+            f"selected: {', '.join(selected_labels) or 'none'}."
         )
 
 

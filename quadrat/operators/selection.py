@@ -50,7 +50,7 @@ class Selection:
         unknown = sorted(set(keys) - set(QUERY_FACETS[self.mode]))
         if unknown:
             raise PlotDataError(
-                f"Invalid filter keys: {unknown}. Allowed: {list(QUERY_FACETS[self.mode])}"
+                f"No such facet: {', '.join(unknown)}. Known: {', '.join(QUERY_FACETS[self.mode])}."
             )
 
     def add(self, spark, edits: Mapping[str, Any]) -> "Selection":
@@ -63,10 +63,10 @@ class Selection:
             both = name in merged and name not in SCALAR_FACETS
             merged[name] = _as_list(merged[name]) + _as_list(value) if both else value
         if self.mode != SAMPLES and "has_image" in merged:
-            raise PlotDataError("'has_image' filter is only available in 'samples' mode.")
+            raise PlotDataError("Only samples can be filtered by has_image.")
         self.check_keys(merged)
         if "region" in merged and not {"region_type"} & (merged.keys() | self.values.keys()):
-            raise PlotDataError("'region_type' must be provided before or with 'region'.")
+            raise PlotDataError("Give a region_type with, or before, a region.")
         out = dict(self.values)
         for name, value in merged.items():
             if name in SCALAR_FACETS:
@@ -82,20 +82,20 @@ class Selection:
         """Remove whole facets (``None``) or single values."""
         self.check_keys(edits)
         if self.mode == SAMPLES and "dataset" in edits:
-            raise PlotDataError("Cannot remove 'dataset' in 'samples' mode: it is required.")
+            raise PlotDataError("Samples always belong to the required dataset; it stays.")
         out = dict(self.values)
         for name, value in edits.items():
             if name not in out:
-                raise KeyError(f"Facet {name!r} not present in filters.")
+                raise KeyError(f"Nothing is selected on {name!r}.")
             if value is None:
                 del out[name]
                 continue
             if name in SCALAR_FACETS:
-                raise PlotDataError(f"{name!r} holds one value; use None to clear it.")
+                raise PlotDataError(f"{name!r} is one literal: clear it with None.")
             gone = _as_list(value)
             missing = [v for v in gone if v not in out[name]]
             if missing:
-                raise PlotDataError(f"Values not found in facet {name!r}: {missing}")
+                raise PlotDataError(f"Not selected on {name!r}: {missing}")
             kept = tuple(v for v in out[name] if v not in gone)
             if kept:
                 out[name] = kept
@@ -199,7 +199,7 @@ def _whole_number(value) -> int:
     try:
         return int(value)
     except (TypeError, ValueError):
-        raise PlotDataError("'soil_subsite_id' must be an integer or list of integers.") from None
+        raise PlotDataError("Sub-site ids are whole numbers.") from None
 
 
 def _literal(spark, name: str, value):
@@ -209,14 +209,14 @@ def _literal(spark, name: str, value):
     if name == "has_image":
         flag = _as_list(value)
         if len(flag) != 1 or not isinstance(flag[0], bool):
-            raise PlotDataError("'has_image' must be a single boolean (True/False).")
+            raise PlotDataError("has_image takes True or False.")
         return flag[0]
     if name == "soil_depth_range":
         return _depth_range(value)
     day = spark.range(1).select(parse_date(F.lit(str(value))).alias("day")).first()["day"]
     if day is None:
         raise PlotDataError(
-            f"Cannot parse date {value!r}. Use e.g. 'DD/MM/YYYY', '21 May 2020' or 'YYYY-MM-DD'."
+            f"{value!r} is not a date. Write it day first (21/5/2020, 21 May 2020) or as 2020-05-21."
         )
     return day.isoformat()
 
@@ -227,13 +227,13 @@ def _depth_range(value) -> tuple[float, float]:
     else:
         ends = _as_list(value)
     if len(ends) != 2:
-        raise PlotDataError("'soil_depth_range' must be [min, max] or {'min': x, 'max': y}.")
+        raise PlotDataError("A depth range has two ends: [min, max] or a mapping with min and max.")
     try:
         low, high = (float(v) for v in ends)
     except (TypeError, ValueError):
-        raise PlotDataError("'soil_depth_range' min/max must be numeric values.") from None
+        raise PlotDataError("The ends of a depth range are numbers (metres).") from None
     if high <= low:
-        raise PlotDataError("Invalid 'soil_depth_range': max must be greater than min.")
+        raise PlotDataError("A depth range must end below where it starts (max > min).")
     return low, high
 
 
@@ -319,7 +319,8 @@ def count_selections(
     # one row per set of named facets: at most 2 ** len(facets)
     named = [tuple(r[0]) for r in asked.select(_named(facets)).distinct().collect()]
     cells = _added_up(base, facets, named)
-    run = _running(cells, asked, facets)
+    # written, so that look-ups of one much-used combination can be split
+    run = cut_lineage(_running(cells, asked, facets))
     key = ["named", *facets, "day"]
     counted = asked.join(run, key).groupBy("spec_id").agg(F.sum(F.col("sign") * F.col("upto")).alias("n"))
     return (

@@ -461,7 +461,7 @@ TYPE_TABLES_SQL = """
 
 @query("align_concat", TYPE_TABLES_SQL, "sample")
 def align_concat(spark, folder):
-    return align.align_and_concat(_type_tables(spark, folder))
+    return align.stack_tables(_type_tables(spark, folder))
 
 
 @query(
@@ -472,7 +472,7 @@ def align_concat(spark, folder):
     "sample",
 )
 def align_concat_na(spark, folder):
-    return align.align_and_concat(_type_tables(spark, folder), fill=True)
+    return align.stack_tables(_type_tables(spark, folder), fill=True)
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..errors import PlotDataError
 from ..functions.text import strip
 from ..model import FEATURE, FEATURE_COLLECTION, SPEC_SCHEMA, VOCAB_SCHEMA
-from ..operators.align import align_and_concat
+from ..operators.align import stack_tables
 
 HITS = "struct<hits: struct<hits: array<struct<_source: variant>>>>"
 ATTRIBUTE_KINDS = {"site": "site", "site_visit": "site_visit", "site-visit": "site_visit"}
@@ -60,7 +60,7 @@ def read_csv_by_type(
         read_csv(spark, path, schemas[name]).withColumn("feature_type", F.lit(name))
         for name, path in paths.items()
     ]
-    return align_and_concat(frames, fill)
+    return stack_tables(frames, fill)
 
 
 def parse_hits(df: DataFrame, column: str) -> DataFrame:
@@ -85,14 +85,17 @@ def source_columns(source: Column, fields: dict[str, str]) -> list[Column]:
 
 
 def attribute_table(tables, kind: str, selected: DataFrame) -> DataFrame:
-    """Site or site-visit attributes of the rows in ``selected`` (semi-join)."""
+    """Site or site-visit attributes of the rows in ``selected``.
+
+    A semi-join with the distinct keys: a hot site or visit is one row in it.
+    """
     if kind not in ATTRIBUTE_KINDS:
-        raise PlotDataError("Invalid attribute data type. Allowed values are: site, site_visit.")
+        raise PlotDataError("Attribute tables exist for: site, site_visit.")
     table, key = {
         "site": (tables.site_attributes, "site_id"),
         "site_visit": (tables.site_visit_attributes, "visit_id"),
     }[ATTRIBUTE_KINDS[kind]]
-    return table.join(selected.select(key), key, "left_semi")
+    return table.join(selected.select(key).distinct(), key, "left_semi")
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:

@@ -75,7 +75,7 @@ def test_select_resolves_labels_and_codes(obs):
     with warnings.catch_warnings(record=True) as seen:
         warnings.simplefilter("always")
         assert obs.select(dataset="North Survy").select(site_id=U + "site_id/s1") is obs
-    assert any("corrected" in str(w.message) for w in seen)
+    assert any("Took dataset" in str(w.message) for w in seen)
     assert obs.get_filter() == {"dataset": ["North Survey"], "site_id": ["s1"]}
     assert obs.get_api_query_filters("dataset") == [U + "dataset/North Survey"]
     assert obs.selected().count() == 2
@@ -89,7 +89,7 @@ def test_failed_select_changes_nothing(obs):
     for bad in ({"dataset": "zzzz"}, {"nope": 1}, {"region": "Mulga"}):
         with pytest.raises(PlotDataError):
             obs.select(bad)
-    with pytest.warns(UserWarning, match="no record"):
+    with pytest.warns(UserWarning, match="Nothing matches"):
         obs.select(date_from="2030-01-01")
     assert obs.get_filter() == {"feature_type": ["plant"]}
 
@@ -199,6 +199,12 @@ def test_retrieval_and_export(obs, spark, tmp_path):
         obs.get_data()
     assert obs.get_data(allow_full_download=True).count() == 4
     obs.select(dataset="North Survey")
+    assert [r["geometry"] for r in obs.get_data(dformat="gpd").where("visit_id = 'v2'").collect()] == [
+        "POINT (140.0 -30.0)"
+    ]
+    assert obs.get_data(dformat="geojson").columns == ["value"] and obs.preview("json").count() == 3
+    with pytest.raises(PlotDataError):
+        obs.get_data(dformat="what")
     assert obs.get_data(fill=True).where("dataset = 'N/A'").count() == 0
     assert [r["visit_id"] for r in obs.preview().collect()] == ["v1", "v2", "v1"]
     assert [r["visit_id"] for r in obs.page(2, 2).collect()] == ["v2"]

@@ -87,7 +87,7 @@ def test_literal_kinds():
     assert geometry.literal_kind({"type": "Point", "coordinates": [153.0, -27.0]}) == "geojson"
     assert geometry.literal_kind([152.0, "-28.0", 153.0, -27.0]) == "bbox"
     for bad in ("POLYGON((0 0, 1 1)", {"type": "Point"}, [1, 2, 3], [1, 2, 3, "x"], None):
-        with pytest.raises(PlotDataError, match="spatial"):
+        with pytest.raises(PlotDataError, match="spatial filter"):
             geometry.literal_kind(bad)
 
 

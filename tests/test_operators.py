@@ -10,6 +10,38 @@ from quadrat.operators import align, images, lookup, paging, samples, selection,
 from quadrat.operators.selection import Selection
 from quadrat.sources import readers
 
+# --- hot keys ---------------------------------------------------------------------
+
+
+def test_hot_code_is_split(spark, monkeypatch, tmp_path):
+    """Beyond the broadcast bound, a code that most rows share is split over tasks."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        hot = F.when(F.col("id") % 10 < 8, F.lit("u0")).otherwise(F.concat(F.lit("u"), F.col("id") % 50))
+        facts = spark.range(0, 60000, 1, 8).select("id", hot.alias("code"))
+        vocab = spark.range(50).select(
+            F.lit("f").alias("facet"),
+            F.concat(F.lit("u"), F.col("id")).alias("uri"),
+            F.concat(F.lit("l"), F.col("id")).alias("label"),
+        )
+        named = lookup.add_label(facts, vocab, "f", "code", "label")
+        assert named.where(F.substring("label", 2, 9) == F.substring("code", 2, 9)).count() == 60000
+        named.collect()
+        assert "skew=true" in named._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # --- selections -------------------------------------------------------------------
 
 
@@ -59,7 +91,7 @@ def test_sample_literals(spark):
     ):
         with pytest.raises(PlotDataError):
             s.add(spark, bad)
-    with pytest.raises(PlotDataError, match="Cannot remove 'dataset'"):
+    with pytest.raises(PlotDataError, match="required dataset"):
         s.drop({"dataset": None})
     saved = [r[1:] for r in s.rows("k")]
     assert Selection.from_rows("samples", saved) == s
@@ -217,12 +249,12 @@ def test_preview_by_type(spark):
 # --- union, labels, samples, images -----------------------------------------------
 
 
-def test_align_and_concat(spark):
+def test_stack_tables(spark):
     a = spark.createDataFrame([(1, 2)], "a int, b int")
     b = spark.createDataFrame([(3, 4)], "b int, c int")
-    plain = align.align_and_concat([a, b])
+    plain = align.stack_tables([a, b])
     assert plain.columns == ["a", "b", "c"] and dict(plain.dtypes)["a"] == "int"
-    filled = [r.asDict() for r in align.align_and_concat([a, b], fill=True).orderBy("b").collect()]
+    filled = [r.asDict() for r in align.stack_tables([a, b], fill=True).orderBy("b").collect()]
     assert filled == [{"a": "1", "b": "2", "c": "N/A"}, {"a": "N/A", "b": "3", "c": "4"}]
 
 
