@@ -75,7 +75,9 @@ class PlotData:
         self.spark = configure(facts.sparkSession)
         self._seen: dict[tuple[str, str], Any] = {}
         self.order = order or (
-            ["sample_id"] if self.mode == SAMPLES else [c for c in facts.columns if c != "geometry"]
+            ["sample_id"]
+            if self.mode == SAMPLES
+            else [c for c, t in facts.dtypes if "map<" not in t and "variant" not in t]
         )
         self.clear()
 

@@ -51,6 +51,16 @@ def ratio(a: str, b: str) -> float:
     return _score(_lcs(_positions(a), len(a), b), len(a) + len(b))
 
 
+def ratio_to(text: str):
+    """``ratio`` against one text, prepared once for many others."""
+    masks, size = _positions(text), len(text)
+
+    def score(other: str) -> float:
+        return _score(_lcs(masks, size, other), size + len(other)) if text and other else 0.0
+
+    return score
+
+
 def window_ratio(a: str, b: str) -> float:
     """Best ratio of the shorter text against any window of the longer one.
 

@@ -1,8 +1,9 @@
 """From what a user wrote to the canonical vocabulary entry.
 
 Exact identifier, then exact label, then the best similar label. Only the *distinct*
-values that no equi-join settled are scored, and those meet only labels that can reach
-the threshold:
+values that no equi-join settled are scored. A few of them, as a user types them, travel
+with the tasks and are compared with each label where it lies. Many of them are joined
+with the labels, and meet only those that can reach the threshold:
 
 * two texts with ``ratio >= t`` share at least ``t * (la + lb) / 200`` characters,
   counted with repeats; so ``len - ceil(t * len / (200 - t)) + 1`` of the rarest
@@ -26,6 +27,7 @@ from ..functions import similarity
 from ..functions.text import facet_key, region_type_key, strip
 from ..model import REGION_TYPES
 from ..session import cut_lineage, ship_with_tasks
+from .lookup import broadcast_if_small
 
 ship_with_tasks(__name__)
 
@@ -40,6 +42,8 @@ REGION_TYPE_L_THRESHOLD = 20
 FIRST_ROUND = 92
 # Fewer misses than this are not worth a round of their own.
 FIRST_ROUND_FROM = 10_000
+# Up to this many values are compared with all labels in a scan instead of a join.
+SCAN_VALUES = 1000
 # Guards the bounds against rounding.
 EPS = 1e-9
 
@@ -132,10 +136,53 @@ def best_per_value(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _scan_labels(values: list[tuple[str, str]], labels: DataFrame, threshold: float) -> DataFrame:
+    """Best label per value and task, for a list of (facet, value) that travels with the tasks.
+
+    Nothing is shuffled but one row per value and task.
+    """
+    typed: dict[str, list[str]] = {}
+    for facet, value in values:
+        typed.setdefault(facet, []).append(value)
+    prepare, slack = similarity.ratio_to, EPS
+
+    def score_labels(batches):
+        scorers = {f: [(v, len(v), prepare(v)) for v in vs if v] for f, vs in typed.items()}
+        best: dict[tuple[str, str], tuple[float, str]] = {}
+        for batch in batches:
+            for facet, label in zip(batch["facet"], batch["label"]):
+                for value, size, scorer in scorers.get(facet, ()) if label else ():
+                    if 200.0 * min(size, len(label)) < (threshold - slack) * (size + len(label)):
+                        continue
+                    score = scorer(label)
+                    old = best.get((facet, value))
+                    if score >= threshold and (old is None or (-score, label) < (-old[0], old[1])):
+                        best[facet, value] = score, label
+        rows = [(f, v, label, score) for (f, v), (score, label) in best.items()]
+        yield pd.DataFrame(rows, columns=["facet", "value", "label", "score"])
+
+    scored = labels.select("facet", "label").mapInPandas(
+        score_labels, "facet string, value string, label string, score double"
+    )
+    return best_per_value(scored)
+
+
 def best_matches(
-    values: DataFrame, labels: DataFrame, threshold: float, first_round: float | None = FIRST_ROUND
+    values: DataFrame,
+    labels: DataFrame,
+    threshold: float,
+    first_round: float | None = FIRST_ROUND,
+    scan_values: int = SCAN_VALUES,
 ) -> DataFrame:
-    """Best label of each value that has one at or above the threshold."""
+    """Best label of each value that has one at or above the threshold.
+
+    A few values, as a user types them, are compared with every label in one scan. Many
+    values go through the similarity join, the near-perfect ones in a round of their own.
+    """
+    typed = values.limit(scan_values + 1).collect() if scan_values else []
+    if scan_values and len(typed) <= scan_values:
+        return _scan_labels([(r["facet"], r["value"]) for r in typed], labels, threshold)
+    labels = labels.distinct()
     few = values.limit(FIRST_ROUND_FROM).count() < FIRST_ROUND_FROM
     if first_round is None or first_round <= threshold or few:
         return best_per_value(similar_pairs(values, labels, threshold))
@@ -149,26 +196,60 @@ def best_matches(
 # --- resolver ---------------------------------------------------------------------
 
 
+def _exact(wanted: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(facet, value, l1, u2): label of the value as identifier, identifier of it as label.
+
+    The vocabulary is read once and meets the values before it is grouped, so a large
+    vocabulary is not shuffled for a few values.
+    """
+    both = F.array(
+        *[
+            F.struct(F.lit(how).alias("how"), F.col(key).alias("value"), F.col(other).alias("other"))
+            for how, key, other in (("uri", "uri", "label"), ("label", "label", "uri"))
+        ]
+    )
+    keyed = vocab.select("facet", F.explode(both).alias("k")).select("facet", "k.*")
+    found = (
+        keyed.join(broadcast_if_small(wanted), ["facet", "value"])
+        .groupBy("facet", "value")
+        .agg(
+            F.min(F.when(F.col("how") == "uri", F.col("other"))).alias("l1"),
+            F.min(F.when(F.col("how") == "label", F.col("other"))).alias("u2"),
+        )
+    )
+    return wanted.join(found, ["facet", "value"], "left")
+
+
+def _near(misses: DataFrame, targets: DataFrame, threshold: float, **how) -> DataFrame:
+    """The best target of each miss, or NULL: (facet, value, uri, label, score)."""
+    best = cut_lineage(best_matches(misses, targets.select("facet", "label"), threshold, **how))
+    named = (
+        targets.join(broadcast_if_small(best), ["facet", "label"])
+        .groupBy("facet", "value")
+        .agg(F.min(F.struct("uri", "shown")).alias("t"), F.first("score").alias("score"))
+        .select("facet", "value", "t.uri", F.col("t.shown").alias("label"), "score")
+    )
+    return misses.join(named, ["facet", "value"], "left")
+
+
 def resolve(
     candidates: DataFrame,
     vocab: DataFrame,
     threshold: float = VALUE_THRESHOLD,
-    first_round: float | None = FIRST_ROUND,
     correct_uris: bool = False,
+    **how,
 ) -> DataFrame:
     """Resolve all (facet, value) rows of all facets in one job.
 
     -> (facet, value, uri, label, score, outcome), one row per distinct value;
     outcome is ``uri``, ``label``, ``fuzzy`` or ``unmatched``. With ``correct_uris`` a
     value that looks like a web address is compared with the identifiers instead of
-    the labels.
+    the labels. ``how`` goes to ``best_matches``.
     """
-    wanted = candidates.select("facet", strip(F.col("value")).alias("value")).distinct()
-    by_uri = vocab.groupBy("facet", F.col("uri").alias("value")).agg(F.min("label").alias("l1"))
-    by_label = vocab.groupBy("facet", F.col("label").alias("value")).agg(F.min("uri").alias("u2"))
-    exact = cut_lineage(
-        wanted.join(by_uri, ["facet", "value"], "left").join(by_label, ["facet", "value"], "left")
+    wanted = cut_lineage(
+        candidates.select("facet", strip(F.col("value")).alias("value")).distinct()
     )
+    exact = cut_lineage(_exact(wanted, vocab))
     is_uri, is_label = F.col("l1").isNotNull(), F.col("u2").isNotNull()
     settled = exact.where(is_uri | is_label).select(
         "facet",
@@ -183,40 +264,18 @@ def resolve(
     facets = [r["facet"] for r in misses.select("facet").distinct().collect()]
     if not facets:
         return settled
-    names = by_label.select("facet", F.col("value").alias("label"), F.col("u2").alias("uri"))
-    names = names.where(F.col("facet").isin(facets)).withColumn("shown", F.col("label"))
+    known = vocab.where(F.col("facet").isin(facets))
+    names = known.select("facet", "label", "uri", F.col("label").alias("shown"))
     if correct_uris:
         is_address = F.col("value").rlike("^https?://")
-        addresses = by_uri.where(F.col("facet").isin(facets)).select(
-            "facet", F.col("value").alias("label"), F.col("value").alias("uri"), F.col("l1").alias("shown")
-        )
-        fuzzy = _near(misses.where(is_address), addresses, threshold, first_round).union(
-            _near(misses.where(~is_address), names, threshold, first_round)
+        addresses = known.select("facet", F.col("uri").alias("label"), "uri", F.col("label").alias("shown"))
+        fuzzy = _near(misses.where(is_address), addresses, threshold, **how).union(
+            _near(misses.where(~is_address), names, threshold, **how)
         )
     else:
-        fuzzy = _near(misses, names, threshold, first_round)
-    return settled.union(
-        fuzzy.select(
-            "facet",
-            "value",
-            "uri",
-            "label",
-            "score",
-            F.when(F.col("uri").isNotNull(), "fuzzy").otherwise("unmatched").alias("outcome"),
-        )
-    )
-
-
-def _near(
-    misses: DataFrame, targets: DataFrame, threshold: float, first_round: float | None
-) -> DataFrame:
-    """The best target of each miss, or NULL: (facet, value, uri, label, score)."""
-    best = best_matches(misses, targets.select("facet", "label"), threshold, first_round)
-    return (
-        misses.join(best, ["facet", "value"], "left")
-        .join(targets, ["facet", "label"], "left")
-        .select("facet", "value", "uri", F.col("shown").alias("label"), "score")
-    )
+        fuzzy = _near(misses, names, threshold, **how)
+    outcome = F.when(F.col("uri").isNotNull(), "fuzzy").otherwise("unmatched")
+    return settled.union(fuzzy.select("*", outcome.alias("outcome")))
 
 
 def resolve_single(candidates: DataFrame, vocab: DataFrame) -> DataFrame:

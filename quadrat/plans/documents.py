@@ -193,8 +193,9 @@ def attrs_flatten(spark, folder):
         'nested', named_struct('deep', named_struct('er', p_type), 'two', parse_json('[1,"x"]')),
         'gone', named_struct('value', CAST(NULL AS STRING))), map('ignoreNullFields', 'false'))"""
     )
+    part = views.table(spark, folder, "part").select("p_partkey", "p_size", "p_brand", "p_type")
     rows = (
-        views.table(spark, folder, "part")
+        spread(part)
         .select(F.col("p_partkey").alias("sample_id"), F.parse_json(bag).alias("bag"))
         .select("sample_id", flatten.flatten_bag("bag").alias("attrs"))
     )

@@ -118,6 +118,7 @@ def resolve_fuzzy(spark, folder):
     found = resolve.resolve(
         _candidates(spark, folder, change),
         views.vocab(spark, folder, "speciesname", "feature_type", "region"),
+        scan_values=0,  # the form for many values
     )
     return found.withColumn("score", F.round("score", 6))
 

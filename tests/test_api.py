@@ -219,6 +219,11 @@ def test_retrieval_and_export(obs, spark, tmp_path):
             obs.export_data(str(tmp_path / path), kind)
 
 
+def test_default_order(tables):
+    plots = PlotData(tables)
+    assert [r["visit_id"] for r in plots.page(1, 3).collect()] == ["v1", "v1", "v2"]
+
+
 def test_map(obs):
     assert obs.clusters().agg(F.sum("num_sites")).first()[0] == 3
     assert obs.sites_in([139, -36, 146, -29]).first()["num_sites"] == 2

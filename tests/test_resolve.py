@@ -25,7 +25,8 @@ def resolved(spark, pairs, **more):
     }
 
 
-def test_resolve_outcomes(spark):
+@pytest.mark.parametrize("scan", [0, 1000])
+def test_resolve_outcomes(spark, scan):
     got = resolved(
         spark,
         [
@@ -38,6 +39,7 @@ def test_resolve_outcomes(spark):
             ("dataset", ""),
             ("project", "North Coast"),
         ],
+        scan_values=scan,
     )
     assert got == {
         ("dataset", "u:1"): ("u:1", "North Coast", "uri"),
@@ -80,10 +82,12 @@ def test_similar_pairs_loses_nothing(spark, threshold, monkeypatch):
     assert len(rows) == len({(r["value"], r["label"]) for r in rows})
     assert {(r["value"], r["label"]): r["score"] for r in rows} == pytest.approx(want)
     assert want
-    best = {r["value"]: (r["label"], r["score"]) for r in resolve.best_matches(left, right, threshold).collect()}
-    for v in values:
-        mine = sorted((-s, w) for (x, w), s in want.items() if x == v)
-        assert best.get(v) == ((mine[0][1], -mine[0][0]) if mine else None)
+    for scan in (0, 1000):
+        found = resolve.best_matches(left, right, threshold, scan_values=scan).collect()
+        best = {r["value"]: (r["label"], r["score"]) for r in found}
+        for v in values:
+            mine = sorted((-s, w) for (x, w), s in want.items() if x == v)
+            assert best.get(v) == ((mine[0][1], -mine[0][0]) if mine else None)
 
 
 def test_shared_prefix_labels(spark):
@@ -92,11 +96,29 @@ def test_shared_prefix_labels(spark):
     values = ["Customer#00000014", "Customr#000000021"]
     left = spark.createDataFrame([("x", v) for v in values], "facet string, value string")
     right = spark.createDataFrame([("x", w) for w in labels], "facet string, label string")
-    got = {r["value"]: r["score"] for r in resolve.best_matches(left, right, 75).collect()}
+    found = resolve.best_matches(left, right, 75, scan_values=0)
+    got = {r["value"]: r["score"] for r in found.collect()}
     for v in values:
         assert got[v] == pytest.approx(max(similarity.ratio(v, w) for w in labels))
 
 
+def test_resolve_single_corrects_addresses(spark):
+    vocab = spark.createDataFrame(
+        [("d", "http://v.test/abcdef", "Alpha"), ("d", "http://v.test/uvwxyz", "Omega")],
+        "facet string, uri string, label string",
+    )
+    typed = ["http://v.test/abcdxf", "http://q", "Alpa", "http://v.test/uvwxyz", "Alp"]
+    asked = spark.createDataFrame([("d", v) for v in typed], "facet string, value string")
+    got = {r["value"]: (r["label"], r["outcome"]) for r in resolve.resolve_single(asked, vocab).collect()}
+    assert got == {
+        "http://v.test/abcdxf": ("Alpha", "fuzzy"),
+        "http://q": (None, "unmatched"),
+        "Alpa": ("Alpha", "fuzzy"),
+        "http://v.test/uvwxyz": ("Omega", "uri"),
+        "Alp": (None, "unmatched"),
+    }
+
+
 def test_match_species_against_brute_force(spark):
     names = ["Acacia aneura", "Acacia dealbata", "Eucalyptus camaldulensis", "Triodia basedowii", " "]
     df = spark.createDataFrame([(n,) for n in names for _ in range(3)], "scientific_name string")
