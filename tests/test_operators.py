@@ -228,14 +228,17 @@ def test_clusters_and_layer(spark):
 
 
 def test_pages_shallow_and_deep_agree(spark):
-    keys = list(range(997))
-    random.Random(1).shuffle(keys)
-    df = spark.createDataFrame([(k // 2, k) for k in keys], "a int, b int").repartition(5)
-    for number in (1, 7, 10, 11):
-        want = list(range((number - 1) * 100, min(number * 100, 997)))
-        for top_k in (10_000, 0):
-            got = paging.page(df, ["a", "b"], number, 100, top_k_rows=top_k)
-            assert [r["b"] for r in got.collect()] == want
+    rnd = random.Random(1)
+    keys = [(None if k < 40 else 7 if k < 500 else k // 3, f"t{k:04d}", k) for k in range(997)]
+    want = sorted(keys, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    rnd.shuffle(keys)
+    df = spark.createDataFrame(keys, "a int, t string, b int").repartition(5)
+    for order in (["a", "b"], ["a", "t"], ["b"]):
+        expect = [r[2] for r in want] if order != ["b"] else list(range(997))
+        for number, size, top_k in ((4, 100, 10_000), (1, 100, 50), (6, 90, 50), (2, 450, 200), (11, 100, 50)):
+            page = expect[(number - 1) * size : number * size]
+            got = paging.page(df, order, number, size, top_k_rows=top_k)
+            assert [r["b"] for r in got.collect()] == page, (order, number, size, top_k)
     with pytest.raises(PlotDataError):
         paging.page(df, ["a"], 0, 10)
 
