@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity
-from ..functions.text import facet_key, region_type_key, strip
+from ..functions.text import region_type_key, strip
 from ..model import REGION_TYPES
 from ..session import cut_lineage, ship_with_tasks
 from .lookup import broadcast_if_small
@@ -360,7 +360,3 @@ def match_species(
     return asked.join(best, "position", "left").select(
         "position", "value", "speciesname", F.least("s", F.lit(100.0)).alias("score")
     )
-
-
-def clean_facet_name(text: Column) -> Column:
-    return facet_key(text)

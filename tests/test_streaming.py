@@ -121,3 +121,22 @@ def test_csv_tables_of_types(spark, tmp_path):
         ("A", "one", "N/A", "a"),
         ("B", "N/A", "two", "b"),
     ]
+
+
+def test_samples_stream_lands_as_one_table(spark, tmp_path):
+    facts = spark.createDataFrame(
+        [("p1", "Soil Pit Sample", 3), ("p2", "Soil Pit Sample", 4), ("p3", "Plant Tissue Sample", 3)],
+        "sample_id string, material_sample_type string, soil_subsite_id long",
+    )
+    facts.write.parquet(str(tmp_path / "in"))
+    plots = PlotData(SurveyTables(sample=facts), "samples").select(soil_subsite_id=3)
+    stream = spark.readStream.schema(facts.schema).parquet(str(tmp_path / "in"))
+    assert sorted(r["sample_id"] for r in plots.get_data_stream(stream).collect()) == ["p1", "p3"]
+
+
+def test_geojson_lines_stream(spark, folder):
+    plots = PlotData(SurveyTables(observation=spark.read.parquet(folder)), order=["id"])
+    plots.select(feature_type="soil")
+    lines = plots.get_data_stream(stream(spark, folder), dformat="geojson").collect()
+    docs = [json.loads(r["value"]) for r in lines]
+    assert [d["properties"]["id"] for d in docs] == [1, 1] and docs[0]["geometry"] is None
