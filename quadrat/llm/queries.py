@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate
+from . import decontaminate, neardup
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query(
+    "op7_setsketch_neardup",
+    r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN w IS NULL OR len(w) = 0 THEN []
+    ELSE list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+  FROM one a JOIN one b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 75 * (na + nb - common)),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN ends e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN c USING (doc_id)""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
