@@ -39,9 +39,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.length(marks).cast("long"), F.lit(0).cast("long"))
 
 
-def hash_bits(seed: str, key: Column, bits: int = 60) -> Column:
+def hash_bits(seed: str | Column, key: Column, bits: int = 60) -> Column:
     """``bits`` (a multiple of 4, up to 60) of the MD5 of ``seed:key``; null counts as a key."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null")))
+    seed = F.lit(seed) if isinstance(seed, str) else seed
+    text = F.concat(seed, F.lit(":"), F.coalesce(key.cast("string"), F.lit("null")))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, bits // 4), 16, 10).cast("long")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, neardup
+from . import decontaminate, mixing, neardup, sharding
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,79 @@ FROM s JOIN c USING (doc_id)""",
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def _draws(path: str, children: list[tuple[str, float]]) -> str:
+    one = "-ln((CAST('0x' || left(md5('{p}/{c}:' || doc_id), 13) AS BIGINT) + 0.5) / 4503599627370496.0) / {w}"
+    return "[" + ", ".join(one.format(p=path, c=c, w=w) for c, w in children) + "]"
+
+
+def _shard_sql(node: dict, path: str = "") -> str:
+    """The descent as nested SQL conditions, written from the tree."""
+    names = list(node)
+    below = [
+        _shard_sql(node[n], f"{path}/{n}") if isinstance(node[n], dict) else str(n) for n in names
+    ]
+    if len(names) == 1:
+        return below[0]
+    draws = _draws(path, [(n, sharding._weight(node[n])) for n in names])
+    cases = " ".join(f"WHEN {k + 1} THEN {b}" for k, b in enumerate(below))
+    return f"CASE list_position({draws}, list_min({draws})) {cases} END"
+
+
+@query(
+    "op3_hash_tree_shards",
+    rf"""
+WITH RECURSIVE bits AS (
+  SELECT CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS c, 0 AS k FROM range(256) t(n)
+  UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+bytes AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS b, hex(encode(coalesce(text, ''))) AS x FROM documents),
+sums AS (
+  SELECT doc_id, CAST(b + 8 AS BIGINT) AS size, xor(4294967295, list_reduce(
+    list_transform(range(0, 2 * b, 2), lambda i: CAST('0x' || x[i + 1:i + 2] AS BIGINT)),
+    lambda c, v: xor(c >> 8, t[1 + (xor(c, v) & 255)]), CAST(4294967295 AS BIGINT))) AS text_crc32
+  FROM bytes, crc),
+placed AS (
+  SELECT doc_id, size, text_crc32, {_shard_sql(sharding.tree_of(24))} AS shard,
+    {_shard_sql(sharding.tree_of(25))} AS grown_shard,
+    CAST('0x' || left(md5('slot:' || doc_id || ':' || text_crc32), 15) AS BIGINT) AS key FROM sums)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY key, doc_id, size, text_crc32) - 1 AS slot,
+  CAST(grown_shard AS INTEGER) AS grown_shard FROM placed""",
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(read(spark, sf_dir, "documents")).withColumn("law", F.lit("key"))
+
+
+@query(
+    "op6_mix_to_weights",
+    r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+    CAST('0x' || left(md5('mix:' || doc_id), 15) AS BIGINT) AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
+l AS (SELECT *, 3 * source_size AS lim, 3 * source_size / weight AS full_at FROM w),
+o AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(lim) OVER before, 0) AS DOUBLE)
+    / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+  FROM l WINDOW before AS (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, max(CASE WHEN level <= full_at THEN level END) OVER () AS common FROM o),
+t AS (
+  SELECT source, source_size,
+    least(CASE WHEN level <= full_at THEN common * weight ELSE CAST(lim AS DOUBLE) END, CAST(lim AS DOUBLE)) AS target
+  FROM c),
+p AS (
+  SELECT doc_id, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS budget,
+    CAST(coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY key, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
+  FROM sized JOIN t ON sized.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS whole FROM p)
+SELECT doc_id, size, source_size, target,
+  CAST(whole * size + greatest(0, least(budget - whole * source_size - ahead, size)) AS BIGINT) AS taken
+FROM e""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(read(spark, sf_dir, "documents")).drop("row")
