@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, mixing, neardup, sharding
+from . import decontaminate, mixing, neardup, sharding, tokenids
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     """Register a query under ``name``, with its SQL twin where there is one."""
 
@@ -165,3 +172,8 @@ FROM e""",
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(read(spark, sf_dir, "documents")).drop("row")
+
+
+@query("op4_repair_token_ids")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenids.token_table(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
