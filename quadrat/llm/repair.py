@@ -22,8 +22,9 @@ from ..session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-MAGIC, HEAD = b"RPG1", struct.Struct("<4sIIQQQB")
-ROUNDS, PER_ROUND, LEAST = 10, 4096, 8
+MAGIC, HEAD = b"RPG1", "<4sIIQQQB"
+ROUNDS, PER_ROUND, LEAST = 6, 4096, 8
+HASH_BITS = 17
 STEP = 256
 
 
@@ -49,7 +50,7 @@ def grammar(ids: np.ndarray, last: np.ndarray, base: int, limit: int = 1 << 16):
         if len(often) > room:
             often = np.sort(often[np.argsort(-uses[often], kind="stable")[:room]])
         chosen = pairs[often]
-        slot = np.minimum(np.searchsorted(chosen, code), len(chosen) - 1)
+        slot = _slots(chosen, uses[often], code)
         at = np.flatnonzero((chosen[slot] == code) & inside)
         # every second position of a run of neighbouring positions
         fresh = np.ones(len(at), bool)
@@ -72,6 +73,19 @@ def grammar(ids: np.ndarray, last: np.ndarray, base: int, limit: int = 1 << 16):
     return seq, last, np.array(rules, np.uint32).reshape(-1, 2)
 
 
+def _slots(chosen: np.ndarray, uses: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """For each code the only place in ``chosen`` where it can stand, by a hash table.
+
+    Of two chosen codes with one hash the more frequent stays; the next round has the other.
+    """
+    kind = code.dtype.type
+    factor, shift = kind(2654435769), kind(code.dtype.itemsize * 8 - HASH_BITS)
+    table = np.zeros(1 << HASH_BITS, np.int32)
+    order = np.argsort(uses, kind="stable")
+    table[(chosen[order] * factor) >> shift] = order
+    return table[(code * factor) >> shift]
+
+
 def _expansions(base: int, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, start, length): each rule's expansion as a stretch of ``ids``."""
     parts: list[np.ndarray] = []
@@ -93,7 +107,7 @@ def pack(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, base:
     width = 2 if base + len(rules) <= 1 << 16 else 4
     size = np.concatenate([np.ones(base, np.int64), length])[symbols]
     offsets = np.concatenate([[0], np.cumsum(size)])
-    head = HEAD.pack(MAGIC, base, len(rules), len(doc_ids), len(symbols), len(ids), width)
+    head = struct.pack(HEAD, MAGIC, base, len(rules), len(doc_ids), len(symbols), len(ids), width)
     arrays = [
         (np.array([d is None for d in doc_ids]), "u1"),
         (np.array([d or 0 for d in doc_ids], np.int64), "<i8"),
@@ -112,10 +126,10 @@ class Shard:
     """Reads a packed shard; any stretch of ids is decoded from the symbols it lies in."""
 
     def __init__(self, data: bytes) -> None:
-        magic, self.base, rules, docs, symbols, self.n_ids, width = HEAD.unpack_from(data)
+        magic, self.base, rules, docs, symbols, self.n_ids, width = struct.unpack_from(HEAD, data)
         if magic != MAGIC:
             raise ValueError("not a token shard")
-        at = HEAD.size
+        at = struct.calcsize(HEAD)
 
         def take(kind: str, n: int) -> np.ndarray:
             nonlocal at

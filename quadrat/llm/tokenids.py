@@ -37,7 +37,7 @@ ship_with_tasks(__name__)
 
 END = 1
 SHARD_IDS = 1 << 20
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 # The tokenizer's own pattern for the letters, digits and signs up to U+00FF, in lower case.
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
