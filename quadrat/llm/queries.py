@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, mixing, neardup, sharding, tokenids
+from . import decontaminate, mixing, neardup, sharding, tokenids, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_repair_token_ids")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_table(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op2_toxicity_chain")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return toxicity.judge(docs, labels).drop("row")
