@@ -9,12 +9,11 @@ agree on a band are candidates.
 1. Texts with equal words are one class from the start.
 2. In each group of classes that share a band, one hash-chosen hub is compared with each
    member: as many pairs as members. Links found make components.
-3. What is still apart in a group is compared across its components, except inside the
-   largest one: no pair of band mates from two components is left untested, and none from
-   one component needs a test.
-4. A pair is tested twice: by the likelihood of its joint register counts (who is larger,
-   how often; a pair goes on unless its estimate is four deviations short), and then on the
-   full shingle sets.
+3. What is still apart in a group is compared across its components, the group cut into
+   blocks and sketch against sketch within a task: no pair of band mates from two components
+   is left out, and none from one component needs a test. Only likely pairs leave the task.
+4. A pair is likely unless the estimate from its joint register counts (who is larger, how
+   often) is four deviations short. Likely pairs are tested on the full shingle sets.
 
 Defined cases: a null, empty or blank text has an empty set and is linked with nothing;
 fewer than five words are one shingle; equal rows are copies; documents whose id is null
@@ -41,8 +40,9 @@ ship_with_tasks(__name__)
 
 SHINGLE = 5
 SHARE = 75  # per cent of the union that two linked sets share at least
-REGISTERS, BAND = 128, 4
-BASE, RATE, TOP = 1.001, 20.0, 65534
+REGISTERS, BANDS, BAND = 512, 32, 4  # the first BANDS x BAND registers make the bands
+BASE, RATE, TOP = 1.1, 20.0, 254  # a register is one byte
+BLOCK_NODES = 256
 # a pair at the bound is passed on with a probability of 0.99997
 DEVIATIONS = 4.0
 
@@ -93,7 +93,7 @@ def registers(hashes: np.ndarray) -> np.ndarray:
         np.minimum(least, out.min(axis=0), out=least)
     uniform = (least.astype(np.float64) + 0.5) / 2.0**64
     variate = -np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE
-    return np.clip(np.floor(1 - np.log(variate) / np.log(BASE)), 0, TOP + 1).astype("<u2")
+    return np.clip(np.floor(1 - np.log(variate) / np.log(BASE)), 0, TOP + 1).astype(np.uint8)
 
 
 def jaccard_estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -158,18 +158,55 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Which pairs of sketches may belong to linked sets."""
     share = SHARE / 100
     least = share - DEVIATIONS * np.sqrt(share * (1 - share) / REGISTERS)
+    fits = 100 * np.minimum(na, nb) >= SHARE * np.maximum(na, nb)
+    fits[fits] = jaccard_estimate(a[fits], b[fits], na[fits], nb[fits]) >= least
+    return fits
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, REGISTERS)
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS)
-                for c in ("sketch_a", "sketch_b")
-            )
+            a, b = (_sketches(batch.column(c).to_pylist()) for c in ("sketch_a", "sketch_b"))
             na, nb = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            likely = jaccard_estimate(a, b, na, nb) >= least
-            yield batch.select(["a", "b"]).filter(pa.array(likely))
+            yield batch.select(["a", "b"]).filter(pa.array(_likely(a, b, na, nb)))
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Likely pairs between two blocks of a group, each at the first band it shares."""
+    for batch in batches:
+        found_a, found_b = [], []
+        for band, same, *sides in zip(*(batch.column(c).to_pylist() for c in ("band", "same", "x", "y"))):
+            x, y = sides
+            sx, sy = (_sketches(m["sketch"] for m in z) for z in (x, y))
+            nx, ny = (np.array([m["n_shingles"] for m in z], float) for z in (x, y))
+            labels = {v: k for k, v in enumerate({m["label"] for m in x} | {m["label"] for m in y})}
+            lx, ly = (np.array([labels[m["label"]] for m in z]) for z in (x, y))
+            mx, my = (np.array([m["minor"] for m in z]) for z in (x, y))
+            bx, by = (z[:, : BANDS * BAND].copy().view("<u4") for z in (sx, sy))
+            for i in range(len(x)):
+                ok = (ly != lx[i]) & (my | mx[i])
+                if same:
+                    ok[: i + 1] = False
+                k = np.flatnonzero(ok)
+                if len(k):
+                    k = k[(by[k, :band] != bx[i, :band]).all(axis=1)]
+                if len(k):
+                    k = k[_likely(sx[np.full(len(k), i)], sy[k], np.full(len(k), nx[i]), ny[k])]
+                for other in k.tolist():
+                    a, b = sorted((x[i]["node"], y[other]["node"]))
+                    found_a.append(a)
+                    found_b.append(b)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found_a, pa.binary()), pa.array(found_b, pa.binary())], names=["a", "b"]
+        )
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,13 +227,17 @@ def _with(pairs: DataFrame, side: str, nodes: DataFrame, **columns: str) -> Data
     return pairs.join(named, side)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the registers do not rule out."""
     pairs = _with(pairs, "a", classes, n_a="n_shingles", sketch_a="sketch")
     pairs = _with(pairs, "b", classes, n_b="n_shingles", sketch_b="sketch")
-    ratio = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SHARE
-    likely = cut_lineage(pairs.where(ratio).mapInArrow(_plausible, "a binary, b binary"))
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return cut_lineage(pairs.mapInArrow(_plausible, "a binary, b binary"))
+
+
+def _confirmed(likely: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    ends = likely.select(F.col("a").alias("node")).distinct()
+    wanted = ends.union(likely.select(F.col("b").alias("node")).distinct()).distinct()
     rows = cut_lineage(wanted.join(classes, "node").select("row").distinct())
     texts = docs.select("row", "text").join(broadcast_if_small(rows), "row", "left_semi")
     # a row hash may stand for another text as well: the digest decides
@@ -207,13 +248,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
 
 
 def _banded(classes: DataFrame) -> DataFrame:
-    """(node, key): a row per class and band."""
-    width = 2 * BAND
-    keys = [
-        F.xxhash64(F.lit(k), F.substring("sketch", 1 + k * width, width))
-        for k in range(REGISTERS // BAND)
-    ]
-    return classes.select("node", F.explode(F.array(*keys)).alias("key"))
+    """(node, band, key): a row per class and band."""
+    keys = [F.xxhash64(F.lit(k), F.substring("sketch", 1 + k * BAND, BAND)) for k in range(BANDS)]
+    return classes.select("node", F.posexplode(F.array(*keys)).alias("band", "key"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -241,16 +278,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hub = F.min_by("node", F.xxhash64("node", "key")).alias("hub")
     hubs = banded.groupBy("key").agg(hub, F.count(F.lit(1)).alias("members"))
     mates = cut_lineage(
-        banded.join(hubs.where(F.col("members") > 1), "key").select("key", "node", "hub")
+        banded.join(hubs.where(F.col("members") > 1), "key").select("key", "band", "node", "hub")
     )
     tested = cut_lineage(
         mates.where(F.col("node") != F.col("hub"))
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         .distinct()
     )
-    links = _confirmed(tested, classes, docs)
+    links = _confirmed(_estimated(tested, classes), classes, docs)
     labels = components(links)
-    more = _confirmed(_apart(mates, labels, tested), classes, docs)
+    more = _confirmed(_apart(mates, labels, tested, classes), classes, docs)
     if not more.isEmpty():
         labels = components(links.union(more))
     placed = classes.select("node", "first_id").join(labels, "node", "left")
@@ -264,28 +301,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _apart(mates: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs of band mates that lie in two components."""
+def _apart(
+    mates: DataFrame, labels: DataFrame, tested: DataFrame, classes: DataFrame
+) -> DataFrame:
+    """Likely untested pairs of band mates that lie in two components."""
     named = mates.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label")
+        "key", "band", "node", F.coalesce("label", "node").alias("label")
     )
     counted = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     split = counted.groupBy("key").agg(
-        F.max_by("label", F.struct("n", "label")).alias("major"), F.count(F.lit(1)).alias("parts")
+        F.max_by("label", F.struct("n", "label")).alias("major"),
+        F.count(F.lit(1)).alias("parts"),
+        F.sum("n").alias("members"),
     )
-    named = cut_lineage(named.join(split.where(F.col("parts") > 1), "key"))
-    minor = named.where(F.col("label") != F.col("major")).select(
-        "key", F.col("node").alias("x"), F.col("label").alias("x_label")
+    split = split.where(F.col("parts") > 1).drop("parts")
+    member = F.struct("node", "label", (F.col("label") != F.col("major")).alias("minor"), "n_shingles", "sketch")
+    blocks = (
+        named.join(split, "key")
+        .join(classes.select("node", "n_shingles", "sketch"), "node")
+        .select(
+            "key",
+            "band",
+            F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK_NODES)).alias("block"),
+            member.alias("member"),
+        )
+        .groupBy("key", "band", "block")
+        .agg(F.collect_list("member").alias("members"))
     )
-    # two members of minor components meet twice: once is enough
-    once = (F.col("label") == F.col("major")) | (F.col("x") < F.col("node"))
-    pairs = (
-        minor.join(named, "key")
-        .where((F.col("label") != F.col("x_label")) & once)
-        .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-        .distinct()
+    blocks = cut_lineage(blocks.withColumn("open", F.exists("members", lambda m: m["minor"])))
+    left = blocks.select("key", "band", F.col("block").alias("first"), F.col("members").alias("x"), F.col("open").alias("x_open"))
+    pairs = left.join(blocks, ["key", "band"]).where(
+        (F.col("first") <= F.col("block")) & (F.col("x_open") | F.col("open"))
     )
-    return cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"))
+    likely = pairs.select(
+        "band", (F.col("first") == F.col("block")).alias("same"), "x", F.col("members").alias("y")
+    ).mapInArrow(_across, "a binary, b binary")
+    return cut_lineage(likely.join(tested, ["a", "b"], "left_anti"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
