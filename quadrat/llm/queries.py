@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import decontaminate, mixing, neardup, quality, sharding, tokenids, toxicity
+from . import (
+    decontaminate,
+    mixing,
+    neardup,
+    piececounts,
+    quality,
+    sharding,
+    tokenids,
+    toxicity,
+    urlfilter,
+)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +198,35 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_decision_list")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op8_piece_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = piececounts.byte_vocabulary(tokenizer_file("byte_bpe_50k.json"))
+    return piececounts.count_pieces(read(spark, sf_dir, "documents"), vocabulary)
+
+
+@query(
+    "op10_bloom_cascade",
+    r"""
+WITH p AS (
+  SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path FROM pages),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/')
+      THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM p),
+listed AS (SELECT DISTINCT host || path AS key FROM p WHERE regexp_matches(url, '[?&]utm_[a-z]+='))
+SELECT page_id, host, path, rule, CASE rule WHEN 'com/' THEN 'allow' WHEN 'www.example.com/en/' THEN 'allow'
+    ELSE CASE WHEN rule IS NOT NULL OR host || path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END
+  END AS verdict
+FROM r""",
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, urlfilter.tracked_keys(pages))
