@@ -12,6 +12,7 @@ from . import (
     decontaminate,
     mixing,
     neardup,
+    pii,
     piececounts,
     quality,
     sharding,
@@ -230,3 +231,10 @@ FROM r""",
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return urlfilter.judge(pages, urlfilter.tracked_keys(pages))
+
+
+@query("op9_pii_bootstrap")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.report(read(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], digest, "spans")
