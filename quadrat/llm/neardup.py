@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookup import broadcast_if_small
@@ -253,11 +253,22 @@ def _banded(classes: DataFrame) -> DataFrame:
     return classes.select("node", F.posexplode(F.array(*keys)).alias("band", "key"))
 
 
+def _rank(doc_id: str, row: str) -> Column:
+    """Which document of a group goes first: the smallest id; null ids last, then by hash."""
+    return F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col(row))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     ``component_id`` is the smallest doc_id that links reach, the document's own included.
     """
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return _grouped(docs).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, row, n_shingles, component_id, first: ``first`` is the group's row to keep."""
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     signed = cut_lineage(
         docs.mapInArrow(
@@ -269,7 +280,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("first_id"),
-            F.min("row").alias("row"),
+            F.min_by("row", _rank("doc_id", "row")).alias("row"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("sketch").alias("sketch"),
         )
@@ -290,14 +301,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = _confirmed(_apart(mates, labels, tested, classes), classes, docs)
     if not more.isEmpty():
         labels = components(links.union(more))
-    placed = classes.select("node", "first_id").join(labels, "node", "left")
+    placed = classes.select("node", "first_id", "row").join(labels, "node", "left")
     placed = cut_lineage(placed.withColumn("label", F.coalesce("label", "node")))
-    least = placed.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = placed.join(least, "label").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(cut_lineage(found), "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    least = placed.groupBy("label").agg(
+        F.min("first_id").alias("component_id"),
+        F.min_by("row", _rank("first_id", "row")).alias("first"),
+    )
+    found = cut_lineage(placed.join(least, "label").select("node", "component_id", "first"))
+    out = signed.drop("sketch").join(found, "node", "left").drop("node")
+    alone = F.col("n_shingles") == 0
+    return out.withColumns(
+        {
+            "component_id": F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")),
+            "first": F.when(alone, F.col("row")).otherwise(F.col("first")),
+        }
     )
 
 
@@ -342,13 +359,22 @@ def _apart(
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each near-duplicate group; all columns stay.
 
-    A row that repeats its id within the group stays once.
+    Documents with empty sets are in no group, and all stay.
     """
-    ids = near_duplicates(docs)
-    ids = cut_lineage(ids.groupBy("doc_id").agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")))
-    drop = broadcast_if_small(ids.where(~F.col("_kept") & F.col("doc_id").isNotNull()).select("doc_id"))
-    repeated = ids.where(F.col("_kept") & (F.col("_n") > 1)).select("doc_id")
-    left = docs.join(drop, "doc_id", "left_anti")
-    several = broadcast_if_small(cut_lineage(repeated))
-    once = left.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(several, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    rows = cut_lineage(
+        _grouped(docs)
+        .groupBy("row")
+        .agg(
+            F.first(F.col("row") == F.col("first")).alias("stays"),
+            (F.max("n_shingles") > 0).alias("grouped"),
+            F.count(F.lit(1)).alias("n"),
+        )
+    )
+    drop = rows.where(~F.col("stays")).select(F.col("row").alias("_row"))
+    again = rows.where(F.col("stays") & F.col("grouped") & (F.col("n") > 1))
+    again = broadcast_if_small(again.select(F.col("row").alias("_row")))
+    whole = docs.select(F.struct("*").alias("_doc"), F.xxhash64("doc_id", "text").alias("_row"))
+    left = whole.join(broadcast_if_small(drop), "_row", "left_anti")
+    # equal rows of one id: one of them
+    once = left.join(again, "_row", "left_semi").dropDuplicates(["_row"])
+    return left.join(again, "_row", "left_anti").unionByName(once).select("_doc.*")

@@ -23,7 +23,7 @@ from ..session import ship_with_tasks
 ship_with_tasks(__name__)
 
 MAGIC, HEAD = b"RPG1", "<4sIIQQQB"
-ROUNDS, PER_ROUND, LEAST = 6, 4096, 8
+ROUNDS, PER_ROUND, LEAST = 4, 4096, 8
 HASH_BITS = 17
 STEP = 256
 

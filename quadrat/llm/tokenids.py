@@ -37,7 +37,7 @@ ship_with_tasks(__name__)
 
 END = 1
 SHARD_IDS = 1 << 20
-CACHE_PIECES = 600_000
+CACHE_CHUNKS = 700_000
 # The tokenizer's own pattern for the letters, digits and signs up to U+00FF, in lower case.
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
@@ -67,36 +67,53 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        self.pieces: dict[str, int] = {}
+        self.piece_starts, self.piece_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
         self.known: dict[str, int] = {}
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
 
-    def _learn(self, chunks: list[str]) -> None:
-        cut = [PIECES.findall(c.lower()) for c in chunks]
-        pieces = {p: k for k, p in enumerate({p for parts in cut for p in parts})}
-        texts = list(pieces)
-        joined = [" ".join(texts[k : k + 1000]) for k in range(0, len(texts), 1000)]
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """Encode new pieces, many at a time; each one's last token carries the end mark."""
+        joined = [" ".join(pieces[k : k + 1000]) for k in range(0, len(pieces), 1000)]
         got = self.merges.encode_batch_fast(joined, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in got] or [np.empty(0, np.uint32)])
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in got])
         stop = np.flatnonzero(self.ends[ids]) + 1
         start = np.concatenate([[0], stop[:-1]]).astype(np.int64)
-        where = np.fromiter((pieces[p] for parts in cut for p in parts), np.int64)
-        size = stop[where] - start[where]
-        flat = _stretches(ids, start[where], size)
+        first = len(self.pieces)
+        self.pieces.update(zip(pieces, range(first, first + len(pieces))))
+        self.piece_starts = np.concatenate([self.piece_starts, start + len(self.pool)])
+        self.piece_lengths = np.concatenate([self.piece_lengths, stop - start])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember new chunks: one of one piece shares its ids, another gets its own."""
+        lowered = [c.lower() for c in chunks]
+        cut = [(c,) if c.isascii() and c.isalpha() else PIECES.findall(c) for c in lowered]
+        fresh = set().union(*cut).difference(self.pieces)
+        if fresh:
+            self._learn_pieces(list(fresh))
+        at = self.pieces.__getitem__
         count = np.fromiter(map(len, cut), np.int64, len(cut))
-        begin = np.concatenate([[0], np.cumsum(size)])
-        edge = begin[np.concatenate([[0], np.cumsum(count)])]
+        where = np.fromiter((at(p) for parts in cut for p in parts), np.int64, int(count.sum()))
+        edge = np.concatenate([[0], np.cumsum(count)])
+        size = np.add.reduceat(np.append(self.piece_lengths[where], 0), edge[:-1]) * (count > 0)
+        start = np.append(self.piece_starts[where], 0)[edge[:-1]]
+        several = np.flatnonzero(count > 1)
+        mine = np.repeat(count > 1, count)
+        own = _stretches(self.pool, self.piece_starts[where[mine]], self.piece_lengths[where[mine]])
+        start[several] = len(self.pool) + np.cumsum(size[several]) - size[several]
         first = len(self.known)
         self.known.update(zip(chunks, range(first, first + len(chunks))))
-        self.starts = np.concatenate([self.starts, edge[:-1] + len(self.pool)])
-        self.lengths = np.concatenate([self.lengths, np.diff(edge)])
-        self.pool = np.concatenate([self.pool, flat])
+        self.starts = np.concatenate([self.starts, start])
+        self.lengths = np.concatenate([self.lengths, size])
+        self.pool = np.concatenate([self.pool, own])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         odd = [bool(ODD.search(t)) for t in texts]
         chunks = [[] if no else t.split() for t, no in zip(texts, odd)]
-        if len(self.known) > CACHE_PIECES:
+        if len(self.known) > CACHE_CHUNKS:
             self.forget()
         fresh = set().union(*chunks).difference(self.known)
         if fresh:
