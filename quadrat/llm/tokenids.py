@@ -41,8 +41,7 @@ CACHE_CHUNKS = 700_000
 # The tokenizer's own pattern for the letters, digits and signs up to U+00FF, in lower case.
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
-# White space to one side only, or what lower-cases into more than one character.
-ODD = re.compile("[\x1c-\x1f]|[^\x00-\xff]|<\\|(?:start|end)oftext\\|>")
+ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 class Encoder:
@@ -69,7 +68,7 @@ class Encoder:
     def forget(self) -> None:
         self.pieces: dict[str, int] = {}
         self.piece_starts, self.piece_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
 
@@ -103,31 +102,56 @@ class Encoder:
         mine = np.repeat(count > 1, count)
         own = _stretches(self.pool, self.piece_starts[where[mine]], self.piece_lengths[where[mine]])
         start[several] = len(self.pool) + np.cumsum(size[several]) - size[several]
-        first = len(self.known)
-        self.known.update(zip(chunks, range(first, first + len(chunks))))
         self.starts = np.concatenate([self.starts, start])
         self.lengths = np.concatenate([self.lengths, size])
         self.pool = np.concatenate([self.pool, own])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        odd = [bool(ODD.search(t)) for t in texts]
-        chunks = [[] if no else t.split() for t, no in zip(texts, odd)]
         if len(self.known) > CACHE_CHUNKS:
             self.forget()
-        fresh = set().union(*chunks).difference(self.known)
-        if fresh:
-            self._learn(list(fresh))
-        at = self.known.__getitem__
-        out = []
-        for text, parts, no in zip(texts, chunks, odd):
-            if no:
-                ids = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+        number, at = self.known.__getitem__, []
+        for text in texts:
+            if _odd(text):
+                at.append(None)
             else:
-                k = np.fromiter(map(at, parts), np.int64, len(parts))
-                ids = _stretches(self.pool, self.starts[k], self.lengths[k])
-            out.append(ids)
-        return out
+                parts = text.split()
+                at.append(np.fromiter(map(number, parts), np.int64, len(parts)))
+        if self.known.fresh:
+            self._learn(self.known.fresh)
+            self.known.fresh = []
+        return [
+            np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            if k is None
+            else _stretches(self.pool, self.starts[k], self.lengths[k])
+            for text, k in zip(texts, at)
+        ]
+
+
+class Numbers(dict):
+    """Numbers what it is asked for, from 0, and lists what is new."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = k = len(self)
+        self.fresh.append(key)
+        return k
+
+
+def _odd(text: str) -> bool:
+    """Whether a text cannot be cut at white space before it is encoded.
+
+    It has a character above U+00FF, one that is white space to one side only, or may
+    spell a special token.
+    """
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return True
+    return any(mark in text for mark in ODD)
 
 
 def _stretches(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
