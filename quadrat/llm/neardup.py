@@ -47,8 +47,8 @@ BLOCK_NODES = 256
 DEVIATIONS = 4.0
 
 _MIX = np.random.default_rng(20210127)
-_FACTORS = _MIX.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _MIX.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
+_FACTORS = _MIX.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SHIFTS = _MIX.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
 _PLACES = _MIX.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 256
 
@@ -83,16 +83,18 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     The smallest exponential variate comes from the smallest hash, so the logarithm is
     taken once per register and not once per shingle.
     """
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
-    room = np.empty((_BLOCK, REGISTERS), np.uint64)
-    for s in range(0, len(hashes), _BLOCK):
-        part = hashes[s : s + _BLOCK, None]
+    least = np.full(REGISTERS, np.iinfo(np.uint32).max, np.uint32)
+    room = np.empty((_BLOCK, REGISTERS), np.uint32)
+    # 32 bits are far finer than a register's steps, and twice as fast
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    for s in range(0, len(short), _BLOCK):
+        part = short[s : s + _BLOCK, None]
         out = room[: len(part)]
         np.multiply(part, _FACTORS, out=out)
         out += _SHIFTS
         np.minimum(least, out.min(axis=0), out=least)
-    uniform = (least.astype(np.float64) + 0.5) / 2.0**64
-    variate = -np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE
+    uniform = (least.astype(np.float64) + 0.5) / 2.0**32
+    variate = -np.log1p(-uniform) / RATE
     return np.clip(np.floor(1 - np.log(variate) / np.log(BASE)), 0, TOP + 1).astype(np.uint8)
 
 
