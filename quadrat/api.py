@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Mapping
 from typing import Any
@@ -13,7 +14,7 @@ from .errors import PlotDataError, UnfilteredReadError
 from .functions import geometry
 from .model import (
     ATTRIBUTE_ENTITIES,
-    DISCOVER_ALIASES,
+    MAP_SITE_LIMIT,
     MISSING_TEXT,
     OBSERVATIONS,
     PLANT_VOUCHER,
@@ -40,6 +41,26 @@ SUMMARY_FACETS = {
     ),
     SAMPLES: ("site_id", "material_sample_type", "speciesname", "sample_name"),
 }
+# What `discover` can answer: question -> method.
+ANSWERS: dict[str, Any] = {}
+
+
+def _question(text: str) -> str:
+    """A facet's name as words joined by underscores, however it is written."""
+    return "_".join(re.findall("[a-z0-9]+", text.lower()))
+
+
+def answers(*questions: str, asks: tuple[str, ...] = ()):
+    """Let ``discover`` reach a method under these names, with what it asks for."""
+
+    def register(method):
+        method.asks = asks
+        ANSWERS.update(dict.fromkeys(questions, method))
+        return method
+
+    return register
+
+
 MODE_NAMES = {
     "observation": OBSERVATIONS,
     "observations": OBSERVATIONS,
@@ -71,6 +92,8 @@ class PlotData:
         facts = tables.observation if self.mode == OBSERVATIONS else tables.sample
         if facts is None:
             raise PlotDataError(f"There is no table for '{self.mode}' mode.")
+        if self.mode == SAMPLES and tables.required_sample_dataset and "dataset" not in facts.columns:
+            raise PlotDataError("The required dataset of samples cannot be checked without a dataset column.")
         self.facts: DataFrame = facts
         self.spark = configure(facts.sparkSession)
         self._seen: dict[tuple[str, str], Any] = {}
@@ -190,8 +213,6 @@ class PlotData:
     ) -> DataFrame:
         by_label = self.tables.codes == "label"
         values = {k: v if by_label else codes.get(k, v) for k, v in chosen.values.items()}
-        if self.mode == SAMPLES and "dataset" not in self.facts.columns:
-            values.pop("dataset", None)
         return Selection(self.mode, values).apply(facts or self.facts, self.tables, self.depth_mode)
 
     def selected(self) -> DataFrame:
@@ -213,33 +234,11 @@ class PlotData:
 
     def discover(self, facet: str, region_type: str | None = None, include_region: bool = False) -> DataFrame:
         """Values of a facet, or one of the aggregates, by any of its names."""
-        what = DISCOVER_ALIASES.get(facet.strip().lower().replace("-", "_").replace(" ", "_"))
-        if what is None:
+        builder = ANSWERS.get(_question(facet))
+        if builder is None:
             raise PlotDataError(f"There is nothing to discover under {facet!r}.")
-        if what == "site_id":
-            return self.get_sites(include_region)
-        if what == "region":
-            if not region_type:
-                raise PlotDataError("Which regions? Give a region_type.")
-            return self.get_regions(region_type)
-        return {
-            "dataset": self.get_datasources,
-            "dataset_attributes": self.get_datasources_attributes,
-            "site_attributes": self.get_site_attributes,
-            "site_attributes_data": self.get_site_attributes_data,
-            "site_visit_attributes": self.get_site_visit_attributes,
-            "site_visit_attributes_data": self.get_site_visit_attributes_data,
-            "observation_attributes": self.get_observation_attributes,
-            "region_type": self.get_region_types,
-            "feature_type": self.get_feature_types,
-            "observed_property": self.get_observed_properties,
-            "used_procedure": self.get_used_procedures,
-            "material_sample_type": self.get_material_sample_types,
-            "sample_igsn": self.get_sample_igsn,
-            "soil_depth_range": self.get_soil_depth_range,
-            "soilpit": self.get_soilpit,
-            "speciesname": self.get_speciesname,
-        }[what]()
+        given = {"region_type": region_type, "include_region": include_region}
+        return builder(self, *[given[name] for name in builder.asks])
 
     def _values(self, facet: str) -> DataFrame:
         column = facet_column(facet, set(self.facts.columns))
@@ -251,6 +250,7 @@ class PlotData:
         if self.mode != mode:
             raise PlotDataError(f"{what}: only for {mode}.")
 
+    @answers("dataset", "datasource", "datasources")
     def get_datasources(self) -> DataFrame:
         name = self.tables.required_sample_dataset
         if self.mode == SAMPLES and name:
@@ -258,6 +258,7 @@ class PlotData:
             return self.spark.createDataFrame([(name, uri)], "key string, uri string")
         return self._values("dataset")
 
+    @answers("site", "sites", "site_id", asks=("include_region",))
     def get_sites(self, include_region: bool = False) -> DataFrame:
         found = self._values("site_id")
         if not include_region:
@@ -269,13 +270,17 @@ class PlotData:
         own = "key" if self.tables.codes == "label" else "uri"
         return found.join(wide.drop("site_id"), F.col(own) == F.col("_site"), "left").drop("_site")
 
+    @answers("region_type", "region_types")
     def get_region_types(self) -> DataFrame:
         members = lookup.sites_of_samples(self.tables.site_region, self.selected())
         return discovery.discover_values(
             members, "region_type", self.tables.vocab, "region_type", self.tables.codes
         )
 
-    def get_regions(self, region_type: str) -> DataFrame:
+    @answers("region", "regions", asks=("region_type",))
+    def get_regions(self, region_type: str | None) -> DataFrame:
+        if not region_type:
+            raise PlotDataError("Which regions? Give a region_type.")
         members = lookup.sites_of_samples(self.tables.site_region, self.selected())
         members = members.where(F.col("region_type") == self._region_type(region_type))
         return discovery.discover_values(members, "region", self.tables.vocab, "region", self.tables.codes)
@@ -294,15 +299,19 @@ class PlotData:
             )
         return name if self.tables.codes == "label" else REGION_TYPES[name]
 
+    @answers("feature_type", "feature_types")
     def get_feature_types(self) -> DataFrame:
         return self._values("feature_type")
 
+    @answers("observed_property", "observed_properties")
     def get_observed_properties(self) -> DataFrame:
         return self._values("observed_property")
 
+    @answers("used_procedure", "used_procedures")
     def get_used_procedures(self) -> DataFrame:
         return self._values("used_procedure")
 
+    @answers("material_sample_type", "material_sample_types")
     def get_material_sample_types(self) -> DataFrame:
         self._only(SAMPLES, "Material sample types")
         return self._values("material_sample_type")
@@ -317,24 +326,30 @@ class PlotData:
             raise PlotDataError(f"The table has no attribute map for {name!r}.")
         return discovery.discover_attributes(self.selected(), self.tables.vocab, column)
 
+    @answers("dataset_attributes", "datasource_attributes")
     def get_datasources_attributes(self) -> DataFrame:
         return self.discover_attributes("dataset")
 
+    @answers("site_attributes")
     def get_site_attributes(self) -> DataFrame:
         return self.discover_attributes("site")
 
     get_sites_attributes = get_site_attributes
 
+    @answers("site_visit_attributes")
     def get_site_visit_attributes(self) -> DataFrame:
         return self.discover_attributes("site_visit")
 
+    @answers("observation_attributes")
     def get_observation_attributes(self) -> DataFrame:
         self._only(OBSERVATIONS, "Observation attributes")
         return self.discover_attributes("observation")
 
+    @answers("site_attributes_data", "site_attribute_data")
     def get_site_attributes_data(self) -> DataFrame:
         return readers.attribute_table(self.tables, "site", self.selected())
 
+    @answers("site_visit_attributes_data", "site_visit_attribute_data")
     def get_site_visit_attributes_data(self) -> DataFrame:
         return readers.attribute_table(self.tables, "site_visit", self.selected())
 
@@ -345,16 +360,20 @@ class PlotData:
         discovery.require_sample_type(self._chosen.values.get("material_sample_type", ()), aggregate)
         return self.selected()
 
+    @answers("sample_igsn")
     def get_sample_igsn(self) -> DataFrame:
         self._only(SAMPLES, "Sample IGSN lookup")
         return discovery.sample_igsn(self.selected())
 
+    @answers("soil_depth_range")
     def get_soil_depth_range(self) -> DataFrame:
         return discovery.soil_depth_range(self._sample_rows("soil_depth_range", "Soil depth range"))
 
+    @answers("soilpit")
     def get_soilpit(self) -> DataFrame:
         return discovery.soilpit_counts(self._sample_rows("soilpit", "Soil pit distribution"))
 
+    @answers("speciesname")
     def get_speciesname(self) -> DataFrame:
         return discovery.species_counts(self._sample_rows("speciesname", "Species distribution"))
 
@@ -367,7 +386,10 @@ class PlotData:
             raise PlotDataError(f"Image listing needs material_sample_type {PLANT_VOUCHER!r}.")
         rows = self.selected().select(
             "sample_id",
-            images.row_label(F.col("sample_name"), F.col("sample_id"), F.lit(0)).alias("name"),
+            # a row without name and id is told apart by a hash of the row
+            images.row_label(
+                F.col("sample_name"), F.col("sample_id"), F.abs(F.xxhash64(*self.order))
+            ).alias("name"),
             F.coalesce("scientific_name", F.lit(MISSING_TEXT)).alias("scientific_name"),
             images.image_options(F.col("sample_images").cast("string")).alias("options"),
         )
@@ -382,8 +404,16 @@ class PlotData:
             rows = rows.where(geometry.in_bbox_or_shape(F.col("lon"), F.col("lat"), shape))
         return spatial.cluster_weights(spatial.clusters(rows))
 
-    def map_layer(self) -> DataFrame:
-        return spatial.map_layer(self.selected())
+    def map_layer(self, shape=None, window=None, limit: int = MAP_SITE_LIMIT) -> DataFrame:
+        """Sites, or clusters from ``limit`` sites on, in a shape and a window if given."""
+        return spatial.map_layer(self.selected(), window, limit, shape)
+
+    def within_shapes(self, shapes: DataFrame) -> DataFrame:
+        """The selected rows, each with the id of every polygon that holds its point.
+
+        ``shapes`` has ``shape_id`` and ``ring`` (array of ``struct<x,y>``).
+        """
+        return spatial.points_in_polygons(self.selected(), shapes)
 
     def sites_in(self, shape) -> DataFrame:
         return spatial.sites_in_shape(self.selected(), shape)

@@ -11,19 +11,6 @@ from pyspark.sql import types as T
 
 OBSERVATIONS, SAMPLES = "observations", "samples"
 
-VOCAB_FACETS = (
-    "region_type",
-    "region",
-    "dataset",
-    "site_id",
-    "site_visit_id",
-    "feature_type",
-    "observed_property",
-    "attributes",
-    "used_procedure",
-    "core_attributes",
-)
-
 QUERY_FACETS = {
     OBSERVATIONS: (
         "region_type",
@@ -55,27 +42,6 @@ QUERY_FACETS = {
     ),
 }
 
-DISCOVERY_FACETS = {
-    OBSERVATIONS: (
-        "region_type",
-        "region",
-        "dataset",
-        "feature_type",
-        "observed_property",
-        "site_id",
-        "used_procedure",
-    ),
-    SAMPLES: (
-        "region_type",
-        "region",
-        "dataset",
-        "material_sample_type",
-        "site_id",
-        "used_procedure",
-        "sample_name",
-    ),
-}
-
 ATTRIBUTE_ENTITIES = ("dataset", "feature_type", "observation", "site", "site_visit")
 
 # Region type -> its public identifier.
@@ -96,41 +62,6 @@ SOIL_PIT = "Soil Pit Sample"
 SOIL_SUBSITE = "Soil Subsite Sample"
 MATERIAL_SAMPLE_TYPES = (PLANT_TISSUE, PLANT_VOUCHER, SOIL_METAGENOMIC, SOIL_PIT, SOIL_SUBSITE)
 
-# Name a user may give to ``discover`` -> what is discovered.
-DISCOVER_ALIASES = {
-    "dataset": "dataset",
-    "datasource": "dataset",
-    "datasources": "dataset",
-    "dataset_attributes": "dataset_attributes",
-    "datasource_attributes": "dataset_attributes",
-    "site": "site_id",
-    "site_id": "site_id",
-    "sites": "site_id",
-    "site_attributes": "site_attributes",
-    "site_attributes_data": "site_attributes_data",
-    "site_attribute_data": "site_attributes_data",
-    "site_visit_attributes": "site_visit_attributes",
-    "site_visit_attributes_data": "site_visit_attributes_data",
-    "site_visit_attribute_data": "site_visit_attributes_data",
-    "region_type": "region_type",
-    "region_types": "region_type",
-    "region": "region",
-    "regions": "region",
-    "feature_type": "feature_type",
-    "feature_types": "feature_type",
-    "observed_property": "observed_property",
-    "observed_properties": "observed_property",
-    "used_procedure": "used_procedure",
-    "used_procedures": "used_procedure",
-    "observation_attributes": "observation_attributes",
-    "material_sample_type": "material_sample_type",
-    "material_sample_types": "material_sample_type",
-    "sample_igsn": "sample_igsn",
-    "soil_depth_range": "soil_depth_range",
-    "soilpit": "soilpit",
-    "speciesname": "speciesname",
-}
-
 # Fields of a sample document that never reach the user, besides those that start
 # with DROPPED_SAMPLE_PREFIX.
 DROPPED_SAMPLE_PREFIX = "region"

@@ -16,57 +16,61 @@ ship_with_tasks(__name__)
 OPTIONS_TYPE = "array<struct<label:string,url:string>>"
 
 
-def _rank(option: tuple[str, str]) -> tuple[int, str]:
-    return IMAGE_ORDER.get(option[0], IMAGE_ORDER_OTHER), option[0]
+LEAF = ["cell", "place", "listed", "label", "url"]
 
 
-def _options(cell) -> list[tuple[str, str]]:
-    """(label, url) pairs of one decoded cell.
+def _leaves(number: int, cell) -> list[tuple]:
+    """All image texts of one decoded cell, in document order.
 
-    A text is an image itself; a map names its images by key; a list joins what its
-    items hold, first URL wins, best size first.
+    ``place`` is where the outermost list around a text begins, or the text itself where
+    there is none: the images of such a list are shown together.
     """
-    match cell:
-        case str():
-            return [("image", cell)] if cell.strip() else []
-        case dict():
-            found = []
-            for key, inner in cell.items():
-                if isinstance(inner, (dict, list)):
-                    found.extend(_options(inner))
-                elif isinstance(inner, str) and inner.strip() and key in IMAGE_KEYS:
-                    found.append((key, inner))
-            return found
-        case list():
-            by_url: dict[str, str] = {}
-            for item in cell:
-                for label, url in _options(item):
-                    by_url.setdefault(url, label)
-            return sorted(((label, url) for url, label in by_url.items()), key=_rank)
-        case _:
-            return []
-
-
-def _decode(text: str | None) -> list[tuple[str, str]]:
-    if text is None:
-        return []
+    found: list[tuple] = []
+    todo = [(cell, "image", None)]
+    while todo:
+        value, label, within = todo.pop()
+        if isinstance(value, str):
+            if label is not None and value.strip():
+                at = len(found) if within is None else within
+                found.append((number, at, within is not None, label, value))
+        elif isinstance(value, list):
+            start = len(found) if within is None else within
+            todo += [(v, "image", start) for v in reversed(value)]
+        elif isinstance(value, dict):
+            keyed = [(v, k if k in IMAGE_KEYS else None, within) for k, v in value.items()]
+            todo += reversed(keyed)
+    return found
+
+
+def _decoded(text: str | None):
     try:
-        return _options(json.loads(text))
+        return None if text is None else json.loads(text)
     except ValueError:
-        return _options(text)
+        return text
 
 
 def image_options(cell: Column) -> Column:
     """Ordered ``array<struct<label,url>>`` of a JSON cell, nested to any depth.
 
-    Runs as Arrow batches: the nesting is unbounded, which no Catalyst expression covers.
+    A text is an image itself, a map names its images by key. The images of a list come
+    best size first, and a URL in it counts once, under its first label. Nesting without a
+    bound has no Catalyst expression: the texts of an Arrow batch of cells are laid out as
+    one table, which is then deduplicated and sorted as a whole.
     """
 
     @F.pandas_udf(OPTIONS_TYPE)
     def options(cells: pd.Series) -> pd.Series:
-        return pd.Series(
-            [[{"label": a, "url": u} for a, u in _decode(c)] for c in cells], dtype="object"
-        )
+        rows = [leaf for k, text in enumerate(cells) for leaf in _leaves(k, _decoded(text))]
+        table = pd.DataFrame(rows, columns=LEAF)
+        again = table["listed"].astype(bool) & table.duplicated(["cell", "place", "url"])
+        table = table[~again]
+        size = table["label"].map(IMAGE_ORDER).fillna(IMAGE_ORDER_OTHER)
+        listed = table["listed"].astype(bool)
+        table = table.assign(size=size.where(listed, 0), name=table["label"].where(listed, ""))
+        table = table.sort_values(["cell", "place", "size", "name"], kind="stable")
+        pairs = [{"label": a, "url": u} for a, u in zip(table["label"], table["url"])]
+        ends = table["cell"].searchsorted(range(len(cells) + 1)) if len(table) else [0] * (len(cells) + 1)
+        return pd.Series([pairs[a:b] for a, b in zip(ends, ends[1:])], dtype="object")
 
     return options(cell)
 

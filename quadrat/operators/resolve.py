@@ -19,6 +19,7 @@ Both filters are exact: no pair that reaches the threshold is lost.
 
 from __future__ import annotations
 
+import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -311,9 +312,10 @@ def resolve_region_types(texts: DataFrame, column: str) -> DataFrame:
 
 def resolve_name(text: str, allowed, threshold: float = FACET_NAME_THRESHOLD) -> str | None:
     """Closest of a few fixed names (driver side), or None."""
-    key = text.strip().replace(" ", "_").lower()
-    top = max(allowed, key=lambda name: similarity.ratio(key, name))
-    return top if similarity.ratio(key, top) >= threshold else None
+    key = "_".join(re.findall("[a-z0-9]+", text.lower()))
+    scored = [(similarity.ratio(key, name), name) for name in sorted(allowed, reverse=True)]
+    score, top = max(scored)
+    return top if score >= threshold else None
 
 
 def match_species(

@@ -21,6 +21,7 @@ from ..functions import geometry
 from ..functions.dates import parse_date
 from ..model import QUERY_FACETS, SAMPLES, SurveyTables
 from ..session import cut_lineage
+from .lookup import broadcast_if_small
 
 # Facets whose value is one literal rather than a list of vocabulary entries.
 SCALAR_FACETS = ("spatial", "date_from", "date_to", "soil_depth_range", "has_image")
@@ -116,7 +117,7 @@ class Selection:
                 continue
             if name not in SCALAR_FACETS:
                 column = facet_column(name, have)
-                if len(value) <= IN_LIST_LIMIT:
+                if not _is_long(name, value):
                     tests.append(F.col(column).isin(*value))
             elif name == "spatial":
                 tests.append(geometry.in_bbox_or_shape(F.col("lon"), F.col("lat"), value))
@@ -138,9 +139,9 @@ class Selection:
         test = self.predicate(df.columns, depth_mode)
         out = df if test is None else df.where(test)
         for name, value in self.values.items():
-            if name not in LITERAL_FACETS and len(value) > IN_LIST_LIMIT:
+            if _is_long(name, value):
                 column = facet_column(name, set(df.columns))
-                wanted = df.sparkSession.createDataFrame([(v,) for v in value], f"{column} string")
+                wanted = df.sparkSession.createDataFrame([(str(v),) for v in value], f"`{column}` string")
                 wanted = wanted.select(F.col(column).cast(df.schema[column].dataType))
                 out = out.join(wanted, column, "left_semi")
         if "region_type" in self.values:
@@ -240,6 +241,12 @@ def _depth_range(value) -> tuple[float, float]:
 # --- single tests -----------------------------------------------------------------
 
 
+def _is_long(name: str, value) -> bool:
+    """Whether a facet's values go into a semi-join; both forms keep the same rows."""
+    listed = name not in SCALAR_FACETS and name not in ("region_type", "region")
+    return listed and len(value) > IN_LIST_LIMIT
+
+
 def date_test(column: Column, date_from: str | None, date_to: str | None) -> Column | None:
     """Both ends inclusive, as a half-open range that Parquet statistics can use."""
     tests = []
@@ -288,7 +295,9 @@ def in_regions(df: DataFrame, site_region: DataFrame, region_types, regions=())
     member = F.col("region_type").isin(*region_types)
     if regions:
         member &= F.col("region").isin(*regions)
-    return df.join(site_region.where(member).select("site_id"), "site_id", "left_semi")
+    # distinct sites first: measured small they are broadcast, and the facts stay in place
+    sites = site_region.where(member).select("site_id").distinct()
+    return df.join(broadcast_if_small(sites), "site_id", "left_semi")
 
 
 # --- many selections in one pass --------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
-from ..model import CLUSTER_PRECISION, MAP_SITE_LIMIT, MAP_WINDOW
+from ..model import CLUSTER_PRECISION, MAP_SITE_LIMIT
 from .lookup import is_small
 
 # Cells of level n are 360 / 2**n degrees wide.
@@ -65,8 +65,6 @@ def points_in_polygons(
         .withColumn("level", F.greatest("level", F.lit(0)))
         .drop("span")
     )
-    few = is_small(shapes)
-    salts = 1 if few else salts
     # at most MAX_LEVEL + 1 rows
     levels = [r["level"] for r in shapes.select("level").distinct().collect()]
     size = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
@@ -77,8 +75,11 @@ def points_in_polygons(
         .withColumn(
             "cy", F.explode(F.sequence(_cell(F.col("miny"), 90.0, size), _cell(F.col("maxy"), 90.0, size)))
         )
-        .withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     )
+    # what would be broadcast is measured, not what it is made from
+    few = is_small(covered)
+    salts = 1 if few else salts
+    covered = covered.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     keyed = (
         points.withColumn("salt", F.pmod(F.xxhash64(*points.columns), F.lit(salts)).cast("int"))
         .withColumn("level", F.explode(F.array(*[F.lit(i) for i in levels])))
@@ -147,16 +148,20 @@ def sites_in_shape(points: DataFrame, shape) -> DataFrame:
     return points.where(test).agg(F.count_distinct("site_id").alias("num_sites"))
 
 
-def map_layer(points: DataFrame, window=MAP_WINDOW, limit: int = MAP_SITE_LIMIT) -> DataFrame:
+def map_layer(points: DataFrame, window=None, limit: int = MAP_SITE_LIMIT, shape=None) -> DataFrame:
     """Single sites when there are fewer than ``limit``, else clusters.
 
+    ``window`` (west, north, east, south) and ``shape`` (a spatial literal) narrow the map
+    down; without them every point counts.
     One probe of at most ``limit`` rows decides; both answers have the same columns
     (kind, site_id, cell_x, cell_y, num_sites, lon, lat).
     """
-    west, north, east, south = window
-    shown = points.where(
-        geometry.in_box(F.col("lon"), F.col("lat"), (west, south, east, north))
-    ).select("site_id", "lon", "lat")
+    shown, at = points.select("site_id", "lon", "lat"), (F.col("lon"), F.col("lat"))
+    if window is not None:
+        west, north, east, south = window
+        shown = shown.where(geometry.in_box(*at, (west, south, east, north)))
+    if shape is not None:
+        shown = shown.where(geometry.in_bbox_or_shape(*at, shape))
     sites = shown.distinct()
     if 0 < sites.limit(limit).count() < limit:
         return sites.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..model import OBSERVATIONS
+from ..model import MAP_WINDOW, OBSERVATIONS
 from ..operators import align, discovery, lookup, paging, spatial
 from ..operators.selection import Selection, date_test
 from ..sources import readers
@@ -300,7 +300,7 @@ def cluster_weights(spark, folder):
     "site",
 )
 def map_layer(spark, folder):
-    return spatial.map_layer(views.site_points(spark, folder))
+    return spatial.map_layer(views.site_points(spark, folder), window=MAP_WINDOW)
 
 
 # --- regions and labels -----------------------------------------------------------

@@ -127,6 +127,18 @@ def subsite_in(spark, folder):
     return rows.select("sample_id", "soil_subsite_id")
 
 
+@query(
+    "subsite_many",
+    "SELECT sample_id, soil_subsite_id FROM sample WHERE soil_subsite_id < 3 OR soil_subsite_id > 2000",
+    "sample",
+)
+def subsite_many(spark, folder):
+    """More ids than an IN list takes: they become a semi-join."""
+    ids = [0, "1", 2, *range(2001, 4001)]
+    rows = _select(spark, folder, SAMPLES, None, soil_subsite=ids)
+    return rows.select("sample_id", "soil_subsite_id")
+
+
 @query("has_image", "SELECT sample_id FROM sample WHERE sample_id % 4 = 3", "sample")
 def has_image(spark, folder):
     return _select(spark, folder, SAMPLES, None, has_image=True).select("sample_id")

@@ -113,7 +113,7 @@ def resolve_fuzzy(spark, folder):
     """Every label with its second character missing, all facets in one job."""
 
     def change(facet, v, k):
-        return F.concat(F.substring(v, 1, 1), F.substring(v, 3, 1000))
+        return F.concat(F.substring(v, 1, 1), F.substr(v, F.lit(3)))
 
     found = resolve.resolve(
         _candidates(spark, folder, change),
@@ -143,7 +143,7 @@ def resolve_single(spark, folder):
 
     def change(facet, v, k):
         address = F.concat(F.lit("http://v.tst/"), facet, F.lit("/"), v)
-        name = F.concat(F.substring(v, 1, 1), F.substring(v, 3, 1000))
+        name = F.concat(F.substring(v, 1, 1), F.substr(v, F.lit(3)))
         return F.when(k % 2 == 0, address).otherwise(name)
 
     found = resolve.resolve_single(

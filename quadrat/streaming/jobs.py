@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..errors import PlotDataError
 from ..session import shared_dir
 
 
@@ -29,8 +30,11 @@ def run_to_table(
 
     ``transform`` is applied per micro-batch, which allows batch-only steps in it;
     ``schema`` is that of its result. Give ``out`` and ``checkpoint`` to go on from an
-    earlier run.
+    earlier run; one without the other would number its batches from 0 again, and replace
+    what is there.
     """
+    if (out is None) != (checkpoint is None):
+        raise PlotDataError("Give both folders, out and checkpoint, or neither.")
     spark = stream.sparkSession
     base = shared_dir(spark, purpose)
     out, checkpoint = out or f"{base}/data", checkpoint or f"{base}/checkpoint"
