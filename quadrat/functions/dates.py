@@ -2,38 +2,56 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: the shape of a text and the layout it is read with; days come first
-LAYOUT_OF_SHAPE = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
-    (r"^[A-Za-z]{4,} \d{1,2} \d{4}$", "MMMM d yyyy"),
-    (r"^\d{4} [A-Za-z]{3} \d{1,2}$", "yyyy MMM d"),
+# fixed values
+MONTHS = (
+    "january february march april may june july august september october november december"
+).split()
+# Two-digit years from this one on are of the last century.
+CENTURY = 69
+
+CLOCK = r"(?i)[t ]\s*\d{1,2}:\d{2}.*$"
+NOISE = r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\b|\bof\b|(?<=\d)\s*(?:st|nd|rd|th)\b"
+# Where year, month and day stand once a text is words and numbers parted by blanks.
+ORDERS = (
+    (r"^(\d{4}) ?(\d{2}) ?(\d{2})$", "ymd"),
+    (r"^(\d{4}) (\d{1,2}) (\d{1,2})$", "ymd"),
+    (r"^(\d{1,2}) (\d{1,2}) (\d{4}|\d{2})$", "dmy"),
+    (r"^(\d{1,2}) ([a-z]{3,}) (\d{4}|\d{2})$", "dmy"),
+    (r"^([a-z]{3,}) (\d{1,2}) (\d{4}|\d{2})$", "mdy"),
+    (r"^(\d{4}) ([a-z]{3,}) (\d{1,2})$", "ymd"),
 )
-ORDINAL = r"(?i)(\d+)\s*(?:st|nd|rd|th)\b"
-CLOCK = r"[T ]\d{1,2}:\d{2}.*$"
+
+
+def _month(text: Column) -> Column:
+    """Number of a month given as a number, or as its name or a beginning of it."""
+    short = F.when(text == "sept", "sep").otherwise(text)
+    named = F.array_position(
+        F.transform(F.array(*map(F.lit, MONTHS)), lambda name: name.startswith(short)), True
+    )
+    return F.when(text.rlike("^[a-z]"), named).otherwise(text.try_cast("int"))
+
+
+def _year(text: Column) -> Column:
+    number = text.try_cast("int")
+    short = number + F.when(number < CENTURY, 2000).otherwise(1900)
+    return F.when(F.length(text) == 2, short).otherwise(number)
 
 
 def parse_date(text: Column) -> Column:
-    """DATE of a free-text date; NULL when no layout fits (month > 12 included)."""
-    plain = F.regexp_replace(text, ORDINAL, "$1")
-    plain = F.regexp_replace(plain, CLOCK, "")
-    plain = F.trim(F.regexp_replace(F.regexp_replace(plain, ",", " "), r"\s+", " "))
-    # month names are written as "May", whatever the case of the input
-    plain = F.regexp_replace(F.initcap(F.replace(plain, F.lit("-"), F.lit("- "))), "- ", "-")
-    # one layout per shape: a failed attempt costs an exception inside the parser
-    parsed = None
-    for shape, layout in LAYOUT_OF_SHAPE:
-        case = plain.rlike(shape), F.try_to_date(plain, layout)
-        parsed = F.when(*case) if parsed is None else parsed.when(*case)
-    return parsed
+    """DATE of a free-text date; NULL when it is none (a month above 12 included)."""
+    plain = F.regexp_replace(F.regexp_replace(text, CLOCK, ""), NOISE, " ")
+    # "21May2020": a blank where digits and letters meet
+    plain = F.regexp_replace(plain, r"(?<=\d)(?=[A-Za-z])|(?<=[A-Za-z])(?=\d)", " ")
+    plain = F.lower(F.trim(F.regexp_replace(plain, r"[\s,./-]+", " ")))
+    found = []
+    for shape, order in ORDERS:
+        part = {p: F.regexp_extract(plain, shape, k) for k, p in enumerate(order, 1)}
+        fields = [_year(part["y"]), _month(part["m"]), part["d"].try_cast("int")]
+        day = F.try_to_date(F.format_string("%04d-%02d-%02d", *fields), "yyyy-MM-dd")
+        found.append((plain.rlike(shape), day))
+    return reduce(lambda out, case: F.when(*case).otherwise(out), reversed(found), F.lit(None).cast("date"))

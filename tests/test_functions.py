@@ -27,6 +27,22 @@ def one(spark, value, make):
         ("1 SEPTEMBER 1999", "1999-09-01"),
         ("3-mar-2001", "2001-03-03"),
         ("2020-05-21 10:30:00", "2020-05-21"),
+        ("21/5/20", "2020-05-21"),
+        ("21.05.99", "1999-05-21"),
+        ("21 Sept 2020", "2020-09-21"),
+        ("Thu 21 May 2020", "2020-05-21"),
+        ("Thursday, 21st of May 2020", "2020-05-21"),
+        ("21/May/2020", "2020-05-21"),
+        ("2020.05.21", "2020-05-21"),
+        ("20200521", "2020-05-21"),
+        ("21May2020", "2020-05-21"),
+        ("May 21st, 20", "2020-05-21"),
+        ("2020-05-21T10:30:00Z", "2020-05-21"),
+        ("21 Foo 2020", None),
+        ("21 ma 2020", None),
+        ("1 2 3 4", None),
+        ("", None),
+        (None, None),
         ("05/21/2020", None),
         ("31/02/2020", None),
         ("not a date", None),
