@@ -10,6 +10,7 @@ from ..operators import resolve, selection, spatial
 from ..operators.lookup import broadcast_if_small
 from ..operators.selection import Selection
 from . import views
+from .matching import weighted_ratio_ctes
 from .registry import query
 
 KEYS = [*views.ORDER, "obs_value"]
@@ -316,10 +317,25 @@ def species_exact(spark, folder):
     return kept.groupBy("scientific_name").agg(F.count(F.lit(1)).alias("samples"))
 
 
-@query("species_fuzzy")
+TYPED_SPECIES = ("smal rng", "RED widget", "widgets blue", "gear", "zzzz")
+
+
+@query(
+    "species_fuzzy",
+    f"""WITH typed AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{t}')" for i, t in enumerate(TYPED_SPECIES))})
+        t(position, value)),
+    {weighted_ratio_ctes("""SELECT DISTINCT value AS a, trim(p_name) AS b FROM typed, part WHERE trim(p_name) <> ''""")},
+    scored AS (SELECT position, value, b AS name, CASE WHEN lower(value) = lower(b) THEN 101.0 ELSE score END AS score
+      FROM typed JOIN weighted ON value = a),
+    top AS (SELECT *, row_number() OVER (PARTITION BY position ORDER BY score DESC, name) AS n FROM scored
+      WHERE score >= {resolve.SPECIES_THRESHOLD})
+    SELECT CAST(t.position AS INTEGER) AS position, t.value, name AS speciesname,
+      round(least(score, 100.0), 6) AS score
+    FROM typed t LEFT JOIN top ON t.position = top.position AND n = 1""",
+)
 def species_fuzzy(spark, folder):
-    typed = ["smal rng", "RED widget", "widgets blue", "gear", "zzzz"]
-    return resolve.match_species(views.sample(spark, folder), "scientific_name", typed)
+    found = resolve.match_species(views.sample(spark, folder), "scientific_name", list(TYPED_SPECIES))
+    return found.withColumn("score", F.round("score", 6))
 
 
 # --- many selections --------------------------------------------------------------

@@ -43,7 +43,50 @@ def fuzzy_ratio(spark, folder):
     return pairs.withColumn("score", F.round(similarity.ratio_column(F.col("a"), F.col("b")), 6))
 
 
-@query("fuzzy_wratio")
+def weighted_ratio_ctes(pairs: str) -> str:
+    """CTEs from distinct non-empty ``pairs`` (a, b) to ``weighted`` (a, b, score)."""
+    words = "list_sort(list_filter(string_split({0}, ' '), lambda w: w <> ''))"
+    only = "array_to_string(list_sort(list_distinct(list_filter({0}, lambda w: {1} list_contains({2}, w)))), ' ')"
+    return f"""pairs AS ({pairs}),
+    split AS (SELECT a, b, {words.format("a")} AS wa, {words.format("b")} AS wb FROM pairs),
+    parts AS (SELECT a, b, array_to_string(wa, ' ') AS all_a, array_to_string(wb, ' ') AS all_b,
+      {only.format("wa", "", "wb")} AS shared, {only.format("wa", "NOT", "wb")} AS only_a,
+      {only.format("wb", "NOT", "wa")} AS only_b FROM split),
+    texts AS (SELECT a AS x, b AS y FROM parts UNION SELECT all_a, all_b FROM parts
+      UNION SELECT only_a, only_b FROM parts WHERE only_a <> '' AND only_b <> ''),
+    plain AS (SELECT x, y, {ratio_sql("x", "y")} AS r FROM texts),
+    sides AS (SELECT x, y, x AS part, y AS whole FROM texts WHERE length(x) <= length(y)
+      UNION ALL SELECT x, y, y, x FROM texts WHERE length(y) <= length(x)),
+    windows AS (SELECT x, y, part, whole[greatest(0, e - length(part)) + 1:e] AS w
+      FROM (SELECT *, unnest(range(1, length(whole) + length(part))) AS e FROM sides)),
+    cut AS (SELECT DISTINCT part, w FROM windows),
+    fit AS (SELECT part, w, {ratio_sql("part", "w")} AS r FROM cut),
+    best AS (SELECT x, y, max(r) AS r FROM windows JOIN fit USING (part, w) GROUP BY x, y),
+    joined AS (SELECT p.*, greatest(length(a), length(b)) / least(length(a), length(b)) AS stretch,
+        r1.r AS r, r2.r AS r_all, coalesce(r3.r, 0.0) AS r_only, w1.r AS w, w2.r AS w_all,
+        coalesce(w3.r, 0.0) AS w_only, length(shared) AS head, length(shared) + 1 + length(only_a) AS la,
+        length(shared) + 1 + length(only_b) AS lb
+      FROM parts p JOIN plain r1 ON a = r1.x AND b = r1.y JOIN plain r2 ON all_a = r2.x AND all_b = r2.y
+      LEFT JOIN plain r3 ON only_a = r3.x AND only_b = r3.y
+      JOIN best w1 ON a = w1.x AND b = w1.y JOIN best w2 ON all_a = w2.x AND all_b = w2.y
+      LEFT JOIN best w3 ON only_a = w3.x AND only_b = w3.y),
+    token AS (SELECT *, CASE
+        WHEN shared <> '' AND (only_a = '' OR only_b = '') THEN 100.0
+        WHEN shared = '' THEN greatest(r_all, r_only)
+        ELSE greatest(r_all, 200.0 * (head + 1 + round(r_only * (length(only_a) + length(only_b)) / 200)) / (la + lb),
+          200.0 * head / (head + la), 200.0 * head / (head + lb)) END AS by_token,
+      CASE WHEN shared <> '' THEN 100.0 ELSE greatest(w_all, w_only) END AS w_token,
+      CASE WHEN stretch <= 8.0 THEN 0.9::DOUBLE ELSE 0.6::DOUBLE END AS weight FROM joined),
+    weighted AS (SELECT a, b, CASE WHEN stretch < 1.5 THEN greatest(r, 0.95::DOUBLE * by_token)
+      ELSE greatest(r, weight * w, weight * 0.95::DOUBLE * w_token) END AS score FROM token)"""
+
+
+@query(
+    "fuzzy_wratio",
+    f"""WITH {weighted_ratio_ctes("""SELECT DISTINCT p_name AS a,
+        concat(split_part(p_name, ' ', 2), ' ', lower(p_type)) AS b FROM part""")}
+    SELECT a, b, round(score, 6) AS score FROM weighted""",
+)
 def fuzzy_wratio(spark, folder):
     name = F.col("p_name")
     other = F.concat(F.split(name, " ")[1], F.lit(" "), F.lower("p_type"))
