@@ -42,7 +42,7 @@ SHINGLE = 5
 SHARE = 75  # per cent of the union that two linked sets share at least
 REGISTERS, BANDS, BAND = 512, 32, 4  # the first BANDS x BAND registers make the bands
 BASE, RATE, TOP = 1.1, 20.0, 254  # a register is one byte
-BLOCK_NODES = 256
+BLOCK_NODES, PAIRS_AT_ONCE = 256, 8192
 # a pair at the bound is passed on with a probability of 0.99997
 DEVIATIONS = 4.0
 
@@ -119,7 +119,7 @@ def jaccard_estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarra
         return more * logs[0] + less * logs[1] + equal * logs[2]
 
     low, high = np.zeros(len(u)), np.minimum(u / v, v / u)
-    for _ in range(40):
+    for _ in range(25):
         third = (high - low) / 3
         left = likelihood(low + third) < likelihood(high - third)
         low = np.where(left, low + third, low)
@@ -193,17 +193,21 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lx, ly = (np.array([labels[m["label"]] for m in z]) for z in (x, y))
             mx, my = (np.array([m["minor"] for m in z]) for z in (x, y))
             bx, by = (z[:, : BANDS * BAND].copy().view("<u4") for z in (sx, sy))
+            first, second = [], []
             for i in range(len(x)):
                 ok = (ly != lx[i]) & (my | mx[i])
                 if same:
                     ok[: i + 1] = False
-                k = np.flatnonzero(ok)
-                if len(k):
-                    k = k[(by[k, :band] != bx[i, :band]).all(axis=1)]
-                if len(k):
-                    k = k[_likely(sx[np.full(len(k), i)], sy[k], np.full(len(k), nx[i]), ny[k])]
-                for other in k.tolist():
-                    a, b = sorted((x[i]["node"], y[other]["node"]))
+                k = np.flatnonzero(ok & (by[:, band] == bx[i, band]))
+                k = k[(by[k, :band] != bx[i, :band]).all(axis=1)]
+                first.append(np.full(len(k), i))
+                second.append(k)
+            first, second = np.concatenate(first), np.concatenate(second)
+            for at in range(0, len(first), PAIRS_AT_ONCE):
+                i, k = first[at : at + PAIRS_AT_ONCE], second[at : at + PAIRS_AT_ONCE]
+                fits = _likely(sx[i], sy[k], nx[i], ny[k])
+                for a, b in zip(i[fits].tolist(), k[fits].tolist()):
+                    a, b = sorted((x[a]["node"], y[b]["node"]))
                     found_a.append(a)
                     found_b.append(b)
         yield pa.RecordBatch.from_arrays(
