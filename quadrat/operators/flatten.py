@@ -10,13 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..errors import PlotDataError
 from ..model import OBSERVATION_ITEM
 
-# Nested maps in an attribute bag are opened this deep; anything deeper is kept whole,
-# as JSON text under its dotted key.
+# Nested maps in an attribute bag are opened this deep unless a depth is given; anything
+# deeper is kept whole, as JSON text under its dotted key. ``bag_depth`` measures a table.
 BAG_DEPTH = 5
-# More attribute columns than this are refused (keep the map column instead).
+# This many attribute columns at most; rarer attributes stay together in the map.
 MAX_WIDE_KEYS = 5000
 NO_ATTRS = "CAST(map() AS MAP<STRING, STRING>)"
 
@@ -203,6 +202,22 @@ def flatten_bag(bag: str, prefix: str = "", depth: int = BAG_DEPTH) -> Column:
     return F.expr(flatten_bag_sql(bag, prefix, depth))
 
 
+def bag_depth(df: DataFrame, bag: str) -> int:
+    """A depth that opens every bag of a table (``bag`` as SQL text): 5, 10, 20, ...
+
+    One aggregate per step asks whether a map is left unopened; shallow bags need one.
+    """
+    depth = BAG_DEPTH
+    while True:
+        top = f"map_entries(try_variant_get({bag}, '$', 'map<string,variant>'))"
+        entries = f"transform({top}, t -> {_entry('t.key', 't.value')})"
+        opened = _bound(entries, "x", _opened("x", depth))
+        left = F.expr(f"exists({opened}, e -> {_is_open('e')})")
+        if df.where(left).isEmpty():
+            return depth
+        depth *= 2
+
+
 def _merged(attrs: str, bag: str, prefix: str) -> Column:
     """``attrs`` with the flattened bag added (an absent bag adds nothing)."""
     added = f"map_concat({attrs}, coalesce({flatten_bag_sql(bag, prefix)}, {NO_ATTRS}))"
@@ -218,14 +233,17 @@ def attributes_wide(df: DataFrame, attrs: str = "attrs", keys: list[str] | None
     """Attribute map -> one column per key.
 
     Without ``keys`` they are found by one job first; only the key names reach the driver.
+    Beyond MAX_WIDE_KEYS the most frequent keys become columns, and the map column stays
+    with all other keys.
     """
+    rest = []
     if keys is None:
-        found = attribute_keys(df, attrs).limit(MAX_WIDE_KEYS + 1).collect()
+        counts = df.select(F.explode(F.map_keys(attrs)).alias("key")).groupBy("key").count()
+        found = counts.orderBy(F.desc("count"), "key").limit(MAX_WIDE_KEYS + 1).collect()
+        keys = sorted(r["key"] for r in found[:MAX_WIDE_KEYS])
         if len(found) > MAX_WIDE_KEYS:
-            raise PlotDataError(
-                f"More than {MAX_WIDE_KEYS} attribute keys; keep the map or name the keys."
-            )
-        keys = sorted(r["attribute"] for r in found)
+            wide = F.array(*map(F.lit, keys))
+            rest = [F.map_filter(attrs, lambda k, _: ~F.array_contains(wide, k)).alias(attrs)]
     return df.select(
-        *[c for c in df.columns if c != attrs], *[F.col(attrs)[k].alias(k) for k in keys]
+        *[c for c in df.columns if c != attrs], *[F.col(attrs)[k].alias(k) for k in keys], *rest
     )

@@ -131,3 +131,20 @@ def test_attributes_wide(spark):
         {"id": 1, "a": None, "b": "x"},
         {"id": 2, "a": "y", "b": None},
     ]
+
+
+def test_bags_of_any_depth(spark):
+    deep = json.dumps({"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": {"value": 1, "unit": "m"}}, "x": 2}}}}}}})
+    df = spark.createDataFrame([(deep,), ('{"z": 1}',), (None,)], "t string").selectExpr("parse_json(t) AS bag")
+    depth = flatten.bag_depth(df, "bag")
+    assert depth == 10 and flatten.bag_depth(df.limit(0), "bag") == 5
+    got = [r.m for r in df.select(flatten.flatten_bag("bag", depth=depth).alias("m")).collect()]
+    assert {"a.b.c.d.e.f.g.h": "1", "a.b.c.d.e.f.g.h.unit": "m", "a.b.c.d.e.f.x": "2"} in got
+
+
+def test_rare_attributes_stay_in_the_map(spark, monkeypatch):
+    monkeypatch.setattr(flatten, "MAX_WIDE_KEYS", 2)
+    rows = [(1, {"a": "1", "b": "2", "c": "3"}), (2, {"a": "4", "b": "5"}), (3, None)]
+    df = flatten.attributes_wide(spark.createDataFrame(rows, "id int, attrs map<string,string>"))
+    got = {r.id: (r.a, r.b, r.attrs) for r in df.collect()}
+    assert got == {1: ("1", "2", {"c": "3"}), 2: ("4", "5", {}), 3: (None, None, None)}
