@@ -435,7 +435,7 @@ class PlotData:
     def preview(self, dformat: str = "pandas") -> DataFrame:
         """Ten rows: of samples the first, of observations the first of two types."""
         if self.mode == SAMPLES:
-            return self._shaped(paging.preview(self.selected(), self.order), dformat)
+            return self._shaped(self._clean(paging.preview(self.selected(), self.order)), dformat)
         if dformat.lower() in ("geojson", "json"):
             return self._shaped(self.page(1, paging.PREVIEW_LIMIT), dformat)
         rows = paging.preview_by_type(self.selected(), "feature_type", self.order)
@@ -454,20 +454,21 @@ class PlotData:
         cells as "N/A", which makes all columns text.
         """
         if self.mode == SAMPLES:
-            kinds = self._chosen.values.get("material_sample_type", ())
-            if len(kinds) != 1:
-                raise PlotDataError(
-                    f"Select one material_sample_type to read samples ({len(kinds)} selected)."
-                )
-            rows = samples.drop_internal(self.selected())
-            if self.tables.vocab is not None:
-                rows = samples.label_codes(rows, self.tables.vocab)
-            rows = samples.drop_empty_columns(rows)
+            rows = samples.drop_empty_columns(self._clean(self.selected()))
         else:
             self._guard(allow_full_download)
             rows = self.selected()
         return self._shaped(align.fill_missing(rows) if fill else rows, dformat)
 
+    def _clean(self, rows: DataFrame) -> DataFrame:
+        """Samples as reading, preview and stream show them: of one type, fields cleaned."""
+        kinds = self._chosen.values.get("material_sample_type", ())
+        if len(kinds) != 1:
+            raise PlotDataError(
+                f"Select one material_sample_type to read samples ({len(kinds)} selected)."
+            )
+        return samples.clean_samples(rows, self.tables.vocab)
+
     def _guard(self, allow_full_download: bool) -> None:
         if not self._chosen.values and not allow_full_download:
             raise UnfilteredReadError(
@@ -496,6 +497,8 @@ class PlotData:
         """
         self._guard(allow_full_download)
         kept = self._rows(self._chosen, self._codes, stream)
+        if self.mode == SAMPLES:
+            kept = self._clean(kept)
         if self.mode == SAMPLES or dformat.lower() in ("geojson", "json"):
             return jobs.run_to_table(self._shaped(kept, dformat), "rows", **where)
         return jobs.chunks_by_type(kept, "feature_type", **where)

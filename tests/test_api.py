@@ -63,6 +63,34 @@ def obs(tables):
     return PlotData(tables, order=["visit_id", "feature_type"])
 
 
+def test_required_dataset_needs_its_column(tables):
+    from dataclasses import replace
+
+    bare = replace(tables, sample=tables.sample.drop("dataset"))
+    with pytest.raises(PlotDataError, match="dataset column"):
+        PlotData(bare, "samples")
+
+
+def test_map_layer_of_a_shape(obs):
+    assert obs.map_layer(window=(139.0, 0.0, 146.0, -60.0)).count() < obs.map_layer().count()
+    assert {r.kind for r in obs.map_layer(limit=2).collect()} == {"cluster"}
+    assert obs.map_layer(shape=[144.0, -36.0, 146.0, -34.0]).count() == 1
+
+
+def test_long_lists_keep_the_same_rows(smp):
+    import quadrat.operators.selection as selection
+
+    few = sorted(r.sample_id for r in smp.select(soil_subsite_id=[3]).selected().collect())
+    many = [3, *range(10_000, 10_000 + selection.IN_LIST_LIMIT + 1)]
+    assert few == sorted(r.sample_id for r in smp.clear().select(soil_subsite_id=many).selected().collect()) == ["p3", "p4"]
+
+
+def test_preview_of_samples_is_clean(smp):
+    with pytest.raises(PlotDataError, match="one material_sample_type"):
+        smp.preview()
+    assert smp.select(material_sample_type=SOIL_PIT).preview().count() == 1
+
+
 @pytest.fixture
 def smp(tables):
     return PlotData(tables, "sample")

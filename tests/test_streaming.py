@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from quadrat import PlotData, SurveyTables
+from quadrat import PlotData, PlotDataError, SurveyTables
 from quadrat.operators import flatten
 from quadrat.sinks import writers
 from quadrat.sources import readers
@@ -131,7 +131,18 @@ def test_samples_stream_lands_as_one_table(spark, tmp_path):
     facts.write.parquet(str(tmp_path / "in"))
     plots = PlotData(SurveyTables(sample=facts), "samples").select(soil_subsite_id=3)
     stream = spark.readStream.schema(facts.schema).parquet(str(tmp_path / "in"))
-    assert sorted(r["sample_id"] for r in plots.get_data_stream(stream).collect()) == ["p1", "p3"]
+    with pytest.raises(PlotDataError, match="one material_sample_type"):
+        plots.get_data_stream(stream)
+    plots.select(material_sample_type="Soil Pit Sample")
+    rows = plots.get_data_stream(stream)
+    batch = plots.get_data()
+    assert rows.columns == batch.columns
+    assert [tuple(r) for r in rows.collect()] == [tuple(r) for r in batch.collect()] == [("p1", "Soil Pit Sample", 3)]
+
+
+def test_output_without_its_checkpoint_is_refused(spark, folder, tmp_path):
+    with pytest.raises(PlotDataError, match="both folders"):
+        jobs.run_to_table(stream(spark, folder), "x", out=str(tmp_path / "out"))
 
 
 def test_geojson_lines_stream(spark, folder):
