@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookup import broadcast_if_small
 from ..session import cut_lineage
 from .common import MATCH_WORD, ascii_lower
 
@@ -113,12 +114,16 @@ def _by_document(hits: DataFrame) -> DataFrame:
     )
 
 
-def _joined(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` as ``_doc`` with what was found in each row."""
+def _joined(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``docs`` as ``_doc``, joined with the few documents in which something was found.
+
+    What was found is written first; measured small it is broadcast, and the texts stay
+    where they are.
+    """
     left = docs.select(F.struct("*").alias("_doc"), *_row_key())
-    right = found.withColumnsRenamed({"_id": "_rid", "_text": "_rtext"})
+    right = cut_lineage(found.withColumnsRenamed({"_id": "_rid", "_text": "_rtext"}))
     on = F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_text") == F.col("_rtext"))
-    return left.join(right, on, "left").drop("_rid", "_rtext", "_id", "_text")
+    return left.join(broadcast_if_small(right), on, how).drop("_rid", "_rtext", "_id", "_text")
 
 
 def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -157,14 +162,13 @@ def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
 def remove_documents(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a window of an item; all columns stay."""
     found = find_hits(docs, items, n).select("_id", "_text").distinct()
-    joined = _joined(docs, found.withColumn("_hit", F.lit(True)))
-    return joined.where(F.col("_hit").isNull()).select("_doc.*")
+    return _joined(docs, found, "left_anti").select("_doc.*")
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     """``docs`` with hit words, and what stands before each, cut out of the text."""
     pieces = F.regexp_extract_all(F.col("_doc.text"), F.lit(f"{_SEPARATOR}*{_ANY_CASE}"), F.lit(0))
-    joined = _joined(docs, _by_document(find_hits(docs, items, n)).drop("item_ids"))
+    joined = _joined(docs, _by_document(find_hits(docs, items, n)).drop("item_ids"), "left")
     cut = joined.withColumn("_pieces", F.when(F.col("hit").isNotNull(), pieces))
     kept = F.filter(
         "_pieces",
