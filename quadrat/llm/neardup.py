@@ -8,7 +8,8 @@ agree on a band are candidates.
 
 1. Texts with equal words are one class from the start.
 2. In each group of classes that share a band, one hash-chosen hub is compared with each
-   member: as many pairs as members. Links found make components.
+   member: as many pairs as members. The hubs of the first bands meet every member, those
+   of the others the members that are not yet in the hub's component.
 3. What is still apart in a group is compared across its components, the group cut into
    blocks and sketch against sketch within a task: no pair of band mates from two components
    is left out, and none from one component needs a test. Only likely pairs leave the task.
@@ -43,6 +44,7 @@ SHARE = 75  # per cent of the union that two linked sets share at least
 REGISTERS, BANDS, BAND = 512, 32, 4  # the first BANDS x BAND registers make the bands
 BASE, RATE, TOP = 1.1, 20.0, 254  # a register is one byte
 BLOCK_NODES, PAIRS_AT_ONCE = 256, 8192
+EARLY_BANDS = 8
 # a pair at the bound is passed on with a probability of 0.99997
 DEVIATIONS = 4.0
 
@@ -297,14 +299,15 @@ def _grouped(docs: DataFrame) -> DataFrame:
     mates = cut_lineage(
         banded.join(hubs.where(F.col("members") > 1), "key").select("key", "band", "node", "hub")
     )
-    tested = cut_lineage(
-        mates.where(F.col("node") != F.col("hub"))
-        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        .distinct()
-    )
+    # the hubs of some bands settle most members; those of the others are for the rest
+    early = F.col("band") < EARLY_BANDS
+    tested = cut_lineage(_hub_pairs(mates.where(early)))
     links = _confirmed(_estimated(tested, classes), classes, docs)
     labels = components(links)
-    more = _confirmed(_apart(mates, labels, tested, classes), classes, docs)
+    late = cut_lineage(_hub_pairs(_unsettled(mates.where(~early), labels)).join(tested, ["a", "b"], "left_anti"))
+    links = links.union(_confirmed(_estimated(late, classes), classes, docs))
+    labels = components(links)
+    more = _confirmed(_apart(mates, labels, tested.union(late), classes), classes, docs)
     if not more.isEmpty():
         labels = components(links.union(more))
     placed = classes.select("node", "first_id", "row").join(labels, "node", "left")
@@ -324,6 +327,21 @@ def _grouped(docs: DataFrame) -> DataFrame:
     )
 
 
+def _hub_pairs(mates: DataFrame) -> DataFrame:
+    """Each member with its group's hub, as distinct pairs (a, b)."""
+    pairs = mates.where(F.col("node") != F.col("hub"))
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
+def _unsettled(mates: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members that are not yet in the component of their group's hub."""
+    own = labels.select("node", F.col("label").alias("own"))
+    hubs = labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
+    named = mates.join(own, "node", "left").join(hubs, "hub", "left")
+    apart = F.coalesce("own", "node") != F.coalesce("hub_label", "hub")
+    return named.where(apart).select("node", "hub")
+
+
 def _apart(
     mates: DataFrame, labels: DataFrame, tested: DataFrame, classes: DataFrame
 ) -> DataFrame:
@@ -337,7 +355,8 @@ def _apart(
         F.count(F.lit(1)).alias("parts"),
         F.sum("n").alias("members"),
     )
-    split = split.where(F.col("parts") > 1).drop("parts")
+    # of two members one is the hub, and the pair is tested
+    split = split.where((F.col("parts") > 1) & (F.col("members") > 2)).drop("parts")
     member = F.struct("node", "label", (F.col("label") != F.col("major")).alias("minor"), "n_shingles", "sketch")
     blocks = (
         named.join(split, "key")
