@@ -8,7 +8,8 @@ ever built.
 
 Words stand between ASCII white space. A word's first piece comes from the initial pieces,
 all others from the continuing ones; a word that cannot be cut counts as one unknown piece.
-Bytes are UTF-8.
+An empty initial piece stands for the lone start of a word: where no longer initial piece
+fits, it is popped without reading a byte, and the continuing pieces go on. Bytes are UTF-8.
 
 Defined cases: null, empty and blank texts have no words; a vocabulary without pieces makes
 every word unknown; rows that repeat are counted each; other columns are not looked at.
@@ -37,7 +38,7 @@ class Automaton:
 
     def __init__(self, initial: Iterable[bytes], continuing: Iterable[bytes]) -> None:
         self.children: list[dict[int, int]] = [{}, {}]
-        ends = [False, False]
+        ends, lone = [False, False], False
         for root, pieces in ((0, initial), (1, continuing)):
             for piece in pieces:
                 node = root
@@ -49,8 +50,11 @@ class Automaton:
                         ends.append(False)
                     node = after
                 ends[node] = node > 1
+                lone |= node == 0
         # where to go on when no child fits (-1: nowhere), and how many pieces that pops
         self.link, self.popped = [-1] * len(ends), [0] * len(ends)
+        if lone:
+            self.link[0], self.popped[0] = 1, 1
         queue = deque([0, 1])
         while queue:
             above = queue.popleft()
@@ -89,11 +93,12 @@ class Automaton:
         return pieces
 
 
-def byte_vocabulary(path: str) -> tuple[list[bytes], list[bytes]]:
+def byte_vocabulary(path: str, lone_blank: bool = False) -> tuple[list[bytes], list[bytes]]:
     """(initial, continuing) pieces of a byte-level vocabulary file.
 
     Its pieces spell bytes as printable characters; those that begin with a blank start a
-    word.
+    word. With ``lone_blank`` the blank alone, where the file has it, is an empty initial
+    piece, so that a word can begin with any continuing piece.
     """
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     spelled = {chr(b): b for b in plain}
@@ -108,7 +113,7 @@ def byte_vocabulary(path: str) -> tuple[list[bytes], list[bytes]]:
                 initial.append(piece[1:])
             else:
                 continuing.append(piece)
-    return [p for p in initial if p], continuing
+    return [p for p in initial if p or lone_blank], continuing
 
 
 def _memory(key: str) -> dict[bytes, int]:

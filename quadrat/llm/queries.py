@@ -203,7 +203,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_piece_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = piececounts.byte_vocabulary(tokenizer_file("byte_bpe_50k.json"))
+    vocabulary = piececounts.byte_vocabulary(tokenizer_file("byte_bpe_50k.json"), lone_blank=True)
     return piececounts.count_pieces(read(spark, sf_dir, "documents"), vocabulary)
 
 

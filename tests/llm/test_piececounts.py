@@ -60,3 +60,41 @@ def test_equals_word_pieces_of_the_library():
         word = "".join(draw.choice(["un", "aff", "able", "ab", "l", "e", "a", "b", "f"]) for _ in range(draw.randint(1, 6)))
         tokens = [t.value for t in model.tokenize(word)]
         assert automaton.count(word.encode()) == (0 if "[UNK]" in tokens else len(tokens))
+
+
+def lone_greedy(word, initial, continuing):
+    """Where no initial piece fits: one piece for the lone start, then continuing pieces."""
+    if any(word[:j] in initial for j in range(1, len(word) + 1)):
+        return greedy(word, initial, continuing)
+    rest = greedy(word, continuing, continuing)
+    return rest and rest + 1
+
+
+def test_empty_initial_piece_reads_no_byte():
+    draw = random.Random(3)
+    for _ in range(1000):
+        initial, continuing = (
+            {bytes(draw.choice(b"abc") for _ in range(draw.randint(1, 4))) for _ in range(draw.randint(0, 6))}
+            for _ in range(2)
+        )
+        automaton = piececounts.Automaton([b"", *initial], continuing)
+        for _ in range(15):
+            word = bytes(draw.choice(b"abc") for _ in range(draw.randint(1, 10)))
+            assert automaton.count(word) == lone_greedy(word, initial, continuing)
+
+
+def test_no_utf8_text_is_unknown(make):
+    pytest.importorskip("public_tokenizers")
+    file = tokenizer_file("byte_bpe_50k.json")
+    vocabulary = piececounts.byte_vocabulary(file, lone_blank=True)
+    initial, continuing = map(set, vocabulary)
+    texts = ["中文 カタカナ 한국어 😀 ไทย ɑ", "中文没有空格的一整段文字" * 50]
+    texts += [" ".join(chr(c) for c in range(a, min(a + 4096, 0x110000)) if not 0xD800 <= c < 0xE000) for a in range(0, 0x110000, 4096)]
+    got = piececounts.count_pieces(make(list(enumerate(texts))), vocabulary).collect()
+    assert len(got) == len(texts) and all(r.n_unknown == 0 for r in got)
+    by_id = {r.doc_id: r for r in got}
+    for k in (0, 1):
+        want = sum(lone_greedy(w, initial, continuing) for w in texts[k].encode().split())
+        assert by_id[k].n_tokens == want > by_id[k].n_words
+    old = piececounts.byte_vocabulary(file)
+    assert set(old[0]) == initial - {b""} and old[1] == vocabulary[1]
