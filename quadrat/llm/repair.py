@@ -1,8 +1,8 @@
 """Re-Pair grammars over token ids, and the shard format that stores them.
 
 A shard holds whole documents. Pairs of neighbouring symbols that are frequent in it are
-replaced by a nonterminal, again and again; a pair never spans two documents. Each round
-replaces many pairs at once: where chosen pairs overlap, the left one goes first, every
+replaced by a nonterminal, again and again, until no pair occurs LEAST times or no symbol is
+left; a pair never spans two documents. Each round replaces many pairs at once: where chosen pairs overlap, the left one goes first, every
 second one of a run is taken.
 
 Layout, little-endian: the head ``<4sIIQQQB`` (magic, first nonterminal, rules, documents,
@@ -23,7 +23,7 @@ from ..session import ship_with_tasks
 ship_with_tasks(__name__)
 
 MAGIC, HEAD = b"RPG1", "<4sIIQQQB"
-ROUNDS, PER_ROUND, LEAST = 4, 4096, 8
+PER_ROUND, LEAST = 4096, 8
 HASH_BITS = 17
 STEP = 256
 
@@ -37,7 +37,7 @@ def grammar(ids: np.ndarray, last: np.ndarray, base: int, limit: int = 1 << 16):
     wide = limit > 1 << 16
     kind, shift = (np.uint64, np.uint64(32)) if wide else (np.uint32, np.uint32(16))
     seq, rules = ids.astype(kind), []
-    for _ in range(ROUNDS):
+    while True:
         room = min(PER_ROUND, limit - base - len(rules))
         if len(seq) < 2 or room <= 0:
             break
@@ -97,13 +97,21 @@ def _expansions(base: int, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return ids, np.cumsum(length) - length, length
 
 
+def _lengths(base: int, rules: np.ndarray) -> np.ndarray:
+    """Length of each rule's expansion."""
+    length: list[int] = []
+    for pair in rules.tolist():
+        length.append(sum(length[s - base] if s >= base else 1 for s in pair))
+    return np.array(length, np.int64)
+
+
 def pack(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, base: int) -> bytes:
     """A shard of documents whose ids, end ids included, follow each other in ``ids``."""
     last = np.zeros(len(ids), bool)
     stops = np.cumsum(lengths)
     last[stops - 1] = True
     symbols, last, rules = grammar(ids, last, base)
-    _, _, length = _expansions(base, rules)
+    length = _lengths(base, rules)
     width = 2 if base + len(rules) <= 1 << 16 else 4
     size = np.concatenate([np.ones(base, np.int64), length])[symbols]
     offsets = np.concatenate([[0], np.cumsum(size)])

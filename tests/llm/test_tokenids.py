@@ -73,3 +73,23 @@ def test_table(make, monkeypatch):
         want.append((doc, len(tokens), zlib.crc32(tokens.tobytes())))
     assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=repr) == sorted(want, key=repr)
     assert tokenids.token_table(make([]), FILE).count() == 0
+
+
+def test_no_frequent_pair_is_left():
+    draw = np.random.default_rng(6)
+    passage = draw.integers(0, 49408, 500)
+    ids = np.tile(np.append(passage, 1), 40).astype(np.uint32)
+    last = ids == 1
+    last[:-1] |= np.diff(np.arange(len(ids)) // 501) > 0
+    symbols, last, rules = repair.grammar(ids, last.copy(), 49408)
+    # each copy, a document of its own, is one symbol, not one for every 16 ids
+    assert len(symbols) == 40 and len(set(symbols.tolist())) == 1 and last.all()
+    for seq in (np.repeat(draw.integers(0, 5, 3000), 9), draw.integers(0, 40, 20000)):
+        symbols, last, rules = repair.grammar(seq.astype(np.uint32), np.zeros(len(seq), bool), 49408)
+        pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+        assert len(rules) + 49408 < 1 << 16
+        assert np.unique(pairs, return_counts=True)[1].max() < repair.LEAST
+    # many different passages: symbols may run out, and no more than there are
+    lots = np.tile(draw.integers(0, 49408, 40000), 10).astype(np.uint32)
+    _, _, rules = repair.grammar(lots, np.zeros(len(lots), bool), 49408)
+    assert len(rules) + 49408 == 1 << 16
