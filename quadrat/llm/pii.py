@@ -1,8 +1,9 @@
 """Personal data: base patterns, and bootstrapped contextual extraction.
 
 Base matches of four kinds are found by pattern, with their places. They are the seeds: the
-two words before a match, with its shape, make a lexical pattern. Patterns are then matched
-with everything in the corpus that looks like an identifier. On the graph of patterns and
+words of the text to their left and right, one or two, make lexical patterns. Patterns are
+then matched with everything in the corpus that looks like an identifier, also with blanks,
+brackets and dashes in it, or with its signs spelt out; the shape is only part of the score. On the graph of patterns and
 instances, a pattern's confidence in a kind is the share of its instances' confidence among
 all it extracts, and an instance's confidence is that at least one of its patterns is right;
 the two are computed in turn. Patterns that end up sure enough, and that enough different
@@ -34,10 +35,27 @@ KINDS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-# What may be an identifier: a run of identifier characters with a digit or @ in it.
-CANDIDATE = r"(?<![A-Za-z0-9@._%+-])[A-Za-z._%+-]*+[0-9@][A-Za-z0-9@._%+-]*+"
+# What may be an identifier: a run of identifier characters with a digit or @ in it; groups of
+# digits with blanks, brackets and dashes between; an address whose signs are written as words
+# or in brackets, or with blanks around.
+_NAME = "[A-Za-z0-9-]++"
+_AT = r"(?:\s*+[\[({<]\s*+(?:at|@)\s*+[\])}>]\s*+)"
+_DOT = r"(?:\s*+[\[({<]\s*+(?:dot|\.)\s*+[\])}>]\s*+|\s++dot\s++)"
+CANDIDATES = {
+    "candidate": r"(?<![A-Za-z0-9@._%+-])[A-Za-z._%+-]*+[0-9@][A-Za-z0-9@._%+-]*+",
+    "groups": r"(?<![A-Za-z0-9@._%+-])[+(\[]*+[0-9]++(?:[\s()\[\]./‐-―-]{1,3}+[0-9]++)++(?![._%+-]?[A-Za-z@])",
+    "spoken": rf"(?i)(?<![A-Za-z0-9@._%+-])[A-Za-z0-9._%+-]++(?:(?:{_AT}|\s++(?:at|@)\s++){_NAME}(?:\.{_NAME})*+"
+    rf"(?:{_DOT}{_NAME}(?:\.{_NAME})*+)++|(?:{_AT}|\s*+@\s*+){_NAME}(?:\.{_NAME})++)",
+}
+# A word of the context, and how far it is looked for. Half as many matches reach over it.
+WORD = r"[\p{L}\p{M}\p{N}]+"
+SEEN, REACH = 64, 32
 LEAST_CHARS = 4
 ROUNDS, LEAST_SEEDS, SURE, SMOOTHING = 3, 3, 0.8, 1.0
+# One word on each side says less than two in a row: so many times the seeds are asked for.
+SHORT, SHORT_SEEDS = "left, right", 10
+# How much of a span's score the likeness of its shape can take away.
+SHAPE_WEIGHT = 0.15
 
 
 def _digits(text: Column) -> Column:
@@ -66,48 +84,84 @@ def _valid(kind: str, hit: Column) -> Column:
     return F.lit(True)
 
 
+def _contexts(units: Column, step: int) -> Column:
+    """The words of the text that goes on from a match, the nearest two, digits as 9; the
+    start of the text is the word ^.
+
+    ``units`` are the stretches between matches that reach over SEEN characters together.
+    """
+    side = F.array_join(units, "")
+    near = F.right(side, F.lit(SEEN)) if step < 0 else F.left(side, F.lit(SEEN))
+    words = F.regexp_extract_all(near, F.lit(WORD), F.lit(0))
+    # a word that the bound cuts is not known
+    whole = F.when(F.length(near) < SEEN, words).otherwise(
+        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
+        if step < 0
+        else F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+    )
+    if step < 0:
+        start = F.when(F.length(near) < SEEN, F.array(F.lit("^"))).otherwise(F.array())
+        whole = F.reverse(F.concat(start, whole))
+    return F.transform(
+        F.slice(whole, 1, 2), lambda w: F.lower(F.regexp_replace(w, "[0-9]+", "9"))
+    )
+
+
 def _cuts(docs: DataFrame, kind: str, pattern: str) -> DataFrame:
-    """(id, row, kind, k, hit, before, gap, size): the matches of one pattern, numbered.
+    """(id, row, kind, hit, start, end, left, right): the matches of one pattern.
 
-    ``before`` are the last two words of the text since the previous match.
+    ``left`` and ``right`` are the nearest words, at most two, of the text on each side. A
+    match and the gap at its side are two characters at least, so REACH of them hold all of
+    SEEN characters, and the work grows with the number of matches.
     """
     text = F.col("text")
-    found = docs.where(text.rlike("[0-9@]") & text.rlike(pattern)).select(
+    parts = docs.where(text.rlike("[0-9@]|(?i:at|dot)") & text.rlike(pattern)).select(
+        "id",
+        "row",
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+        F.split(text, pattern, -1).alias("gaps"),
+    )
+    seen = F.lit(SEEN)
+    ends = lambda g, i: F.right(F.concat(F.when(i > 0, F.get("hits", i - 1)).otherwise(F.lit("")), g), seen)
+    begins = lambda g, i: F.left(F.concat(g, F.coalesce(F.get("hits", i), F.lit(""))), seen)
+    parts = parts.withColumns(
+        {"ahead": F.transform("gaps", ends), "behind": F.transform("gaps", begins)}
+    )
+    found = parts.select(
         "id",
         "row",
-        F.lit(kind).alias("kind"),
         F.posexplode(
-            F.arrays_zip(
-                F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-                F.split(text, pattern, -1).alias("gap"),
+            F.transform(
+                "hits",
+                lambda h, i: F.struct(
+                    h.alias("hit"),
+                    F.length(F.get("gaps", i)).alias("gap"),
+                    _contexts(F.slice("ahead", F.greatest(i + 2 - REACH, F.lit(1)), F.least(i + 1, F.lit(REACH))), -1).alias("left"),
+                    _contexts(F.slice("behind", i + 2, REACH), 1).alias("right"),
+                ),
             )
         ).alias("k", "cut"),
     )
-    hit, gap = F.col("cut.hit"), F.col("cut.gap")
-    return found.where(hit.isNotNull()).select(
-        "id",
-        "row",
-        "kind",
-        "k",
-        hit.alias("hit"),
-        F.lower(F.regexp_extract(gap, r"(\S++\s++\S++)[\s\p{Punct}]*$", 1)).alias("before"),
-        F.length(gap).alias("gap"),
-        F.length(hit).alias("size"),
+    return found.select("id", "row", F.lit(kind).alias("kind"), "k", "cut.*").withColumn(
+        "size", F.length("hit")
     )
 
 
 def find_matches(docs: DataFrame) -> DataFrame:
-    """(id, row, kind, start, end, hit, before) of all base matches and candidates."""
+    """(id, row, kind, start, end, hit, left, right) of all base matches and candidates."""
     keyed = docs.select(
         F.col("doc_id").alias("id"), F.xxhash64("doc_id", "text").alias("row"), F.col("text")
     )
-    patterns = {**KINDS, "candidate": CANDIDATE}
+    patterns = {**KINDS, **CANDIDATES}
     cuts = reduce(DataFrame.unionAll, [_cuts(keyed, *p) for p in patterns.items()])
     # rows that repeat give the same cuts: one of each is enough
     cuts = cuts.dropDuplicates(["id", "row", "kind", "k"])
     order = Window.partitionBy("id", "row", "kind").orderBy("k")
     end = F.sum(F.col("gap") + F.col("size")).over(order)
     placed = cuts.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    placed = placed.withColumn(
+        "kind", F.when(F.col("kind").isin(*CANDIDATES), "candidate").otherwise(F.col("kind"))
+    )
     # a candidate does not end in a sign
     trimmed = F.when(
         F.col("kind") == "candidate", F.regexp_replace("hit", "[._%+-]+$", "")
@@ -118,11 +172,11 @@ def find_matches(docs: DataFrame) -> DataFrame:
         KINDS,
         F.length("hit") >= LEAST_CHARS,
     )
-    return placed.where(valid).select("id", "row", "kind", "start", "end", "hit", "before")
+    return placed.where(valid).select("id", "row", "kind", "start", "end", "hit", "left", "right")
 
 
 def _free(matches: DataFrame) -> DataFrame:
-    """Candidates that no base match of their document overlaps."""
+    """Candidates that no base match of their document overlaps, the widest at each place."""
     ahead = Window.partitionBy("id", "row").orderBy("start", F.col("kind") == "candidate")
     behind = Window.partitionBy("id", "row").orderBy(F.col("start").desc(), F.col("kind") == "candidate")
     past = ahead.rowsBetween(Window.unboundedPreceding, -1)
@@ -137,7 +191,32 @@ def _free(matches: DataFrame) -> DataFrame:
     clear = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (
         F.col("next").isNull() | (F.col("next") >= F.col("end"))
     )
-    return swept.where((F.col("kind") == "candidate") & clear).drop("reached", "next")
+    free = swept.where((F.col("kind") == "candidate") & clear).drop("next")
+    wide_first = Window.partitionBy("id", "row").orderBy("start", F.col("end").desc())
+    wider = F.max("end").over(wide_first.rowsBetween(Window.unboundedPreceding, -1))
+    free = free.withColumn("reached", wider)
+    return free.where(F.coalesce("reached", F.lit(0)) < F.col("end")).drop("reached")
+
+
+def _patterns(left: Column, right: Column) -> Column:
+    """The contexts of a match: two words on one side, alone or with one of the other, and
+    one word on each side."""
+
+    def known(name: str, parts: list[Column]) -> Column:
+        whole = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+        return F.when(whole, F.concat_ws("\t", F.lit(name), *parts))
+
+    l1, r1, r2 = F.get(left, F.lit(0)), F.get(right, F.lit(0)), F.get(right, F.lit(1))
+    l2 = F.get(left, F.lit(1))
+    return F.array_compact(
+        F.array(
+            known("two left", [l2, l1]),
+            known("two left, right", [l2, l1, r1]),
+            known("two right", [r1, r2]),
+            known("left, two right", [l1, r1, r2]),
+            known(SHORT, [l1, r1]),
+        )
+    )
 
 
 def _shape(hit: Column) -> Column:
@@ -159,7 +238,9 @@ def sure_patterns(
     supported = seeds.groupBy("pattern", F.col("seed").alias("kind")).agg(
         F.count_distinct("instance").alias("seeds")
     )
-    supported = supported.where(F.col("seeds") >= least_seeds)
+    short = F.col("pattern").startswith(SHORT + "\t")
+    least = F.when(short, F.lit(least_seeds * SHORT_SEEDS)).otherwise(F.lit(least_seeds))
+    supported = supported.where(F.col("seeds") >= least)
     totals = graph.groupBy("pattern").agg(F.count_distinct("instance").alias("n"))
     known = cut_lineage(supported.join(totals, "pattern"))
     # only edges of patterns that seeds support carry confidence
@@ -197,18 +278,25 @@ def find_spans(docs: DataFrame, **settings) -> DataFrame:
     ``row`` is a hash of id and text. Places are code points, the end exclusive.
     """
     matches = cut_lineage(find_matches(docs))
-    pattern = F.when(
-        F.col("before") != "", F.concat_ws("\t", "before", _shape(F.col("hit")))
-    ).alias("pattern")
+    sure = settings.get("sure", SURE)
     base = matches.where(F.col("kind") != "candidate")
-    free = cut_lineage(_free(matches).withColumn("pattern", pattern))
+    free = cut_lineage(_free(matches))
+    pattern = F.explode(_patterns(F.col("left"), F.col("right"))).alias("pattern")
     graph = base.select(pattern, F.col("hit").alias("instance"), F.col("kind").alias("seed")).unionAll(
-        free.select("pattern", F.col("hit").alias("instance"), F.lit(None).cast("string"))
+        free.select(pattern, F.col("hit").alias("instance"), F.lit(None).cast("string"))
     )
     trust = sure_patterns(graph, **settings)
-    # a pattern sure of two kinds goes with the surer one
-    one = trust.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
-    added = free.drop("kind").join(one, "pattern")
+    shapes = base.select("kind", _shape(F.col("hit")).alias("shape"), F.lit(True).alias("seen")).distinct()
+    span = ["id", "row", "start", "end", "hit"]
+    heard = free.drop("kind").select(*span, pattern).join(trust, "pattern")
+    heard = heard.groupBy(*span, "kind").agg(F.max("confidence").alias("confidence"))
+    heard = heard.withColumn("shape", _shape(F.col("hit"))).join(shapes, ["kind", "shape"], "left")
+    # the shape of a seed counts whole, one with letters where seeds of the kind have them half
+    lettered = F.col("hit").rlike("[A-Za-z]") == (F.col("kind") == "email")
+    likeness = F.when(F.col("seen"), 1.0).when(lettered, 0.5).otherwise(0.0)
+    score = F.col("confidence") * (1 - SHAPE_WEIGHT * (1 - likeness))
+    # a span sure of two kinds goes with the surer one
+    added = heard.where(score >= sure).groupBy(*span).agg(F.max_by("kind", F.struct(score, "kind")).alias("kind"))
     columns = ["id", "row", "kind", "start", "end", "hit"]
     return base.select(*columns, F.lit(False).alias("added")).unionByName(
         added.select(*columns, F.lit(True).alias("added"))

@@ -89,3 +89,34 @@ def test_added_spans(make):
 
 def test_digest(make):
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_other_spellings_are_found_after_seeded_contexts(make):
+    rows = [(k, f"you can call me at +1 (988) 555-2{k:03} any time you like") for k in range(30)]
+    rows += [(100 + k, f"my mail address is: jane{k}@example.org, write soon please") for k in range(30)]
+    cards = [d for d in (f"4111 1111 {a:04} {b:04}" for a in range(30) for b in range(10)) if luhn(d.replace(" ", ""))]
+    rows += [(200 + k, f"please charge card {c} for the room") for k, c in enumerate(cards)]
+    new = {
+        500: ("phone", "you can call me at ", "(0355) 2485-119", " any time you like"),
+        501: ("email", "my mail address is: ", "jane at example dot org", ", write soon please"),
+        502: ("email", "my mail address is: ", "jane (at) mail.example [dot] org", ", write soon please"),
+        503: ("card", "please charge card ", "4111 - 1111 - 1111 - 1111", " for the room"),
+        504: ("email", "1.2.3.4 my mail address is: ", "joe @ example.org", ", write soon please"),
+    }
+    rows += [(k, before + hit + after) for k, (_, before, hit, after) in new.items()]
+    rows += [(600, "look at this dot on the wall, 20 of 4111 - 1111 at noon"), (601, "the 0355 2485 119 of them")]
+    got = {r.doc_id: r for r in pii.report(make(rows)).collect()}
+    for k, (kind, before, hit, _) in new.items():
+        assert f"{kind}:{len(before)}:{len(before) + len(hit)}" in got[k].spans.split(","), (k, got[k])
+    assert got[600].spans == got[601].spans == ""
+    assert all(got[k].spans == got[k].base_spans for k, _ in rows if k < 500)
+
+
+def test_context_is_the_text_itself(make):
+    text = "see 1.2.3.4 or call a@b.c, x1y2 then +1 (988) 555-2485 today é 3 " + "z" * 80 + " 7777 end"
+    got = {(r.kind, r.hit): (r.left, r.right) for r in pii.find_matches(make([(1, text)])).collect()}
+    assert got["ip", "1.2.3.4"] == (["see", "^"], ["or", "call"])
+    assert got["candidate", "x1y2"] == (["c", "b"], ["then", "9"])
+    assert got["phone", "+1 (988) 555-2485"] == (["then", "x9y9"], ["today", "é"])
+    # a word that reaches over the bound is no context
+    assert got["candidate", "7777"] == ([], ["end"])
