@@ -24,7 +24,7 @@ def _get(struct: Column, name: str) -> Column:
     return struct.getField(name)
 
 
-def base_context(df: DataFrame) -> DataFrame:
+def base_context(df: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
     """Dataset and site fields of each feature, the point, and the visits still nested.
 
     Here and below, an attribute bag is flattened on the level it belongs to, once, and
@@ -36,9 +36,9 @@ def base_context(df: DataFrame) -> DataFrame:
     at = _get(geometry, "coordinates")
     is_point = _get(geometry, "type") == "Point"
     in_dataset = flatten_bag_sql(
-        "feature.properties.dataset.`dataset.attributes`", "dataset.attributes"
+        "feature.properties.dataset.`dataset.attributes`", "dataset.attributes", depth
     )
-    in_site = flatten_bag_sql("feature.properties.site.`site.attributes`", "site.attributes")
+    in_site = flatten_bag_sql("feature.properties.site.`site.attributes`", "site.attributes", depth)
     return df.select(
         _get(dataset, "dataset.title").alias("dataset_title"),
         _get(dataset, "dataset.link").alias("dataset_link"),
@@ -53,7 +53,7 @@ def base_context(df: DataFrame) -> DataFrame:
     )
 
 
-def explode_visits(base: DataFrame) -> DataFrame:
+def explode_visits(base: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
     """One row per visit; a feature without visits keeps one row."""
     visit = F.col("visit")
     return base.withColumn("visit", F.explode_outer("visits")).select(
@@ -62,12 +62,12 @@ def explode_visits(base: DataFrame) -> DataFrame:
         _get(visit, "siteVisit.name").alias("visit_name"),
         _get(visit, "siteVisit.date").alias("visit_date"),
         _get(visit, "siteVisit.link").alias("visit_link"),
-        _merged("attrs", "visit.`siteVisit.attributes`", "siteVisit.attributes").alias("attrs"),
+        _merged("attrs", "visit.`siteVisit.attributes`", "siteVisit.attributes", depth).alias("attrs"),
         _get(visit, "featureOfInterest").alias("fois"),
     )
 
 
-def explode_fois(visits: DataFrame) -> DataFrame:
+def explode_fois(visits: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
     """One row per feature of interest; a visit without any keeps one row."""
     foi = F.col("foi")
     return visits.withColumn("foi", F.explode_outer("fois")).select(
@@ -76,12 +76,12 @@ def explode_fois(visits: DataFrame) -> DataFrame:
         _get(foi, "foi.type").alias("foi_type"),
         _get(foi, "foi.link").alias("foi_link"),
         _get(foi, "foi.scientificName").alias("scientific_name"),
-        _merged("attrs", "foi.`foi.attributes`", "foi.attributes").alias("attrs"),
+        _merged("attrs", "foi.`foi.attributes`", "foi.attributes", depth).alias("attrs"),
         _get(foi, "foi.observations").alias("groups"),
     )
 
 
-def explode_observations(fois: DataFrame) -> DataFrame:
+def explode_observations(fois: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
     """One row per observation of each group.
 
     No groups at all: one row of context. A group with an empty list: no row.
@@ -112,13 +112,34 @@ def explode_observations(fois: DataFrame) -> DataFrame:
         _get(obs, "unit").alias("obs_unit"),
         _get(obs, "resultTime").alias("obs_result_time"),
         _get(obs, "usedProcedure").alias("obs_procedure"),
-        _merged("attrs", "item.obs.system", "obs.system").alias("attrs"),
+        _merged("attrs", "item.obs.system", "obs.system", depth).alias("attrs"),
     )
 
 
-def flatten_features(df: DataFrame) -> DataFrame:
-    """The whole flatten; all attribute bags end up in one map ``attrs``."""
-    return explode_observations(explode_fois(explode_visits(base_context(df))))
+def flatten_features(df: DataFrame, depth: int | None = None) -> DataFrame:
+    """The whole flatten; all attribute bags end up in one map ``attrs``.
+
+    Bags are opened ``depth`` levels deep. Without it a batch is read once more for the
+    depth that opens all of them; a stream, which cannot be measured, takes BAG_DEPTH.
+    """
+    if depth is None:
+        depth = BAG_DEPTH if df.isStreaming else features_depth(df)
+    base = base_context(df, depth)
+    return explode_observations(explode_fois(explode_visits(base, depth), depth), depth)
+
+
+def features_depth(df: DataFrame) -> int:
+    """A depth that opens the attribute bags of every level of the features."""
+    fois = "flatten(transform(feature.properties.siteVisit, v -> coalesce(v.featureOfInterest, array())))"
+    items = f"flatten(transform({fois}, f -> flatten(filter(coalesce(map_values(f.`foi.observations`), array()), g -> g IS NOT NULL))))"
+    bags = (
+        "array(feature.properties.dataset.`dataset.attributes`, feature.properties.site.`site.attributes`)",
+        "transform(feature.properties.siteVisit, v -> v.`siteVisit.attributes`)",
+        f"transform({fois}, f -> f.`foi.attributes`)",
+        f"transform({items}, o -> o.system)",
+    )
+    every = ", ".join(f"coalesce({b}, array())" for b in bags)
+    return bag_depth(df.select(F.expr(f"explode(concat({every}))").alias("bag")), "bag")
 
 
 # --- attribute bags ---------------------------------------------------------------
@@ -218,9 +239,9 @@ def bag_depth(df: DataFrame, bag: str) -> int:
         depth *= 2
 
 
-def _merged(attrs: str, bag: str, prefix: str) -> Column:
+def _merged(attrs: str, bag: str, prefix: str, depth: int) -> Column:
     """``attrs`` with the flattened bag added (an absent bag adds nothing)."""
-    added = f"map_concat({attrs}, coalesce({flatten_bag_sql(bag, prefix)}, {NO_ATTRS}))"
+    added = f"map_concat({attrs}, coalesce({flatten_bag_sql(bag, prefix, depth)}, {NO_ATTRS}))"
     return F.expr(f"IF({bag} IS NULL, {attrs}, {added})")
 
 

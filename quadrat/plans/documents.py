@@ -194,11 +194,9 @@ def attrs_flatten(spark, folder):
         'gone', named_struct('value', CAST(NULL AS STRING))), map('ignoreNullFields', 'false'))"""
     )
     part = views.table(spark, folder, "part").select("p_partkey", "p_size", "p_brand", "p_type")
-    rows = (
-        spread(part)
-        .select(F.col("p_partkey").alias("sample_id"), F.parse_json(bag).alias("bag"))
-        .select("sample_id", flatten.flatten_bag("bag").alias("attrs"))
-    )
+    bags = spread(part).select(F.col("p_partkey").alias("sample_id"), F.parse_json(bag).alias("bag"))
+    depth = flatten.bag_depth(bags, "bag")
+    rows = bags.select("sample_id", flatten.flatten_bag("bag", depth=depth).alias("attrs"))
     return rows.select("sample_id", F.explode("attrs").alias("attribute", "value"))
 
 

@@ -148,3 +148,24 @@ def test_rare_attributes_stay_in_the_map(spark, monkeypatch):
     df = flatten.attributes_wide(spark.createDataFrame(rows, "id int, attrs map<string,string>"))
     got = {r.id: (r.a, r.b, r.attrs) for r in df.collect()}
     assert got == {1: ("1", "2", {"c": "3"}), 2: ("4", "5", {}), 3: (None, None, None)}
+
+
+def test_deep_bags_of_every_level_are_opened(spark, tmp_path):
+    def deep(name):
+        bag = {"value": name, "unit": "m"}
+        for k in range(7, -1, -1):
+            bag = {f"k{k}": bag}
+        return bag
+
+    one = foi({"g": [obs("a", system=deep("o"))], "none": None}) | {"foi.attributes": deep("f")}
+    doc = feature([visit(one) | {"siteVisit.attributes": deep("v")}], **deep("d"))
+    doc["properties"]["site"]["site.attributes"] = deep("s")
+    (tmp_path / "deep.json").write_text(json.dumps({"type": "FeatureCollection", "features": [doc, feature(None)]}))
+    df = readers.read_feature_collections(spark, str(tmp_path / "deep.json"))
+    path = ".".join(f"k{k}" for k in range(8))
+    names = {"dataset.attributes": "d", "site.attributes": "s", "siteVisit.attributes": "v", "foi.attributes": "f", "obs.system": "o"}
+    want = {f"{n}.{path}{end}": v for n, x in names.items() for end, v in (("", x), (".unit", "m"))}
+    got = [r["attrs"] for r in flatten.flatten_features(df).collect() if r["obs_group"] == "g"]
+    assert got == [want]
+    given = [r["attrs"] for r in flatten.flatten_features(df, depth=8).collect() if r["obs_group"] == "g"]
+    assert given == [want]
