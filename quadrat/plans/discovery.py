@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..model import MAP_WINDOW, OBSERVATIONS
+from ..model import OBSERVATIONS
 from ..operators import align, discovery, lookup, paging, spatial
 from ..operators.selection import Selection, date_test
 from ..sources import readers
@@ -300,7 +300,26 @@ def cluster_weights(spark, folder):
     "site",
 )
 def map_layer(spark, folder):
-    return spatial.map_layer(views.site_points(spark, folder), window=MAP_WINDOW)
+    return spatial.map_layer(views.site_points(spark, folder))
+
+
+WEST, NORTH, EAST, SOUTH = LAYER_WINDOW = (120.0, -15.0, 145.0, -35.0)
+
+
+@query(
+    "map_layer_window",
+    f"""WITH shown AS (SELECT * FROM site
+      WHERE lon BETWEEN {WEST} AND {EAST} AND lat BETWEEN {SOUTH} AND {NORTH}),
+    {CELLS_SQL.replace("FROM site", "FROM shown")},
+    few AS (SELECT count(DISTINCT site_id) BETWEEN 1 AND 249 AS yes FROM shown)
+    SELECT 'cluster' AS kind, CAST(NULL AS BIGINT) AS site_id, cell_x, cell_y, num_sites, lon, lat
+    FROM cells, few WHERE NOT yes
+    UNION ALL
+    SELECT 'site', site_id, NULL, NULL, 1, lon, lat FROM shown, few WHERE yes""",
+    "site",
+)
+def map_layer_window(spark, folder):
+    return spatial.map_layer(views.site_points(spark, folder), window=LAYER_WINDOW)
 
 
 # --- regions and labels -----------------------------------------------------------

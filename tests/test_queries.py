@@ -56,3 +56,12 @@ def test_plans(spark):
         assert "Exchange" not in plan(spark, name)
     for name in ("polygon_join", "resolve_fuzzy", "multi_spec_counts"):
         assert "NestedLoop" not in plan(spark, name) and "Cartesian" not in plan(spark, name)
+
+
+def test_map_layer_shows_sites_everywhere(spark, monkeypatch):
+    from quadrat.plans import views
+
+    far = spark.createDataFrame([(1, 0.0, 50.0), (2, 130.0, -25.0)], "site_id long, lon double, lat double")
+    monkeypatch.setattr(views, "site_points", lambda spark, folder: far)
+    shown = lambda name: {r.site_id for r in entry.queries()[name](spark, FOLDER).collect()}
+    assert shown("map_layer") == {1, 2} and shown("map_layer_window") == {2}
