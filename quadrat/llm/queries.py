@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from . import (
+    centroids,
     decontaminate,
+    manifest,
     mixing,
     neardup,
     pii,
@@ -238,3 +240,103 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.report(read(spark, sf_dir, "documents"))
     digest = F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], digest, "spans")
+
+
+def _manifest_sql(levels: int = 6) -> str:
+    """The tree level by level, for sources (and tables of sources) of up to 16^levels."""
+
+    def tree(name: str, leaves: str) -> list[str]:
+        out = [f"{name}0 AS ({leaves})"]
+        for k in range(levels):
+            run = "PARTITION BY g, idx // 16 ORDER BY idx ROWS BETWEEN"
+            out += [
+                f"""{name}s{k} AS (SELECT g, idx,
+  coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} WHERE width > 1)""",
+                f"""{name}{k + 1} AS (SELECT g, idx // 16 AS idx, sha256(string_agg(h, '' ORDER BY idx)) AS h,
+  (width + 15) // 16 AS width FROM {name}{k} WHERE width > 1 GROUP BY g, idx // 16, width)""",
+            ]
+        ends = " UNION ALL ".join(f"SELECT g, h FROM {name}{k} WHERE width = 1" for k in range(levels + 1))
+        return [*out, f"{name}root AS ({ends})"]
+
+    def field(name: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({name} AS VARCHAR))) || ':' || {name}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [f"x{k}" for k in range(levels)] + [f"y{k}" for k in range(levels)]
+    joins = " ".join(
+        [f"LEFT JOIN bs{k} x{k} ON x{k}.g = p.g AND x{k}.idx = p.idx // {16**k}" for k in range(levels)]
+        + [f"LEFT JOIN ts{k} y{k} ON y{k}.idx = p.g // {16**k}" for k in range(levels)]
+    )
+    proof = " || ".join(f"coalesce({s}.l || {s}.r, '')" for s in steps)
+    parts = ["f0 AS (SELECT *, coalesce(other, leaf) AS f FROM joined)"]
+    for k in range(len(steps)):
+        step = f"CASE WHEN l{k} IS NULL THEN f ELSE sha256(l{k} || f || r{k}) END AS f"
+        parts.append(f"f{k + 1} AS (SELECT * EXCLUDE (f), {step} FROM f{k})")
+    sides = ", ".join(f"{s}.l AS l{k}, {s}.r AS r{k}" for k, s in enumerate(steps))
+    polynomial = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return ",\n".join(
+        [
+            f"""WITH RECURSIVE bits AS (
+  SELECT CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS c, 0 AS k FROM range(256) t(n)
+  UNION ALL SELECT n, {polynomial}, k + 1 FROM bits WHERE k < 8)""",
+            "crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8)",
+            """sums AS (SELECT DISTINCT doc_id, xor(4294967295, list_reduce(
+  list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT)),
+  lambda c, v: xor(c >> 8, t[1 + (xor(c, v) & 255)]), CAST(4294967295 AS BIGINT))) AS crc32 FROM documents, crc)""",
+            "src AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT source FROM documents))",
+            f"""hashed AS (SELECT d.doc_id, d.source, g, {leaf("text")} AS leaf,
+  CASE WHEN crc32 % 5 = 0 THEN {leaf(lower)} END AS other
+  FROM (SELECT doc_id, source, lang, n_chars, text FROM documents) d
+  JOIN (SELECT source AS s, g FROM src) ON s IS NOT DISTINCT FROM d.source
+  LEFT JOIN (SELECT doc_id AS i, crc32 FROM sums) ON i = d.doc_id)""",
+            """p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+  count(*) OVER (PARTITION BY g) AS width FROM hashed)""",
+            *tree("b", "SELECT g, idx, leaf AS h, width FROM p"),
+            *tree("t", "SELECT 0 AS g, g AS idx, h, count(*) OVER () AS width FROM broot"),
+            f"""joined AS (SELECT doc_id, leaf, other, broot.h AS subroot, troot.h AS root, sha256({proof}) AS proof_sha256, {sides}
+  FROM p JOIN broot USING (g) CROSS JOIN troot {joins})""",
+            *parts,
+        ]
+    ) + f"""
+SELECT doc_id, leaf, subroot, root, proof_sha256, f AS folded_root, f = root AS verified FROM f{len(steps)}"""
+
+
+@query("op11_merkle_manifest", _manifest_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(read(spark, sf_dir, "documents")).drop("source", "path")
+
+
+def _centroid_sql(rounds: int = centroids.ROUNDS) -> str:
+    """All rounds written out; exact integers throughout."""
+    near = """SELECT vec_id, q, min(CAST(list_sum(list_transform(range(1, 65),
+  lambda i: (q[i] - z[i]) * (q[i] - z[i]))) AS BIGINT) * 8 + c) AS best FROM (SELECT rowid AS id, * FROM v), c{k} GROUP BY id, vec_id, q"""
+    parts = [
+        """v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rowid,
+  list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, q AS z FROM v
+  ORDER BY c LIMIT 8)""",
+    ]
+    for k in range(rounds):
+        parts += [
+            f"a{k} AS MATERIALIZED ({near.format(k=k)})",
+            f"""m{k} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS z FROM (
+  SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+    SELECT best % 8 AS c, unnest(range(1, 65)) AS i, unnest(q) AS x FROM a{k}) GROUP BY c, i) GROUP BY c)""",
+            f"c{k + 1} AS MATERIALIZED (SELECT c, coalesce(m{k}.z, c{k}.z) AS z FROM c{k} LEFT JOIN m{k} USING (c))",
+        ]
+    return "WITH " + ",\n".join([*parts, f"a AS MATERIALIZED ({near.format(k=rounds)})"]) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, best // 8 AS distance,
+  CAST(sum(best // 8) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best // 8) OVER () AS BIGINT) AS inertia, sha256(array_to_string(z, ',')) AS centroid_sha256
+FROM a JOIN c{rounds} ON c = best % 8"""
+
+
+@query("op13_table_centroids", _centroid_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(read(spark, sf_dir, "embeddings"))
