@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import configure
 from . import (
     centroids,
+    columnwise,
     decontaminate,
     manifest,
     mixing,
@@ -311,6 +312,43 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(read(spark, sf_dir, "documents")).drop("source", "path")
 
 
+@query(
+    "op12_columnwise_repeats",
+    r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+long AS MATERIALIZED (SELECT r, x, CAST(length(x) // 2 AS BIGINT) AS n FROM d WHERE length(x) >= 800),
+parts AS (
+  SELECT r, pos, substr(x, 2 * pos + 1, 2 * 1399) AS part FROM (SELECT r, x, unnest(range(0, n - 399, 1000)) AS pos FROM long)),
+strings AS MATERIALIZED (
+  SELECT r, pos + k AS pos, md5_number(substr(part, 2 * k + 1, 800)) AS s
+  FROM (SELECT r, pos, part, unnest(range(0, least(1000, length(part) // 2 - 399))) AS k FROM parts)),
+again AS (SELECT s FROM strings GROUP BY s HAVING count(*) > 1),
+hits AS (SELECT r, pos FROM strings WHERE s IN (SELECT s FROM again)),
+marked AS (SELECT r, pos, pos - lag(pos) OVER (PARTITION BY r ORDER BY pos) AS gap FROM hits),
+runs AS (SELECT r, pos, sum(CASE WHEN gap <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY pos) AS k FROM marked),
+spans AS (SELECT r, k, min(pos) AS a, max(pos) + 400 AS b FROM runs GROUP BY r, k),
+kept AS (
+  SELECT r, substr(x, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - coalesce(lag(b) OVER w, 0))) AS piece, a, b
+  FROM spans JOIN long USING (r) WINDOW w AS (PARTITION BY r ORDER BY a)),
+whole AS (
+  SELECT r, string_agg(piece, '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS x,
+    CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM kept JOIN long USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, coalesce(removed, 0) AS n_removed,
+  coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(whole.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN whole USING (r)""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = columnwise.report(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def _centroid_sql(rounds: int = centroids.ROUNDS) -> str:
     """All rounds written out; exact integers throughout."""
     near = """SELECT vec_id, q, min(CAST(list_sum(list_transform(range(1, 65),
