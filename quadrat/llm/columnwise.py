@@ -12,9 +12,10 @@ collection, in the same text or another, is found, byte-exactly.
 3. Collections of such pieces are sorted column by column, from the last to the first: each
    round inserts one symbol per piece into the collection's Burrows-Wheeler transform, kept
    as one sequential file of positions per symbol, and the common prefixes of neighbouring
-   suffixes into another sequential file. Every round reads each file from start to end and
-   writes the next one. A new suffix's place follows from the rank of its symbol, its common
-   prefix is one more than the least between the symbol's neighbouring occurrences.
+   suffixes into another sequential file. Files are read from start to end, and the next one
+   is written; the transform's take the insertions of a few rounds at once. A new suffix's
+   place follows from the rank of its symbol, its common prefix is one more than the least
+   between the symbol's neighbouring occurrences.
 4. Suffixes that share ``length`` symbols with a neighbour repeat. Following the transform
    from the whole pieces on gives every start its place; the starts go back to the texts.
 
@@ -41,7 +42,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import broadcast_if_small, is_small
 from ..session import cut_lineage, shared_dir, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -230,31 +230,35 @@ def _prefixes(tape: Tape, places: np.ndarray, own: np.ndarray, after: np.ndarray
     return out
 
 
-def _occurrences(tape: Tape, shift: np.ndarray, new: np.ndarray):
-    """The next file of a symbol's positions, and where the new ones came to lie.
-
-    -> (file, rank of each new position, the position before it, the one after it; -1: none).
-    """
+def _merged(tape: Tape, shift: np.ndarray, new: np.ndarray) -> Tape:
+    """The next file of a symbol's positions: the old ones moved by ``shift``, new ones between."""
     out = Tape(tape.folder, tape.kind)
-    rank, before, after = (np.full(len(new), -1, np.int64) for _ in range(3))
-    done, count, latest = 0, 0, -1
+    done = 0
     for chunk, last in tape.chunks():
         moved = chunk + shift.take(chunk)
         upto = len(new) if last else int(np.searchsorted(new, moved[-1]))
         fresh = new[done:upto]
-        at = np.searchsorted(moved, fresh) + np.arange(len(fresh))
-        woven = _woven(moved, at, fresh)
-        if not len(woven):
+        out.write(_woven(moved, np.searchsorted(moved, fresh) + np.arange(len(fresh)), fresh))
+        done = upto
+    tape.drop()
+    return out
+
+
+def _neighbours(tape: Tape, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many of a symbol's positions lie before each of ``at``, the last of those, and the next.
+
+    -1 stands for none.
+    """
+    rank, before, after = np.zeros(len(at), np.int64), np.full(len(at), -1), np.full(len(at), -1)
+    for chunk, _ in tape.chunks():
+        if not len(chunk):
             continue
-        if done and rank[done - 1] == count - 1:
-            after[done - 1] = woven[0]
-        rank[done:upto] = count + at
-        before[done:upto] = np.where(at > 0, woven[at - 1], latest)
-        inner = done + np.flatnonzero(at + 1 < len(woven))
-        after[inner] = woven[at[inner - done] + 1]
-        out.write(woven)
-        done, count, latest = upto, count + len(woven), int(woven[-1])
-    return out, rank, before, after
+        below = np.searchsorted(chunk, at)
+        rank += below
+        before = np.where(below > 0, chunk[below - 1], before)
+        next_one = chunk[np.minimum(below, len(chunk) - 1)]
+        after = np.where((after < 0) & (below < len(chunk)), next_one, after)
+    return rank, before, after
 
 
 def _range_minima(tape: Tape, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -286,6 +290,82 @@ def _range_minima(tape: Tape, first: np.ndarray, last: np.ndarray) -> np.ndarray
     return out
 
 
+class Transform:
+    """The symbol before each suffix, as a growing set of (symbol, position in the order).
+
+    Each symbol has a sequential file of its positions. The insertions of some rounds wait in
+    ``place`` and ``symbol``, in the order of the suffixes, and are then merged into all the
+    files at once; positions in the files count without the waiting ones.
+    """
+
+    def __init__(self, symbols: int, folder: str) -> None:
+        self.tapes = [Tape(folder, np.int32) for _ in range(symbols)]
+        self.place, self.symbol = np.empty(0, np.int64), np.empty(0, np.uint8)
+        self.items = 0
+
+    def insert(self, place: np.ndarray, symbol: np.ndarray):
+        """Insert suffixes at ``place`` (of the order with them), preceded by ``symbol``.
+
+        -> for each one how many equal symbols stand before it, the place of the last of them
+        and of the next one (-1: none), and how many there are of each symbol.
+        """
+        slots = place - np.arange(len(place))
+        moved = self.place + np.searchsorted(slots, self.place, "right")
+        at = np.searchsorted(moved, place) + np.arange(len(place))
+        self.place = _woven(moved, at, place)
+        self.symbol = _woven(self.symbol, at, symbol)
+        waiting = len(self.place)
+        # among the waiting ones
+        order = np.argsort(self.symbol, kind="stable")
+        rank = np.empty(waiting, np.int64)
+        rank[order] = np.arange(waiting)
+        counts = np.bincount(self.symbol, minlength=len(self.tapes))
+        ends = np.cumsum(counts)
+        mine = rank[at]
+        first, last = (ends - counts)[symbol], ends[symbol] - 1
+        before = np.where(mine > first, self.place[order[mine - 1]], -1)
+        after = np.where(mine < last, self.place[order[np.minimum(mine + 1, waiting - 1)]], -1)
+        rank = mine - first
+        # among those in the files
+        slot = self.place - np.arange(waiting)
+        asked = place - at
+        by_symbol = np.argsort(symbol, kind="stable")
+        edges = np.searchsorted(symbol[by_symbol], np.arange(len(self.tapes) + 1))
+        for s in np.flatnonzero(np.diff(edges)):
+            some = by_symbol[edges[s] : edges[s + 1]]
+            if not self.tapes[s].items:
+                continue
+            below, left, right = _neighbours(self.tapes[s], asked[some])
+            rank[some] += below
+            left = np.where(left >= 0, left + np.searchsorted(slot, left, "right"), -1)
+            right = np.where(right >= 0, right + np.searchsorted(slot, right, "right"), -1)
+            before[some] = np.maximum(before[some], left)
+            both = (after[some] >= 0) & (right >= 0)
+            after[some] = np.where(both, np.minimum(after[some], right), np.maximum(after[some], right))
+        self.items += len(place)
+        return rank, before, after, counts + [t.items for t in self.tapes]
+
+    def merge(self, more: np.ndarray | None = None) -> None:
+        """Write the next files; ``more`` are places of suffixes without a symbol before them."""
+        slot = self.place - np.arange(len(self.place))
+        gaps = np.diff(np.concatenate([[0], slot, [self.items - len(slot)]]))
+        shift = np.repeat(np.arange(len(slot) + 1, dtype=np.int32), gaps)
+        for s, tape in enumerate(self.tapes):
+            self.tapes[s] = _merged(tape, shift, self.place[self.symbol == s].astype(np.int32))
+        self.place, self.symbol = self.place[:0], self.symbol[:0]
+        if more is not None:
+            slot = more - np.arange(len(more))
+            gaps = np.diff(np.concatenate([[0], slot, [self.items]]))
+            shift = np.repeat(np.arange(len(more) + 1, dtype=np.int32), gaps)
+            self.tapes = [_merged(tape, shift, np.empty(0, np.int32)) for tape in self.tapes]
+
+    def waits_too_long(self) -> bool:
+        """Whether the waiting insertions cost a round about as much as their share of a merge."""
+        return len(self.place) ** 2 * 4 > self.items * self.latest
+
+    latest = 1
+
+
 def suffix_places(texts: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sort all suffixes of the texts, which are given longest first.
 
@@ -295,57 +375,51 @@ def suffix_places(texts: list[bytes], folder: str) -> tuple[np.ndarray, np.ndarr
     widest, total = len(texts[0]), len(texts)
     sizes = np.array([len(t) for t in texts])
     columns = np.frombuffer(b"".join(t.ljust(widest, b"\0") for t in texts), np.uint8)
-    columns = np.ascontiguousarray(columns.reshape(total, widest).T)
-    symbols = np.unique(np.frombuffer(b"".join(texts), np.uint8)).tolist()
-    tapes = {s: Tape(folder, np.int32) for s in symbols}
+    symbols = np.unique(np.frombuffer(b"".join(texts), np.uint8))
+    code = np.zeros(256, np.uint8)
+    code[symbols] = np.arange(len(symbols))
+    columns = np.ascontiguousarray(code[columns].reshape(total, widest).T)
+    transform = Transform(len(symbols), folder)
     prefixes = Tape(folder, np.int16 if widest < 32_000 else np.int32)
     entered = 0
     # of the texts under way: their current suffix's place, common prefix, and that behind it
     who, place, own, after = (np.empty(0, np.int64) for _ in range(4))
     for j in range(widest - 1, -2, -1):
-        fresh = np.arange(entered, int(np.searchsorted(-sizes, -j, "left"))) if j >= 0 else np.empty(0, np.int64)
+        fresh = np.arange(entered, int(np.searchsorted(-sizes, -j)) if j >= 0 else entered)
         # empty suffixes come first, in the order of the texts
         who = np.concatenate([fresh, who])
         place = np.concatenate([fresh, place])
         own = np.concatenate([np.zeros(len(fresh), np.int64), own])
         after = np.concatenate([np.full(len(fresh), -1), after])
         entered += len(fresh)
-        slots = place - np.arange(len(place))
-        gaps = np.diff(np.concatenate([[0], slots, [prefixes.items]]))
-        shift = np.repeat(np.arange(len(place) + 1, dtype=np.int32), gaps)
         grown = _prefixes(prefixes, place, own, after)
         prefixes.drop()
         prefixes = grown
-        column = columns[j, who] if j >= 0 else np.empty(0, np.uint8)
-        parts, counted = [], 0
-        for s in symbols:
-            mine = np.flatnonzero(column == s)
-            if not len(mine) and not tapes[s].items:
-                continue
-            grown, rank, before, behind = _occurrences(tapes[s], shift, place[mine].astype(np.int32))
-            tapes[s].drop()
-            tapes[s] = grown
-            if len(mine):
-                parts.append((who[mine], place[mine], counted + rank, before, behind))
-            counted += grown.items
         if j < 0:
+            transform.merge(place)
             break
-        doc, here, rank, before, behind = (np.concatenate(p) for p in zip(*parts))
+        column = columns[j, who]
+        rank, before, behind, counts = transform.insert(place, column)
+        transform.latest = len(place)
+        if transform.waits_too_long():
+            transform.merge()
         led, followed = before >= 0, behind >= 0
         minima = _range_minima(
             prefixes,
-            np.concatenate([before[led] + 1, here[followed] + 1]),
-            np.concatenate([here[led], behind[followed]]),
+            np.concatenate([before[led] + 1, place[followed] + 1]),
+            np.concatenate([place[led], behind[followed]]),
         ).astype(np.int64)
-        own, after = np.zeros(len(doc), np.int64), np.full(len(doc), -1)
+        own, after = np.zeros(len(who), np.int64), np.full(len(who), -1)
         own[led], after[followed] = minima[: led.sum()] + 1, minima[led.sum() :] + 1
         # texts that end one column further left enter next and push all others behind
-        coming = int(np.searchsorted(-sizes, -(j - 1), "left")) - entered if j else 0
-        who, place = doc, entered + coming + rank
+        coming = int(np.searchsorted(-sizes, 1 - j)) - entered if j else 0
+        place = entered + coming + (np.cumsum(counts) - counts)[column] + rank
+        order = np.argsort(place)
+        who, place, own, after = who[order], place[order], own[order], after[order]
     whole = np.empty(total, np.int64)
     whole[who] = place
-    common, shorter = prefixes.all(), np.concatenate([tapes[s].all() for s in symbols])
-    for tape in (prefixes, *tapes.values()):
+    common, shorter = prefixes.all(), np.concatenate([t.all() for t in transform.tapes])
+    for tape in (prefixes, *transform.tapes):
         tape.drop()
     return common, whole, shorter
 
@@ -526,7 +600,8 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         "n",
         *[F.col(f"p.{c}").alias(c.removesuffix("s")) for c in LISTS],
     )
-    places = cut_lineage(all_places.join(broadcast_if_small(again), "anchor"))
+    # these tables grow with the corpus: they are joined the same way at every size
+    places = cut_lineage(all_places.join(again.hint("merge"), "anchor"))
     classes = cut_lineage(
         places.groupBy("anchor", "piece").agg(
             F.sum("n").alias("copies"),
@@ -542,17 +617,13 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.sum(F.col("run") + F.lit(length - 1)).alias("size"),
     )
     groups = cut_lineage(groups.where("kinds > 1 OR own > 1").select("anchor", "size"))
-    shared = classes.join(broadcast_if_small(groups), "anchor")
-    alone = classes.join(broadcast_if_small(groups), "anchor", "left_anti")
+    shared = classes.join(groups.hint("merge"), "anchor")
+    alone = classes.join(groups.hint("merge"), "anchor", "left_anti")
     everywhere = F.array(F.struct(F.lit(0).alias("first"), (F.col("run") - 1).alias("last")))
     found = alone.select("piece", everywhere.alias("ranges"))
 
     wanted = cut_lineage(places.select("digest").distinct())
-    if is_small(wanted):
-        held = _distinct(long.join(F.broadcast(wanted), "digest", "left_semi"))
-    else:
-        held = _distinct(long).join(wanted.hint("merge"), "digest", "left_semi")
-    held = cut_lineage(held)
+    held = cut_lineage(_distinct(long).join(wanted.hint("merge"), "digest", "left_semi"))
 
     asked = F.struct(F.col("at.start").alias("start"), "run", "anchor", "piece", "copies", "size")
     asked = shared.groupBy(F.col("at.digest").alias("digest")).agg(F.collect_list(asked).alias("wanted"))
@@ -563,7 +634,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         some = asked.select("digest", part.alias("wanted")).where(F.size("wanted") > 0)
         if large and some.isEmpty():
             continue
-        pieces = held.join(broadcast_if_small(some), "digest").select("bytes", "wanted")
+        pieces = held.join(some.hint("merge"), "digest").select("bytes", "wanted")
         pieces = pieces.mapInArrow(_extracted(length), "anchor long, piece binary, copies long, bytes binary")
         if large:
             found = found.union(_counted_strings(pieces, length))
@@ -580,10 +651,10 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     moved = F.transform(
         "ranges", lambda r: F.struct((r["first"] + F.col("start")).alias("first"), (r["last"] + F.col("start")).alias("last"))
     )
-    ranges = places.join(broadcast_if_small(found), "piece").select("digest", F.explode(moved).alias("r"))
+    ranges = places.join(found.hint("merge"), "piece").select("digest", F.explode(moved).alias("r"))
     ranges = cut_lineage(ranges.groupBy("digest").agg(F.collect_list("r").alias("ranges")))
     return cut_lineage(
-        held.join(broadcast_if_small(ranges), "digest").mapInArrow(
+        held.join(ranges.hint("merge"), "digest").mapInArrow(
             _cut_out(length), "digest binary, spans array<struct<start:int,end:int>>, kept binary"
         )
     )
@@ -595,7 +666,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.col("digest").alias("_digest"), "spans", F.sha2("kept", 256).alias("_sha")
     )
     rows = _bytes_of(docs).select("doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"), "digest")
-    joined = rows.join(broadcast_if_small(left), F.col("digest") == F.col("_digest"), "left")
+    joined = rows.join(left.hint("merge"), F.col("digest") == F.col("_digest"), "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
     return joined.select(
         "doc_id",
@@ -610,6 +681,6 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     left = repeats(docs, length).select(F.col("digest").alias("_digest"), F.col("kept").alias("_kept"))
     data = F.coalesce(F.col("_doc.text"), F.lit("")).cast("binary")
     whole = docs.select(F.struct("*").alias("_doc"))
-    joined = whole.join(broadcast_if_small(left), F.unhex(F.sha2(data, 256)) == F.col("_digest"), "left")
+    joined = whole.join(left.hint("merge"), F.unhex(F.sha2(data, 256)) == F.col("_digest"), "left")
     others = [F.col(f"_doc.`{c}`") for c in docs.columns if c != "kept"]
     return joined.select(*others, F.coalesce("_kept", data).alias("kept"))

@@ -88,13 +88,6 @@ def test_large_groups_are_counted(make, monkeypatch):
     assert reported(make(rows), 16) == expected(rows, 16)
 
 
-def test_merge_joins(make, monkeypatch):
-    monkeypatch.setattr(cw, "is_small", lambda df: False)
-    monkeypatch.setattr(cw, "broadcast_if_small", lambda df: df.hint("merge"))
-    rows = corpus(16)
-    assert reported(make(rows), 16) == expected(rows, 16)
-
-
 def test_long_texts_and_remove(make):
     words = [f"w{k}" for k in range(3000)]
     long = " ".join(DRAW.choices(words, k=20_000))
