@@ -48,7 +48,7 @@ ship_with_tasks(__name__)
 
 LENGTH = 400
 ANCHOR = 192  # bytes of an anchor, at most about half of the length
-COLLECTION, GROUP, PARTITION = 2 << 20, 8 << 20, 64 << 20
+COLLECTION, GROUP, PARTITION = 6 << 20, 8 << 20, 64 << 20
 SPOOL, CHUNK = 64 << 20, 1 << 20  # bytes of a file kept in memory, items read at once
 
 _RANDOM = np.random.default_rng(20130613)
