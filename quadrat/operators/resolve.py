@@ -1,36 +1,36 @@
 """From what a user wrote to the canonical vocabulary entry.
 
 Exact identifier, then exact label, then the best similar label. Only the *distinct*
-values that no equi-join settled are scored. A few of them, as a user types them, travel
-with the tasks and are compared with each label where it lies. Many of them are joined
-with the labels, and meet only those that can reach the threshold:
-
-* two texts with ``ratio >= t`` share at least ``t * (la + lb) / 200`` characters,
-  counted with repeats; so ``len - ceil(t * len / (200 - t)) + 1`` of the rarest
-  characters of either text must contain a common one. That common character is the
-  join key (with the facet), and the length bound and the exact number of shared
-  characters are tested before the costly score;
-* a first round asks for near-perfect matches. What it settles is final, because any
-  better label would have been found in the same round; only the rest pays for the
-  wide round.
-
-Both filters are exact: no pair that reaches the threshold is lost.
+values that no equi-join settled are compared, and with few labels:
+
+* a text is the set of its characters, numbered where they repeat, rarest first. Two texts
+  of lengths la and lb with ``ratio >= t`` share at least ``o = t * (la + lb) / 200`` of
+  them, so the ``la - o + k`` rarest of one and the ``lb - o + k`` rarest of the other have
+  at least k in common. Each k of these, with both lengths and the facet, are a join key;
+  lengths that cannot reach the threshold make no key at all;
+* the pairs that meet are made distinct, the exact number of shared characters is tested,
+  and only then the score is computed;
+* the thresholds fall round by round. What a round settles is final, because any better
+  label would have been found in the same round; near-perfect matches cost few keys, and
+  only what is left pays for the wide rounds.
+
+All steps are exact: no pair that reaches the threshold is lost.
 """
 
 from __future__ import annotations
 
+import math
 import re
-import pandas as pd
+from dataclasses import dataclass, replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity
 from ..functions.text import region_type_key, strip
 from ..model import REGION_TYPES
-from ..session import cut_lineage, ship_with_tasks
-from .lookup import broadcast_if_small
-
-ship_with_tasks(__name__)
+from ..session import cut_lineage
+from .lookup import broadcast_if_small, is_small
 
 # fixed values: thresholds
 FACET_NAME_THRESHOLD = 70
@@ -40,11 +40,9 @@ SPECIES_THRESHOLD = 80
 REGION_TYPE_THRESHOLD = 90
 REGION_TYPE_L_THRESHOLD = 20
 
-FIRST_ROUND = 92
-# Fewer misses than this are not worth a round of their own.
-FIRST_ROUND_FROM = 10_000
-# Up to this many values are compared with all labels in a scan instead of a join.
-SCAN_VALUES = 1000
+# Thresholds of the rounds before the last one, and the characters of a join key.
+ROUNDS = (92.0, 84.0)
+KEY_ITEMS = 4
 # Guards the bounds against rounding.
 EPS = 1e-9
 
@@ -52,78 +50,136 @@ EPS = 1e-9
 # --- similarity join --------------------------------------------------------------
 
 
-def _characters(text: Column) -> Column:
+def _characters(text: str) -> str:
     """Characters numbered by repeat, so that shared repeats can be counted as a set."""
-    chars = F.split(text, "")
-    return F.transform(
-        chars,
-        lambda c, i: F.concat(
-            c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda x: x == c)).cast("string")
-        ),
-    )
 
+    def of(chars: str) -> str:
+        return (
+            f"transform({chars}, (c, i) -> concat(c, CAST(size(filter(slice({chars}, 1, i + 1), "
+            f"x -> x = c)) AS STRING)))"
+        )
 
-def _signature(texts: DataFrame, rarity: DataFrame, threshold: float) -> DataFrame:
-    """(facet, text, bag, probe): all characters, and those that must hit, rarest first.
+    return similarity.let(similarity.characters(text), of)
+
+
+def ranked_texts(texts: DataFrame, rarity: DataFrame) -> DataFrame:
+    """(facet, text, n, items): the numbered characters of each text, rarest first.
 
     Groups are the characters of one text, so they are as small as a label.
     """
-    size = F.length("text")
-    keep = size - F.ceil(size * threshold / (200.0 - threshold) - EPS) + 1
     return (
-        texts.withColumn("char", F.explode(_characters(F.col("text"))))
-        .join(rarity, ["facet", "char"], "left")
+        texts.withColumn("char", F.explode(F.expr(_characters("text"))))
+        .join(broadcast_if_small(rarity), ["facet", "char"], "left")
         .groupBy("facet", "text")
         .agg(
             F.array_sort(
                 F.collect_list(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "char"))
             ).alias("ranked")
         )
-        .withColumn("bag", F.transform("ranked", lambda r: r["char"]))
-        .select("facet", "text", "bag", F.slice("bag", F.lit(1), keep.cast("int")).alias("probe"))
+        .select(
+            "facet",
+            "text",
+            F.length("text").alias("n"),
+            F.transform("ranked", lambda r: F.xxhash64(r["char"])).alias("items"),
+        )
     )
 
 
-def similar_pairs(
-    values: DataFrame, labels: DataFrame, threshold: float
-) -> DataFrame:
-    """(facet, value, label, score) of all pairs with ``ratio >= threshold``.
+def _key_sets(items: str, seed: str, count: str) -> Column:
+    """Hashes of the seed and each ``count`` (1 to KEY_ITEMS) of the items, in their order."""
 
-    ``values`` is (facet, value), ``labels`` is (facet, label); both distinct.
-    """
+    def chosen(more: int, start: str, before: str) -> str:
+        rest = f"slice({items}, {start}, size({items}))"
+        x, i = f"x{more}", f"i{more}"
+        if more == 1:
+            return f"transform({rest}, {x} -> xxhash64({seed}{before}, {x}))"
+        inner = chosen(more - 1, f"{start} + {i} + 1", f"{before}, {x}")
+        return f"flatten(transform({rest}, ({x}, {i}) -> {inner}))"
+
+    cases = " ".join(f"WHEN {count} = {k} THEN {chosen(k, '1', '')}" for k in range(1, KEY_ITEMS))
+    return F.expr(f"CASE {cases} ELSE {chosen(KEY_ITEMS, '1', '')} END")
+
+
+def _keyed(texts: DataFrame, lengths: DataFrame, own: str, name: str) -> DataFrame:
+    """(key, facet, name): the join keys of each text for each length it may meet."""
+    count = F.least(F.lit(KEY_ITEMS), F.col("shared"))
+    met = texts.join(
+        F.broadcast(lengths.withColumnRenamed("facet", "_facet")),
+        (F.col("facet") == F.col("_facet")) & (F.col("n") == F.col(own)),
+    )
+    rarest = F.slice("items", F.lit(1), F.col("n") - F.col("shared") + count)
+    rows = met.select(
+        "facet", F.col("text").alias(name), "la", "lb", rarest.alias("items"), count.alias("count")
+    )
+    return rows.select(F.explode(_key_sets("items", "facet, la, lb", "count")).alias("key"), "facet", name)
+
+
+@dataclass
+class Sides:
+    """Both ranked sides, whether each is small, and the lengths of the texts per facet."""
+
+    left: DataFrame
+    right: DataFrame
+    few: tuple[bool, bool]
+    lengths: list[tuple[str, int, int]]
+
+    def reachable(self, threshold: float) -> DataFrame:
+        """(facet, la, lb, shared): the lengths that can reach the threshold, a row per pair."""
+        rows = [
+            (f, a, b, max(1, math.ceil(threshold * (a + b) / 200.0 - EPS)))
+            for f, a, b in self.lengths
+            if 200.0 * min(a, b) >= (threshold - EPS) * (a + b)
+        ]
+        return self.left.sparkSession.createDataFrame(rows, "facet string, la int, lb int, shared int")
+
+    def without(self, done: DataFrame) -> "Sides":
+        rest = self.left.join(done, ["facet", "text"], "left_anti")
+        return replace(self, left=cut_lineage(rest))
+
+
+def sides_of(values: DataFrame, labels: DataFrame) -> Sides:
     right = labels.select("facet", F.col("label").alias("text")).where(F.length("text") > 0)
     left = values.select("facet", F.col("value").alias("text")).where(F.length("text") > 0)
     rarity = (
-        right.select("facet", F.explode(_characters(F.col("text"))).alias("char"))
+        right.select("facet", F.explode(F.expr(_characters("text"))).alias("char"))
         .groupBy("facet", "char")
         .agg(F.count(F.lit(1)).alias("seen"))
     )
-    a = _signature(left, rarity, threshold).select(
-        "facet",
-        F.col("text").alias("value"),
-        F.col("bag").alias("bag_a"),
-        F.col("probe").alias("probe_a"),
-        F.explode("probe").alias("key"),
-    )
-    b = _signature(right, rarity, threshold).select(
-        "facet",
-        F.col("text").alias("label"),
-        F.col("bag").alias("bag_b"),
-        F.col("probe").alias("probe_b"),
-        F.explode("probe").alias("key"),
-    )
-    la, lb = F.length("value"), F.length("label")
-    reachable = F.size(F.array_intersect("bag_a", "bag_b")) >= threshold * (la + lb) / 200.0 - EPS
-    # of several common keys only the first one carries the pair: no later distinct
-    once = F.col("key") == F.element_at(F.array_intersect("probe_a", "probe_b"), 1)
-    lengths = (200.0 * F.least(la, lb) / (la + lb)) >= threshold - EPS
-    score = similarity.ratio_column(F.col("value"), F.col("label"))
-    return (
-        a.join(b, ["facet", "key"])
-        .where(lengths & once & reachable)
-        .select("facet", "value", "label", score.alias("score"))
-        .where(F.col("score") >= threshold)
-    )
+    rarity = cut_lineage(rarity)
+    left, right = (cut_lineage(ranked_texts(side, rarity)) for side in (left, right))
+    # as many rows as a facet has different lengths of text
+    la, lb = (side.select("facet", "n").distinct().collect() for side in (left, right))
+    lengths = [(a["facet"], a["n"], b["n"]) for a in la for b in lb if a["facet"] == b["facet"]]
+    return Sides(left, right, (is_small(left), is_small(right)), lengths)
+
+
+def key_pairs(sides: Sides, threshold: float) -> DataFrame:
+    """(facet, value, label) that share a key, once per key."""
+    lengths = sides.reachable(threshold)
+    a = _keyed(sides.left, lengths, "la", "value")
+    b = _keyed(sides.right, lengths, "lb", "label").withColumnRenamed("facet", "_facet")
+    return a.join(b, "key").where(F.col("facet") == F.col("_facet")).select("facet", "value", "label")
+
+
+def _scored(sides: Sides, threshold: float) -> DataFrame:
+    pairs = key_pairs(sides, threshold).distinct()
+    a = sides.left.select("facet", F.col("text").alias("value"), F.col("items").alias("items_a"))
+    b = sides.right.select("facet", F.col("text").alias("label"), F.col("items").alias("items_b"))
+    a, b = (F.broadcast(side) if few else side.hint("merge") for side, few in zip((a, b), sides.few))
+    both = pairs.join(a, ["facet", "value"]).join(b, ["facet", "label"])
+    common = F.size(F.array_intersect("items_a", "items_b"))
+    total = F.size("items_a") + F.size("items_b")
+    score = similarity.ratio_column("value", "label")
+    likely = both.where(common >= threshold * total / 200.0 - EPS)
+    return likely.select("facet", "value", "label", score.alias("score")).where(F.col("score") >= threshold)
+
+
+def similar_pairs(values: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """(facet, value, label, score) of all pairs with ``ratio >= threshold``.
+
+    ``values`` is (facet, value), ``labels`` is (facet, label); both distinct.
+    """
+    return _scored(sides_of(values, labels), threshold)
 
 
 def best_per_value(pairs: DataFrame) -> DataFrame:
@@ -137,61 +193,20 @@ def best_per_value(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _scan_labels(values: list[tuple[str, str]], labels: DataFrame, threshold: float) -> DataFrame:
-    """Best label per value and task, for a list of (facet, value) that travels with the tasks.
-
-    Nothing is shuffled but one row per value and task.
-    """
-    typed: dict[str, list[str]] = {}
-    for facet, value in values:
-        typed.setdefault(facet, []).append(value)
-    prepare, slack = similarity.ratio_to, EPS
-
-    def score_labels(batches):
-        scorers = {f: [(v, len(v), prepare(v)) for v in vs if v] for f, vs in typed.items()}
-        best: dict[tuple[str, str], tuple[float, str]] = {}
-        for batch in batches:
-            for facet, label in zip(batch["facet"], batch["label"]):
-                for value, size, scorer in scorers.get(facet, ()) if label else ():
-                    if 200.0 * min(size, len(label)) < (threshold - slack) * (size + len(label)):
-                        continue
-                    score = scorer(label)
-                    old = best.get((facet, value))
-                    if score >= threshold and (old is None or (-score, label) < (-old[0], old[1])):
-                        best[facet, value] = score, label
-        rows = [(f, v, label, score) for (f, v), (score, label) in best.items()]
-        yield pd.DataFrame(rows, columns=["facet", "value", "label", "score"])
-
-    scored = labels.select("facet", "label").mapInPandas(
-        score_labels, "facet string, value string, label string, score double"
-    )
-    return best_per_value(scored)
-
-
 def best_matches(
-    values: DataFrame,
-    labels: DataFrame,
-    threshold: float,
-    first_round: float | None = FIRST_ROUND,
-    scan_values: int = SCAN_VALUES,
+    values: DataFrame, labels: DataFrame, threshold: float, rounds: tuple[float, ...] = ROUNDS
 ) -> DataFrame:
-    """Best label of each value that has one at or above the threshold.
-
-    A few values, as a user types them, are compared with every label in one scan. Many
-    values go through the similarity join, the near-perfect ones in a round of their own.
-    """
-    typed = values.limit(scan_values + 1).collect() if scan_values else []
-    if scan_values and len(typed) <= scan_values:
-        return _scan_labels([(r["facet"], r["value"]) for r in typed], labels, threshold)
-    labels = labels.distinct()
-    few = values.limit(FIRST_ROUND_FROM).count() < FIRST_ROUND_FROM
-    if first_round is None or first_round <= threshold or few:
-        return best_per_value(similar_pairs(values, labels, threshold))
-    near = cut_lineage(best_per_value(similar_pairs(values, labels, first_round)))
-    rest = values.join(near, ["facet", "value"], "left_anti")
-    if rest.isEmpty():
-        return near
-    return near.union(best_per_value(similar_pairs(rest, labels, threshold)))
+    """Best label of each value that has one at or above the threshold."""
+    sides = sides_of(values, labels.distinct())
+    found = None
+    for bound in [r for r in rounds if r > threshold] + [threshold]:
+        best = cut_lineage(best_per_value(_scored(sides, bound)))
+        found = best if found is None else found.union(best)
+        if bound > threshold:
+            sides = sides.without(best.select("facet", F.col("value").alias("text")))
+            if sides.left.isEmpty():
+                break
+    return found
 
 
 # --- resolver ---------------------------------------------------------------------
@@ -297,8 +312,9 @@ def resolve_region_types(texts: DataFrame, column: str) -> DataFrame:
     scored = (
         texts.select(column)
         .distinct()
-        .withColumn("by_url", similarity.best_choice_column(raw, urls))
-        .withColumn("by_name", similarity.best_choice_column(clean, names))
+        .withColumn("clean", clean)
+        .withColumn("by_url", similarity.best_choice_column(f"`{column}`", urls))
+        .withColumn("by_name", similarity.best_choice_column("clean", names))
     )
     pick = F.when(is_url, name_of[F.col("by_url.choice")]).otherwise(F.col("by_name.choice"))
     score = F.when(is_url, F.col("by_url.score")).otherwise(F.col("by_name.score"))
@@ -318,47 +334,88 @@ def resolve_name(text: str, allowed, threshold: float = FACET_NAME_THRESHOLD) ->
     return top if score >= threshold else None
 
 
+def _traits(text: str) -> Column:
+    """What bounds a weighted ratio: characters with blanks alike, words, length of the words."""
+    plain = f"regexp_replace({text}, r'{similarity.BLANKS}', ' ')"
+    words = similarity.let(
+        f"array_distinct({similarity.words(text)})",
+        lambda w: f"named_struct('chars', {_characters(plain)}, 'words', {w}, 'n', length(array_join({w}, ' ')))",
+    )
+    return F.expr(words)
+
+
+def species_candidates(names: DataFrame, typed: DataFrame, threshold: float) -> DataFrame:
+    """(position, value, speciesname, same) of the names that may reach the threshold.
+
+    ``names`` is (speciesname), ``typed`` (position, value), what a user typed. A name that
+    shares a word with the value may. Any other needs enough common characters: of c common
+    ones a ratio is at most 200 c / (length of both), and for texts of very different length
+    that of a window at most 200 c / (length of the shorter + c). The distinct words are the
+    shortest form that is compared.
+    """
+    asked = typed.select("position", "value", _traits("value").alias("t")).collect()
+    words = lambda some: F.lit(list(some)).cast("array<string>")
+    listed = [
+        F.struct(
+            F.lit(r["position"]).alias("position"),
+            F.lit(r["value"]).alias("value"),
+            words(r["t"]["chars"]).alias("chars"),
+            words(r["t"]["words"]).alias("words"),
+            F.lit(r["t"]["n"]).alias("n"),
+        )
+        for r in asked
+    ]
+    mine = F.col("t")
+    # what a user typed travels with the tasks: no name is moved
+    pairs = (
+        names.select("speciesname", _traits("speciesname").alias("s"))
+        .select("*", F.explode(F.array(*listed)).alias("t"))
+        .select("*", "t.position", "t.value", F.size(F.array_intersect("t.chars", "s.chars")).alias("common"))
+    )
+    la, lb = F.length("value"), F.length("speciesname")
+    short, long = F.least(la, lb), F.greatest(la, lb)
+    weight = F.when(long <= similarity.LONG_WINDOW_FROM * short, similarity.WINDOW_WEIGHT).otherwise(
+        similarity.LONG_WINDOW_WEIGHT
+    )
+    c, n = F.col("common"), F.least(mine["n"], F.col("s.n"))
+    whole = 200.0 * c >= threshold * (mine["n"] + F.col("s.n")) - EPS
+    window = (long >= similarity.WINDOW_FROM * short - EPS) & (weight * 200.0 * c >= threshold * (n + c) - EPS)
+    same = F.lower("value") == F.lower("speciesname")
+    likely = same | F.arrays_overlap("t.words", "s.words") | whole | window
+    return pairs.where((la > 0) & likely).select("position", "value", "speciesname", same.alias("same"))
+
+
 def match_species(
     species: DataFrame, column: str, wanted: list[str], threshold: float = SPECIES_THRESHOLD
 ) -> DataFrame:
     """Match the species names a user typed against all names of a table.
 
     -> (position, value, speciesname, score); NULL name when nothing is close enough.
-    The typed list travels with the tasks. Every task scores the names it holds and
-    passes on one best row per typed value, so what is shuffled is tiny. An exact match
-    that only differs in case beats any similarity.
+    The typed list travels with the tasks, names are scored where they lie, and only those
+    that share a word or enough characters. An exact match that only differs in case beats
+    any similarity.
     """
     spark = species.sparkSession
-    scorer = similarity.weighted_ratio
-    typed = [(i, v.strip()) for i, v in enumerate(wanted)]
+    typed = spark.createDataFrame(
+        [(i, v.strip()) for i, v in enumerate(wanted)], "position int, value string"
+    )
+    if not wanted:
+        return typed.select("position", "value", F.lit("").alias("speciesname"), F.lit(0.0).alias("score"))
     names = (
         species.select(F.trim(column).alias("speciesname"))
         .where(F.length("speciesname") > 0)
         .distinct()
     )
-
-    def score_names(batches):
-        best: dict[int, tuple[float, str]] = {}
-        for batch in batches:
-            for name in batch["speciesname"]:
-                folded = name.casefold()
-                for i, value in typed:
-                    same = bool(value) and folded == value.casefold()
-                    score = 101.0 if same else scorer(value, name)
-                    old = best.get(i)
-                    if old is None or (-score, name) < (-old[0], old[1]):
-                        best[i] = (score, name)
-        rows = [(i, name, score) for i, (score, name) in best.items()]
-        yield pd.DataFrame(rows, columns=["position", "speciesname", "score"])
-
-    scored = names.mapInPandas(score_names, "position int, speciesname string, score double")
+    likely = species_candidates(names, typed, threshold)
+    weighted = similarity.weighted_ratio_column("value", "speciesname")
+    score = F.when(F.col("same"), F.lit(101.0)).otherwise(weighted)
     best = (
-        scored.groupBy("position")
+        likely.select("position", "speciesname", score.alias("score"))
+        .groupBy("position")
         .agg(F.min(F.struct(-F.col("score"), F.col("speciesname"))).alias("b"))
         .select("position", F.col("b.speciesname").alias("speciesname"), (-F.col("b.col1")).alias("s"))
         .where(F.col("s") >= threshold)
     )
-    asked = spark.createDataFrame(typed, "position int, value string")
-    return asked.join(best, "position", "left").select(
+    return typed.join(best, "position", "left").select(
         "position", "value", "speciesname", F.least("s", F.lit(100.0)).alias("score")
     )

@@ -45,16 +45,17 @@ def points_in_polygons(
     """Pairs of a point and a polygon that holds it.
 
     ``points`` has ``lon``, ``lat``; ``polygons`` has ``shape_id`` and ``ring``
-    (array of ``struct<x,y>``). Each polygon is put on the grid whose cells are about
+    (array of ``struct<x,y>``); with ``closed`` a shape is a box that includes its edges. Each polygon is put on the grid whose cells are about
     as wide as it is, so it covers at most nine cells however large it is; a point asks
     one cell on each grid in use. The join is an equi-join on the cell, followed by the
     exact test. Few polygons are broadcast, after measuring them; for many, a cell that
     holds a large part of all points is spread over ``salts``.
     """
     b = geometry.ring_bounds(F.col("ring"))
+    closed = F.col("closed") if "closed" in polygons.columns else F.lit(False)
     shapes = (
-        polygons.select("shape_id", edges_of(F.col("ring")).alias("edges"), b.alias("b"))
-        .select("shape_id", "edges", "b.*")
+        polygons.select("shape_id", closed.alias("closed"), edges_of(F.col("ring")).alias("edges"), b.alias("b"))
+        .select("shape_id", "closed", "edges", "b.*")
         .withColumn("span", F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))
         .withColumn(
             "level",
@@ -94,7 +95,7 @@ def points_in_polygons(
     inside = (
         lon.between(F.col("minx"), F.col("maxx"))
         & lat.between(F.col("miny"), F.col("maxy"))
-        & geometry.in_edges(lon, lat, F.col("edges"))
+        & (F.col("closed") | geometry.in_edges(lon, lat, F.col("edges")))
     )
     return (
         keyed.join(F.broadcast(covered) if few else covered.hint("merge"), ["level", "cx", "cy", "salt"])

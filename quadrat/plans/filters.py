@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..functions import geometry
 from ..model import OBSERVATIONS, SAMPLES, SurveyTables
-from ..operators import resolve, selection, spatial
+from ..operators import resolve, saved, selection, spatial
 from ..operators.lookup import broadcast_if_small
 from ..operators.selection import Selection
 from . import views
@@ -381,6 +383,12 @@ def supplier_selections(spark, folder):
 _LIST = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"
 
 
+SPEC_BOX = "[120.0, -40.0, 145.5, -15.0]"
+SPEC_SHELL = ((115, -40), (150, -40), (130, -12), (115, -40))
+SPEC_HOLE = ((125, -35), (135, -35), (130, -25), (125, -35))
+SPEC_SHAPE = {"type": "Polygon", "coordinates": [SPEC_SHELL, SPEC_HOLE]}
+
+
 @query(
     "multi_spec_counts",
     f"""WITH spec AS (
@@ -391,18 +399,83 @@ _LIST = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"  # noqa: E7
         DATE '1995-01-01' + CAST(s_suppkey % 1000 AS INTEGER) AS low,
         DATE '1999-01-01' + CAST(s_suppkey % 500 AS INTEGER) AS high
       FROM supplier),
-    cube AS (SELECT dataset, used_procedure, visit_date, count(*) AS n FROM observation
-      GROUP BY ALL)
+    places AS (SELECT site_id, region, lon BETWEEN 120.0 AND 145.5 AND lat BETWEEN -40.0 AND -15.0 AS in_box,
+      {_parity_sql(SPEC_SHELL, SPEC_HOLE)} AS in_shape FROM site),
+    cube AS (SELECT o.dataset, used_procedure, visit_date, region, in_box, in_shape, count(*) AS n
+      FROM observation o LEFT JOIN places p ON o.site_id = p.site_id GROUP BY ALL)
     SELECT spec_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
     FROM spec LEFT JOIN cube ON dataset IN (d1, d2) AND (k % 7 = 0 OR used_procedure = p)
       AND visit_date >= low AND (k % 3 = 0 OR visit_date <= high)
+      AND (k % 4 <> 1 OR region IN ('ASIA', 'EUROPE')) AND (k % 5 <> 2 OR in_box) AND (k % 5 <> 3 OR in_shape)
     GROUP BY spec_id""",
-    "observation",
+    "observation site",
 )
 def multi_spec_counts(spark, folder):
-    facts = views.observation(spark, folder, ["dataset", "used_procedure", "visit_date"])
-    return selection.count_selections(
-        facts, supplier_selections(spark, folder), ["dataset", "used_procedure"]
+    """A selection per supplier over lists, dates, regions, boxes and shapes with a hole."""
+    k = F.col("s_suppkey")
+    more = [
+        ("region_type", "in", F.lit("regions"), k % 4 == 1),
+        ("region", "in", F.lit("ASIA"), k % 4 == 1),
+        ("region", "in", F.lit("EUROPE"), k % 4 == 1),
+        ("spatial", "spatial", F.lit(SPEC_BOX), k % 5 == 2),
+        ("spatial", "spatial", F.lit(json.dumps(SPEC_SHAPE)), k % 5 == 3),
+    ]
+    spec = supplier_selections(spark, folder).union(_conditions(spark, folder, more))
+    columns = ["dataset", "used_procedure", "visit_date", "site_id", "lon", "lat"]
+    return saved.count_selections(
+        views.observation(spark, folder, columns),
+        spec,
+        ["dataset", "used_procedure"],
+        site_region=views.site_region(spark, folder),
+    )
+
+
+def _conditions(spark, folder, stated):
+    """Spec rows (facet, op, value) of the suppliers for which a condition holds."""
+    k = F.col("s_suppkey")
+    rows = F.array(
+        *[
+            F.struct(F.lit(f).alias("facet"), F.lit(o).alias("op"), v.cast("string").alias("value"), c.alias("on"))
+            for f, o, v, c in stated
+        ]
+    )
+    each = views.table(spark, folder, "supplier").select(
+        k.cast("string").alias("spec_id"), F.explode(F.filter(rows, lambda r: r["on"])).alias("r")
+    )
+    return each.select("spec_id", "r.facet", "r.op", "r.value")
+
+
+@query(
+    "multi_spec_samples",
+    """WITH spec AS (SELECT CAST(s_suppkey AS VARCHAR) AS spec_id, s_suppkey AS k FROM supplier),
+    cube AS (SELECT soil_subsite_id AS sub, soil_depth_min AS top, soil_depth_max AS bottom,
+        coalesce(contains(sample_images, 'http'), FALSE) AS image, scientific_name AS species, count(*) AS n
+      FROM sample GROUP BY ALL),
+    named AS (SELECT p_partkey, p_name FROM part)
+    SELECT spec_id, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
+    FROM spec LEFT JOIN named ON p_partkey = k LEFT JOIN cube ON
+      top <= CAST(k % 40 + 10 AS DOUBLE) / 100 AND bottom >= CAST(k % 40 AS DOUBLE) / 100
+      AND (k % 2 = 0 OR image) AND (k % 3 <> 0 OR sub IN (k % 50, k % 50 + 1, k % 50 + 2))
+      AND (k % 10 <> 9 OR species = p_name)
+    GROUP BY spec_id""",
+    "sample",
+)
+def multi_spec_samples(spark, folder):
+    """A selection per supplier over depths, images, sub-sites and species."""
+    k = F.col("s_suppkey")
+    ends = F.to_json(F.array((k % 40).cast("double") / 100, (k % 40 + 10).cast("double") / 100))
+    stated = [
+        ("soil_depth_range", "soil_depth_range", ends, F.lit(True)),
+        ("has_image", "has_image", F.when(k % 2 == 1, "true").otherwise("false"), F.lit(True)),
+        *[("soil_subsite_id", "in", k % 50 + i, k % 3 == 0) for i in range(3)],
+    ]
+    part = views.table(spark, folder, "part").select(F.col("p_partkey").alias("k"), "p_name")
+    species = views.table(spark, folder, "supplier").where(k % 10 == 9).join(part, k == F.col("k")).select(
+        k.cast("string").alias("spec_id"), F.lit("speciesname"), F.lit("in"), "p_name"
+    )
+    spec = _conditions(spark, folder, stated).union(species)
+    return saved.count_selections(
+        views.sample(spark, folder), spec, ["soil_subsite_id", "speciesname"]
     )
 
 

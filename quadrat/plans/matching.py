@@ -40,7 +40,7 @@ def fuzzy_ratio(spark, folder):
     name = F.col("p_name")
     other = F.concat(F.split(name, " ")[1], F.lit(" "), F.lower("p_type"))
     pairs = views.table(spark, folder, "part").select(name.alias("a"), other.alias("b")).distinct()
-    return pairs.withColumn("score", F.round(similarity.ratio_column(F.col("a"), F.col("b")), 6))
+    return pairs.withColumn("score", F.round(similarity.ratio_column("a", "b"), 6))
 
 
 def weighted_ratio_ctes(pairs: str) -> str:
@@ -91,7 +91,7 @@ def fuzzy_wratio(spark, folder):
     name = F.col("p_name")
     other = F.concat(F.split(name, " ")[1], F.lit(" "), F.lower("p_type"))
     pairs = views.table(spark, folder, "part").select(name.alias("a"), other.alias("b")).distinct()
-    score = similarity.weighted_ratio_column(F.col("a"), F.col("b"))
+    score = similarity.weighted_ratio_column("a", "b")
     return pairs.withColumn("score", F.round(score, 6))
 
 
@@ -161,7 +161,6 @@ def resolve_fuzzy(spark, folder):
     found = resolve.resolve(
         _candidates(spark, folder, change),
         views.vocab(spark, folder, "speciesname", "feature_type", "region"),
-        scan_values=0,  # the form for many values
     )
     return found.withColumn("score", F.round("score", 6))
 

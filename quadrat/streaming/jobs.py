@@ -25,9 +25,14 @@ def run_to_table(
     partition_by: list[str] | None = None,
     out: str | None = None,
     checkpoint: str | None = None,
+    mode: str = "append",
+    number: str | None = None,
 ) -> DataFrame:
     """Process all that is available and return what was written.
 
+    With ``mode`` "update" a batch holds the results that changed in it; ``number`` names a
+    column for the batch that wrote a row.
+
     ``transform`` is applied per micro-batch, which allows batch-only steps in it;
     ``schema`` is that of its result. Give ``out`` and ``checkpoint`` to go on from an
     earlier run; one without the other would number its batches from 0 again, and replace
@@ -53,12 +58,16 @@ def run_to_table(
     save(spark.createDataFrame([], schema), -1)
     query = (
         stream.writeStream.foreachBatch(write)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(schema).parquet(out).drop("batch_id")
+    written = spark.read.schema(schema).parquet(out)
+    if number:
+        written = written.withColumn(number, F.col("batch_id").cast("long"))
+    return written.drop("batch_id") if number != "batch_id" else written
 
 
 def deduplicated(stream: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
@@ -66,21 +75,32 @@ def deduplicated(stream: DataFrame, key: list[str], time: str, delay: str) -> Da
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
 
 
-def facet_counts(stream: DataFrame, facet: str, purpose: str = "facet-counts", **where) -> DataFrame:
-    """Running count per facet value.
+def facet_counts(
+    stream: DataFrame,
+    facet: str,
+    purpose: str = "facet-counts",
+    key: list[str] | None = None,
+    time: str | None = None,
+    delay: str = "1 hour",
+    **where,
+) -> DataFrame:
+    """Running count per facet value, held in streaming state.
 
-    A batch adds one small row per value; the running count is their sum. No count is
-    held in streaming state.
+    A batch adds its rows to the counts of the state and writes the counts that changed;
+    no earlier input or output is read for it, and a restart goes on from the state. Rows
+    with the same ``key`` that arrive within ``delay`` of the event ``time`` count once. The
+    result is the last count written of each value.
     """
-    kind = stream.schema[facet].dataType
-    partial = run_to_table(
-        stream,
+    if key:
+        stream = deduplicated(stream, key, time, delay)
+    changes = run_to_table(
+        stream.groupBy(facet).agg(F.count(F.lit(1)).alias("count")),
         purpose,
-        lambda batch: batch.groupBy(facet).agg(F.count(F.lit(1)).alias("n")),
-        T.StructType([T.StructField(facet, kind), T.StructField("n", T.LongType())]),
+        mode="update",
+        number="_batch",
         **where,
     )
-    return partial.groupBy(facet).agg(F.sum("n").alias("count"))
+    return changes.groupBy(facet).agg(F.max_by("count", "_batch").alias("count"))
 
 
 def chunks_by_type(stream: DataFrame, feature_type: str, purpose: str = "chunks", **where) -> DataFrame:

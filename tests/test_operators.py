@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quadrat.errors import PlotDataError
 from quadrat.model import SurveyTables
-from quadrat.operators import align, images, lookup, paging, samples, selection, spatial
+from quadrat.operators import saved, align, images, lookup, paging, samples, selection, spatial
 from quadrat.operators.selection import Selection
 from quadrat.sources import readers
 
@@ -152,7 +152,7 @@ def test_count_selections_against_each_selection(spark):
     )
     got = {
         r["spec_id"]: r["rows"]
-        for r in selection.count_selections(facts, spec, ["dataset", "feature_type"]).collect()
+        for r in saved.count_selections(facts, spec, ["dataset", "feature_type"]).collect()
     }
 
     def matches(s, row):
@@ -166,9 +166,80 @@ def test_count_selections_against_each_selection(spark):
         )
 
     assert got == {k: sum(matches(s, r) for r in rows) for k, s in asked.items()}
-    other = spark.createDataFrame([("s", "has_image", "has_image", "true")], spec.schema)
+    other = spark.createDataFrame([("s", "region_type", "in", "states")], spec.schema)
     with pytest.raises(PlotDataError):
-        selection.count_selections(facts, other, ["dataset"])
+        saved.count_selections(facts, other, ["dataset"])
+    assert saved.count_selections(facts, spec.limit(0), ["dataset"]).collect() == []
+
+
+@pytest.mark.parametrize("mode", ["overlap", "within"])
+def test_count_selections_of_all_kinds(spark, mode, monkeypatch):
+    """Depths, images, regions, shapes and species, each selection also counted on its own."""
+    monkeypatch.setattr(saved, "BLOCK", 17)
+    rnd = random.Random(6)
+    image = ["[]", None, '["http://i"]', '[{"a": " "}]', '[{"a": "x"}]']
+    rows = []
+    for k in range(400):
+        top = rnd.choice([None, rnd.randint(0, 9) / 10])
+        rows.append(
+            (k, str(rnd.randint(0, 20)), rnd.randint(1, 5), rnd.choice(["A b", "C d", None]), top,
+             None if top is None else top + rnd.randint(0, 4) / 10, rnd.choice(image),
+             rnd.choice([None, rnd.uniform(0, 10), 5.0]), rnd.choice([rnd.uniform(0, 10), 2.0]), "2020-01-01")
+        )
+    facts = spark.createDataFrame(
+        rows,
+        "sample_id long, site_id string, soil_subsite_id long, scientific_name string, soil_depth_min double, "
+        "soil_depth_max double, sample_images string, lon double, lat double, d string",
+    ).withColumn("visit_date", F.col("d").cast("date"))
+    regions = [(str(s), t, f"{t}{s % n}") for s in range(0, 18) for t, n in (("x", 3), ("y", 5))]
+    tables = SurveyTables(site_region=spark.createDataFrame(regions, "site_id string, region_type string, region string"))
+    shapes = [
+        [2, 2, 5, 8],
+        "POLYGON((1 1, 9 1, 9 9, 1 9, 1 1),(3 3, 6 3, 6 6, 3 6, 3 3))",
+        {"type": "MultiPolygon", "coordinates": [[[[0, 0], [4, 0], [4, 4]]], [[[3, 0], [9, 0], [9, 5]]]]},
+        "GEOMETRYCOLLECTION(POINT(5 2), LINESTRING(5 0, 5 9), POLYGON((0 0, 1 0, 1 1, 0 0)))",
+    ]
+    asked = {}
+    for i in range(40):
+        edits = {
+            "soil_depth_range": [rnd.randint(0, 5) / 10, rnd.randint(6, 12) / 10],
+            "has_image": rnd.choice([True, False]),
+            "spatial": shapes[i % 4],
+            "speciesname": rnd.sample(["A b", "C d", "E f"], rnd.randint(1, 2)),
+            "soil_subsite_id": rnd.sample(range(1, 7), rnd.randint(1, 4)),
+            "site_id": [str(v) for v in rnd.sample(range(25), 15)],
+        }
+        kept = {k: v for k, v in edits.items() if rnd.random() < 0.4}
+        if rnd.random() < 0.5:
+            kept |= {"region_type": rnd.sample(["x", "y"], rnd.randint(1, 2))}
+            if rnd.random() < 0.6:
+                kept["region"] = [f"x{rnd.randint(0, 2)}", f"y{rnd.randint(0, 4)}"]
+        if kept:
+            asked[f"s{i}"] = Selection("samples").add(spark, kept)
+    spec = spark.createDataFrame(
+        [r for k, s in asked.items() for r in s.rows(k)], "spec_id string, facet string, op string, value string"
+    )
+    counts = saved.count_selections(
+        facts, spec, ["speciesname", "soil_subsite_id", "site_id"], site_region=tables.site_region, depth_mode=mode
+    )
+    got = {r["spec_id"]: r["rows"] for r in counts.collect()}
+    assert got == {k: s.apply(facts, tables, mode).count() for k, s in asked.items()}
+    assert len({v for v in got.values()}) > 5
+
+
+def test_an_index_row_per_value(spark, monkeypatch):
+    """Long lists on several facets are never multiplied with each other."""
+    written = []
+    real = saved.cut_lineage
+    monkeypatch.setattr(saved, "cut_lineage", lambda df: written.append(real(df)) or written[-1])
+    sites, kinds, props = range(300), range(10), range(50)
+    spec = [(f"s{i}", f, "in", str(v)) for i in range(30) for f, vs in (("site_id", sites), ("feature_type", kinds), ("observed_property", props)) for v in vs if v != i]
+    rows = [(s % 300, s % 10, s % 50) for s in range(3000)]
+    facts = spark.createDataFrame(rows, "site_id long, feature_type long, observed_property long")
+    spec = spark.createDataFrame(spec, "spec_id string, facet string, op string, value string")
+    got = {r["spec_id"]: r["rows"] for r in saved.count_selections(facts, spec, ["site_id", "feature_type", "observed_property"]).collect()}
+    assert got == {f"s{i}": sum(i not in r for r in rows) for i in range(30)}
+    assert max(df.count() for df in written) <= spec.count()
 
 
 # --- spatial ----------------------------------------------------------------------
