@@ -151,6 +151,9 @@ VISIT = T.StructType(
         T.StructField("featureOfInterest", T.ArrayType(FOI)),
     ]
 )
+GEOMETRY = T.StructType(
+    [T.StructField("type", T.StringType()), T.StructField("coordinates", T.VariantType())]
+)
 FEATURE = T.StructType(
     [
         T.StructField("type", T.StringType()),
@@ -160,6 +163,7 @@ FEATURE = T.StructType(
                 [
                     T.StructField("type", T.StringType()),
                     T.StructField("coordinates", T.VariantType()),
+                    T.StructField("geometries", T.ArrayType(GEOMETRY)),
                 ]
             ),
         ),

@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geometry
 from ..model import OBSERVATION_ITEM
 
-# Nested maps in an attribute bag are opened this deep unless a depth is given; anything
-# deeper is kept whole, as JSON text under its dotted key. ``bag_depth`` measures a table.
-BAG_DEPTH = 5
 # This many attribute columns at most; rarer attributes stay together in the map.
 MAX_WIDE_KEYS = 5000
 NO_ATTRS = "CAST(map() AS MAP<STRING, STRING>)"
@@ -24,22 +22,24 @@ def _get(struct: Column, name: str) -> Column:
     return struct.getField(name)
 
 
-def base_context(df: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
-    """Dataset and site fields of each feature, the point, and the visits still nested.
+def base_context(df: DataFrame) -> DataFrame:
+    """Dataset and site fields of each feature, its geometry, and the visits still nested.
+
+    A geometry of any type gives its WKT and bounds. ``lon`` and ``lat`` are those of a
+    point, and the middle of the bounds for anything else.
 
     Here and below, an attribute bag is flattened on the level it belongs to, once, and
     not again for every row that level is exploded into.
     """
     props = _get(F.col("feature"), "properties")
     dataset, site = _get(props, "dataset"), _get(props, "site")
-    geometry = _get(F.col("feature"), "geometry")
-    at = _get(geometry, "coordinates")
-    is_point = _get(geometry, "type") == "Point"
     in_dataset = flatten_bag_sql(
-        "feature.properties.dataset.`dataset.attributes`", "dataset.attributes", depth
+        "feature.properties.dataset.`dataset.attributes`", "dataset.attributes"
     )
-    in_site = flatten_bag_sql("feature.properties.site.`site.attributes`", "site.attributes", depth)
-    return df.select(
+    in_site = flatten_bag_sql("feature.properties.site.`site.attributes`", "site.attributes")
+    shape = "feature.geometry"
+    placed = df.withColumn("bounds", F.expr(geometry.bounds_sql(shape)))
+    return placed.select(
         _get(dataset, "dataset.title").alias("dataset_title"),
         _get(dataset, "dataset.link").alias("dataset_link"),
         _get(site, "site.name").alias("site_name"),
@@ -47,13 +47,15 @@ def base_context(df: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
         F.expr(
             f"map_concat(coalesce({in_dataset}, {NO_ATTRS}), coalesce({in_site}, {NO_ATTRS}))"
         ).alias("attrs"),
-        F.when(is_point, F.try_variant_get(at, "$[0]", "double")).alias("lon"),
-        F.when(is_point, F.try_variant_get(at, "$[1]", "double")).alias("lat"),
+        ((F.col("bounds.minx") + F.col("bounds.maxx")) / 2).alias("lon"),
+        ((F.col("bounds.miny") + F.col("bounds.maxy")) / 2).alias("lat"),
+        F.expr(geometry.wkt_sql(shape)).alias("geometry_wkt"),
+        *[F.col(f"bounds.{c}").alias(c) for c in ("minx", "miny", "maxx", "maxy")],
         _get(props, "siteVisit").alias("visits"),
     )
 
 
-def explode_visits(base: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
+def explode_visits(base: DataFrame) -> DataFrame:
     """One row per visit; a feature without visits keeps one row."""
     visit = F.col("visit")
     return base.withColumn("visit", F.explode_outer("visits")).select(
@@ -62,12 +64,12 @@ def explode_visits(base: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
         _get(visit, "siteVisit.name").alias("visit_name"),
         _get(visit, "siteVisit.date").alias("visit_date"),
         _get(visit, "siteVisit.link").alias("visit_link"),
-        _merged("attrs", "visit.`siteVisit.attributes`", "siteVisit.attributes", depth).alias("attrs"),
+        _merged("attrs", "visit.`siteVisit.attributes`", "siteVisit.attributes").alias("attrs"),
         _get(visit, "featureOfInterest").alias("fois"),
     )
 
 
-def explode_fois(visits: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
+def explode_fois(visits: DataFrame) -> DataFrame:
     """One row per feature of interest; a visit without any keeps one row."""
     foi = F.col("foi")
     return visits.withColumn("foi", F.explode_outer("fois")).select(
@@ -76,12 +78,12 @@ def explode_fois(visits: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
         _get(foi, "foi.type").alias("foi_type"),
         _get(foi, "foi.link").alias("foi_link"),
         _get(foi, "foi.scientificName").alias("scientific_name"),
-        _merged("attrs", "foi.`foi.attributes`", "foi.attributes", depth).alias("attrs"),
+        _merged("attrs", "foi.`foi.attributes`", "foi.attributes").alias("attrs"),
         _get(foi, "foi.observations").alias("groups"),
     )
 
 
-def explode_observations(fois: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
+def explode_observations(fois: DataFrame) -> DataFrame:
     """One row per observation of each group.
 
     No groups at all: one row of context. A group with an empty list: no row.
@@ -112,34 +114,13 @@ def explode_observations(fois: DataFrame, depth: int = BAG_DEPTH) -> DataFrame:
         _get(obs, "unit").alias("obs_unit"),
         _get(obs, "resultTime").alias("obs_result_time"),
         _get(obs, "usedProcedure").alias("obs_procedure"),
-        _merged("attrs", "item.obs.system", "obs.system", depth).alias("attrs"),
+        _merged("attrs", "item.obs.system", "obs.system").alias("attrs"),
     )
 
 
-def flatten_features(df: DataFrame, depth: int | None = None) -> DataFrame:
-    """The whole flatten; all attribute bags end up in one map ``attrs``.
-
-    Bags are opened ``depth`` levels deep. Without it a batch is read once more for the
-    depth that opens all of them; a stream, which cannot be measured, takes BAG_DEPTH.
-    """
-    if depth is None:
-        depth = BAG_DEPTH if df.isStreaming else features_depth(df)
-    base = base_context(df, depth)
-    return explode_observations(explode_fois(explode_visits(base, depth), depth), depth)
-
-
-def features_depth(df: DataFrame) -> int:
-    """A depth that opens the attribute bags of every level of the features."""
-    fois = "flatten(transform(feature.properties.siteVisit, v -> coalesce(v.featureOfInterest, array())))"
-    items = f"flatten(transform({fois}, f -> flatten(filter(coalesce(map_values(f.`foi.observations`), array()), g -> g IS NOT NULL))))"
-    bags = (
-        "array(feature.properties.dataset.`dataset.attributes`, feature.properties.site.`site.attributes`)",
-        "transform(feature.properties.siteVisit, v -> v.`siteVisit.attributes`)",
-        f"transform({fois}, f -> f.`foi.attributes`)",
-        f"transform({items}, o -> o.system)",
-    )
-    every = ", ".join(f"coalesce({b}, array())" for b in bags)
-    return bag_depth(df.select(F.expr(f"explode(concat({every}))").alias("bag")), "bag")
+def flatten_features(df: DataFrame) -> DataFrame:
+    """The whole flatten; all attribute bags end up in one map ``attrs``."""
+    return explode_observations(explode_fois(explode_visits(base_context(df))))
 
 
 # --- attribute bags ---------------------------------------------------------------
@@ -168,21 +149,35 @@ def _is_open(e: str) -> str:
     return f"({e}.members IS NOT NULL AND NOT map_contains_key({e}.members, 'value'))"
 
 
-def _opened(entries: str, depth: int) -> str:
-    """Replace each map that is not a measure by its members, ``depth`` times at most.
+# All of a JSON text but the braces outside its strings.
+NO_BRACE = r"""r'"(\\.|[^"\\])*"|[^{}]'"""
+
 
-    ``entries`` is a bound name; a level is only entered when it has such a map.
+def _levels(bag: str) -> str:
+    """How many maps lie within each other at most: the height of the braces of its text."""
+    braces = f"split(regexp_replace(to_json({bag}), {NO_BRACE}, ''), '')"
+    step = (
+        "named_struct('now', h.now + IF(c = '{', 1, -1), "
+        "'top', IF(c = '{', greatest(h.top, h.now + 1), h.top))"
+    )
+    return f"aggregate({braces}, named_struct('now', 0, 'top', 0), (h, c) -> {step}).top"
+
+
+def _opened(entries: str, bag: str) -> str:
+    """Replace each map that is not a measure by its members, until none is left.
+
+    ``entries`` is a bound name. The rounds are those of the bag's own depth, which is only
+    looked for where there is such a map; a round without one costs a glance.
     """
-    if depth == 0:
-        return entries
-    e, m, below = f"e{depth}", f"m{depth}", f"x{depth}"
-    member = _entry(f"concat({e}.key, '.', {m}.key)", f"{m}.value")
+    member = _entry("concat(e.key, '.', m.key)", "m.value")
     one_level = (
-        f"flatten(transform({entries}, {e} -> IF({_is_open(e)}, "
-        f"transform(map_entries({e}.members), {m} -> {member}), array({e}))))"
+        f"flatten(transform(b, e -> IF({_is_open('e')}, "
+        f"transform(map_entries(e.members), m -> {member}), array(e))))"
     )
-    deeper = _bound(one_level, below, _opened(below, depth - 1))
-    return f"IF(exists({entries}, {e} -> {_is_open(e)}), {deeper}, {entries})"
+    some = f"exists({{0}}, e -> {_is_open('e')})"
+    rounds = f"sequence(2, greatest(2, {_levels(bag)}))"
+    deeper = f"aggregate({rounds}, {entries}, (b, r) -> IF({some.format('b')}, {one_level}, b))"
+    return f"IF({some.format(entries)}, {deeper}, {entries})"
 
 
 def _pairs(e: str) -> str:
@@ -200,12 +195,12 @@ def _pairs(e: str) -> str:
     return f"IF({e}.members IS NOT NULL AND NOT {_is_open(e)}, {measure}, {single})"
 
 
-def flatten_bag_sql(bag: str, prefix: str = "", depth: int = BAG_DEPTH) -> str:
+def flatten_bag_sql(bag: str, prefix: str = "") -> str:
     head = f"{prefix}." if prefix else ""
     top = f"map_entries(try_variant_get({bag}, '$', 'map<string,variant>'))"
     entry = _entry(f"concat('{head}', t.key)", "t.value")
     entries = f"transform({top}, t -> {entry})"
-    opened = _bound(entries, "x", _opened("x", depth))
+    opened = _bound(entries, "x", _opened("x", bag))
     pairs = f"flatten(transform({opened}, d -> {_pairs('d')}))"
     keys = "transform(p, k -> k.key)"
     first = f"filter(p, (q, i) -> array_position(ks, q.key) = i + 1)"
@@ -213,35 +208,19 @@ def flatten_bag_sql(bag: str, prefix: str = "", depth: int = BAG_DEPTH) -> str:
     return _bound(pairs, "p", f"map_from_entries({_bound(keys, 'ks', unique)})")
 
 
-def flatten_bag(bag: str, prefix: str = "", depth: int = BAG_DEPTH) -> Column:
+def flatten_bag(bag: str, prefix: str = "") -> Column:
     """VARIANT attribute bag (SQL text of it) -> ``map<string,string>`` with dotted keys.
 
     A member ``{value, unit, attribute}`` gives ``key``, ``key.unit``, ``key.attribute``
-    (those present); another map is opened; anything else is a value. Two members that
+    (those present); another map is opened, however deep it lies; anything else is a value. Two members that
     come to the same dotted key: the first in key order is kept.
     """
-    return F.expr(flatten_bag_sql(bag, prefix, depth))
-
+    return F.expr(flatten_bag_sql(bag, prefix))
 
-def bag_depth(df: DataFrame, bag: str) -> int:
-    """A depth that opens every bag of a table (``bag`` as SQL text): 5, 10, 20, ...
 
-    One aggregate per step asks whether a map is left unopened; shallow bags need one.
-    """
-    depth = BAG_DEPTH
-    while True:
-        top = f"map_entries(try_variant_get({bag}, '$', 'map<string,variant>'))"
-        entries = f"transform({top}, t -> {_entry('t.key', 't.value')})"
-        opened = _bound(entries, "x", _opened("x", depth))
-        left = F.expr(f"exists({opened}, e -> {_is_open('e')})")
-        if df.where(left).isEmpty():
-            return depth
-        depth *= 2
-
-
-def _merged(attrs: str, bag: str, prefix: str, depth: int) -> Column:
+def _merged(attrs: str, bag: str, prefix: str) -> Column:
     """``attrs`` with the flattened bag added (an absent bag adds nothing)."""
-    added = f"map_concat({attrs}, coalesce({flatten_bag_sql(bag, prefix, depth)}, {NO_ATTRS}))"
+    added = f"map_concat({attrs}, coalesce({flatten_bag_sql(bag, prefix)}, {NO_ATTRS}))"
     return F.expr(f"IF({bag} IS NULL, {attrs}, {added})")
 
 

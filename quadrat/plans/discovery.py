@@ -461,21 +461,28 @@ def ordered_dedupe(spark, folder):
 # --- union ------------------------------------------------------------------------
 
 
-def _type_tables(spark, folder):
-    rows = views.sample(spark, folder)
-    economy = rows.where(F.col("material_sample_type") == "ECONOMY").select(
-        "sample_id", "site_id", F.col("soil_subsite_id").alias("subsite")
-    )
-    promo = rows.where(F.col("material_sample_type") == "PROMO").select(
-        "sample_id", F.col("scientific_name").alias("species"), "site_id"
-    )
-    return [economy, promo]
+TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 
 
-TYPE_TABLES_SQL = """
-  SELECT sample_id, site_id, soil_subsite_id AS subsite FROM sample WHERE material_sample_type = 'ECONOMY'
-  UNION ALL BY NAME
-  SELECT sample_id, scientific_name AS species, site_id FROM sample WHERE material_sample_type = 'PROMO'"""
+def _type_tables(spark, folder):
+    """A table per sample type, in two shapes by turns."""
+    rows = views.sample(spark, folder)
+    tables = []
+    for k, name in enumerate(TYPES):
+        own = rows.where(F.col("material_sample_type") == name)
+        if k % 2 == 0:
+            tables.append(own.select("sample_id", "site_id", F.col("soil_subsite_id").alias("subsite")))
+        else:
+            tables.append(own.select("sample_id", F.col("scientific_name").alias("species"), "site_id"))
+    return tables
+
+
+TYPE_TABLES_SQL = " UNION ALL BY NAME ".join(
+    "SELECT sample_id, "
+    + ("site_id, soil_subsite_id AS subsite" if k % 2 == 0 else "scientific_name AS species, site_id")
+    + f" FROM sample WHERE material_sample_type = '{name}'"
+    for k, name in enumerate(TYPES)
+)
 
 
 @query("align_concat", TYPE_TABLES_SQL, "sample")

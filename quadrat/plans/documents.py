@@ -18,16 +18,29 @@ from .registry import query
 
 # --- survey documents -------------------------------------------------------------
 
+# Geometries with a corner at (#, ~): a line, a polygon with a hole, a collection.
+SHAPES = {
+    "line": '{"type":"LineString","coordinates":[[#,~],[#.5,-3]]}',
+    "ring": '{"type":"Polygon","coordinates":[[[#,~],[170,~],[170,-1],[#,~]],[[150,-10],[151,-10],[151,-9],[150,-10]]]}',
+    "many": '{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":[#,~]},'
+    '{"type":"MultiPoint","coordinates":[[160,-2],[161,-5]]}]}',
+}
 # One feature per line item with 0-2 visits, each with 0-2 features of interest, each
 # with no group, an empty group, one observation, or three in two groups.
 FEATURE_SQL = """to_json(named_struct(
   'type', 'Feature',
-  'geometry', IF(l_suppkey % 10 = 0, NULL, named_struct('type', 'Point', 'coordinates',
-     array(100 + l_suppkey / 8D, -40 + l_linenumber / 4D))),
+  'geometry', CASE l_suppkey % 10 WHEN 0 THEN NULL
+    WHEN 1 THEN parse_json(replace(replace('{line}', '#', 100 + l_suppkey % 40), '~', -40 + l_linenumber))
+    WHEN 2 THEN parse_json(replace(replace('{ring}', '#', 100 + l_suppkey % 40), '~', -40 + l_linenumber))
+    WHEN 3 THEN parse_json(replace(replace('{many}', '#', 100 + l_suppkey % 40), '~', -40 + l_linenumber))
+    ELSE to_variant_object(named_struct('type', 'Point', 'coordinates',
+      array(100 + l_suppkey / 8D, -40 + l_linenumber / 4D))) END,
   'properties', named_struct(
     'dataset', named_struct('dataset.title', l_returnflag, 'dataset.link', 'http://d.test',
       'dataset.attributes', named_struct('area', named_struct('value', l_partkey, 'unit', 'ha'))),
-    'site', named_struct('site.name', concat('S', l_suppkey), 'site.link', 'http://s.test'),
+    'site', named_struct('site.name', concat('S', l_suppkey), 'site.link', 'http://s.test',
+      'site.attributes', IF(l_suppkey % 7 = 0, parse_json(
+        concat(repeat('{{"k":', 8), l_linenumber, repeat('}}', 8))), NULL)),
     'siteVisit', transform(slice(array(1, 2), 1, l_linenumber % 3), v -> named_struct(
       'siteVisit.id', concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, v),
       'siteVisit.date', date_format(l_shipdate, 'yyyy-MM-dd'),
@@ -54,7 +67,7 @@ def feature_lines(spark, folder):
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
     )
     return spread(lines).select(
-        F.expr(FEATURE_SQL.format(obs=OBS_SQL)).alias("value")
+        F.expr(FEATURE_SQL.format(obs=OBS_SQL, **SHAPES)).alias("value")
     )
 
 
@@ -65,8 +78,19 @@ def features(spark, folder):
 DOC_SQL = """doc AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, *,
     l_returnflag AS dataset_title, concat('S', l_suppkey) AS site_name,
-    CASE WHEN l_suppkey % 10 <> 0 THEN 100 + l_suppkey / CAST(8 AS DOUBLE) END AS lon,
-    CASE WHEN l_suppkey % 10 <> 0 THEN -40 + l_linenumber / CAST(4 AS DOUBLE) END AS lat
+    l_suppkey % 10 AS shape, CAST(100 + l_suppkey % 40 AS DOUBLE) AS x, CAST(-40 + l_linenumber AS DOUBLE) AS y,
+    CASE shape WHEN 0 THEN NULL WHEN 1 THEN x WHEN 2 THEN x WHEN 3 THEN x ELSE 100 + l_suppkey / CAST(8 AS DOUBLE) END AS minx,
+    CASE shape WHEN 0 THEN NULL WHEN 1 THEN x + 0.5 WHEN 2 THEN 170 WHEN 3 THEN 161
+      ELSE 100 + l_suppkey / CAST(8 AS DOUBLE) END AS maxx,
+    CASE shape WHEN 0 THEN NULL WHEN 1 THEN y WHEN 2 THEN y WHEN 3 THEN y ELSE -40 + l_linenumber / CAST(4 AS DOUBLE) END AS miny,
+    CASE shape WHEN 0 THEN NULL WHEN 1 THEN -3 WHEN 2 THEN -1 WHEN 3 THEN -2
+      ELSE -40 + l_linenumber / CAST(4 AS DOUBLE) END AS maxy,
+    (minx + maxx) / 2 AS lon, (miny + maxy) / 2 AS lat,
+    CASE shape WHEN 0 THEN NULL WHEN 1 THEN concat('LINESTRING (', x, ' ', y, ', ', x + 0.5, ' -3.0)')
+      WHEN 2 THEN concat('POLYGON ((', x, ' ', y, ', 170.0 ', y, ', 170.0 -1.0, ', x, ' ', y,
+        '), (150.0 -10.0, 151.0 -10.0, 151.0 -9.0, 150.0 -10.0))')
+      WHEN 3 THEN concat('GEOMETRYCOLLECTION (POINT (', x, ' ', y, '), MULTIPOINT (160.0 -2.0, 161.0 -5.0))')
+      ELSE concat('POINT (', lon, ' ', lat, ')') END AS geometry_wkt
   FROM lineitem),
 two AS (SELECT unnest([1, 2]) AS i),
 visits AS (SELECT doc.*, v.i AS v, id || '-' || v.i AS visit_id
@@ -98,10 +122,13 @@ def scan_geojson_features(spark, folder):
     return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("flatten_base", f"WITH {DOC_SQL} SELECT dataset_title, site_name, lon, lat FROM doc")
+PLACED = ["lon", "lat", "geometry_wkt", "minx", "miny", "maxx", "maxy"]
+
+
+@query("flatten_base", f"WITH {DOC_SQL} SELECT dataset_title, site_name, {', '.join(PLACED)} FROM doc")
 def flatten_base(spark, folder):
     rows = flatten.base_context(features(spark, folder))
-    return rows.select("dataset_title", "site_name", "lon", "lat")
+    return rows.select("dataset_title", "site_name", *PLACED)
 
 
 @query("flatten_visits", f"WITH {DOC_SQL} SELECT site_name, visit_id FROM visits")
@@ -135,7 +162,9 @@ def flatten_observations(spark, folder):
     "flatten_full",
     f"""WITH {DOC_SQL} SELECT dataset_title, obs_group, count(*) AS n,
       CAST(sum(CAST(obs_value AS BIGINT)) AS BIGINT) AS value_sum, count(lon) AS with_point,
-      CAST(sum(l_partkey) AS BIGINT) AS area_sum, CAST(sum(n) AS BIGINT) AS sensor_sum
+      CAST(sum(l_partkey) AS BIGINT) AS area_sum, CAST(sum(n) AS BIGINT) AS sensor_sum,
+      CAST(sum(CASE WHEN l_suppkey % 7 = 0 THEN l_linenumber END) AS BIGINT) AS deep_sum,
+      count(DISTINCT geometry_wkt) AS shapes
     FROM obs GROUP BY ALL""",
 )
 def flatten_full(spark, folder):
@@ -147,6 +176,8 @@ def flatten_full(spark, folder):
         F.count("lon").alias("with_point"),
         F.sum(attr("dataset.attributes.area")).alias("area_sum"),
         F.sum(attr("obs.system.sensor")).alias("sensor_sum"),
+        F.sum(attr("site.attributes" + ".k" * 8)).alias("deep_sum"),
+        F.count_distinct("geometry_wkt").alias("shapes"),
     )
 
 
@@ -181,9 +212,10 @@ def export_geojson_rows(spark, folder):
 @query(
     "attrs_flatten",
     """SELECT p_partkey AS sample_id, unnest(['size', 'size.unit', 'brand', 'price', 'price.unit',
-        'price.attribute', 'nested.deep.er', 'nested.two', 'gone']) AS attribute,
+        'price.attribute', 'nested.deep.er', 'nested.two', 'gone',
+        concat('deep', repeat('.d', CASE WHEN p_partkey % 2 = 0 THEN 8 ELSE 30 END))]) AS attribute,
       unnest([CAST(p_size AS VARCHAR), 'cm', p_brand, CAST(p_partkey * 3 AS VARCHAR), 'AUD',
-        'http://a.test', p_type, '[1,"x"]', NULL]) AS value
+        'http://a.test', p_type, '[1,"x"]', NULL, CAST(p_partkey AS VARCHAR)]) AS value
     FROM part""",
 )
 def attrs_flatten(spark, folder):
@@ -191,12 +223,13 @@ def attrs_flatten(spark, folder):
         """to_json(named_struct('size', named_struct('value', p_size, 'unit', 'cm'), 'brand', p_brand,
         'price', named_struct('value', p_partkey * 3, 'unit', 'AUD', 'attribute', 'http://a.test'),
         'nested', named_struct('deep', named_struct('er', p_type), 'two', parse_json('[1,"x"]')),
-        'gone', named_struct('value', CAST(NULL AS STRING))), map('ignoreNullFields', 'false'))"""
+        'gone', named_struct('value', CAST(NULL AS STRING)),
+        'deep', parse_json(concat(repeat('{"d":', IF(p_partkey % 2 = 0, 8, 30)), p_partkey,
+          repeat('}', IF(p_partkey % 2 = 0, 8, 30))))), map('ignoreNullFields', 'false'))"""
     )
     part = views.table(spark, folder, "part").select("p_partkey", "p_size", "p_brand", "p_type")
     bags = spread(part).select(F.col("p_partkey").alias("sample_id"), F.parse_json(bag).alias("bag"))
-    depth = flatten.bag_depth(bags, "bag")
-    rows = bags.select("sample_id", flatten.flatten_bag("bag", depth=depth).alias("attrs"))
+    rows = bags.select("sample_id", flatten.flatten_bag("bag").alias("attrs"))
     return rows.select("sample_id", F.explode("attrs").alias("attribute", "value"))
 
 
@@ -317,14 +350,13 @@ def sample_clean(spark, folder):
 
 @query(
     "drop_all_null",
-    """SELECT sample_id, CASE WHEN sample_id % 2 = 0 THEN scientific_name END AS half
-    FROM sample WHERE sample_id % 4 < 3""",
+    """SELECT sample_id, CASE WHEN sample_id % 2 = 0 THEN scientific_name END AS half FROM sample""",
     "sample",
 )
 def drop_all_null(spark, folder):
-    """Among the rows with ``sample_id % 4 < 3`` no image cell has a filled list but one kind."""
+    """One column is NULL throughout, and no image cell that is left holds a filled list."""
     k = F.col("sample_id")
-    rows = views.sample(spark, folder).where(k % 4 < 3).select(
+    rows = views.sample(spark, folder).select(
         "sample_id",
         F.when(k % 2 == 0, F.col("scientific_name")).alias("half"),
         F.lit(None).cast("double").alias("none_at_all"),

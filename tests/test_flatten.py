@@ -91,11 +91,11 @@ def test_values_and_attributes(spark, tmp_path):
     }
 
 
-def test_deeper_than_declared_is_kept_as_text(spark):
-    deep = {"a": {"b": {"c": {"d": 1}}}, "a.b": 5}
+def test_equal_dotted_keys(spark):
+    deep = {"a": {"b": {"c": {"d": 1}}}, "a.b": 5, "a.b.c.d": 7}
     df = spark.createDataFrame([(json.dumps(deep),)], "j string").select(F.parse_json("j").alias("bag"))
-    got = df.select(flatten.flatten_bag("bag", depth=1).alias("m")).first()["m"]
-    assert got == {"a.b": '{"c":{"d":1}}'}
+    got = df.select(flatten.flatten_bag("bag").alias("m")).first()["m"]
+    assert got == {"a.b.c.d": "1", "a.b": "5"}
 
 
 def test_lines_files_and_collections_agree(spark, tmp_path):
@@ -136,10 +136,55 @@ def test_attributes_wide(spark):
 def test_bags_of_any_depth(spark):
     deep = json.dumps({"a": {"b": {"c": {"d": {"e": {"f": {"g": {"h": {"value": 1, "unit": "m"}}, "x": 2}}}}}}})
     df = spark.createDataFrame([(deep,), ('{"z": 1}',), (None,)], "t string").selectExpr("parse_json(t) AS bag")
-    depth = flatten.bag_depth(df, "bag")
-    assert depth == 10 and flatten.bag_depth(df.limit(0), "bag") == 5
-    got = [r.m for r in df.select(flatten.flatten_bag("bag", depth=depth).alias("m")).collect()]
+    got = [r.m for r in df.select(flatten.flatten_bag("bag").alias("m")).collect()]
     assert {"a.b.c.d.e.f.g.h": "1", "a.b.c.d.e.f.g.h.unit": "m", "a.b.c.d.e.f.x": "2"} in got
+    tricky = {"k": '{{\\\\"{', "w}": {"x\\": {"y": {"{": ["}", {"in": {"a": "list"}}]}}}}
+    for n in (1, 2, 30, 60):
+        bag = {"end": n}
+        for _ in range(n):
+            bag = {"d": bag}
+        df = spark.createDataFrame([(json.dumps(bag | tricky),)], "t string").selectExpr("parse_json(t) AS bag")
+        want = {".".join(["d"] * n + ["end"]): str(n), "k": '{{\\\\"{', "w}.x\\.y.{": '["}",{"in":{"a":"list"}}]'}
+        assert df.select(flatten.flatten_bag("bag").alias("m")).first()["m"] == want
+
+
+def test_deep_bags_on_a_stream(spark, tmp_path):
+    from quadrat.streaming import jobs
+
+    bag = {"value": 1}
+    for _ in range(12):
+        bag = {"d": bag}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.geojson").write_text(json.dumps(feature([], **bag)))
+    lines = readers.clean_lines(spark.readStream.text(str(tmp_path / "in")))
+    rows = jobs.run_to_table(flatten.flatten_features(readers.parse_features(lines, "line")), "deep").collect()
+    assert [r["attrs"] for r in rows] == [{"dataset.attributes" + ".d" * 12: "1"}]
+
+
+def test_geometries_of_every_type(spark):
+    shapes = [
+        ({"type": "Point", "coordinates": [1, 2.5, 9]}, "POINT (1.0 2.5)", (1.0, 2.5, 1.0, 2.5)),
+        ({"type": "MultiPoint", "coordinates": [[1, 2], [3, 0]]}, "MULTIPOINT (1.0 2.0, 3.0 0.0)", (1.0, 0.0, 3.0, 2.0)),
+        ({"type": "LineString", "coordinates": [[1, 2], [3, 0]]}, "LINESTRING (1.0 2.0, 3.0 0.0)", (1.0, 0.0, 3.0, 2.0)),
+        ({"type": "MultiLineString", "coordinates": [[[1, 2], [3, 0]], [[9, 9], [8, 8]]]},
+         "MULTILINESTRING ((1.0 2.0, 3.0 0.0), (9.0 9.0, 8.0 8.0))", (1.0, 0.0, 9.0, 9.0)),
+        ({"type": "Polygon", "coordinates": [[[0, 0], [4, 0], [4, 4], [0, 0]], [[1, 1], [2, 1], [2, 2], [1, 1]]]},
+         "POLYGON ((0.0 0.0, 4.0 0.0, 4.0 4.0, 0.0 0.0), (1.0 1.0, 2.0 1.0, 2.0 2.0, 1.0 1.0))", (0.0, 0.0, 4.0, 4.0)),
+        ({"type": "MultiPolygon", "coordinates": [[[[0, 0], [4, 0], [4, 4], [0, 0]]], [[[7, 7], [8, 7], [8, 8], [7, 7]]]]},
+         "MULTIPOLYGON (((0.0 0.0, 4.0 0.0, 4.0 4.0, 0.0 0.0)), ((7.0 7.0, 8.0 7.0, 8.0 8.0, 7.0 7.0)))", (0.0, 0.0, 8.0, 8.0)),
+        ({"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1, 2]}, {"type": "LineString", "coordinates": [[3, 4], [5, 6]]}]},
+         "GEOMETRYCOLLECTION (POINT (1.0 2.0), LINESTRING (3.0 4.0, 5.0 6.0))", (1.0, 2.0, 5.0, 6.0)),
+        ({"type": "Point", "coordinates": []}, None, (None,) * 4),
+        ({"type": "LineString", "coordinates": "none"}, None, (None,) * 4),
+        ({"type": "Circle", "coordinates": [1, 2]}, None, (None,) * 4),
+        (None, None, (None,) * 4),
+    ]
+    lines = spark.createDataFrame([(json.dumps(feature([], g)),) for g, _, _ in shapes], "value string").coalesce(1)
+    rows = flatten.base_context(readers.parse_features(lines, "value")).collect()
+    for row, (shape, wkt, bounds) in zip(rows, shapes):
+        assert (row["geometry_wkt"], tuple(row[c] for c in ("minx", "miny", "maxx", "maxy"))) == (wkt, bounds), shape
+        middle = None if bounds[0] is None else ((bounds[0] + bounds[2]) / 2, (bounds[1] + bounds[3]) / 2)
+        assert (None if row["lon"] is None else (row["lon"], row["lat"])) == middle
 
 
 def test_rare_attributes_stay_in_the_map(spark, monkeypatch):
@@ -167,5 +212,3 @@ def test_deep_bags_of_every_level_are_opened(spark, tmp_path):
     want = {f"{n}.{path}{end}": v for n, x in names.items() for end, v in (("", x), (".unit", "m"))}
     got = [r["attrs"] for r in flatten.flatten_features(df).collect() if r["obs_group"] == "g"]
     assert got == [want]
-    given = [r["attrs"] for r in flatten.flatten_features(df, depth=8).collect() if r["obs_group"] == "g"]
-    assert given == [want]
