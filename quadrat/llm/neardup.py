@@ -294,7 +294,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
         )
     )
     banded = _banded(classes)
-    hub = F.min_by("node", F.xxhash64("node", "key")).alias("hub")
+    # one order of the nodes for all keys: groups that share members then share their hub
+    hub = F.min_by("node", F.xxhash64("node")).alias("hub")
     hubs = banded.groupBy("key").agg(hub, F.count(F.lit(1)).alias("members"))
     mates = cut_lineage(
         banded.join(hubs.where(F.col("members") > 1), "key").select("key", "band", "node", "hub")
