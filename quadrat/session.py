@@ -20,6 +20,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even when that costs one more exchange further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows of whole texts or sketches are copied several times over in a Python worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
 }
 
 _local_root: str | None = None
