@@ -503,6 +503,15 @@ class PlotData:
             return jobs.run_to_table(self._shaped(kept, dformat), "rows", **where)
         return jobs.chunks_by_type(kept, "feature_type", **where)
 
+    def get_chunk_stream(
+        self, stream: DataFrame, allow_full_download: bool = False, **where: str
+    ) -> jobs.Chunks:
+        """What passes of a stream of observations, a chunk per type with its own columns."""
+        self._guard(allow_full_download)
+        if self.mode == SAMPLES:
+            raise PlotDataError("Chunks per feature type are for observations.")
+        return jobs.land_chunks(self._rows(self._chosen, self._codes, stream), "feature_type", **where)
+
 
 def _listed(values: Mapping[str, Any], facet: str | None):
     shown = {k: list(v) if isinstance(v, tuple) else v for k, v in values.items()}

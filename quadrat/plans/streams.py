@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import flatten, lookup
@@ -38,22 +41,45 @@ def stream_lines(spark, folder):
 
 @query(
     "stream_chunks",
-    """SELECT feature_type, count(*) AS n, sum(obs_value) AS value_sum
+    """SELECT feature_type,
+      concat('feature_type,obs_value,', CASE WHEN feature_type IN ('ECONOMY', 'LARGE') THEN 'ship_mode'
+        WHEN feature_type = 'PROMO' THEN 'tax,line_no' ELSE 'tax' END) AS columns,
+      count(*) AS n, sum(obs_value) AS value_sum,
+      CASE WHEN feature_type = 'PROMO' THEN CAST(sum(line_no) AS BIGINT) END AS line_sum
     FROM observation GROUP BY feature_type""",
     "observation",
 )
 def stream_chunks(spark, folder):
-    lines = stream_table(spark, folder, "lineitem").select(
-        "l_partkey", F.col("l_quantity").alias("obs_value")
-    )
+    """Chunks of six types, in three shapes; each is read back with its own columns."""
+    lines = stream_table(spark, folder, "lineitem")
     part = views.table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("feature_type")
     )
-    stream = lines.join(part, "l_partkey", "left").select("feature_type", "obs_value")
-    chunks = jobs.chunks_by_type(stream, "feature_type")
-    return chunks.groupBy("feature_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("obs_value").alias("value_sum")
+    kind = F.col("feature_type")
+    shaped = kind.isin("ECONOMY", "LARGE")
+    stream = lines.join(part, "l_partkey", "left").select(
+        "feature_type",
+        F.col("l_quantity").alias("obs_value"),
+        F.when(shaped, "AIR").alias("ship_mode"),
+        F.when(~shaped, F.col("l_tax")).alias("tax"),
+        F.when(kind == "PROMO", F.col("l_linenumber")).alias("line_no"),
     )
+    chunks = jobs.land_chunks(stream, "feature_type")
+    # the feature types, a row each
+    types = [r["feature_type"] for r in chunks.manifest().select("feature_type").distinct().collect()]
+    parts = []
+    for name in types:
+        rows = chunks.of(name)
+        line_sum = F.sum("line_no") if "line_no" in rows.columns else F.lit(None)
+        parts.append(
+            rows.groupBy("feature_type").agg(
+                F.lit(",".join(rows.columns)).alias("columns"),
+                F.count(F.lit(1)).alias("n"),
+                F.sum("obs_value").alias("value_sum"),
+                line_sum.cast("long").alias("line_sum"),
+            )
+        )
+    return reduce(DataFrame.union, parts)
 
 
 @query(

@@ -173,3 +173,52 @@ def test_geojson_lines_stream(spark, folder):
     lines = plots.get_data_stream(stream(spark, folder), dformat="geojson").collect()
     docs = [json.loads(r["value"]) for r in lines]
     assert [d["properties"]["id"] for d in docs] == [1, 1] and docs[0]["geometry"] is None
+
+
+def test_chunks_have_their_own_columns(spark, tmp_path):
+    rows = [("1", "soil", 1.0, None, None), ("2", "plant", None, "x", None), ("3", "soil", 2.0, None, None), ("4", None, None, None, "w")]
+    schema = "id string, feature_type string, depth double, species string, `a b` string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    where = {"out": str(tmp_path / "out"), "checkpoint": str(tmp_path / "cp")}
+    facts = spark.read.schema(schema).parquet(str(tmp_path / "in"))
+    plots = PlotData(SurveyTables(observation=facts), order=["id"])
+    with pytest.raises(PlotDataError):
+        plots.get_chunk_stream(stream)
+    chunks = plots.get_chunk_stream(stream, allow_full_download=True, **where)
+    assert chunks.of("soil").columns == ["id", "feature_type", "depth"]
+    assert chunks.of("plant").columns == ["id", "feature_type", "species"]
+    assert chunks.of(None).columns == ["id", "a b"]
+    assert chunks.of("none").collect() == []
+    assert {(r["feature_type"], r["rows"]) for r in chunks.manifest().collect()} == {("soil", 2), ("plant", 1), (None, 1)}
+    # a later batch brings a further column to a type
+    more = [("5", "soil", None, "y", None)]
+    spark.createDataFrame(more, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    chunks = plots.get_chunk_stream(stream, allow_full_download=True, **where)
+    got = sorted(tuple(r) for r in chunks.of("soil").collect())
+    assert got == [("1", "soil", 1.0, None), ("3", "soil", 2.0, None), ("5", "soil", None, "y")]
+    assert chunks.together().columns == ["id", "feature_type", "depth", "species", "a b"]
+    assert chunks.together().count() == 5
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path, monkeypatch):
+    """A batch that dies before its manifest shows nothing; run again it shows its rows once."""
+    schema = "id long, feature_type string"
+    spark.createDataFrame([(1, "a"), (2, "b")], schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    where = {"out": str(tmp_path / "out"), "checkpoint": str(tmp_path / "cp")}
+    real, calls = jobs.cut_lineage, []
+
+    def dies_once(df):
+        calls.append(1)
+        if len(calls) == 1:
+            real(df).write.mode("overwrite").parquet(f"{where['out']}/batch_id=0/chunk=0")
+            raise RuntimeError("lost")
+        return real(df)
+
+    monkeypatch.setattr(jobs, "cut_lineage", dies_once)
+    with pytest.raises(Exception):
+        jobs.land_chunks(stream, "feature_type", **where)
+    assert jobs.Chunks(spark, where["out"], stream.schema).together().collect() == []
+    chunks = jobs.land_chunks(stream, "feature_type", **where)
+    assert sorted(tuple(r) for r in chunks.together().collect()) == [(1, "a"), (2, "b")]
