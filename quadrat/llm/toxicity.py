@@ -191,16 +191,12 @@ def _indexed(features: dict[str, int], categories: list[str]):
     return index
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    categories: dict[str, Column],
-    sample: int = SAMPLE,
-    width: int = FEATURES,
-) -> Chain:
-    """Fit the chain on labelled documents.
+def labelled(
+    docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample: int = SAMPLE
+) -> DataFrame:
+    """(fold, the categories, text) of the labelled documents: at most ``sample`` rows.
 
-    ``categories`` maps names to 0/1 columns of ``labels``, in the order of the chain.
+    Those with the smallest id hashes; of rows with one id, the one with the smallest text hash.
     """
     names = list(categories)
     marks = [F.max(c.cast("int")).alias(n) for n, c in categories.items()]
@@ -215,9 +211,26 @@ def train(
     )
     # at most ``sample`` narrow rows
     texts = docs.select("doc_id", "text").join(F.broadcast(cut_lineage(chosen)), "doc_id")
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    return texts.groupBy("doc_id", "fold", *names).agg(one).select("fold", *names, "text")
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    categories: dict[str, Column],
+    sample: int = SAMPLE,
+    width: int = FEATURES,
+) -> Chain:
+    """Fit the chain on at most ``sample`` labelled documents.
+
+    ``categories`` maps names to 0/1 columns of ``labels``, in the order of the chain.
+    """
+    names = list(categories)
+    texts = labelled(docs, labels, categories, sample)
     kinds = "".join(f", `{n}` int" for n in names)
     rows = cut_lineage(
-        texts.select("fold", *names, "text").mapInArrow(
+        texts.mapInArrow(
             _sampled, f"fold int{kinds}, features array<string>"
         )
     )

@@ -73,3 +73,13 @@ def test_threshold():
 def test_label_columns(spark):
     df = spark.createDataFrame([(1, 0, 1)], LABELS).select(*[c.alias(n) for n, c in toxicity._label_columns().items()])
     assert tuple(df.first()) == (1, 1) and F is not None
+
+
+def test_the_sample_is_bounded_by_rows(spark, make):
+    """An id that many rows share brings one of them, the same one whatever their order."""
+    rows = [(1, f"text {k}") for k in range(300)] + [(2, "two"), (2, None), (3, "three"), (None, "x")]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in (1, 2, 3, 9)], "doc_id long, quality int, toxic int")
+    categories = toxicity._label_columns()
+    for sample in (2, 3):
+        picked = [sorted(tuple(r) for r in toxicity.labelled(make(order), labels, categories, sample).select("text").fillna("").collect()) for order in (rows, rows[::-1])]
+        assert picked[0] == picked[1] and len(picked[0]) <= sample
