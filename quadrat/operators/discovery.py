@@ -73,14 +73,45 @@ def summary(
 ) -> DataFrame:
     """(metric, count): rows under ``total`` and distinct values per facet.
 
-    ``unique`` maps a metric to its column. ``approximate`` trades the exact distinct
-    counts for one pass over sketches.
+    ``unique`` maps a metric to its column. The rows are counted per combination of the
+    facets first, combined map-side; the distinct values are those of the combinations, so
+    no row of the facts is multiplied. ``approximate`` takes sketches instead.
     """
+    facets = list(dict.fromkeys(unique.values()))
+    cells = rows.groupBy(*facets).agg(F.count(F.lit(1)).alias("_n"))
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     columns = [distinct(c).alias(m) for m, c in unique.items()]
     if total:
-        columns.insert(0, F.count(F.lit(1)).alias(total))
-    wide = rows.agg(*columns)
+        columns.insert(0, F.coalesce(F.sum("_n"), F.lit(0)).alias(total))
+    wide = cells.agg(*columns)
+    return wide.unpivot([], wide.columns, "metric", "count")
+
+
+# Registers of a sketch: 2 ** SKETCH_BITS, a deviation of about 0.8 %.
+SKETCH_BITS = 14
+
+
+def summary_sketches(rows: DataFrame, facet: str, unique: dict[str, str]) -> DataFrame:
+    """(value, rows, a sketch per metric) for each value of ``facet``: a table worth keeping.
+
+    Sketches merge: the summary under any filter on the facet needs these rows alone.
+    """
+    sketches = [F.hll_sketch_agg(F.col(c).cast("string"), SKETCH_BITS).alias(m) for m, c in unique.items()]
+    return rows.groupBy(F.col(facet).alias("value")).agg(F.count(F.lit(1)).alias("rows"), *sketches)
+
+
+def summary_of_sketches(
+    sketches: DataFrame, values: list[str] | None = None, total: str | None = None
+) -> DataFrame:
+    """(metric, count) of the rows whose facet has one of ``values`` (of all without them)."""
+    metrics = [c for c in sketches.columns if c not in ("value", "rows")]
+    kept = sketches if values is None else sketches.where(F.col("value").isin(values))
+    columns = [
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(m)), F.lit(0)).cast("long").alias(m) for m in metrics
+    ]
+    if total:
+        columns.insert(0, F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias(total))
+    wide = kept.agg(*columns)
     return wide.unpivot([], wide.columns, "metric", "count")
 
 

@@ -8,6 +8,7 @@ from ..model import OBSERVATIONS
 from ..operators import align, discovery, lookup, paging, spatial
 from ..operators.selection import Selection, date_test
 from ..sources import readers
+from ..session import cut_lineage
 from . import views
 from .registry import query
 
@@ -211,6 +212,24 @@ def summary_observations(spark, folder):
     return discovery.summary(rows, SUMMARY_FACETS, "observations")
 
 
+@query(
+    "summary_sketched",
+    f"""SELECT metric, count > 0 AS found, TRUE AS close FROM ({_summary_sql(
+        SUMMARY_FACETS, "(SELECT * FROM observation WHERE dataset IN ('BUILDING', 'MACHINERY'))", "observations")})""",
+    "observation",
+)
+def summary_sketched(spark, folder):
+    """The summary under a filter by merging sketches, against the exact one: within 2 %."""
+    rows = views.observation(spark, folder, list(dict.fromkeys([*SUMMARY_FACETS.values(), "dataset"])))
+    sketches = cut_lineage(discovery.summary_sketches(rows, "dataset", SUMMARY_FACETS))
+    kept = ["BUILDING", "MACHINERY"]
+    exact = discovery.summary(rows.where(F.col("dataset").isin(kept)), SUMMARY_FACETS, "observations")
+    merged = discovery.summary_of_sketches(sketches, kept, "observations")
+    both = exact.join(merged.withColumnRenamed("count", "estimate"), "metric")
+    close = F.abs(F.col("estimate") - F.col("count")) <= 0.02 * F.col("count")
+    return both.select("metric", (F.col("estimate") > 0).alias("found"), close.alias("close"))
+
+
 SAMPLE_FACETS = {
     "site_id": "site_id",
     "material_sample_type": "material_sample_type",

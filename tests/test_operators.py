@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quadrat.errors import PlotDataError
 from quadrat.model import SurveyTables
-from quadrat.operators import saved, align, images, lookup, paging, samples, selection, spatial
+from quadrat.operators import align, discovery, images, lookup, paging, samples, saved, selection, spatial
 from quadrat.operators.selection import Selection
 from quadrat.sources import readers
 
@@ -429,3 +429,17 @@ def test_image_options(spark):
         images.OPTIONS_TYPE.replace("array", "o array", 1),
     )
     assert [r[0] for r in options.select(images.default_image(F.col("o"))).collect()] == ["b", "c", None]
+
+
+def test_summary_without_multiplied_facts(spark):
+    rows = spark.range(5000).selectExpr("id % 7 AS a", "IF(id % 3 = 0, NULL, id % 11) AS b", "CAST(id % 900 AS STRING) AS c")
+    unique = {"as": "a", "bs": "b", "cs": "c", "again": "a"}
+    got = {r["metric"]: r["count"] for r in discovery.summary(rows, unique, "all").collect()}
+    assert got == {"all": 5000, "as": 7, "bs": 11, "cs": 900, "again": 7}
+    assert {r["count"] for r in discovery.summary(rows.limit(0), unique, "all").collect()} == {0}
+    sketches = discovery.summary_sketches(rows, "a", {"bs": "b", "cs": "c"})
+    for values in (None, [1, 2], [99]):
+        kept = rows if values is None else rows.where(F.col("a").isin(values))
+        exact = {r["metric"]: r["count"] for r in discovery.summary(kept, {"bs": "b", "cs": "c"}, "all").collect()}
+        near = {r["metric"]: r["count"] for r in discovery.summary_of_sketches(sketches, values, "all").collect()}
+        assert near == pytest.approx(exact, rel=0.02)
