@@ -20,7 +20,6 @@ from ..errors import PlotDataError
 from ..functions import geometry
 from ..functions.dates import parse_date
 from ..model import QUERY_FACETS, SAMPLES, SurveyTables
-from .lookup import broadcast_if_small
 
 # Facets whose value is one literal rather than a list of vocabulary entries.
 SCALAR_FACETS = ("spatial", "date_from", "date_to", "soil_depth_range", "has_image")
@@ -294,6 +293,6 @@ def in_regions(df: DataFrame, site_region: DataFrame, region_types, regions=())
     member = F.col("region_type").isin(*region_types)
     if regions:
         member &= F.col("region").isin(*regions)
-    # distinct sites first: measured small they are broadcast, and the facts stay in place
+    # distinct sites first: once they are counted, AQE broadcasts few and leaves the facts in place
     sites = site_region.where(member).select("site_id").distinct()
-    return df.join(broadcast_if_small(sites), "site_id", "left_semi")
+    return df.join(sites, "site_id", "left_semi")
