@@ -113,8 +113,17 @@ obs AS (SELECT fois.*, grp AS obs_group, n,
     f"WITH {DOC_SQL} SELECT dataset_title, site_name, l_linenumber % 3 AS visits, count(*) AS n FROM doc GROUP BY ALL",
 )
 def scan_geojson_features(spark, folder):
+    """Collections of about a thousand features, written to files and read in splits."""
+    out = shared_dir(spark, "collections")
+    lines = feature_lines(spark, folder)
+    bucket = F.pmod(F.xxhash64("value"), F.lit(lines.count() // 1000 + 1))
+    listed = F.array_join(F.collect_list("value"), ",")
+    docs = lines.groupBy(bucket.alias("bucket")).agg(
+        F.concat(F.lit('{"type":"FeatureCollection","crs":{"name":"x{"},"features":['), listed, F.lit("]}")).alias("value")
+    )
+    docs.select("value").write.text(out)
     props = F.col("feature.properties")
-    rows = features(spark, folder).select(
+    rows = readers.read_feature_collections(spark, out).select(
         props["dataset"].getField("dataset.title").alias("dataset_title"),
         props["site"].getField("site.name").alias("site_name"),
         F.size(props["siteVisit"]).alias("visits"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,19 +10,97 @@ from ..errors import PlotDataError
 from ..functions.text import strip
 from ..model import FEATURE, FEATURE_COLLECTION, SPEC_SCHEMA, VOCAB_SCHEMA
 from ..operators.align import stack_tables
+from ..operators.lookup import broadcast_if_small
+from ..session import cut_lineage
 
 HITS = "struct<hits: struct<hits: array<struct<_source: variant>>>>"
 ATTRIBUTE_KINDS = {"site": "site", "site_visit": "site_visit", "site-visit": "site_visit"}
 
 
+def _braces(text: str, quoted: int) -> str:
+    """Opened minus closed braces outside strings; ``quoted`` is 1 where the text starts in one."""
+    outside = f"array_join(filter(split({text}, '\"'), (x, i) -> i % 2 = {quoted}), '')"
+    return f"length(regexp_replace({outside}, '[^{{]', '')) - length(regexp_replace({outside}, '[^}}]', ''))"
+
+
+def collection_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, text): the objects that lie directly in a collection's document.
+
+    Files are read in splits, cut at opening braces, however large a document is. A cut's
+    quotes and braces are counted for either case, that it starts inside a string or outside;
+    the counts add up within a split, then over the splits of a file, and so tell each cut
+    its depth. A cut that opens an object at depth one begins a text.
+    """
+    cuts = spark.read.option("lineSep", "{").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"),
+        "value",
+    )
+    order = Window.partitionBy("file", "split").orderBy("id")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    head = (F.col("split") == 0) & (F.row_number().over(order) == 1)
+    cuts = cut_lineage(
+        cuts.withColumn("head", head)
+        .withColumn("text", F.concat(F.when(F.col("head"), "").otherwise("{"), "value"))
+        .withColumn("plain", F.regexp_replace("text", r"\\.", ""))
+        .select(
+            *("file", "split", "id", "head", "text"),
+            F.expr("(length(plain) - length(replace(plain, '\"', ''))) % 2").alias("turn"),
+            F.expr(_braces("plain", 0)).alias("d0"),
+            F.expr(_braces("plain", 1)).alias("d1"),
+        )
+    )
+    zero = F.lit(0)
+    turned = F.coalesce(F.sum("turn").over(before), zero) % 2
+    even = F.col("turned") == 0
+    within = cuts.withColumn("turned", turned).withColumns(
+        {"e0": F.when(even, F.col("d0")).otherwise(F.col("d1")), "e1": F.when(even, F.col("d1")).otherwise(F.col("d0"))}
+    )
+    within = within.withColumns({c: F.coalesce(F.sum(e).over(before), zero) for c, e in (("c0", "e0"), ("c1", "e1"))})
+    # a row per split
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = within.groupBy("file", "split").agg(
+        (F.sum("turn") % 2).alias("turn"), F.sum("e0").alias("s0"), F.sum("e1").alias("s1")
+    )
+    splits = splits.withColumn("quoted", F.coalesce(F.sum("turn").over(earlier), zero) % 2)
+    change = F.when(F.col("quoted") == 0, F.col("s0")).otherwise(F.col("s1"))
+    splits = splits.withColumn("change", change).withColumn("depth", F.coalesce(F.sum("change").over(earlier), zero))
+    starts = cut_lineage(splits.select("file", "split", "quoted", "depth"))
+    placed = within.join(broadcast_if_small(starts), ["file", "split"])
+    depth = F.col("depth") + F.when(F.col("quoted") == 0, F.col("c0")).otherwise(F.col("c1"))
+    outside = (F.col("turned") + F.col("quoted")) % 2 == 0
+    begins = (outside & (depth == 1) & ~F.col("head")).cast("long")
+    placed = cut_lineage(placed.select("file", "split", "id", "text", begins.alias("begins")))
+    totals = placed.groupBy("file", "split").agg(F.sum("begins").alias("n"))
+    totals = cut_lineage(totals.select("file", "split", F.coalesce(F.sum("n").over(earlier), zero).alias("ahead")))
+    so_far = F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = placed.withColumn("so_far", so_far).join(broadcast_if_small(totals), ["file", "split"])
+    numbered = numbered.withColumn("number", F.col("ahead") + F.col("so_far")).where(F.col("number") > 0)
+    pieces = F.array_sort(F.collect_list(F.struct("split", "id", "text")))
+    texts = numbered.groupBy("file", "number").agg(pieces.alias("pieces"))
+    return texts.select("file", "number", F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("text"))
+
+
+def collection_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, feature, bad): features, and the text of those that cannot be read."""
+    kind = T.StructType([*FEATURE.fields, T.StructField("_bad", T.StringType())])
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    read = collection_texts(spark, path).withColumn("f", F.from_json("text", kind, how))
+    fields = [F.col("f").getField(f.name).alias(f.name) for f in FEATURE.fields]
+    rows = read.select("file", "number", F.struct(*fields).alias("feature"), F.col("f._bad").alias("bad"))
+    # other objects of a document, such as its reference system, are no features
+    return rows.where((F.col("feature.type") == "Feature") | F.col("bad").isNotNull())
+
+
 def read_feature_collections(spark: SparkSession, path: str) -> DataFrame:
-    """``feature`` rows of GeoJSON FeatureCollection files.
+    """``feature`` rows of GeoJSON FeatureCollection files of any size.
 
-    A collection is one JSON document, so one file is one task: land large data as many
-    files or as one feature per line (``read_feature_lines``).
+    A document is read by as many tasks as its file has splits. Features that cannot be
+    read are left out; ``collection_rows`` gives them as well.
     """
-    docs = spark.read.schema(FEATURE_COLLECTION).json(path, multiLine=True)
-    return docs.select(F.explode("features").alias("feature"))
+    rows = collection_rows(spark, path)
+    return rows.where(F.col("bad").isNull()).select("feature")
 
 
 def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -212,3 +212,38 @@ def test_deep_bags_of_every_level_are_opened(spark, tmp_path):
     want = {f"{n}.{path}{end}": v for n, x in names.items() for end, v in (("", x), (".unit", "m"))}
     got = [r["attrs"] for r in flatten.flatten_features(df).collect() if r["obs_group"] == "g"]
     assert got == [want]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_a_large_document_is_read_in_splits(spark, tmp_path, indent):
+    """The rows of one document do not depend on where its file is split."""
+    docs = []
+    for k in range(60):
+        doc = feature([visit(foi({"g": [obs("a", note='}{ "{[ \\\\ \\" {')]}))], **{"k{": f'}}{{"{k}', "e": "\\\\"})
+        doc["properties"]["site"]["site.name"] = f'S{k} {{ " \\ }}'
+        docs.append(doc)
+    collection = {"type": "FeatureCollection", "crs": {"a": {"b": "{"}}, "features": docs, "more": {"type": "Other"}}
+    for n in range(2):
+        (tmp_path / f"{n}.json").write_text(json.dumps(collection, indent=indent))
+    want = sorted([d["properties"]["site"]["site.name"] for d in docs] * 2)
+    name = F.col("feature.properties.site").getField("site.name")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (old, "777", "4096"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = readers.read_feature_collections(spark, str(tmp_path))
+            assert sorted(r[0] for r in rows.select(name).collect()) == want
+            bags = rows.select(flatten.flatten_bag("feature.properties.dataset.`dataset.attributes`").alias("m")).collect()
+            assert {r["m"]["k{"] for r in bags} == {f'}}{{"{k}' for k in range(60)} and {r["m"]["e"] for r in bags} == {"\\\\"}
+            assert size == old or spark.read.option("lineSep", "{").text(str(tmp_path)).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_bad_features_are_set_aside(spark, tmp_path):
+    good = json.dumps(feature([]))
+    (tmp_path / "a.json").write_text(f'{{"type": "FeatureCollection", "features": [{good}, {{"type": nonsense}}, {good}]}}')
+    (tmp_path / "b.json").write_text("")
+    rows = readers.collection_rows(spark, str(tmp_path)).collect()
+    assert sorted(r["bad"] is None for r in rows) == [False, True, True]
+    assert readers.read_feature_collections(spark, str(tmp_path)).count() == 2
