@@ -113,6 +113,24 @@ obs AS (SELECT fois.*, grp AS obs_group, n,
     f"WITH {DOC_SQL} SELECT dataset_title, site_name, l_linenumber % 3 AS visits, count(*) AS n FROM doc GROUP BY ALL",
 )
 def scan_geojson_features(spark, folder):
+    return _scanned(features(spark, folder))
+
+
+def _scanned(rows):
+    props = F.col("feature.properties")
+    rows = rows.select(
+        props["dataset"].getField("dataset.title").alias("dataset_title"),
+        props["site"].getField("site.name").alias("site_name"),
+        F.size(props["siteVisit"]).alias("visits"),
+    )
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "scan_collection_files",
+    f"WITH {DOC_SQL} SELECT dataset_title, site_name, l_linenumber % 3 AS visits, count(*) AS n FROM doc GROUP BY ALL",
+)
+def scan_collection_files(spark, folder):
     """Collections of about a thousand features, written to files and read in splits."""
     out = shared_dir(spark, "collections")
     lines = feature_lines(spark, folder)
@@ -122,13 +140,7 @@ def scan_geojson_features(spark, folder):
         F.concat(F.lit('{"type":"FeatureCollection","crs":{"name":"x{"},"features":['), listed, F.lit("]}")).alias("value")
     )
     docs.select("value").write.text(out)
-    props = F.col("feature.properties")
-    rows = readers.read_feature_collections(spark, out).select(
-        props["dataset"].getField("dataset.title").alias("dataset_title"),
-        props["site"].getField("site.name").alias("site_name"),
-        F.size(props["siteVisit"]).alias("visits"),
-    )
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    return _scanned(readers.read_feature_collections(spark, out))
 
 
 PLACED = ["lon", "lat", "geometry_wkt", "minx", "miny", "maxx", "maxy"]

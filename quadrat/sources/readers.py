@@ -17,19 +17,13 @@ HITS = "struct<hits: struct<hits: array<struct<_source: variant>>>>"
 ATTRIBUTE_KINDS = {"site": "site", "site_visit": "site_visit", "site-visit": "site_visit"}
 
 
-def _braces(text: str, quoted: int) -> str:
-    """Opened minus closed braces outside strings; ``quoted`` is 1 where the text starts in one."""
-    outside = f"array_join(filter(split({text}, '\"'), (x, i) -> i % 2 = {quoted}), '')"
-    return f"length(regexp_replace({outside}, '[^{{]', '')) - length(regexp_replace({outside}, '[^}}]', ''))"
-
-
 def collection_texts(spark: SparkSession, path: str) -> DataFrame:
     """(file, number, text): the objects that lie directly in a collection's document.
 
     Files are read in splits, cut at opening braces, however large a document is. A cut's
-    quotes and braces are counted for either case, that it starts inside a string or outside;
-    the counts add up within a split, then over the splits of a file, and so tell each cut
-    its depth. A cut that opens an object at depth one begins a text.
+    quotes and closing braces are counted for either case, that it starts inside a string or
+    outside; the counts add up within a split, then over the splits of a file, and so tell
+    each cut its depth. A cut that opens an object at depth one begins a text.
     """
     cuts = spark.read.option("lineSep", "{").text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -37,49 +31,60 @@ def collection_texts(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("id"),
         "value",
     )
-    order = Window.partitionBy("file", "split").orderBy("id")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    head = (F.col("split") == 0) & (F.row_number().over(order) == 1)
+    strings = r"""'"[^"]*("|$)'"""
+    closed = lambda text: f"length({text}) - length(replace({text}, '}}', ''))"
+    some = lambda text: f"IF(contains(plain, '}}'), {closed(text)}, 0)"
+    rest = """substr(plain, IF(instr(plain, '"') = 0, length(plain), instr(plain, '"')) + 1)"""
     cuts = cut_lineage(
-        cuts.withColumn("head", head)
-        .withColumn("text", F.concat(F.when(F.col("head"), "").otherwise("{"), "value"))
-        .withColumn("plain", F.regexp_replace("text", r"\\.", ""))
-        .select(
-            *("file", "split", "id", "head", "text"),
+        cuts.withColumn("plain", F.regexp_replace("value", r"\\.", "")).select(
+            *("file", "split", "id", "value"),
             F.expr("(length(plain) - length(replace(plain, '\"', ''))) % 2").alias("turn"),
-            F.expr(_braces("plain", 0)).alias("d0"),
-            F.expr(_braces("plain", 1)).alias("d1"),
+            F.expr(some(f"regexp_replace(plain, {strings}, '')")).alias("closed0"),
+            F.expr(some(f"regexp_replace({rest}, {strings}, '')")).alias("closed1"),
         )
     )
     zero = F.lit(0)
-    turned = F.coalesce(F.sum("turn").over(before), zero) % 2
+    # what stands before the first brace of a file, a row per file
+    heads = cuts.where("split = 0").groupBy("file").agg(F.min("id").alias("id")).withColumn("head", F.lit(True))
+    heads = broadcast_if_small(cut_lineage(heads))
+    order = Window.partitionBy("file", "split").orderBy("id")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    slim = cuts.drop("value").join(heads, ["file", "id"], "left")
+    # outside of a string the brace that begins a cut opens an object
+    slim = slim.withColumn("d0", F.when(F.col("head"), zero).otherwise(F.lit(1)) - F.col("closed0"))
+    slim = slim.withColumn("turned", F.coalesce(F.sum("turn").over(before), zero) % 2)
     even = F.col("turned") == 0
-    within = cuts.withColumn("turned", turned).withColumns(
-        {"e0": F.when(even, F.col("d0")).otherwise(F.col("d1")), "e1": F.when(even, F.col("d1")).otherwise(F.col("d0"))}
+    slim = slim.withColumns(
+        {
+            "e0": F.when(even, F.col("d0")).otherwise(-F.col("closed1")),
+            "e1": F.when(even, -F.col("closed1")).otherwise(F.col("d0")),
+        }
     )
-    within = within.withColumns({c: F.coalesce(F.sum(e).over(before), zero) for c, e in (("c0", "e0"), ("c1", "e1"))})
+    slim = slim.withColumns({c: F.coalesce(F.sum(e).over(before), zero) for c, e in (("c0", "e0"), ("c1", "e1"))})
+    slim = cut_lineage(slim.select("file", "split", "id", "head", "turn", "turned", "e0", "e1", "c0", "c1"))
     # a row per split
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = within.groupBy("file", "split").agg(
+    splits = slim.groupBy("file", "split").agg(
         (F.sum("turn") % 2).alias("turn"), F.sum("e0").alias("s0"), F.sum("e1").alias("s1")
     )
     splits = splits.withColumn("quoted", F.coalesce(F.sum("turn").over(earlier), zero) % 2)
     change = F.when(F.col("quoted") == 0, F.col("s0")).otherwise(F.col("s1"))
     splits = splits.withColumn("change", change).withColumn("depth", F.coalesce(F.sum("change").over(earlier), zero))
     starts = cut_lineage(splits.select("file", "split", "quoted", "depth"))
-    placed = within.join(broadcast_if_small(starts), ["file", "split"])
+    placed = slim.join(broadcast_if_small(starts), ["file", "split"])
     depth = F.col("depth") + F.when(F.col("quoted") == 0, F.col("c0")).otherwise(F.col("c1"))
     outside = (F.col("turned") + F.col("quoted")) % 2 == 0
-    begins = (outside & (depth == 1) & ~F.col("head")).cast("long")
-    placed = cut_lineage(placed.select("file", "split", "id", "text", begins.alias("begins")))
+    begins = (outside & (depth == 1) & F.col("head").isNull()).cast("long")
+    placed = cut_lineage(placed.select("file", "split", "id", begins.alias("begins")))
     totals = placed.groupBy("file", "split").agg(F.sum("begins").alias("n"))
     totals = cut_lineage(totals.select("file", "split", F.coalesce(F.sum("n").over(earlier), zero).alias("ahead")))
     so_far = F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     numbered = placed.withColumn("so_far", so_far).join(broadcast_if_small(totals), ["file", "split"])
-    numbered = numbered.withColumn("number", F.col("ahead") + F.col("so_far")).where(F.col("number") > 0)
-    pieces = F.array_sort(F.collect_list(F.struct("split", "id", "text")))
-    texts = numbered.groupBy("file", "number").agg(pieces.alias("pieces"))
-    return texts.select("file", "number", F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("text"))
+    numbered = numbered.select("id", (F.col("ahead") + F.col("so_far")).alias("number")).where("number > 0")
+    pieces = F.array_sort(F.collect_list(F.struct("split", "id", "value")))
+    texts = cuts.join(numbered, "id").groupBy("file", "number").agg(pieces.alias("pieces"))
+    text = F.concat(F.lit("{"), F.array_join(F.transform("pieces", lambda p: p["value"]), "{"))
+    return texts.select("file", "number", text.alias("text"))
 
 
 def collection_rows(spark: SparkSession, path: str) -> DataFrame:
