@@ -17,11 +17,14 @@ looked at; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import sys
 import types
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +34,13 @@ from pyspark.sql import functions as F
 
 from ..operators.lookup import broadcast_if_small
 from ..session import shared_dir, ship_with_tasks
-from . import repair
+from .repair import Shard, pack
 
 ship_with_tasks(__name__)
 
 END = 1
 SHARD_IDS = 1 << 20
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 400_000
 # The tokenizer's own pattern for the letters, digits and signs up to U+00FF, in lower case.
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
@@ -50,7 +53,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.merges = Tokenizer.from_file(path)
         self.merges.normalizer = None
         self.merges.pre_tokenizer = pre_tokenizers.Sequence(
@@ -59,12 +62,19 @@ class Encoder:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
-        vocabulary = self.whole.get_vocab()
+        vocabulary = self.merges.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
+    @cached_property
+    def whole(self):
+        """The tokenizer as it is, for texts that are not cut; read when the first one comes."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def forget(self) -> None:
         self.pieces: dict[str, int] = {}
         self.piece_starts, self.piece_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -168,14 +178,24 @@ def encoder(path: str) -> Encoder:
     return place.__dict__[path]
 
 
+def _give_back() -> None:
+    """Return memory that this worker holds but does not use, be it from earlier stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _packer(path: str, shard_ids: int):
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
         coder, part, seq = encoder(path), TaskContext.get().partitionId(), 0
         names, ids, total = [], [], 0
 
         def shard() -> pa.RecordBatch:
             lengths = np.array([len(x) for x in ids], np.int64)
-            data = repair.pack(names, lengths, np.concatenate(ids), coder.size)
+            data = pack(names, lengths, np.concatenate(ids), coder.size)
             columns = [[part], [seq], [len(names)], [total], [data]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
@@ -195,8 +215,9 @@ def _packer(path: str, shard_ids: int):
                         names, ids, total, seq = [], [], 0, seq + 1
         if names:
             yield shard()
+        _give_back()
 
-    return pack
+    return shards
 
 
 def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_ids: int = SHARD_IDS) -> None:
@@ -216,7 +237,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_ids: int = SH
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, seq, data in zip(*(batch.column(c) for c in ("part", "seq", "data"))):
-            shard = repair.Shard(data.as_py())
+            shard = Shard(data.as_py())
             ids, edges = shard.all_ids().astype("<u4"), shard.id_starts
             bounds = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
             n = len(bounds)
