@@ -8,11 +8,13 @@ agree on a band are candidates.
 
 1. Texts with equal words are one class from the start.
 2. In each group of classes that share a band, one hash-chosen hub is compared with each
-   member: as many pairs as members. The hubs of the first bands meet every member, those
-   of the others the members that are not yet in the hub's component.
+   member: as many pairs as members. The hubs of the first band meet every member, those of
+   the others, a few bands at a time, the members that are not yet in the hub's component.
 3. What is still apart in a group is compared across its components, the group cut into
    blocks and sketch against sketch within a task: no pair of band mates from two components
-   is left out, and none from one component needs a test. Only likely pairs leave the task.
+   is left out, and none from one component needs a test. Likely pairs stay together by the
+   two blocks they lie in, and so do the full sets they are tested on: what is moved grows
+   with the members of the blocks and not with the pairs.
 4. A pair is likely unless the estimate from its joint register counts (who is larger, how
    often) is four deviations short. Likely pairs are tested on the full shingle sets.
 
@@ -43,8 +45,10 @@ SHINGLE = 5
 SHARE = 75  # per cent of the union that two linked sets share at least
 REGISTERS, BANDS, BAND = 512, 32, 4  # the first BANDS x BAND registers make the bands
 BASE, RATE, TOP = 1.1, 20.0, 254  # a register is one byte
-BLOCK_NODES, PAIRS_AT_ONCE = 256, 8192
-EARLY_BANDS = 8
+# members of a block, and shingles of all its members, about
+BLOCK_NODES, BLOCK_HASHES, PAIRS_AT_ONCE = 256, 1 << 18, 8192
+# bands whose hubs meet their members in one round, from the first band on
+HUB_ROUNDS = ((0, 1), (1, 4), (4, BANDS))
 # a pair at the bound is passed on with a probability of 0.99997
 DEVIATIONS = 4.0
 
@@ -183,12 +187,21 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).filter(pa.array(_likely(a, b, na, nb)))
 
 
+MET = (
+    "key long, band int, first long, block long, "
+    "sides array<struct<side:int,no:int,label:int,node:binary>>, pairs binary"
+)
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs between two blocks of a group, each at the first band it shares."""
+    """Likely pairs between two blocks of a group, each at the first band it shares.
+
+    A row per two blocks: who takes part on either side, and the pairs of their numbers.
+    """
     for batch in batches:
-        found_a, found_b = [], []
-        for band, same, *sides in zip(*(batch.column(c).to_pylist() for c in ("band", "same", "x", "y"))):
-            x, y = sides
+        rows: list[dict] = []
+        for row in batch.to_pylist():
+            band, x, y = row["band"], row.pop("x"), row.pop("y")
             sx, sy = (_sketches(m["sketch"] for m in z) for z in (x, y))
             nx, ny = (np.array([m["n_shingles"] for m in z], float) for z in (x, y))
             labels = {v: k for k, v in enumerate({m["label"] for m in x} | {m["label"] for m in y})}
@@ -198,22 +211,65 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first, second = [], []
             for i in range(len(x)):
                 ok = (ly != lx[i]) & (my | mx[i])
-                if same:
+                if row["first"] == row["block"]:
                     ok[: i + 1] = False
                 k = np.flatnonzero(ok & (by[:, band] == bx[i, band]))
                 k = k[(by[k, :band] != bx[i, :band]).all(axis=1)]
                 first.append(np.full(len(k), i))
                 second.append(k)
             first, second = np.concatenate(first), np.concatenate(second)
+            fits = [np.empty(0, bool)]
             for at in range(0, len(first), PAIRS_AT_ONCE):
                 i, k = first[at : at + PAIRS_AT_ONCE], second[at : at + PAIRS_AT_ONCE]
-                fits = _likely(sx[i], sy[k], nx[i], ny[k])
-                for a, b in zip(i[fits].tolist(), k[fits].tolist()):
-                    a, b = sorted((x[a]["node"], y[b]["node"]))
-                    found_a.append(a)
-                    found_b.append(b)
+                fits.append(_likely(sx[i], sy[k], nx[i], ny[k]))
+            fits = np.concatenate(fits)
+            if fits.any():
+                row["sides"], numbers = [], []
+                for side, members, known, at in ((0, x, lx, first[fits]), (1, y, ly, second[fits])):
+                    who, number = np.unique(at, return_inverse=True)
+                    numbers.append(number)
+                    row["sides"] += [
+                        {"side": side, "no": no, "label": int(known[i]), "node": members[i]["node"]}
+                        for no, i in enumerate(who.tolist())
+                    ]
+                rows.append(row | {"pairs": np.stack(numbers).astype("<u4").tobytes()})
+        side = pa.struct([("side", pa.int32()), ("no", pa.int32()), ("label", pa.int32()), ("node", pa.binary())])
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(side), pa.binary())
+        names = ["key", "band", "first", "block", "sides", "pairs"]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[c] for r in rows], kind) for c, kind in zip(names, kinds)], names=names
+        )
+
+
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two full sets are linked."""
+    common = len(x) + len(y) - len(np.union1d(x, y))
+    return 100 * common >= SHARE * (len(x) + len(y) - common)
+
+
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Confirmed links between two blocks, those that join what is apart until then."""
+    for batch in batches:
+        found: list[tuple[bytes, bytes]] = []
+        for members, pairs in zip(batch.column("members"), batch.column("pairs")):
+            sides: tuple[dict, dict] = ({}, {})
+            for m in members.as_py():
+                sides[m["side"]][m["no"]] = m["label"], m["node"], np.frombuffer(m["hashes"], np.uint64)
+            above: dict[int, int] = {}
+
+            def top(label: int) -> int:
+                while label in above:
+                    label = above[label]
+                return label
+
+            for i, k in np.frombuffer(pairs.as_py(), "<u4").reshape(2, -1).T.tolist():
+                (la, a, x), (lb, b, y) = sides[0][i], sides[1][k]
+                la, lb = top(la), top(lb)
+                if la != lb and _similar(x, y):
+                    above[lb] = la
+                    found.append((a, b))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found_a, pa.binary()), pa.array(found_b, pa.binary())], names=["a", "b"]
+            [pa.array([f[j] for f in found], pa.binary()) for j in (0, 1)], names=["a", "b"]
         )
 
 
@@ -221,9 +277,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sure = []
         for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b")):
-            x, y = (np.frombuffer(z.as_py(), np.uint64) for z in (x, y))
-            common = len(x) + len(y) - len(np.union1d(x, y))
-            sure.append(100 * common >= SHARE * (len(x) + len(y) - common))
+            sure.append(_similar(*(np.frombuffer(z.as_py(), np.uint64) for z in (x, y))))
         yield batch.select(["a", "b"]).filter(pa.array(sure, pa.bool_()))
 
 
@@ -242,23 +296,28 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return cut_lineage(pairs.mapInArrow(_plausible, "a binary, b binary"))
 
 
-def _confirmed(likely: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    ends = likely.select(F.col("a").alias("node")).distinct()
-    wanted = ends.union(likely.select(F.col("b").alias("node")).distinct()).distinct()
+def _full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, hashes) of the wanted nodes, each named once."""
     rows = cut_lineage(wanted.join(classes, "node").select("row").distinct())
     texts = docs.select("row", "text").join(broadcast_if_small(rows), "row", "left_semi")
     # a row hash may stand for another text as well: the digest decides
     sets = texts.select("text").mapInArrow(_sets, "node binary, hashes binary")
-    sets = cut_lineage(sets.groupBy("node").agg(F.first("hashes").alias("hashes")))
+    return cut_lineage(sets.groupBy("node").agg(F.first("hashes").alias("hashes")))
+
+
+def _confirmed(likely: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    ends = likely.select(F.col("a").alias("node")).distinct()
+    wanted = ends.union(likely.select(F.col("b").alias("node")).distinct()).distinct()
+    sets = _full_sets(wanted, classes, docs)
     full = _with(_with(likely, "a", sets, hashes_a="hashes"), "b", sets, hashes_b="hashes")
     return cut_lineage(full.mapInArrow(_linked, "a binary, b binary"))
 
 
 def _banded(classes: DataFrame) -> DataFrame:
-    """(node, band, key): a row per class and band."""
+    """(node, n_shingles, band, key): a row per class and band."""
     keys = [F.xxhash64(F.lit(k), F.substring("sketch", 1 + k * BAND, BAND)) for k in range(BANDS)]
-    return classes.select("node", F.posexplode(F.array(*keys)).alias("band", "key"))
+    return classes.select("node", "n_shingles", F.posexplode(F.array(*keys)).alias("band", "key"))
 
 
 def _rank(doc_id: str, row: str) -> Column:
@@ -298,17 +357,21 @@ def _grouped(docs: DataFrame) -> DataFrame:
     hub = F.min_by("node", F.xxhash64("node")).alias("hub")
     hubs = banded.groupBy("key").agg(hub, F.count(F.lit(1)).alias("members"))
     mates = cut_lineage(
-        banded.join(hubs.where(F.col("members") > 1), "key").select("key", "band", "node", "hub")
+        banded.join(hubs.where(F.col("members") > 1), "key").select("key", "band", "node", "n_shingles", "hub")
     )
-    # the hubs of some bands settle most members; those of the others are for the rest
-    early = F.col("band") < EARLY_BANDS
-    tested = cut_lineage(_hub_pairs(mates.where(early)))
-    links = _confirmed(_estimated(tested, classes), classes, docs)
-    labels = components(links)
-    late = cut_lineage(_hub_pairs(_unsettled(mates.where(~early), labels)).join(tested, ["a", "b"], "left_anti"))
-    links = links.union(_confirmed(_estimated(late, classes), classes, docs))
-    labels = components(links)
-    more = _confirmed(_apart(mates, labels, tested.union(late), classes), classes, docs)
+    # a round's hubs settle most members; those of the next one are for the rest
+    tested = links = labels = None
+    for first, end in HUB_ROUNDS:
+        some = mates.where((F.col("band") >= first) & (F.col("band") < end))
+        pairs = _hub_pairs(some if labels is None else _unsettled(some, labels))
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        found = _confirmed(_estimated(pairs, classes), classes, docs)
+        tested = pairs if tested is None else tested.union(pairs)
+        links = found if links is None else links.union(found)
+        labels = components(links)
+    more = _apart(mates, labels, classes, docs)
     if not more.isEmpty():
         labels = components(links.union(more))
     placed = classes.select("node", "first_id", "row").join(labels, "node", "left")
@@ -343,29 +406,29 @@ def _unsettled(mates: DataFrame, labels: DataFrame) -> DataFrame:
     return named.where(apart).select("node", "hub")
 
 
-def _apart(
-    mates: DataFrame, labels: DataFrame, tested: DataFrame, classes: DataFrame
-) -> DataFrame:
-    """Likely untested pairs of band mates that lie in two components."""
+def _apart(mates: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of band mates that lie in two components: enough of them to join these."""
     named = mates.join(labels, "node", "left").select(
-        "key", "band", "node", F.coalesce("label", "node").alias("label")
+        "key", "band", "node", "n_shingles", F.coalesce("label", "node").alias("label")
     )
-    counted = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    counted = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
     split = counted.groupBy("key").agg(
         F.max_by("label", F.struct("n", "label")).alias("major"),
         F.count(F.lit(1)).alias("parts"),
         F.sum("n").alias("members"),
+        F.sum("size").alias("size"),
     )
+    count = F.ceil(F.greatest(F.col("members") / BLOCK_NODES, F.col("size") / BLOCK_HASHES))
     # of two members one is the hub, and the pair is tested
     split = split.where((F.col("parts") > 1) & (F.col("members") > 2)).drop("parts")
     member = F.struct("node", "label", (F.col("label") != F.col("major")).alias("minor"), "n_shingles", "sketch")
     blocks = (
         named.join(split, "key")
-        .join(classes.select("node", "n_shingles", "sketch"), "node")
+        .join(classes.select("node", "sketch"), "node")
         .select(
             "key",
             "band",
-            F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK_NODES)).alias("block"),
+            F.pmod(F.xxhash64("node"), count).alias("block"),
             member.alias("member"),
         )
         .groupBy("key", "band", "block")
@@ -376,10 +439,15 @@ def _apart(
     pairs = left.join(blocks, ["key", "band"]).where(
         (F.col("first") <= F.col("block")) & (F.col("x_open") | F.col("open"))
     )
-    likely = pairs.select(
-        "band", (F.col("first") == F.col("block")).alias("same"), "x", F.col("members").alias("y")
-    ).mapInArrow(_across, "a binary, b binary")
-    return cut_lineage(likely.join(tested, ["a", "b"], "left_anti"))
+    blocked = pairs.select("key", "band", "first", "block", "x", F.col("members").alias("y"))
+    met = cut_lineage(blocked.mapInArrow(_across, MET))
+    at = ["key", "band", "first", "block"]
+    asked = met.select(*at, F.explode("sides").alias("s")).select(*at, "s.*")
+    sets = _full_sets(asked.select("node").distinct(), classes, docs)
+    member = F.struct("side", "no", "label", "node", "hashes")
+    held = asked.join(sets, "node").groupBy(*at).agg(F.collect_list(member).alias("members"))
+    full = held.join(met.select(*at, "pairs"), at).select("members", "pairs")
+    return cut_lineage(full.mapInArrow(_joining, "a binary, b binary"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -73,6 +73,30 @@ def test_groups_in_small_blocks(make, monkeypatch):
     assert got == sorted(brute(rows))
 
 
+def test_what_is_moved_follows_the_members(make, monkeypatch):
+    """Many texts that are nearly linked: no row per pair, and what must be joined is."""
+    common = [f"w{k}" for k in range(200)]
+    texts = [" ".join(common[:165] + [f"u{i}x{k}" for k in range(35)]) for i in range(60)]
+    texts += [" ".join(common[:190] + [f"v{i}x{k}" for k in range(10)]) for i in range(3)]
+    rows = list(enumerate(texts))
+    made = []
+    real = nd.cut_lineage
+
+    def counting(df):
+        out = real(df)
+        if set(df.columns) in ({"a", "b"}, set("key band first block sides pairs".split())):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(nd, "HUB_ROUNDS", ((0, 1), (1, 2)), raising=False)
+    monkeypatch.setattr(nd, "cut_lineage", counting)
+    # every sketch looks likely, as those near the bound do
+    monkeypatch.setattr(nd, "DEVIATIONS", 40.0)
+    found = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(make(rows)).collect()}
+    assert found == {r[0]: r[2] for r in brute(rows)}
+    assert max(made) < 4 * len(rows)
+
+
 def test_keep_one_and_empty(make):
     rows = corpus()
     docs = make(rows)
