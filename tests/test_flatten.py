@@ -247,3 +247,22 @@ def test_bad_features_are_set_aside(spark, tmp_path):
     rows = readers.collection_rows(spark, str(tmp_path)).collect()
     assert sorted(r["bad"] is None for r in rows) == [False, True, True]
     assert readers.read_feature_collections(spark, str(tmp_path)).count() == 2
+
+
+def test_collection_reader_keeps_no_row_per_brace(spark, tmp_path, monkeypatch):
+    kept = []
+    real = readers.cut_lineage
+
+    def counting(df, *args, **how):
+        out = real(df, *args, **how)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(readers, "cut_lineage", counting)
+    docs = [json.dumps({"type": "Other", "n": n, "a": {"b": [{"c": '}"{'}] * 20}}) for n in range(300)]
+    (tmp_path / "one.json").write_text('{"type":"FeatureCollection","features":[' + ",".join(docs) + "]}")
+    rows = readers.collection_texts(spark, str(tmp_path)).collect()
+    assert [r["number"] for r in sorted(rows, key=lambda r: r["number"])] == list(range(1, 301))
+    decoder = json.JSONDecoder()
+    assert {decoder.raw_decode(r["text"])[0]["n"] for r in rows} == set(range(300))
+    assert sum(kept) < 3 * len(docs)
