@@ -266,3 +266,12 @@ def test_collection_reader_keeps_no_row_per_brace(spark, tmp_path, monkeypatch):
     decoder = json.JSONDecoder()
     assert {decoder.raw_decode(r["text"])[0]["n"] for r in rows} == set(range(300))
     assert sum(kept) < 3 * len(docs)
+
+
+def test_attribute_rows_open_each_bag_once(spark):
+    bags = spark.createDataFrame([(1, '{"a":{"b":1},"c":"x"}'), (2, "{}"), (3, None)], "id int, text string")
+    attrs = bags.select("id", flatten.flatten_bag("parse_json(text)").alias("attrs"))
+    rows = flatten.attribute_rows(attrs)
+    assert sorted(map(tuple, rows.collect())) == [(1, "a.b", "1"), (1, "c", "x")]
+    # no filter that flattens the bags once more below
+    assert "Filter" not in rows._jdf.queryExecution().optimizedPlan().toString()
