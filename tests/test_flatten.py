@@ -275,3 +275,25 @@ def test_attribute_rows_open_each_bag_once(spark):
     assert sorted(map(tuple, rows.collect())) == [(1, "a.b", "1"), (1, "c", "x")]
     # no filter that flattens the bags once more below
     assert "Filter" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_feature_texts_are_json_without_structs_per_row(spark):
+    from quadrat.plans.documents import FEATURE_SQL
+
+    row = "1L l_orderkey, 2L l_partkey, {} l_suppkey, {} l_linenumber, 2.5D l_quantity, {} l_returnflag, DATE'1999-01-02' l_shipdate"
+    made = lambda *v: spark.sql(f"SELECT {FEATURE_SQL} AS t FROM (SELECT {row.format(*v)})")
+    got = json.loads(made("3L", "1", r"'a\"b]\\'").first()["t"])
+    assert got["properties"]["dataset"]["dataset.title"] == 'a"b]\\'
+    (visit,) = got["properties"]["siteVisit"]
+    assert visit["siteVisit.id"] == "1-1-2-3-1" and visit["featureOfInterest"] == []
+    assert got["geometry"]["type"] == "GeometryCollection"
+    bare = json.loads(made("CAST(NULL AS BIGINT)", "CAST(NULL AS INT)", "CAST(NULL AS STRING)").first()["t"])
+    assert "siteVisit" not in bare["properties"] and "dataset.title" not in bare["properties"]["dataset"]
+    assert bare["geometry"]["coordinates"] == [None, None]
+    # neither variants nor lambdas are built for the text
+    plan = spark.range(1).selectExpr(
+        "id l_orderkey", "id l_partkey", "id l_suppkey", "CAST(id AS INT) l_linenumber", "1D l_quantity",
+        "CAST(id AS STRING) l_returnflag", "DATE'1999-01-02' l_shipdate",
+    )
+    text = plan.selectExpr(f"{FEATURE_SQL} AS t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in text and "variant" not in text.lower()
