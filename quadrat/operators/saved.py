@@ -5,14 +5,18 @@ one array per block of BLOCK selections. Each kind of condition is an inverted i
 value to the selections that accept it (and, once, those that do not ask):
 
 * values of a facet: one row per (selection, value), whatever else the selection names;
-* dates and depths: the ends of all ranges cut the line into elementary intervals, along
-  which the selections whose range begins or ends are switched over;
-* regions: by membership of a site; shapes: by the point-in-polygon join, rings of a part
-  counted even-odd; images: by one flag.
-
-The facts are counted once per combination of the columns in use. Each combination meets one
-row of each index, and the bitmaps are intersected: no list of values is multiplied with
-another. What is left is added up per bitmap first, then per selection.
+* depths: the ends of all ranges cut the line into elementary intervals, along which the
+  selections whose range begins or ends are switched over;
+* regions: by the set of asked regions that a site lies in; shapes: by the set of shapes that
+  hold a point, found by the point-in-polygon join, rings of a part counted even-odd;
+* images: by one flag.
+
+The facts are counted once per combination of the columns in use, then per combination of what
+the selections can tell apart: a site is replaced by its set of regions, a point by its set of
+shapes. Only these combinations meet the indexes, one row of each, and the bitmaps are
+intersected: no list of values is multiplied with another. What is left is added up per bitmap
+first, then per selection. Dates have no bitmaps: a selection's range takes the difference of
+two running counts along the days of each combination it accepts.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from ..errors import PlotDataError
 from ..functions import geometry
 from ..session import cut_lineage
 from . import spatial
-from .lookup import broadcast_if_small
+from .lookup import broadcast_if_small, is_small
 from .selection import facet_column, has_image
 
 BLOCK, WORD = 2000, 62
@@ -119,17 +123,6 @@ def _facet(specs: Specs, facet: str, key: str):
     return specs.sets(users.withColumnRenamed("value", key), key), users
 
 
-def _dates(specs: Specs, cells: DataFrame):
-    users = specs.of("date_from", "date_to")
-    day = F.col("value").cast("date")
-    ranges = users.groupBy("block", "bit").agg(
-        F.max(F.when(F.col("facet") == "date_from", day)).alias("low"),
-        F.min(F.when(F.col("facet") == "date_to", day)).alias("high"),
-    )
-    points = cells.select("day").where(F.col("day").isNotNull()).distinct()
-    return _along(specs, points, "day", ranges), users
-
-
 def _depths(specs: Specs, cells: DataFrame, key: str, mode: str):
     """One side of the depth test: the top or the bottom of a sample against a range."""
     users = specs.of("soil_depth_range")
@@ -152,58 +145,123 @@ def _images(specs: Specs):
     return specs.sets(users.withColumn("image", F.lit(True)), "image"), users
 
 
+def _of_sets(specs: Specs, sets: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    """(key, block, words): the bitmap of a set, given those (member, block, words) of its members."""
+    ors = [F.bit_or(F.get("words", F.lit(w))) for w in range(specs.words)]
+    members = sets.select(key).distinct().select(key, F.explode(key).alias("member"))
+    return members.join(broadcast_if_small(words), "member").groupBy(key, "block").agg(F.array(*ors).alias("words"))
+
+
 def _regions(specs: Specs, site_region: DataFrame):
+    """(site, regions), the index of the sets of regions, and its users.
+
+    Regions of a type that no selection names are one member: none tells them apart.
+    """
     users, named = specs.of("region_type"), specs.of("region")
-    kinds = site_region.select("region_type", "region").distinct()
+    mark = F.concat(F.lit("="), "value").alias("mark")
+    asked_types = users.select(F.col("value").alias("region_type")).distinct()
+    asked = named.select(F.col("value").alias("region"), mark).distinct()
+    kinds = site_region.select("region_type", "region").where(F.col("region").isNotNull()).distinct()
+    kinds = kinds.join(broadcast_if_small(asked_types), "region_type", "left_semi")
+    kinds = cut_lineage(kinds.join(broadcast_if_small(asked), "region", "left").fillna("", ["mark"]))
+    members = kinds.select("region_type", "mark").distinct()
+    members = cut_lineage(members.withColumn("member", F.monotonically_increasing_id()))
     types = specs.sets(users.withColumnRenamed("value", "region_type"), "region_type")
-    regions = specs.sets(named.withColumnRenamed("value", "region"), "region")
+    regions = specs.sets(named.select("block", "bit", mark), "mark").withColumnRenamed("words", "named")
     any_region = F.coalesce("others", specs.none())
-    kinds = (
-        kinds.join(broadcast_if_small(types), "region_type")
-        .join(broadcast_if_small(regions.withColumnRenamed("words", "named")), ["region", "block"], "left")
+    words = (
+        members.join(broadcast_if_small(types), "region_type")
+        .join(broadcast_if_small(regions), ["mark", "block"], "left")
         .join(F.broadcast(specs.others(named)), "block", "left")
         .select(
-            "region_type",
-            "region",
-            "block",
-            _both(F.col("words"), _either(F.coalesce("named", specs.none()), any_region)).alias("words"),
+            "member", "block", _both(F.col("words"), _either(F.coalesce("named", specs.none()), any_region)).alias("words")
         )
     )
-    words = [F.bit_or(F.get("words", F.lit(w))) for w in range(specs.words)]
-    sites = site_region.join(broadcast_if_small(cut_lineage(kinds)), ["region_type", "region"])
-    return sites.groupBy(F.col("site_id").cast("string").alias("site"), "block").agg(F.array(*words).alias("words")), users
+    kinds = kinds.join(broadcast_if_small(members), ["region_type", "mark"]).drop("mark")
+    sites = site_region.join(broadcast_if_small(kinds), ["region_type", "region"])
+    sites = sites.groupBy(F.col("site_id").cast("string").alias("site"))
+    sites = cut_lineage(sites.agg(F.array_sort(F.collect_set("member")).alias("regions")))
+    return sites, _of_sets(specs, sites, "regions", cut_lineage(words)), users
 
 
 def _shapes(specs: Specs, cells: DataFrame):
+    """(lon, lat, shapes), the index of the sets of shapes, and its users."""
     users = specs.of("spatial")
     spark = users.sparkSession
     rings, other = [], []
     # the shapes that users saved
-    for row in users.select("value").distinct().collect():
-        literal = json.loads(row["value"])
+    values = [r["value"] for r in users.select("value").distinct().collect()]
+    for member, value in enumerate(values):
+        literal = json.loads(value)
         if geometry.literal_kind(literal) == "bbox":
             x1, y1, x2, y2 = map(float, literal)
-            rings.append((row["value"], 0, 0, [(x1, y1), (x2, y1), (x2, y2), (x1, y2)], True))
+            rings.append((member, 0, 0, [(x1, y1), (x2, y1), (x2, y2), (x1, y2)], True))
             continue
         shape = geometry.read_literal(literal)
         for k, part in enumerate(shape.polygons):
-            rings += [(row["value"], k, r, list(ring), False) for r, ring in enumerate(part)]
+            rings += [(member, k, r, list(ring), False) for r, ring in enumerate(part)]
         if shape.lines or shape.points:
-            other.append((row["value"], geometry.Shape(lines=shape.lines, points=shape.points)))
+            other.append((member, geometry.Shape(lines=shape.lines, points=shape.points)))
     points = cells.select("lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).distinct()
     table = spark.createDataFrame(
-        rings, "value string, part int, no int, ring array<struct<x:double,y:double>>, closed boolean"
+        rings, "member int, part int, no int, ring array<struct<x:double,y:double>>, closed boolean"
     )
-    shapes = table.select(F.struct("value", "part", "no").alias("shape_id"), "ring", "closed")
+    shapes = table.select(F.struct("member", "part", "no").alias("shape_id"), "ring", "closed")
     met = spatial.points_in_polygons(points, shapes)
-    inside = met.groupBy("lon", "lat", "shape_id.value", "shape_id.part").agg(F.count(F.lit(1)).alias("n"))
-    found = inside.where(F.col("n") % 2 == 1).select("lon", "lat", "value")
+    inside = met.groupBy("lon", "lat", "shape_id.member", "shape_id.part").agg(F.count(F.lit(1)).alias("n"))
+    found = inside.where(F.col("n") % 2 == 1).select("lon", "lat", "member")
     if other:
         on = F.array(*[F.when(geometry.in_shape(F.col("lon"), F.col("lat"), s), F.lit(v)) for v, s in other])
-        more = points.select("lon", "lat", F.explode(on).alias("value"))
-        found = found.union(more.where(F.col("value").isNotNull()))
-    hits = cut_lineage(found.distinct()).join(broadcast_if_small(users.select("block", "bit", "value")), "value")
-    return specs.sets(hits, "lon", "lat"), users
+        more = points.select("lon", "lat", F.explode(on).alias("member"))
+        found = found.union(more.where(F.col("member").isNotNull()))
+    held = cut_lineage(found.groupBy("lon", "lat").agg(F.array_sort(F.collect_set("member")).alias("shapes")))
+    numbers = spark.createDataFrame(list(enumerate(values)), "member int, value string")
+    words = specs.sets(users.join(F.broadcast(numbers), "value"), "member")
+    return held, _of_sets(specs, held, "shapes", cut_lineage(words)), users
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """A written table, broadcast if it is small."""
+    return F.broadcast(df) if is_small(df) else df.hint("merge")
+
+
+def _bits(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, block, bit): a row per selection of the bitmap ``accepted``."""
+    bits = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda b: F.getbit(F.col("w"), b) == 1)
+    words = rows.select(*keys, "block", F.posexplode("accepted").alias("at", "w")).where(F.col("w") != 0)
+    each = words.select(*keys, "block", "at", F.explode(bits).alias("b"))
+    return each.select(*keys, "block", (F.col("at") * WORD + F.col("b")).cast("int").alias("bit"))
+
+
+def _in_dates(specs: Specs, pairs: DataFrame, days: DataFrame) -> DataFrame:
+    """(block, bit, n): rows of the combinations (combination, block, bit) within a selection's dates.
+
+    Per combination the days and the ends of the ranges lie on one line; a range holds the
+    difference of the running counts at its ends. An open end comes after all days, and rows
+    without a day after it: only selections without dates take them.
+    """
+    users, day = specs.of("date_from", "date_to"), F.col("value").cast("date")
+    ranges = users.groupBy("block", "bit").agg(
+        F.max(F.when(F.col("facet") == "date_from", day)).alias("low"),
+        F.min(F.when(F.col("facet") == "date_to", day)).alias("high"),
+        F.lit(True).alias("dated"),
+    )
+    ranges = specs.ids.select("block", "bit").join(ranges, ["block", "bit"], "left")
+    ranges = ranges.where(F.col("low").isNull() | F.col("high").isNull() | (F.col("low") <= F.col("high")))
+    last = F.when(F.col("dated") & F.col("high").isNull(), 0).otherwise(2)
+    ends = F.array(
+        F.struct(F.col("high").alias("v"), last.alias("phase"), F.lit(1).alias("sign")),
+        F.when(F.col("low").isNotNull(), F.struct(F.col("low").alias("v"), F.lit(0).alias("phase"), F.lit(-1).alias("sign"))),
+    )
+    ranges = ranges.select("block", "bit", F.explode(F.array_compact(ends)).alias("e"))
+    asked = pairs.join(broadcast_if_small(cut_lineage(ranges)), ["block", "bit"])
+    asked = asked.select("combination", "e.v", "e.phase", F.lit(0).cast("bigint").alias("n"), "block", "bit", "e.sign")
+    none = [F.lit(None).cast("int").alias(c) for c in ("block", "bit", "sign")]
+    line = asked.union(days.select("combination", "d.day", F.lit(1), "d.n", *none))
+    so_far = Window.partitionBy("combination").orderBy(F.col("v").asc_nulls_last(), "phase")
+    running = F.sum("n").over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ended = line.withColumn("running", running).where(F.col("sign").isNotNull())
+    return ended.groupBy("block", "bit").agg(F.sum(F.col("running") * F.col("sign")).alias("n"))
 
 
 # --- counting ---------------------------------------------------------------------
@@ -246,37 +304,42 @@ def count_selections(
     cells = cut_lineage(counted.agg(F.count(F.lit(1)).alias("n")))
 
     indexes = [((f"in_{f}",), *_facet(specs, f, f"in_{f}")) for f in listed]
-    if "day" in columns:
-        indexes.append((("day",), *_dates(specs, cells)))
     if "depth_min" in columns:
         indexes += [((k,), *_depths(specs, cells, k, depth_mode)) for k in ("depth_min", "depth_max")]
     if "image" in columns:
         indexes.append((("image",), *_images(specs)))
+    sets = []
     if "site" in columns:
-        indexes.append((("site",), *_regions(specs, site_region)))
+        sets.append((["site"], "regions", *_regions(specs, site_region)))
     if "lon" in columns:
-        indexes.append((("lon", "lat"), *_shapes(specs, cells)))
+        sets.append((["lon", "lat"], "shapes", *_shapes(specs, cells)))
+    for keys, name, members, index, users in sets:
+        cells = cells.join(_written(members), keys, "left").drop(*keys)
+        indexes.append(((name,), index, users))
+    kept = [c for c in cells.columns if c not in ("day", "n")]
+    if "day" in columns:
+        # as many days as the calendar has
+        cells = cells.groupBy(*kept, "day").agg(F.sum("n").alias("n"))
+        cells = cells.groupBy(*kept).agg(F.collect_list(F.struct("day", "n")).alias("days"))
+        cells = cut_lineage(cells.withColumn("combination", F.monotonically_increasing_id()))
+    elif sets:
+        cells = cut_lineage(cells.groupBy(*kept).agg(F.sum("n").alias("n")))
 
     blocks = F.explode(F.sequence(F.lit(0), F.lit(specs.blocks - 1)))
     all_set = F.array(*[F.lit((1 << WORD) - 1).cast("bigint")] * specs.words)
-    rows = cells.withColumn("block", blocks).withColumn("accepted", all_set)
+    rows = cells.drop("days").withColumn("block", blocks).withColumn("accepted", all_set)
     for keys, index, users in indexes:
         # written: an index is as large as what the selections name
         index = broadcast_if_small(cut_lineage(index))
         rows = rows.join(index, [*keys, "block"], "left").join(F.broadcast(specs.others(users)), "block", "left")
         mine = _either(F.coalesce("words", specs.none()), F.coalesce("others", specs.none()))
-        rows = rows.withColumn("accepted", _both(F.col("accepted"), mine)).drop("words", "others")
+        rows = rows.withColumn("accepted", _both(F.col("accepted"), mine)).drop("words", "others", *keys)
         rows = rows.where(F.exists("accepted", lambda w: w != 0))
-    sums = rows.groupBy("block", "accepted").agg(F.sum("n").alias("n"))
-    bits = F.filter(
-        F.sequence(F.lit(0), F.lit(WORD - 1)),
-        lambda b: F.getbit(F.col("w"), b) == 1,
-    )
-    each = sums.select("block", "n", F.posexplode("accepted").alias("at", "w")).select(
-        "block", "n", "at", F.explode(bits).alias("b")
-    )
-    each = each.groupBy("block", (F.col("at") * WORD + F.col("b")).cast("int").alias("bit"))
-    counts = each.agg(F.sum("n").alias("n"))
+    if "day" in columns:
+        counts = _in_dates(specs, _bits(rows, "combination"), cells.select("combination", F.explode("days").alias("d")))
+    else:
+        sums = rows.groupBy("block", "accepted").agg(F.sum("n").alias("n"))
+        counts = _bits(sums, "n").groupBy("block", "bit").agg(F.sum("n").alias("n"))
     return specs.ids.join(counts, ["block", "bit"], "left").select(
         "spec_id", F.coalesce("n", F.lit(0)).cast("long").alias("rows")
     )

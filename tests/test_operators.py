@@ -242,6 +242,30 @@ def test_an_index_row_per_value(spark, monkeypatch):
     assert max(df.count() for df in written) <= spec.count()
 
 
+def test_indexes_do_not_grow_with_sites_points_and_days(spark, monkeypatch):
+    """Sites in the same regions, points in the same shapes: one combination."""
+    written = []
+    real = saved.cut_lineage
+    monkeypatch.setattr(saved, "cut_lineage", lambda df: written.append(real(df)) or written[-1])
+    rows = [(str(k), float(k % 100), 1.0, f"2020-01-{k % 28 + 1:02d}") for k in range(300)] + [(None, None, None, None)]
+    facts = spark.createDataFrame(rows, "site_id string, lon double, lat double, d string")
+    facts = facts.withColumn("visit_date", F.col("d").cast("date"))
+    regions = [(str(k), "x", f"x{k % 60}") for k in range(300)]
+    regions = spark.createDataFrame(regions, "site_id string, region_type string, region string")
+    asked = [
+        ("a", "region_type", "in", "x"), ("a", "region", "in", "x1"), ("a", "date_from", "date_from", "2020-01-20"),
+        ("b", "spatial", "spatial", "[0.0, 0.0, 49.0, 2.0]"), ("b", "date_to", "date_to", "2020-01-07"),
+        ("c", "region_type", "in", "x"), ("c", "date_from", "date_from", "2020-01-09"), ("c", "date_to", "date_to", "2020-01-03"),
+        ("d", "region_type", "in", "zz"), ("e", "region_type", "in", "x"),
+    ]
+    spec = spark.createDataFrame(asked, "spec_id string, facet string, op string, value string")
+    got = {r["spec_id"]: r["rows"] for r in saved.count_selections(facts, spec, [], site_region=regions).collect()}
+    one = sum(k % 60 == 1 and k % 28 >= 19 for k in range(300))
+    two = sum(k % 100 <= 49 and k % 28 <= 6 for k in range(300))
+    assert got == {"a": one, "b": two, "c": 0, "d": 0, "e": 300}
+    assert max(df.count() for df in written if "words" in df.columns or "days" in df.columns) <= 6
+
+
 # --- spatial ----------------------------------------------------------------------
 
 
