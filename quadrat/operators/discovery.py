@@ -9,6 +9,7 @@ from ..functions.text import upper_name
 from ..model import IGSN_PREFIX, MATERIAL_SAMPLE_TYPES, PLANT_TISSUE, PLANT_VOUCHER
 from ..model import SOIL_METAGENOMIC, SOIL_PIT, SOIL_SUBSITE
 from ..errors import PlotDataError
+from ..session import cut_lineage
 from .flatten import attribute_keys
 from .lookup import broadcast_if_small, facet_vocab
 
@@ -76,9 +77,11 @@ def summary(
     ``unique`` maps a metric to its column. The rows are counted per combination of the
     facets first, combined map-side; the distinct values are those of the combinations, so
     no row of the facts is multiplied. ``approximate`` takes sketches instead.
+
+    The combinations are written: a task then holds them, or the distinct values, not both.
     """
     facets = list(dict.fromkeys(unique.values()))
-    cells = rows.groupBy(*facets).agg(F.count(F.lit(1)).alias("_n"))
+    cells = cut_lineage(rows.groupBy(*facets).agg(F.count(F.lit(1)).alias("_n")))
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     columns = [distinct(c).alias(m) for m, c in unique.items()]
     if total:

@@ -467,3 +467,12 @@ def test_summary_without_multiplied_facts(spark):
         exact = {r["metric"]: r["count"] for r in discovery.summary(kept, {"bs": "b", "cs": "c"}, "all").collect()}
         near = {r["metric"]: r["count"] for r in discovery.summary_of_sketches(sketches, values, "all").collect()}
         assert near == pytest.approx(exact, rel=0.02)
+
+
+def test_summary_counts_distinct_values_of_written_combinations(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "a"), (1, "a")], "site int, kind string")
+    found = discovery.summary(rows, {"sites": "site", "kinds": "kind"}, "rows")
+    assert {r["metric"]: r["count"] for r in found.collect()} == {"rows": 5, "sites": 2, "kinds": 2}
+    # the facts are aggregated in a job of their own: they are not below the distinct counts
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan.lower() and "LogicalRDD" not in plan and "LocalRelation" not in plan
