@@ -235,6 +235,9 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, shard_ids: int = SH
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # reading needs no tokenizer: what the worker keeps from writing goes first
+    sys.modules.pop("_worker_encoders", None)
+    _give_back()
     for batch in batches:
         for part, seq, data in zip(*(batch.column(c) for c in ("part", "seq", "data"))):
             shard = Shard(data.as_py())

@@ -93,3 +93,12 @@ def test_no_frequent_pair_is_left():
     lots = np.tile(draw.integers(0, 49408, 40000), 10).astype(np.uint32)
     _, _, rules = repair.grammar(lots, np.zeros(len(lots), bool), 49408)
     assert len(rules) + 49408 == 1 << 16
+
+
+def test_reading_shards_lets_go_of_the_encoder():
+    import sys
+
+    tokenids.encoder(FILE)
+    assert "_worker_encoders" in sys.modules
+    assert list(tokenids._documents(iter([]))) == []
+    assert "_worker_encoders" not in sys.modules
