@@ -88,13 +88,26 @@ def _slots(chosen: np.ndarray, uses: np.ndarray, code: np.ndarray) -> np.ndarray
 
 def _expansions(base: int, rules: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, start, length): each rule's expansion as a stretch of ``ids``."""
-    parts: list[np.ndarray] = []
-    for pair in rules.tolist():
-        sides = [parts[s - base] if s >= base else np.array([s], np.uint32) for s in pair]
-        parts.append(np.concatenate(sides))
-    length = np.array([len(p) for p in parts], np.int64)
-    ids = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-    return ids, np.cumsum(length) - length, length
+    parts: list[bytes] = []
+    for a, b in rules.tolist():
+        left = parts[a - base] if a >= base else a.to_bytes(4, "little")
+        parts.append(left + (parts[b - base] if b >= base else b.to_bytes(4, "little")))
+    length = np.array([len(p) // 4 for p in parts], np.int64)
+    return np.frombuffer(b"".join(parts), "<u4"), np.cumsum(length) - length, length
+
+
+def stretches(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` one after another."""
+    if not size.all():
+        start, size = start[size > 0], size[size > 0]
+    if not len(size):
+        return pool[:0]
+    ends = np.cumsum(size)
+    # places grow by one, and jump where a stretch begins
+    step = np.ones(ends[-1], np.int64)
+    step[0] = start[0]
+    step[ends[:-1]] = start[1:] - start[:-1] - size[:-1] + 1
+    return pool[np.cumsum(step, out=step)]
 
 
 def _lengths(base: int, rules: np.ndarray) -> np.ndarray:
@@ -158,10 +171,7 @@ class Shard:
         self.starts = np.concatenate([np.arange(self.base), self.base + start])
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
-        size = self.lengths[symbols]
-        ends = np.cumsum(size)
-        shift = self.starts[symbols] - (ends - size)
-        return self.pool[np.repeat(shift, size) + np.arange(ends[-1] if len(ends) else 0)]
+        return stretches(self.pool, self.starts[symbols], self.lengths[symbols])
 
     def all_ids(self) -> np.ndarray:
         return self._expand(self.symbols)

@@ -5,9 +5,9 @@ and packs whole documents into shards of about SHARD_IDS ids. Shards are rows of
 table (part, seq, n_docs, n_ids, data), so a lost executor repeats its range and the
 commit stays atomic. ``repair`` has the layout of ``data``.
 
-Texts with no character above U+00FF are split at white space, and each distinct piece is
-encoded once per worker: for them the tokenizer's steps (composing, lower-casing, cutting
-by its pattern) never look across white space. Its vocabulary still does the merging.
+Texts with no character above U+00FF are cut by the tokenizer's pattern, many texts at a time,
+and each distinct piece is encoded once per worker: for them its steps before (composing,
+lower-casing) change each character on its own. Its vocabulary still does the merging.
 Other texts, and texts that spell a special token, are encoded whole.
 
 Defined cases: null and empty texts have the end id alone; a null id comes first; rows
@@ -34,17 +34,27 @@ from pyspark.sql import functions as F
 
 from ..operators.lookup import broadcast_if_small
 from ..session import shared_dir, ship_with_tasks
-from .repair import Shard, pack
+from .repair import Shard, pack, stretches
 
 ship_with_tasks(__name__)
 
 END = 1
 SHARD_IDS = 1 << 20
-CACHE_CHUNKS = 400_000
-# The tokenizer's own pattern for the letters, digits and signs up to U+00FF, in lower case.
+CACHE_PIECES = 400_000
+BATCH_CHARS = 4 << 20
+# The tokenizer's own pattern for the letters, digits and signs up to U+00FF, in lower case:
+# 's 't 're 've 'm 'll 'd, letters, a digit, or other signs.
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
-PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+SPACE, LETTER, DIGIT, SIGN = range(4)
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """For each character up to U+00FF its lower case, and for each of those its kind."""
+    every = "".join(map(chr, range(256)))
+    kinds = [(SPACE, r"\s"), (LETTER, f"[{LETTERS}]"), (DIGIT, f"[{DIGITS}]"), (SIGN, "")]
+    kind = [next(k for k, pattern in kinds if re.match(pattern, c)) for c in every]
+    return np.frombuffer(every.lower().encode("latin-1"), np.uint8), np.array(kind, np.uint8)
 
 
 class Encoder:
@@ -66,6 +76,7 @@ class Encoder:
         self.size = max(vocabulary.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.lower, self.kind = _tables()
         self.forget()
 
     @cached_property
@@ -76,81 +87,74 @@ class Encoder:
         return Tokenizer.from_file(self.path)
 
     def forget(self) -> None:
-        self.pieces: dict[str, int] = {}
-        self.piece_starts, self.piece_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.known = Numbers()
+        self.pieces: dict[bytes, int] = {}
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
         """Encode new pieces, many at a time; each one's last token carries the end mark."""
-        joined = [" ".join(pieces[k : k + 1000]) for k in range(0, len(pieces), 1000)]
+        joined = [b" ".join(pieces[k : k + 1000]).decode("latin-1") for k in range(0, len(pieces), 1000)]
         got = self.merges.encode_batch_fast(joined, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in got])
         stop = np.flatnonzero(self.ends[ids]) + 1
         start = np.concatenate([[0], stop[:-1]]).astype(np.int64)
         first = len(self.pieces)
         self.pieces.update(zip(pieces, range(first, first + len(pieces))))
-        self.piece_starts = np.concatenate([self.piece_starts, start + len(self.pool)])
-        self.piece_lengths = np.concatenate([self.piece_lengths, stop - start])
+        self.starts = np.concatenate([self.starts, start + len(self.pool)])
+        self.lengths = np.concatenate([self.lengths, stop - start])
         self.pool = np.concatenate([self.pool, ids])
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Remember new chunks: one of one piece shares its ids, another gets its own."""
-        lowered = [c.lower() for c in chunks]
-        cut = [(c,) if c.isascii() and c.isalpha() else PIECES.findall(c) for c in lowered]
-        fresh = set().union(*cut).difference(self.pieces)
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """All pieces of the texts, and which of them is each text's first, and the end."""
+        low = self.lower[np.frombuffer(" ".join([*texts, ""]).encode("latin-1"), np.uint8)]
+        kind = self.kind[low]
+        begins = kind != SPACE
+        begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        # a sign that begins a piece and is an apostrophe takes certain letters along
+        at = np.flatnonzero((low == ord("'")) & begins)
+        one, two = low[at + 1], low[np.minimum(at + 2, len(low) - 1)]
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        long = np.isin(one, np.frombuffer(b"rv", np.uint8)) & (two == ord("e"))
+        long |= (one == ord("l")) & (two == ord("l"))
+        begins[at[short | long] + 1] = False
+        after = np.concatenate([at[short] + 2, at[long] + 3])
+        begins[after[kind[after] == LETTER]] = True
+        inked = kind != SPACE
+        data = low[inked]
+        offsets = np.append(np.flatnonzero(begins[inked]), len(data)).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        pieces = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        edges = np.searchsorted(np.flatnonzero(begins), np.concatenate([[0], np.cumsum(sizes)]))
+        return pieces, edges
+
+    def _known(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts that may be cut: each different piece is looked up once."""
+        if len(self.pieces) > CACHE_PIECES:
+            self.forget()
+        pieces, edges = self._cut(texts)
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        fresh = [p for p in names if p not in self.pieces]
         if fresh:
-            self._learn_pieces(list(fresh))
-        at = self.pieces.__getitem__
-        count = np.fromiter(map(len, cut), np.int64, len(cut))
-        where = np.fromiter((at(p) for parts in cut for p in parts), np.int64, int(count.sum()))
-        edge = np.concatenate([[0], np.cumsum(count)])
-        size = np.add.reduceat(np.append(self.piece_lengths[where], 0), edge[:-1]) * (count > 0)
-        start = np.append(self.piece_starts[where], 0)[edge[:-1]]
-        several = np.flatnonzero(count > 1)
-        mine = np.repeat(count > 1, count)
-        own = _stretches(self.pool, self.piece_starts[where[mine]], self.piece_lengths[where[mine]])
-        start[several] = len(self.pool) + np.cumsum(size[several]) - size[several]
-        self.starts = np.concatenate([self.starts, start])
-        self.lengths = np.concatenate([self.lengths, size])
-        self.pool = np.concatenate([self.pool, own])
+            self._learn(fresh)
+        number = np.fromiter(map(self.pieces.__getitem__, names), np.int64, len(names))
+        k = number[coded.indices.to_numpy()]
+        size = self.lengths[k]
+        ids = stretches(self.pool, self.starts[k], size)
+        stops = np.concatenate([[0], np.cumsum(size)])[edges].tolist()
+        return [ids[a:b] for a, b in zip(stops[:-1], stops[1:])]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.known) > CACHE_CHUNKS:
-            self.forget()
-        number, at = self.known.__getitem__, []
-        for text in texts:
-            if _odd(text):
-                at.append(None)
-            else:
-                parts = text.split()
-                at.append(np.fromiter(map(number, parts), np.int64, len(parts)))
-        if self.known.fresh:
-            self._learn(self.known.fresh)
-            self.known.fresh = []
+        odd = [_odd(text) for text in texts]
+        known = iter(self._known([text for text, no in zip(texts, odd) if not no]))
         return [
-            np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-            if k is None
-            else _stretches(self.pool, self.starts[k], self.lengths[k])
-            for text, k in zip(texts, at)
+            np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32) if no else next(known)
+            for text, no in zip(texts, odd)
         ]
 
 
-class Numbers(dict):
-    """Numbers what it is asked for, from 0, and lists what is new."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        self[key] = k = len(self)
-        self.fresh.append(key)
-        return k
-
-
 def _odd(text: str) -> bool:
     """Whether a text cannot be cut at white space before it is encoded.
 
@@ -164,12 +168,6 @@ def _odd(text: str) -> bool:
     return any(mark in text for mark in ODD)
 
 
-def _stretches(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The stretches of ``pool`` one after another."""
-    ends = np.cumsum(size)
-    return pool[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder: it outlives the task, as workers are used again."""
     place = sys.modules.setdefault("_worker_encoders", types.ModuleType("_worker_encoders"))
@@ -187,6 +185,21 @@ def _give_back() -> None:
         trim(0)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Document ids and texts, about BATCH_CHARS characters at a time, in order."""
+    names, texts, chars = [], [], 0
+    for batch in batches:
+        for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            names.append(name)
+            texts.append(text or "")
+            chars += len(texts[-1])
+            if chars >= BATCH_CHARS:
+                yield names, texts
+                names, texts, chars = [], [], 0
+    if names:
+        yield names, texts
+
+
 def _packer(path: str, shard_ids: int):
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _give_back()
@@ -202,17 +215,14 @@ def _packer(path: str, shard_ids: int):
                 names=["part", "seq", "n_docs", "n_ids", "data"],
             )
 
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                piece = batch.slice(k, 512)
-                texts = [t or "" for t in piece.column("text").to_pylist()]
-                for name, got in zip(piece.column("doc_id").to_pylist(), coder.encode(texts)):
-                    names.append(name)
-                    ids.append(np.append(got, np.uint32(END)))
-                    total += len(ids[-1])
-                    if total >= shard_ids:
-                        yield shard()
-                        names, ids, total, seq = [], [], 0, seq + 1
+        for some, texts in _gathered(batches):
+            for name, got in zip(some, coder.encode(texts)):
+                names.append(name)
+                ids.append(np.append(got, np.uint32(END)))
+                total += len(ids[-1])
+                if total >= shard_ids:
+                    yield shard()
+                    names, ids, total, seq = [], [], 0, seq + 1
         if names:
             yield shard()
         _give_back()

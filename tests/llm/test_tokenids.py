@@ -102,3 +102,37 @@ def test_reading_shards_lets_go_of_the_encoder():
     assert "_worker_encoders" in sys.modules
     assert list(tokenids._documents(iter([]))) == []
     assert "_worker_encoders" not in sys.modules
+
+
+def test_memory_and_library_see_pieces_not_words(monkeypatch):
+    coder = tokenids.Encoder(FILE)
+    words = [f"{a}-{b}{c}" for a in ("Ab", "cd'LL", "É") for b in ("x", "Yz", "don't") for c in range(100)]
+    texts = [" ".join(words[k::7]) for k in range(7)]
+    got = coder.encode(texts)
+    # ab cd 'll é - x yz don 't and ten digits, whatever words they stand in
+    held = [len(v) for v in vars(coder).values() if isinstance(v, dict)]
+    assert sum(held) == 19
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == whole(text)
+    learned = []
+    monkeypatch.setattr(coder, "_learn", learned.append)
+    coder.encode([" ".join(reversed(words))])
+    assert not learned
+
+
+def test_texts_that_are_all_cut_or_all_whole():
+    coder = tokenids.Encoder(FILE)
+    for texts in ([], ["日本語", "a<|b"], [""], ["", " \xa0\x85", ""], ["'"], ["x'"], ["x'l", "l", "'r", "e's'm"], ["''d", "9't"]):
+        assert [x.tolist() for x in coder.encode(texts)] == [whole(t) for t in texts]
+
+
+def test_documents_are_gathered_in_order(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokenids, "BATCH_CHARS", 5)
+    batches = [
+        pa.RecordBatch.from_pydict({"doc_id": pa.array(d, pa.int64()), "text": pa.array(t, pa.string())})
+        for d, t in (([None, 1], ["ab", None]), ([], []), ([2, 3], ["cdef", "g" * 9]), ([4], ["h"]))
+    ]
+    got = list(tokenids._gathered(iter(batches)))
+    assert got == [([None, 1, 2], ["ab", "", "cdef"]), ([3], ["g" * 9]), ([4], ["h"])]
