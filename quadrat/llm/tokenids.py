@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import os
 import re
 import sys
 import types
@@ -41,7 +42,7 @@ ship_with_tasks(__name__)
 END = 1
 SHARD_IDS = 1 << 20
 CACHE_PIECES = 400_000
-BATCH_CHARS = 4 << 20
+BATCH_CHARS, LEARN = 2 << 20, 1 << 14
 # The tokenizer's own pattern for the letters, digits and signs up to U+00FF, in lower case:
 # 's 't 're 've 'm 'll 'd, letters, a digit, or other signs.
 LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
@@ -63,6 +64,8 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
+        # a task has one core; each further thread would keep memory of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.path = path
         self.merges = Tokenizer.from_file(path)
         self.merges.normalizer = None
@@ -88,20 +91,25 @@ class Encoder:
 
     def forget(self) -> None:
         self.pieces: dict[bytes, int] = {}
-        self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.starts, self.lengths = np.empty(0, np.int32), np.empty(0, np.int32)
         self.pool = np.empty(0, np.uint32)
 
     def _learn(self, pieces: list[bytes]) -> None:
-        """Encode new pieces, many at a time; each one's last token carries the end mark."""
+        """Encode new pieces, LEARN at a time: what the library returns is far larger than the ids."""
+        for k in range(0, len(pieces), LEARN):
+            self._add(pieces[k : k + LEARN])
+
+    def _add(self, pieces: list[bytes]) -> None:
+        """Each piece's last token carries the end mark."""
         joined = [b" ".join(pieces[k : k + 1000]).decode("latin-1") for k in range(0, len(pieces), 1000)]
         got = self.merges.encode_batch_fast(joined, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in got])
         stop = np.flatnonzero(self.ends[ids]) + 1
-        start = np.concatenate([[0], stop[:-1]]).astype(np.int64)
+        start = np.concatenate([[0], stop[:-1]])
         first = len(self.pieces)
         self.pieces.update(zip(pieces, range(first, first + len(pieces))))
-        self.starts = np.concatenate([self.starts, start + len(self.pool)])
-        self.lengths = np.concatenate([self.lengths, stop - start])
+        self.starts = np.concatenate([self.starts, (start + len(self.pool)).astype(np.int32)])
+        self.lengths = np.concatenate([self.lengths, (stop - start).astype(np.int32)])
         self.pool = np.concatenate([self.pool, ids])
 
     def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
@@ -138,7 +146,7 @@ class Encoder:
         fresh = [p for p in names if p not in self.pieces]
         if fresh:
             self._learn(fresh)
-        number = np.fromiter(map(self.pieces.__getitem__, names), np.int64, len(names))
+        number = np.fromiter(map(self.pieces.__getitem__, names), np.int32, len(names))
         k = number[coded.indices.to_numpy()]
         size = self.lengths[k]
         ids = stretches(self.pool, self.starts[k], size)

@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -136,3 +137,15 @@ def test_documents_are_gathered_in_order(monkeypatch):
     ]
     got = list(tokenids._gathered(iter(batches)))
     assert got == [([None, 1, 2], ["ab", "", "cdef"]), ([3], ["g" * 9]), ([4], ["h"])]
+
+
+def test_encoder_learns_in_lots(monkeypatch):
+    monkeypatch.setattr(tokenids, "LEARN", 5)
+    coder, lots = tokenids.Encoder(FILE), []
+    add = coder._add
+    monkeypatch.setattr(coder, "_add", lambda pieces: (lots.append(len(pieces)), add(pieces)))
+    for text, got in zip(TEXTS, coder.encode(TEXTS)):
+        assert got.tolist() == whole(text), text
+    assert max(lots) == 5 and sum(lots) == len(coder.pieces) == len(coder.lengths)
+    assert coder.starts.dtype == coder.lengths.dtype == np.int32
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
