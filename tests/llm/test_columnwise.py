@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -128,3 +129,16 @@ def test_order_and_prefixes(tmp_path, monkeypatch, spool):
             shared = [0] + [next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y))) for x, y in zip(order, order[1:])]
             assert common.tolist() == [0] * len(texts) + shared
     assert not list(tmp_path.iterdir())
+
+
+def test_memory_of_a_collection(tmp_path):
+    """Bytes held at once for each byte of the pieces, all different but for a passage."""
+    words = [bytes(DRAW.choices(b"abcdefgh", k=9)) for _ in range(4000)]
+    passage = b" ".join(DRAW.choices(words, k=45))
+    texts = [b" ".join(DRAW.choices(words, k=15)) + passage[: 400 + k % 40] for k in range(1500)]
+    tracemalloc.start()
+    found = cw.repeated_starts(texts, [1] * len(texts), 400, str(tmp_path))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(ranges[0][0] <= 149 <= ranges[0][1] for ranges in found)
+    assert peak < 20 * sum(map(len, texts))
