@@ -1,5 +1,9 @@
+import datetime
 import json
+import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -268,6 +272,76 @@ def test_collection_reader_keeps_no_row_per_brace(spark, tmp_path, monkeypatch):
     assert sum(kept) < 3 * len(docs)
 
 
+def test_collections_are_written_round_by_round(spark, tmp_path, monkeypatch):
+    """The files on disk at a time hold a round's features, and all features are counted."""
+    from quadrat.plans import documents
+
+    row = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_shipdate timestamp"
+    day = datetime.datetime(1999, 1, 2)
+    rows = [(k, k % 50, k % 7, k % 4, 1.5 * k, "AR"[k % 2], day) for k in range(700)]
+    rows += [(1, 2, 3, 4, 5.0, "A", day)] * 300 + [(None, None, None, None, None, None, None)] * 20
+    spark.createDataFrame(rows, row).repartition(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    held = []
+    real = readers.read_feature_collections
+
+    def counting(session, path, *scratch):
+        docs = [json.loads(r.value) for r in session.read.text(path).collect()]
+        held.append([len(d["features"]) for d in docs])
+        return real(session, path, *scratch)
+
+    monkeypatch.setattr(readers, "read_feature_collections", counting)
+    monkeypatch.setattr(documents, "ROUND_FEATURES", 250, raising=False)
+    got = {tuple(r)[:3]: r["n"] for r in documents.scan_collection_files(spark, str(tmp_path)).collect()}
+    assert got == Counter((None, None, None) if r[2] is None else (r[5], f"S{r[2]}", r[3] % 3) for r in rows)
+    assert sum(map(sum, held)) == len(rows)
+    # equal rows are spread over the rounds as well
+    assert len(held) == 5 and max(map(sum, held)) < 300
+
+
+def test_documents_of_a_collection_are_not_shuffled(spark):
+    from quadrat.sinks import writers
+
+    lines = spark.range(0, 2345, 1, 2).selectExpr("""concat('{"n":', id, '}') AS value""")
+    docs = writers.collection_documents(lines, '{"features":[', 500)
+    features = [json.loads(r.value)["features"] for r in docs.collect()]
+    assert sorted(f["n"] for fs in features for f in fs) == list(range(2345))
+    assert all(0 < len(fs) <= 500 for fs in features)
+    assert "Exchange" not in docs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_of_a_collection_go_where_they_are_told(spark, tmp_path):
+    scratch = str(tmp_path / "texts")
+    for k in (1, 2):
+        (tmp_path / f"{k}.json").write_text(json.dumps({"type": "FeatureCollection", "features": [feature([])] * k}))
+        assert readers.read_feature_collections(spark, str(tmp_path / f"{k}.json"), scratch).count() == k
+    # the head of the second document and its two features; nothing of the first
+    assert spark.read.parquet(scratch).count() == 3
+
+
+def test_features_of_collections_are_parsed_once(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps({"type": "FeatureCollection", "features": [feature([])]}))
+    rows = readers.read_feature_collections(spark, str(tmp_path / "one.json"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_marks_of_texts_leave_out_what_is_escaped():
+    rng = random.Random(3)
+    texts = ["{" + "".join(rng.choice('{}""\\\\a\né') for _ in range(rng.randrange(9))) for _ in range(300)]
+    data, begin, quotes, closings = readers._marks(pa.array(["x", *texts, "}"]).slice(1, len(texts)))
+    want = {'"': [], "}": []}
+    at = 0
+    for text in texts:
+        escaped = False
+        for byte in text.encode():
+            if not escaped and chr(byte) in want:
+                want[chr(byte)].append(at)
+            escaped = not escaped and byte == ord("\\")
+            at += 1
+    assert data == "".join(texts).encode() and begin[-1] == at
+    assert [data[a:b].decode() for a, b in zip(begin, begin[1:])] == texts
+    assert quotes.tolist() == want['"'] and closings.tolist() == want["}"]
+
+
 def test_attribute_rows_open_each_bag_once(spark):
     bags = spark.createDataFrame([(1, '{"a":{"b":1},"c":"x"}'), (2, "{}"), (3, None)], "id int, text string")
     attrs = bags.select("id", flatten.flatten_bag("parse_json(text)").alias("attrs"))
